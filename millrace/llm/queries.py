@@ -9,9 +9,22 @@ from pyspark.sql import functions as F
 
 from .common import WORD, read
 from .mixing import mix
+from .packing import pack, token_pieces
 from .sharding import shard_rows
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), capacity=2048)
+    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(digest, capacity=2048)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     digest = docs.select("doc_id", "source", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
@@ -26,6 +39,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
 }
