@@ -34,7 +34,7 @@ def group_key(column: Column) -> Column:
     return F.when(text.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), text))
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 20_000, most: int = 65_536) -> int:
+def bucket_count(rows: int, rows_per_bucket: int = 4_000, most: int = 65_536) -> int:
     return max(1, min(most, math.ceil(rows / rows_per_bucket)))
 
 
