@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, read
+from .langid import held_out, predict, train
 from .mixing import mix
 from .packing import pack, token_pieces
 from .sharding import shard_rows
@@ -19,6 +20,14 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    key = F.col("doc_id")
+    model = train(docs, where=key.isNotNull() & ~held_out(key))
+    rows = docs.select("doc_id", held_out(key).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    return predict(rows, model).drop("text")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), capacity=2048)
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -39,6 +48,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_langid": op2_langid,
     "op4_packing": op4_packing,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
