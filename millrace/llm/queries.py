@@ -12,6 +12,7 @@ from .langid import held_out, predict, train
 from .mixing import mix
 from .packing import pack, token_pieces
 from .sharding import shard_rows
+from .simhash import near_duplicates
 
 
 def _tokenizer() -> str:
@@ -20,6 +21,11 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), words=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     key = F.col("doc_id")
@@ -48,6 +54,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_langid": op2_langid,
     "op4_packing": op4_packing,
     "op7_sharding": op7_sharding,
