@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .common import WORD, read
+from .exact_topk import exact_top_k
 from .langid import held_out, predict, train
 from .mixing import mix
 from .packing import pack, token_pieces
@@ -40,6 +42,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(digest, capacity=2048)
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     digest = docs.select("doc_id", "source", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
@@ -57,8 +67,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_langid": op2_langid,
     "op4_packing": op4_packing,
+    "op5_ann": op5_ann,
+    "op6_exact_topk": op6_exact_topk,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+    """,
+}
