@@ -11,6 +11,7 @@ from .ann import nearest
 from .common import WORD, read
 from .exact_topk import exact_top_k
 from .langid import held_out, predict, train
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack, token_pieces
 from .sharding import shard_rows
@@ -63,6 +64,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(digest, size="size").select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.flatten(F.transform("removed", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1)))
+    return out.select("row.doc_id", "lines", F.col("left").alias("lines_left"), gone.alias("removed_lines"), F.crc32("text").alias("text_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_langid": op2_langid,
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_topk": op6_exact_topk,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
