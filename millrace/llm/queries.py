@@ -14,6 +14,7 @@ from .langid import held_out, predict, train
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack, token_pieces
+from .pii import pseudonymise
 from .sharding import shard_rows
 from .simhash import near_duplicates
 
@@ -64,6 +65,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(digest, size="size").select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), key="op9")
+    return out.select("row.doc_id", "text", "entities")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.flatten(F.transform("removed", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1)))
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_topk": op6_exact_topk,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
+    "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
 }
 
