@@ -11,6 +11,7 @@ from .ann import nearest
 from .common import WORD, read
 from .exact_topk import exact_top_k
 from .langid import held_out, predict, train
+from .licenses import scan
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack, token_pieces
@@ -38,6 +39,12 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(rows, model).drop("text")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    known = F.filter("sentences", lambda s: s != "-")
+    return out.select("row.doc_id", F.array_join(known, " ").alias("sentences"), F.array_join("licenses", " ").alias("licenses"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), capacity=2048)
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -79,6 +86,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_langid": op2_langid,
+    "op3_licenses": op3_licenses,
     "op4_packing": op4_packing,
     "op5_ann": op5_ann,
     "op6_exact_topk": op6_exact_topk,
