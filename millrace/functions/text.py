@@ -218,4 +218,4 @@ def dot(a: Column, b: Column) -> Column:
 def row_identity(columns: list[str]) -> Column:
     """The sum of all cells' hashes modulo 2^64."""
     wide = [F.coalesce(F.xxhash64(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("decimal(20,0)") for c in columns]
-    return F.pmod(sum(wide[1:], wide[0]).cast("decimal(38,0)"), F.lit(2**64).cast("decimal(38,0)")).cast("decimal(20,0)")
+    return F.pmod(sum(wide[1:], wide[0]).cast("decimal(38,0)"), F.lit(str(2**64)).cast("decimal(38,0)")).cast("decimal(20,0)")

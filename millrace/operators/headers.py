@@ -72,8 +72,8 @@ def distinct_rows(rows: DataFrame, by: list[str], place: str) -> DataFrame:
 
 def histogram(rows: DataFrame, column: str, width: float) -> DataFrame:
     """(bin, n): counts over bins of `width` that begin at the smallest value."""
-    low = rows.agg(F.min(column).alias("_low"))
-    placed = rows.crossJoin(F.broadcast(low)).select(F.floor((F.col(column) - F.col("_low")) / width).cast("long").alias("bin"))
+    low = rows.agg(F.min(column)).first()[0]
+    placed = rows.where(F.col(column).isNotNull()).select(F.floor((F.col(column) - F.lit(low)) / width).cast("long").alias("bin"))
     return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,29 +36,33 @@ def by_similarity(df: DataFrame, columns: list[str], query: str, cutoff: float =
 def fuzzy_matches(names: DataFrame, name: str, candidates: DataFrame, key: str, label: str, cutoff: float = 75.0, k: int = 10) -> DataFrame:
     """(name, key, label, score, rank): the k candidates most like each distinct name, ties to the smaller key.
 
-    Equal names and equal labels are compared once. An edit distance within the cutoff bounds the difference in
-    length, so names and labels meet by length: an equi-join, never all pairs.
+    Equal names and equal labels are compared once; a label that several candidates share stands for the smallest
+    key. An edit distance within the cutoff bounds the difference in length, so names and labels meet by length: an
+    equi-join that adaptive execution can split, never all pairs.
     """
     asked = names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
-    slack = 1 - cutoff / 100
-    size = F.char_length("name")
-    lengths = F.sequence(F.ceil(size * (1 - slack)).cast("int"), F.floor(size / (1 - slack)).cast("int") + 1)
-    spread = asked.withColumn("_len", F.explode(lengths))
-    labels = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.array_sort(F.collect_set(key)).alias("keys"))
+    least, size = cutoff / 100, F.char_length("name")
+    spread = asked.withColumn("_len", F.explode(F.sequence(F.ceil(size * least).cast("int"), F.floor(size / least).cast("int") + 1)))
+    labels = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(key).alias("key"))
     labels = labels.withColumn("_len", F.char_length("label"))
     scored = spread.join(labels, "_len").withColumn("score", T.similarity(F.col("name"), F.col("label"))).where(F.col("score") >= cutoff)
-    each = scored.select("name", F.explode(F.slice("keys", 1, k)).alias("key"), "label", "score")
     rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "key"))
-    return each.withColumn("rank", rank).where(F.col("rank") <= k)
+    return scored.select("name", "key", "label", "score", rank.alias("rank")).where(F.col("rank") <= k)
+
 
+def vector_matches(queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = 5, block: int = 4096) -> DataFrame:
+    """(query_id, vec_id, score, rank): each stated query's k largest dot products among the other candidates.
 
-def vector_matches(queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = 5) -> DataFrame:
-    """(query_id, vec_id, score, rank): the k largest dot products of a few stated queries, which are broadcast."""
-    q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q")).limit(10_001)
-    if q.count() > 10_000:
-        raise ValueError("more than 10000 query vectors: split the query set")
+    About `block` queries at a time are broadcast and meet all candidates.
+    """
+    blocks = max(1, math.ceil(queries.count() / block))
     c = candidates.select(F.col(key).alias("vec_id"), F.col(vector).alias("_c"))
-    pairs = c.join(F.broadcast(q), F.col("query_id") != F.col("vec_id"))
-    scored = pairs.select("query_id", "vec_id", F.round(T.dot(F.col("_q"), F.col("_c")), 6).alias("score"))
+    found = None
+    for b in range(blocks):
+        own = queries.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == b)
+        q = own.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
+        part = c.join(F.broadcast(q), F.col("query_id") != F.col("vec_id"))
+        part = part.select("query_id", "vec_id", F.round(T.dot(F.col("_q"), F.col("_c")), 6).alias("score"))
+        found = part if found is None else found.union(part)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)

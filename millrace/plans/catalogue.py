@@ -2,5 +2,270 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions import text as T
+from millrace.operators import headers, labels, search
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+#: Codes and names for ordered replacement; a null name is skipped.
+CODES = [("ring", "loop"), ("loop", "hoop"), ("small", None), ("large", "big")]
+#: Terms that stand for each other in part names.
+TERMS = ("ring", "gear", "bolt")
+RANGES = ["1-3", "2, 4-6, 5", "7", " 1 - 2 ,9-9"]
+HEADERS = [*T.CANONICAL.values(), "Lfd.Nr.", "Begrün-\ndung", "Maß­nahme", "Objekt/Maßnahme", "benötigt bis", "UW", "Zubau  Leitung", "unbekannt", ""]
+
+
+def query(sql: str | None = None) -> Callable:
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"), spark)
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _values(rows: list[str]) -> str:
+    return ", ".join("('" + r.replace("'", "''") + "')" for r in rows)
+
+
+_SQL_HEADER = r"lower(trim(regexp_replace(regexp_replace(replace(h, chr(173), ''), '-\s+', '', 'g'), '\s+', ' ', 'g')))"
+_SQL_CASE = "CASE " + " ".join(f"WHEN regexp_matches(n, '{p}') THEN '{k}'" for k, p in T.HEADER_RULES) + " END"
+_SQL_SIMILAR = "round(100 * (1 - levenshtein(lower({a}), lower({b})) / greatest(length({a}), length({b}), 1)), 4)"
+
+
+@query("""
+    SELECT query_id, vec_id, score, CAST(r AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM (
+            SELECT q.vec_id AS query_id, c.vec_id, round(list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS score
+            FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)) WHERE r <= 5""")
+def vector_topk(t: Callable, spark: SparkSession) -> DataFrame:
+    e = t("embeddings")
+    return search.vector_matches(e.where(F.col("vec_id") % 20 == 0), e, "vec_id", "embedding")
+
+
+@query(r"""
+    SELECT doc_id, source FROM documents
+    WHERE regexp_matches(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'), 'gnu general|apache license|été', 'i')
+       OR regexp_matches(coalesce(source, ''), 'gnu general|apache license|été', 'i')""")
+def regex_search(t: Callable, spark: SparkSession) -> DataFrame:
+    return search.by_regex(t("documents"), ["text", "source", "no_such_column"], "gnu general|apache license|été").select("doc_id", "source")
+
+
+@query(f"""
+    SELECT p_partkey, score FROM (
+        SELECT p_partkey, {_SQL_SIMILAR.format(a="'small ring | Brand#2'", b="x")} AS score
+        FROM (SELECT p_partkey, concat(coalesce(p_name, ''), ' | ', coalesce(p_brand, '')) AS x FROM part)) WHERE score >= 70""")
+def fuzzy_filter(t: Callable, spark: SparkSession) -> DataFrame:
+    return search.by_similarity(t("part"), ["p_name", "p_brand"], "small ring | Brand#2").select("p_partkey", F.col("_search_score").alias("score"))
+
+
+@query(f"""
+    WITH l AS (SELECT p_name AS label, min(p_partkey) AS key FROM part WHERE p_name IS NOT NULL GROUP BY 1),
+    s AS (SELECT n.label AS name, l.key, l.label, {_SQL_SIMILAR.format(a="n.label", b="l.label")} AS score FROM l n CROSS JOIN l),
+    r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, key) AS i FROM s WHERE score >= 75)
+    SELECT name, key, label, score, CAST(i AS INTEGER) AS rank FROM r WHERE i <= 10""")
+def fuzzy_join_topk(t: Callable, spark: SparkSession) -> DataFrame:
+    return search.fuzzy_matches(t("part"), "p_name", t("part"), "p_partkey", "p_name")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def hide_labelled(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.unlabelled(t("documents").select("doc_id", "lang", "n_chars"), t("labels"), "doc_id")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def labelled_only(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.labelled(t("documents").select("doc_id", "lang", "n_chars"), t("labels"), "doc_id")
+
+
+@query("""
+    SELECT p.l_orderkey, p.l_linenumber AS positive, n.l_linenumber AS negative
+    FROM lineitem p JOIN lineitem n USING (l_orderkey) WHERE p.l_returnflag = 'R' AND n.l_returnflag = 'N'""")
+def triplets(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.triplets(t("lineitem"), "l_orderkey", "l_linenumber", "l_returnflag", "R", "N")
+
+
+@query("""
+    SELECT event_id, user_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS r FROM events) WHERE r = 1""")
+def label_upsert(t: Callable, spark: SparkSession) -> DataFrame:
+    e = t("events").select("event_id", "user_id", "event_type", "value")
+    old, new = e.where(F.col("event_type") != "click"), e.where(F.col("event_type") == "click")
+    return labels.upsert(old, new, ["user_id", "event_type"], "event_id")
+
+
+@query("""
+    SELECT md5(text) AS text_md5, count(*) AS rows, count(DISTINCT concat(coalesce(lang, '<null>'), '|', coalesce(source, '<null>'))) = 1 AS consistent
+    FROM documents GROUP BY md5(text)""")
+def label_consistency(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.consistent(t("documents").withColumn("text_md5", F.md5("text")), "text_md5", ["lang", "source"])
+
+
+@query("""
+    SELECT l_orderkey, coalesce(string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) FILTER (l_returnflag = 'R'), '') AS yes,
+           coalesce(string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) FILTER (l_returnflag <> 'R'), '') AS no
+    FROM lineitem GROUP BY l_orderkey""")
+def conditional_collect(t: Callable, spark: SparkSession) -> DataFrame:
+    side = lambda c: F.array_join(F.array_sort(F.collect_list(F.when(c, F.col("l_linenumber")))), ",")
+    return t("lineitem").groupBy("l_orderkey").agg(side(F.col("l_returnflag") == "R").alias("yes"), side(F.col("l_returnflag") != "R").alias("no"))
+
+
+@query("SELECT md5(text) AS text_md5, min(doc_id) AS doc_id FROM documents GROUP BY text")
+def row_distinct_first(t: Callable, spark: SparkSession) -> DataFrame:
+    return headers.distinct_rows(t("documents"), ["text"], "doc_id").select(F.md5("text").alias("text_md5"), "doc_id")
+
+
+@query("SELECT DISTINCT replace(trim(p_type), chr(10), '') AS v FROM part UNION SELECT DISTINCT replace(trim(lang), chr(10), '') FROM documents")
+def distinct_values_sorted(t: Callable, spark: SparkSession) -> DataFrame:
+    clean = lambda c: F.replace(F.trim(c), F.lit("\n"), F.lit("")).alias("v")
+    return t("part").select(clean("p_type")).union(t("documents").select(clean("lang"))).distinct().orderBy("v")
+
+
+@query(f"""
+    SELECT DISTINCT raw, unnest(range(CAST(trim(split_part(p, '-', 1)) AS INTEGER), CAST(trim(split_part(p, '-', -1)) AS INTEGER) + 1))::INTEGER AS page
+    FROM (SELECT raw, unnest(string_split(raw, ',')) AS p FROM (VALUES {_values(RANGES)}) v(raw))""")
+def page_ranges(t: Callable, spark: SparkSession) -> DataFrame:
+    raw = spark.createDataFrame([(r,) for r in RANGES], "raw string")
+    return raw.select("raw", F.explode(T.page_numbers(T.page_ranges(F.col("raw"), F.lit(9)))).alias("page"))
+
+
+@query("SELECT CAST(floor((n_chars - (SELECT min(n_chars) FROM documents)) / 500) AS BIGINT) AS bin, count(*) AS n FROM documents WHERE n_chars IS NOT NULL GROUP BY 1")
+def x_histogram(t: Callable, spark: SparkSession) -> DataFrame:
+    return headers.histogram(t("documents"), "n_chars", 500)
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS tag_k FROM events")
+def json_expand(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("events").select("event_id", F.try_element_at(F.from_json("props", "map<string,string>"), F.lit("k")).cast("bigint").alias("tag_k"))
+
+
+@query("SELECT s_suppkey, concat('passage: ', concat_ws('; ', 's_name: ' || s_name, 's_nationkey: ' || s_nationkey)) AS passage FROM supplier")
+def serialize_rows(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("supplier").select("s_suppkey", T.serialized_row(["s_name", "s_nationkey"], "passage: ").alias("passage"))
+
+
+@query("""
+    SELECT p_partkey, CASE WHEN regexp_matches(p_brand, '.*Brand.*[12].*')
+        THEN replace(replace(replace(p_name, 'ring', 'ring (loop)'), 'loop', 'loop (hoop)'), 'large', 'large (big)') ELSE p_name END AS name FROM part""")
+def ordered_replace(t: Callable, spark: SparkSession) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).cast("string").alias("name")) for c, n in CODES])
+    name = F.when(F.col("p_brand").rlike(".*Brand.*[12].*"), T.replace_in_order(F.col("p_name"), entries)).otherwise(F.col("p_name"))
+    return t("part").select("p_partkey", name.alias("name"))
+
+
+@query(f"SELECT p_partkey, regexp_replace(p_name, '{'|'.join(TERMS)}', w, 'g') AS variant FROM part, (VALUES {_values(list(TERMS))}) v(w)")
+def synonym_variants(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("part").select("p_partkey", F.explode(T.variants(F.col("p_name"), TERMS)).alias("variant"))
+
+
+@query(f"SELECT h, coalesce({_SQL_CASE}, '_extra_' || n) AS key FROM (SELECT h, {_SQL_HEADER} AS n FROM (VALUES {_values(HEADERS)}) v(h))")
+def classify_headers(t: Callable, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(h,) for h in HEADERS], "h string").select("h", T.header_key(F.col("h")).alias("key"))
+
+
+GRID = [
+    ("00202_Netz A/t.0.csv", 0, ["Netzausbauplan", "", ""]),
+    ("00202_Netz A/t.0.csv", 1, ["lfd. Nr.", "Maßnahme", "Kosten"]),
+    ("00202_Netz A/t.0.csv", 2, ["Index", "Maßnahme", "Projektstatus"]),
+    ("00202_Netz A/t.0.csv", 3, ["1", "UW Nord", "12,5"]),
+    ("00202_Netz A/t.0.csv", 4, ["2", "NA", "13"]),
+    ("plain/t.1.csv", 0, ["a", "b"]),
+    ("plain/t.1.csv", 1, ["1", "2", "3"]),
+]
+
+
+@query()
+def header_detect(t: Callable, spark: SparkSession) -> DataFrame:
+    grid = spark.createDataFrame(GRID, "source_file string, row_no int, cells array<string>")
+    return headers.merged_headers(grid, headers.header_rows(grid))
+
+
+@query()
+def harmonise_grid(t: Callable, spark: SparkSession) -> DataFrame:
+    grid = spark.createDataFrame(GRID, "source_file string, row_no int, cells array<string>")
+    return headers.harmonise(grid).withColumn("extra", F.to_json("extra"))
+
+
+@query("SELECT o_orderkey AS k, coalesce(CASE WHEN o_custkey % 2 = 0 THEN o_custkey END, c_custkey, -1) AS v FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def coalesce_dups(t: Callable, spark: SparkSession) -> DataFrame:
+    o = t("orders").join(t("customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return headers.coalesce_same_named(o.select("o_orderkey", F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")), "c_custkey", F.lit(-1).cast("long")), ["k", "v", "v", "v"])
+
+
+@query("""
+    SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation, c_mktsegment AS segment, NULL AS balance FROM customer
+    UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL, s_acctbal FROM supplier""")
+def union_by_name(t: Callable, spark: SparkSession) -> DataFrame:
+    c = t("customer").selectExpr("c_custkey AS key", "c_name AS name", "c_nationkey AS nation", "c_mktsegment AS segment")
+    s = t("supplier").selectExpr("s_suppkey AS key", "s_name AS name", "s_nationkey AS nation", "s_acctbal AS balance")
+    return c.unionByName(s, allowMissingColumns=True)
+
+
+@query("""
+    SELECT s_suppkey, split_part(f, '_', 1) AS operator_id, regexp_replace(f, '^[^_]*_', '') AS operator_name FROM (
+        SELECT s_suppkey, CASE WHEN length(s_suppkey::VARCHAR) < 5 THEN lpad(s_suppkey::VARCHAR, 5, '0') ELSE s_suppkey::VARCHAR END || '_' || replace(s_name, '/', '_') AS f FROM supplier)""")
+def operator_parse(t: Callable, spark: SparkSession) -> DataFrame:
+    number, name = T.folder_parts(T.folder_name(F.col("s_suppkey"), F.col("s_name")))
+    return t("supplier").select("s_suppkey", number.alias("operator_id"), name.alias("operator_name"))
+
+
+@query()
+def row_identity(t: Callable, spark: SparkSession) -> DataFrame:
+    p = t("part")
+    return p.select("p_partkey", T.row_identity(p.columns).alias("row_hash"))
+
+
+@query()
+def file_row_sample(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.sample_by_file(t("documents").select("source", "doc_id", "lang"), "source", "doc_id", 7)
+
+
+@query()
+def split_train_test(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.split(t("labels"), "doc_id")
+
+
+@query("SELECT source, count(*) AS pending FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.quality IS NULL GROUP BY source")
+def pending_rows(t: Callable, spark: SparkSession) -> DataFrame:
+    open_ = t("documents").select("doc_id", "source").join(t("labels"), "doc_id", "left").where(F.col("quality").isNull())
+    return open_.groupBy("source").agg(F.count(F.lit(1)).alias("pending"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey = 7")
+def point_lookup(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("orders").where(F.col("o_orderkey") == 7).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query("""
+    SELECT doc_id, CASE toxic WHEN 1 THEN 'yes' WHEN 0 THEN 'no' ELSE 'unset' END AS toxic, coalesce(CAST(quality AS VARCHAR), '') AS quality
+    FROM documents LEFT JOIN labels USING (doc_id)""")
+def nullable_flags(t: Callable, spark: SparkSession) -> DataFrame:
+    d = t("documents").select("doc_id").join(t("labels"), "doc_id", "left")
+    return d.select("doc_id", T.flag_word(F.col("toxic") == 1).alias("toxic"), T.id_text(F.col("quality")).alias("quality"))
+
+
+@query("""
+    SELECT count(*) AS rows, count(l.doc_id) AS labelled, count(DISTINCT source) AS files FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def counts_report(t: Callable, spark: SparkSession) -> DataFrame:
+    d = t("documents").select("doc_id", "source").join(t("labels").select("doc_id", F.lit(1).alias("_l")), "doc_id", "left")
+    return d.agg(F.count(F.lit(1)).alias("rows"), F.count("_l").alias("labelled"), F.countDistinct("source").alias("files"))
+
+
+@query("SELECT conv_id, CAST(floor(turn / 10) AS BIGINT) AS chunk, count(*) AS n FROM conversations GROUP BY 1, 2")
+def chunk_rows(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.chunked(t("conversations"), "turn").groupBy("conv_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""
+    SELECT doc_id, nullif(len(c), 0) AS clues, md5(c[1]) AS first_md5 FROM (
+        SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS c FROM documents)""")
+def clue_lists(t: Callable, spark: SparkSession) -> DataFrame:
+    d = t("documents").select("doc_id", T.clue_list(F.col("text")).alias("c"))
+    return d.select("doc_id", F.when(F.col("c").isNotNull(), F.size("c").cast("long")).alias("clues"), F.md5(F.get("c", F.lit(0))).alias("first_md5"))
