@@ -1,0 +1,181 @@
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from millrace.llm import ann, exact_topk, langid, licenses, line_dedup, mixing, packing, pii, queries, sharding, simhash
+
+SMALL = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = " ".join(f"w{i % 97}" for i in range(5000))
+ROWS = [
+    (1, "the cat sat on the mat. Released under the MIT License.", "en", "a", 1), (2, None, "en", "a", 0), (3, "", None, None, 0),
+    (4, LONG, "en", "a", 1), (5, LONG, "en", "b", 1), (None, "der hund und die katze", "de", None, 1), (7, "123 456", "de", "b", 1), (7, "123 456", "de", "b", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, DOCS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def brute_fingerprint(text):
+    words = bytes((c + 32 if 65 <= c <= 90 else c) for c in (text or "").encode()).split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_against_brute_force(spark):
+    got = {r["doc_id"]: r for r in queries.op1_simhash(spark, SMALL).collect()}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    prints = {k: brute_fingerprint(t) for k, t in texts.items()}
+    root = {k: k for k in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if bin(prints[a] ^ prints[b]).count("1") <= 2 and root[b] < root[a]:
+                    root[a], changed = root[b], True
+    assert {k: (r["fingerprint"], r["component_id"]) for k, r in got.items()} == {k: (f"{prints[k]:016x}", root[k]) for k in prints}
+
+
+def test_simhash_cases(docs, none):
+    out = {r["doc_id"]: r for r in simhash.near_duplicates(docs.select("doc_id", "text")).collect()}
+    assert out[2]["component_id"] == out[3]["component_id"] == 2
+    assert out[5]["component_id"] == 4
+    assert simhash.near_duplicates(none.select("doc_id", "text")).count() == 0
+
+
+def test_langid(spark, docs, none):
+    out = queries.op2_langid(spark, SMALL)
+    true = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
+    held = out.where("held_out").join(true.where("lang is not null"), "doc_id")
+    assert held.where("lang = lang_pred").count() >= 0.95 * held.count()
+    model = langid.train(docs, where=F.lit(True))
+    got = [(r["doc_id"], r["lang_pred"]) for r in langid.predict(docs, model).collect()]
+    assert {k for k, v in got if v == "und"} == {2, 3, 7}
+    assert langid.predict(none, langid.train(none, where=F.lit(True))).count() == 0
+
+
+def test_licenses(spark, docs, none):
+    texts = {
+        "Licensed under the Apache License, Version 2.0.": ["Apache-2.0"],
+        "some words\nReleased under the MIT License.\nmore": ["MIT"],
+        "This work is licensed under the GNU General Public License, version 3.": ["GPL-3.0"],
+        "Licensed under CC BY-NC 4.0.": ["CC-BY-NC"],
+        "We talked about a license for fishing.": [],
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal. "
+        "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND.": ["MIT"],
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.": ["Incomplete"],
+    }
+    out = licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {r["row"]["text"]: r["licenses"] for r in out} == texts
+    assert [r["licenses"] for r in licenses.scan(docs).collect()].count([]) == len(ROWS) - 1
+    assert licenses.scan(none).count() == 0
+
+
+def test_packing_round_trip(docs, none):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(queries._tokenizer())
+    pieces = packing.token_pieces(docs.where("doc_id <> 7"), queries._tokenizer())
+    for k, text in {(r[0], r[1]) for r in ROWS if r[0] not in (7, None)}:
+        own = sorted(pieces.where(F.col("doc_id") == k).collect(), key=lambda r: r["piece"])
+        want = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+        assert b"".join(bytes(r["ids"]) for r in own) == want
+    bins = {}
+    for r in packing.pack(pieces).collect():
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in bins.values():
+        assert [a for a, _ in sorted(own)] == np.cumsum([0, *[n for _, n in sorted(own)][:-1]]).tolist()
+        assert sum(n for _, n in own) <= 2048
+    assert packing.pack(packing.token_pieces(none, queries._tokenizer())).count() == 0
+
+
+def test_ann_recall(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], "f8")
+    got = {}
+    for r in queries.op5_ann(spark, SMALL).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = total = 0
+    for q in ids[ids % 20 == 0]:
+        s = x @ x[ids == q][0]
+        best = [i for i in ids[np.lexsort((ids, -s))] if i != q][:20]
+        hit, total = hit + len(got[q] & set(best)), total + len(best)
+    assert hit >= 0.9 * total
+
+
+def test_vector_cases(spark):
+    v = spark.createDataFrame([(0, [1.0, 0.0]), (20, [0.0, 0.0]), (40, None), (1, [float("nan"), 1.0]), (2, [0.5, 0.5])], "vec_id long, embedding array<float>")
+    assert {(r["query_id"], r["vec_id"]) for r in ann.nearest(v, every=20, k=20).collect()} == {(0, 2)}
+    got = {(r["query_id"], r["vec_id"], r["score"]) for r in exact_topk.exact_top_k(v, every=20, k=5).collect()}
+    assert got == {(0, 2, 256 * 128), (0, 20, 0), (20, 0, 0), (20, 2, 0)}
+
+
+def test_exact_topk_against_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")
+    got = queries.op6_exact_topk(spark, SMALL).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(queries.ORACLES["op6_exact_topk"]).fetchall())
+
+
+def test_sharding(spark, docs, none):
+    out = queries.op7_sharding(spark, SMALL).collect()
+    counts = np.bincount([r["shard"] for r in out], minlength=16)
+    assert counts.max() - counts.min() <= 1
+    for s in range(16):
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(counts[s]))
+    assert sharding.shard_rows(docs).count() == len(ROWS)
+    assert sharding.shard_rows(none).count() == 0
+
+
+def test_mixing(spark, docs, none):
+    out = queries.op8_mixing(spark, SMALL).collect()
+    assert all(r["taken"] <= 2 * r["size"] for r in out)
+    assert abs(sum(r["taken"] for r in out) - 1.5 * sum(r["size"] for r in out)) <= 0.02 * sum(r["size"] for r in out)
+    mixed = mixing.mix(docs)
+    assert mixed.count() == len(ROWS)
+    words = mixing.mixed_texts(mixed).select(F.sum(F.regexp_count("text", F.lit(mixing.WORD)))).first()[0]
+    assert words == mixed.select(F.sum("taken")).first()[0]
+    assert mixing.mix(none).count() == 0
+
+
+def test_line_dedup(spark, docs, none):
+    passage = "\n".join(f"a line of the shared passage number {i}" for i in range(12))
+    d = spark.createDataFrame([(1, f"one\n{passage}\nend one"), (2, f"two\nother\n{passage}\nend two"), (3, None), (4, ""), (5, "alone")], "doc_id long, text string")
+    path = line_dedup.cut(d)
+    out = {r["row"]["doc_id"]: r for r in line_dedup.dedup_lines(path).collect()}
+    assert out[1]["text"] == f"one\n{passage}\nend one" and out[1]["removed"] == []
+    assert out[2]["left"] <= 8 and out[2]["text"].startswith("two\nother") and out[2]["text"].endswith("end two")
+    assert out[3]["text"] is None and out[4]["text"] == "" and out[5]["text"] == "alone"
+    assert line_dedup.dedup_lines(docs).count() == len(ROWS)
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+def test_pii(spark, none):
+    d = spark.createDataFrame([(1, "Mail anna.smith@example.com twice: anna.smith@example.com"), (2, None), (3, "")], "doc_id long, text string")
+    out = {r["row"]["doc_id"]: r for r in pii.pseudonymise(d, key="k").collect()}
+    assert "anna.smith@example.com" not in out[1]["text"]
+    found = [w for w in out[1]["text"].split() if "@" in w]
+    assert len(found) == 2 and len(set(found)) == 1
+    assert out[2]["text"] is None and out[3]["text"] == ""
+    assert pii.pseudonymise(none.select("doc_id", "text"), key="k").count() == 0
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == list(corpus_pipeline.COLUMNS), k
+    assert docs.count() > 0
