@@ -12,8 +12,9 @@ Candidates meet in tables keyed by a choice of coordinates:
   (1 - (1 - d / bits) ^ coordinates) ^ tables at distance d.
 In a table, rows of one key are compared two by two: pairs whose pivot distances differ by more than `radius` in any
 coordinate are discarded (triangle inequality), the survivors are verified by their exact distance. Keys with over
-`most` rows are split: their rows are dealt into chunks of about `most`, and each pair of chunks is a task of its
-own. A group of many links gives a spanning forest instead of all its pairs. Components come from large-star /
+`most` rows are split: at a radius of 2 or less their rows meet at the fingerprints one bit away, in work linear in
+the rows (_ball_links); at wider radii the rows are dealt into chunks of about `most`, and each pair of chunks is a
+task of its own. A group of many links gives a spanning forest instead of all its pairs. Components come from large-star /
 small-star rounds, each written to the checkpoint folder.
 
 Defined cases: null or empty text has fingerprint 0 and is linked like any other; equal texts share a fingerprint
@@ -247,6 +248,8 @@ def links(nodes: DataFrame, pivots: Pivots, lanes: int, most: int = 256) -> Data
     out = cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(pivots, lanes, most), result))
     hot = out.where(F.col("b").isNull()).select("key", F.col("a").alias("_node"), *prints)
     pairs = out.where(F.col("b").isNotNull()).select("a", "b")
+    if pivots.radius <= 2:
+        return pairs.union(_ball_links(hot.groupBy("_node").agg(*[F.first(f).alias(f) for f in prints]), prints))
     if not hot.isEmpty():
         chunks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_chunks"))
         dealt = hot.join(chunks, "key").withColumn("_i", F.pmod(F.xxhash64("_node"), F.col("_chunks")).cast("int")).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
@@ -255,6 +258,18 @@ def links(nodes: DataFrame, pivots: Pivots, lanes: int, most: int = 256) -> Data
     return pairs
 
 
+def _ball_links(nodes: DataFrame, prints: list[str]) -> DataFrame:
+    """Links that connect all nodes within radius 2, in work linear in the nodes however alike these are.
+
+    Each node is put at its own fingerprint and at those one bit away. Nodes within two bits meet at some point, and
+    nodes that meet are within two bits: a point has at most bits + 1 distinct fingerprints, and a star links them.
+    """
+    flips = lambda f: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.struct(*[(F.col(g).bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)) if g == f else F.col(g)).alias(g) for g in prints]))
+    points = F.concat(F.array(F.struct(*prints)), *[flips(f) for f in prints])
+    met = nodes.select("_node", F.explode(points).alias("_point")).groupBy("_point").agg(F.collect_list("_node").alias("_met")).where(F.size("_met") > 1)
+    return met.select(F.explode("_met").alias("a"), F.array_min("_met").alias("b")).where("a <> b").distinct()
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """Columns _node, _root (the smallest node reachable) for all nodes that have a link."""
     edges = cut(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())

@@ -54,6 +54,21 @@ def test_simhash_cases(docs, none):
     assert simhash.near_duplicates(none.select("doc_id", "text")).count() == 0
 
 
+def test_simhash_hot_keys(spark):
+    rng = np.random.default_rng(3)
+    bits = [0, *(1 << int(i) for i in rng.integers(0, 64, 40)), *((1 << int(i)) | (1 << int(j)) | (1 << int(k)) for i, j, k in rng.integers(0, 64, (40, 3)))]
+    prints = sorted({int(b) for b in bits})
+    signed = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
+    nodes = spark.createDataFrame(signed, "_node long, f0 long")
+    root = list(range(len(prints)))
+    for _ in prints:
+        for i, a in enumerate(prints):
+            root[i] = min(root[j] for j, b in enumerate(prints) if (a ^ b).bit_count() <= 2)
+    want = {(i, r) for i, r in enumerate(root) if i != r}
+    got = simhash.components(simhash.links(nodes, simhash.Pivots.covering(1, 2, 4), 1, most=3))
+    assert {tuple(r) for r in got.where("_node <> _root").collect()} == want
+
+
 def test_langid(spark, docs, none):
     out = queries.op2_langid(spark, SMALL)
     true = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
