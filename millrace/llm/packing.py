@@ -17,6 +17,7 @@ gives an empty result; a length that isn't in 1..capacity raises ValueError.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
@@ -43,42 +44,60 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Words(dict):
+    """Word -> ids, found at the first lookup."""
+
+    def __init__(self, find: Callable[[bytes], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.find(word)
+        return ids
+
+
 class WordTokenizer:
     """ids(text) as the tokenizer file gives them, found word by word.
 
     The file drops white space and never joins across it, so a text's ids are its words' ids in a row. Words are
-    remembered (at most `most` of them, then all are forgotten), which is many times faster than whole texts.
+    remembered (beyond `most` of them all are forgotten before the next text), which is many times faster than whole
+    texts. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer).
     """
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.most, self.words, self.parts = most, {}, {}
+        self.model, self.letter = self.whole.model, _byte_letters().__getitem__
+        self.most, self.words, self.parts = most, _Words(self._word), {}
 
     def _part(self, part: str) -> bytes:
         if (ids := self.parts.get(part)) is None:
             if len(self.parts) >= self.most:
                 self.parts.clear()
-            spelt = part if part.isascii() else "".join(map(_byte_letters().__getitem__, part.encode()))
-            ids = self.parts[part] = np.array([t.id for t in self.whole.model.tokenize(spelt)], "<u4").tobytes()
+            spelt = part if part.isascii() else "".join(map(self.letter, part.encode()))
+            ids = self.parts[part] = struct.pack(f"<{len(found := [t.id for t in self.model.tokenize(spelt)])}I", *found)
         return ids
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         if len(text) <= 200 and _PLAIN.fullmatch(text) and "<|" not in text:
-            return b"".join([self._part(p) for p in _PARTS.findall(text.lower())])
+            low = text.lower()
+            return self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (UTF-8)."""
-        split = [t.split() for t in texts]
-        known = self.words
-        if len(known) > self.most:
-            known.clear()
-        for w in set().union(*split) - known.keys():
-            known[w] = self._word(w)
-        return [b"".join([known[w] for w in words]) for words in split]
+        out, ids = [], self.words.__getitem__
+        for t in texts:
+            if len(self.words) > self.most:
+                self.words.clear()
+            out.append(b"".join(map(ids, t.split())))
+        return out
+
+
+@cache
+def _worker_tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
 
 
 def _chunks(texts: list[bytes | None], size: int = 4_000_000) -> Iterator[tuple[int, int]]:
@@ -100,7 +119,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
     names, end, step = list(key), np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = _worker_tokenizer(tokenizer_path)
         for batch in batches:
             texts = batch.column(len(names)).to_pylist()
             for a, b in _chunks(texts):
