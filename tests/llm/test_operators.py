@@ -4,7 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import ann, exact_topk, langid, licenses, line_dedup, mixing, packing, pii, queries, sharding, simhash
+from millrace.llm import ann, exact_topk, langid, licenses, line_dedup, mixing, packing, pii, queries, sharding, similar, simhash
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -194,3 +194,38 @@ def test_pipeline(spark):
         docs = stage(spark, docs, SMALL)
         assert docs.columns == list(corpus_pipeline.COLUMNS), k
     assert docs.count() > 0
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for k, i in enumerate(rng.choice(len(out), edits, replace=False)):
+        out[i] = f"x{rng.integers(1 << 40)}y{k}"
+    return " ".join(out)
+
+
+def test_near_copies_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    common = " ".join(f"shared{i}" for i in range(40))
+    texts = ["", "  ", None, "one two", "ONE  two", "one two three", *[f"{common} {edited(rng, ['z'] * 60, 60)}" for _ in range(20)]]
+    for _ in range(40):  # pairs about similarity 0.8, many of them over 44 bits apart
+        words = [f"w{rng.integers(1 << 30)}" for _ in range(200)]
+        texts += [" ".join(words), *[edited(rng, words, int(e)) for e in rng.integers(2, 6, 2)]]
+    words = [f"v{i}" for i in range(150)]
+    texts += [edited(rng, words, int(e)) for e in rng.integers(1, 6, 60)]
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+    near = [[j for j, b in enumerate(sets) if a == b or 5 * len(a & b) >= 4 * len(a | b)] for a in sets]
+    for _ in texts:
+        root = [min(root[j] for j in own) for own in near]
+    docs = spark.createDataFrame(list(enumerate(texts)), "_rid long, text string")
+    out = {r["_rid"]: r["_group"] for r in similar.near_copies(docs).collect()}
+    least = {}
+    for i in range(len(texts)):
+        least.setdefault(out[i], i)
+    assert [least[out[i]] for i in range(len(texts))] == root
+    rows = docs.select(F.col("_rid").alias("doc_id"), "text", F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    assert {r["doc_id"] for r in corpus_pipeline.near_copies(spark, rows, "").collect()} == set(root)
+    assert similar.near_copies(docs.where("_rid < 0")).count() == 0
