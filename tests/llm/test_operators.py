@@ -229,3 +229,22 @@ def test_near_copies_against_brute_force(spark):
     rows = docs.select(F.col("_rid").alias("doc_id"), "text", F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(1).cast("long").alias("n_chars"))
     assert {r["doc_id"] for r in corpus_pipeline.near_copies(spark, rows, "").collect()} == set(root)
     assert similar.near_copies(docs.where("_rid < 0")).count() == 0
+
+
+def test_license_sentences_alone(spark):
+    texts = {
+        "APACHE2": "Licensed under the Apache License, Version 2.0", "APACHE_MAY_NOT": "You may not use this file except in compliance with the License", "APACHE_OBTAIN": "You may obtain a copy of the License at",
+        "APACHE_ASIS": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS basis", "MIT_REF": "Released under the MIT License",
+        "MIT_GRANT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "MIT_NOTICE": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "MIT_ASIS": "The software is provided as is, without warranty of any kind",
+        "MIT_LIABLE": "In no event shall the authors or copyright holders be liable", "GPL3_REF": "Licensed under the GNU General Public License, version 3", "GPL2_REF": "Licensed under the GNU General Public License, version 2",
+        "GPL_FREE": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License", "GPL_HOPE": "This program is distributed in the hope that it will be useful, but without any warranty",
+        "BSD_REDIST": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "BSD_SOURCE": "Redistributions of source code must retain the above copyright notice",
+        "BSD_BINARY": "Redistributions in binary form must reproduce the above copyright notice", "BSD_NAME": "Neither the name of X nor of others may be used to endorse or promote products", "BSD_ASIS": "This software is provided by the copyright holders and contributors as is",
+        "CC_BY_NC": "Released under CC BY-NC 4.0", "CC_BY_SA": "Released under Creative Commons Attribution-ShareAlike 4.0", "CC_BY": "This work is released under CC\nBY 4.0", "PUBLIC_DOMAIN": "Released into the Public Domain", "RIGHTS": "All rights reserved", "COPYRIGHT": "Copyright (c) 2020 A",
+    }
+    assert set(texts) == set(licenses.SENTENCES)
+    cases = [(k, case(t) + end) for k, t in texts.items() for case in (str, str.lower, str.upper, str.title) for end in (".", "")]
+    cases += [(k, t.replace(" ", "\n  ")) for k, t in texts.items()]
+    out = licenses.scan(spark.createDataFrame(cases, "name string, text string")).collect()
+    assert [(r["row"]["text"], r["sentences"]) for r in out if r["sentences"] != [r["row"]["name"]]] == []
