@@ -117,11 +117,11 @@ def _luhn(digits: Column) -> Column:
 
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a canonical form; keeps its length and shape."""
-    return _let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256), lambda digest: _drawn(kind, canon, digest))
+    """The surrogate of a canonical form; keeps its length and shape. Names have three syllables and one more for each attempt."""
+    return _let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256), lambda digest: _drawn(kind, canon, attempt, digest))
 
 
-def _drawn(kind: Column, canon: Column, digest: Column) -> Column:
+def _drawn(kind: Column, canon: Column, attempt: Column, digest: Column) -> Column:
     digits = F.array_join(F.transform(F.split(canon, ""), lambda c, i: _pick("0123456789", digest, i)), "")
     valid = (_luhn(F.left(canon, F.length(canon) - 1)) + F.right(canon, F.lit(1)).cast("int")) % 10 == 0
     card = _let(F.concat(F.left(canon, F.lit(1)), F.substring(digits, F.lit(2), F.length(canon) - 1)), lambda new: _let(F.left(new, F.length(new) - 1), lambda body: F.concat(body, F.when(valid, ((10 - _luhn(body) % 10) % 10).cast("string")).otherwise(F.right(new, F.lit(1))))))
@@ -135,7 +135,7 @@ def _drawn(kind: Column, canon: Column, digest: Column) -> Column:
     gender, script = F.substring(kind, F.lit(6), F.lit(1)), _script(canon)
     name = None
     for own, syllables in SYLLABLES.items():
-        stem = F.initcap(F.concat(*[F.element_at(F.array(*map(F.lit, syllables)), _draw(digest, F.lit(i), len(syllables)) + 1) for i in range(3)]))
+        stem = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2), lambda i: F.element_at(F.array(*map(F.lit, syllables)), _draw(digest, i, len(syllables)) + 1)), ""))  # noqa: B023
         ends = F.when(gender == "m", F.lit(ENDINGS[own]["m"])).when(gender == "f", F.lit(ENDINGS[own]["f"])).otherwise(F.lit(ENDINGS[own][""]))
         name = F.when(script == own, F.concat(stem, ends)) if name is None else name.when(script == own, F.concat(stem, ends))
     return F.when(kind.startswith("name"), name).when(kind == "card", card).when(kind.isin("phone", "ssn"), digits).when(kind == "ip", ip).when(kind == "email", email).when(kind == "account", account).otherwise(secret)

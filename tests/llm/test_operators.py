@@ -248,3 +248,12 @@ def test_license_sentences_alone(spark):
     cases += [(k, t.replace(" ", "\n  ")) for k, t in texts.items()]
     out = licenses.scan(spark.createDataFrame(cases, "name string, text string")).collect()
     assert [(r["row"]["text"], r["sentences"]) for r in out if r["sentences"] != [r["row"]["name"]]] == []
+
+
+def test_pii_many_surnames(spark):
+    names = spark.range(6000).select(F.lit("name ").alias("kind"), F.concat(F.lit("Surname"), F.col("id").cast("string")).alias("canon"))
+    again = pii.redrawn_entities(names, "k")
+    drawn = names.join(again, ["kind", "canon"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+    new = drawn.select(pii.surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), "k").alias("new"))
+    assert new.distinct().count() == 6000
+    assert new.where("new rlike '^[A-Z][a-z]+en$'").count() == 6000
