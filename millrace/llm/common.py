@@ -1,9 +1,10 @@
-"""Helpers that several operators share: lineage cuts and two-level ranking inside skewed groups."""
+"""Helpers that several operators share: lineage cuts, stable row numbers and two-level ranking inside skewed groups."""
 
 from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,10 +13,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; a folder of our own only where none is set."""
+    """Use the cluster's spark.checkpoint.dir; where none is set, a local master gets a folder and a cluster an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or "/tmp/checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -24,6 +28,37 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Lower the session's bytes per Arrow batch, so that a Python worker holds a few MB of texts at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, "67108864b").rstrip("b")) > most:
+        spark.conf.set(name, f"{most}b")
+
+
+def _of_one_table(df: DataFrame) -> bool:
+    """Whether the rows of `df` are rows of one relation, each once at most (projections and filters only)."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.nodeName().startswith("LogicalRelation") or plan.nodeName().startswith("Relation")
+
+
+def numbered(rows: DataFrame, *columns: str | Column, name: str = "_rid") -> DataFrame:
+    """The `columns`, and `name`: a struct that tells all rows apart and stays theirs however the table is read again.
+
+    Rows of a Parquet table are known by their file and place in it, whatever the splits. All other rows are written
+    to the checkpoint folder once, where their numbers are fixed.
+    """
+    if "_metadata" not in rows.columns and _of_one_table(rows):
+        try:
+            place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+            return rows.select(*columns, place.alias(name))
+        except AnalysisException:  # a format without row numbers
+            pass
+    kept = cut(rows.select(*columns))
+    return kept.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("at")))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -34,7 +69,8 @@ def group_key(column: Column) -> Column:
     return F.when(text.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), text))
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 4_000, most: int = 65_536) -> int:
+def bucket_count(rows: int, rows_per_bucket: int = 1_000, most: int = 1 << 20) -> int:
+    """Parts of about `rows_per_bucket` rows; beyond `most` parts (a billion rows) the parts grow with the rows."""
     return max(1, min(most, math.ceil(rows / rows_per_bucket)))
 
 

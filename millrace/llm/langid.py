@@ -3,14 +3,16 @@
 Texts are folded (letters to lower case, every run of other characters to one blank, a blank at both ends) and all
 their 1-, 2- and 3-grams are hashed into 2^bits cells. Training counts the cells of a bounded sample of labelled
 documents (max_train rows, by a hash of the id; every labelled row where there are fewer), in the cluster. The matrix
-of log probabilities, cells x languages, is broadcast: at most `matrix_mb`, as `bits` is lowered for many languages.
-A batch of documents is scored as a sparse matrix (document offsets, cell indices) times that matrix.
+of log probabilities, cells x languages, is broadcast: at most `matrix_mb`, as `bits` is lowered for many languages and
+more than `max_langs` labels raise ValueError. A batch of documents is scored as a sparse matrix (compressed rows:
+document offsets, cell indices) times that matrix.
 
 score is the share of the predicted language among all languages' probabilities, per character: the mean log
 likelihoods of a text are compared as if it had `evidence` n-grams, so that long texts do not all score 1.
 
 Defined cases: a null text or one without a letter is `und` with score 0, and so is every text where nothing could be
-learned; ties go to the first language by code point; null labels are not learned from; other columns don't matter.
+learned; ties go to the first language by code point; null labels are not learned from; equal rows have equal results;
+an empty table gives an empty result; other columns, whatever their names, are carried along under `row`.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .common import small_batches
 
 GRAMS = (1, 2, 3)
 BLANK = 32
@@ -80,9 +83,7 @@ class Model:
         for n in GRAMS:
             index = cells(codes, n, self.bits)
             first, last = ends - sizes, np.maximum(ends - n + 1, ends - sizes)  # n-grams across documents stay out
-            for a, b, row in zip(first.tolist(), last.tolist(), sums, strict=True):
-                if b > a:
-                    row += self.weights[index[a:b]].sum(axis=0, dtype="f8")
+            self._times(index, first, last, sums)
             grams += last - first
         best = (sums + self.prior).argmax(axis=1)
         scaled = sums * (np.minimum(grams, evidence) / grams)[:, None] + self.prior
@@ -92,6 +93,17 @@ class Model:
             pred[i], score[i] = self.langs[k], float(s[k])
         return pred, score
 
+    def _times(self, index: np.ndarray, first: np.ndarray, last: np.ndarray, out: np.ndarray, most: int = 1 << 22) -> None:
+        """Adds the product of the sparse rows index[first:last] and the weights to `out`, `most` weights at a time."""
+        step = max(1024, most // max(1, len(self.langs)))
+        for a in range(0, len(index), step):
+            b = min(a + step, len(index))
+            own = np.flatnonzero((first < b) & (last > a) & (last > first))
+            if len(own):
+                edges = np.stack((np.maximum(first[own], a), np.minimum(last[own], b)), axis=1).reshape(-1) - a
+                part = np.concatenate((self.weights[index[a:b]], np.zeros((1, len(self.langs)), "f4")))
+                out[own] += np.add.reduceat(part, edges, axis=0, dtype="f8")[::2]
+
 
 def _slices(texts: list[bytes | None], size: int = 2_000_000) -> Iterator[tuple[int, int]]:
     start = total = 0
@@ -104,10 +116,13 @@ def _slices(texts: list[bytes | None], size: int = 2_000_000) -> Iterator[tuple[
         yield start, len(texts)
 
 
-def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text", label: str = "lang", max_train: int = 20_000, bits: int = 16, matrix_mb: int = 64, seed: int = 2) -> Model:
+def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text", label: str = "lang", max_train: int = 20_000, bits: int = 16, matrix_mb: int = 64, max_langs: int = 1024, seed: int = 2) -> Model:
     """Learn from at most about `max_train` labelled rows among those that satisfy `where`."""
     labelled = docs.where(where & F.col(label).isNotNull()).select(key, F.col(label).alias("_label"), F.col(text).alias("_text"))
-    per = {r["_label"]: r["n"] for r in labelled.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small_batches(docs.sparkSession)
+    per = {r["_label"]: r["n"] for r in labelled.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).limit(max_langs + 1).collect()}
+    if len(per) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
     langs, total = sorted(per), sum(per.values())
     while bits > 8 and len(langs) * 4 << bits > matrix_mb << 20:
         bits -= 1
@@ -136,23 +151,23 @@ def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text
     return Model(langs, bits, weights, np.log(np.array([per[k] for k in langs]) / max(1, total)) if langs else np.zeros(0))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """All columns of `docs` and two more: the predicted language and its score."""
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Columns: row (struct of the input's columns), lang_pred string, score double. Only texts go to Python."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    at = docs.columns.index(text)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            texts, pred, score = batch.column(at).cast(pa.binary()).to_pylist(), [], []
-            for a, b in _slices(texts):
-                p, s = own.predict(texts[a:b])
-                pred += p
-                score += s
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+    def run(texts: pa.Array) -> pa.Array:
+        own, rows, pred, score = shared.value, texts.to_pylist(), [], []
+        for a, b in _slices(rows):
+            p, s = own.predict(rows[a:b])
+            pred += p
+            score += s
+        return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}  # read by arrow_udf, which can't resolve their text form
+    found = F.arrow_udf(run, "lang_pred string, score double")
+    out = docs.select(F.struct("*").alias("row"), found(F.col(text).cast("binary")).alias("_p"))
+    return out.select("row", "_p.lang_pred", "_p.score")
 
 
 def held_out(key: Column) -> Column:

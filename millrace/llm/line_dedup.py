@@ -1,76 +1,134 @@
 """Line dedup by content-defined line chunks, in DataFrame functions only.
 
-1. Every line is hashed; a line whose hash occurs once in the corpus can't be part of a repeated chunk, so chunks
-   are sought only in runs of lines that occur more than once.
-2. A rolling hash over two line hashes at a time cuts a run after each line where it is larger than at the lines
-   beside it. The rule looks at nothing but these lines, so cuts stay where they are when lines are put in before
-   them; two cuts are never on neighbouring lines, nor does a cut leave a single line at a run's end.
-3. Chunks of two lines or more (or of one line of at least `min_words` words) whose hash repeats are candidates. Their
-   texts are read and grouped byte by byte; of each group the first one (smallest id, then row, then line) stays,
-   the others are removed with their line ends.
+1. Every line is hashed. A rolling hash over two line hashes names each pair of neighbouring lines; a pair that occurs
+   once in the corpus can't be inside a repeated chunk, so chunks are sought only in runs of repeated pairs.
+2. A run is cut at pairs whose rolling hash is larger than those beside it. The rule looks at nothing but these lines,
+   so cuts stay where they are when lines are put in before them; every chunk keeps two lines or more.
+3. Of the chunks that repeat (equal hashes of their pairs) the first one (smallest id, then row, then line) stays; the
+   others are removed with their line ends, after their texts have been compared byte by byte.
+4. Rounds follow over what is left. In the first of these, runs are also cut at pairs rarer than a pair beside them: a
+   passage whose neighbours differ from document to document is a chunk of its own then. In the others the pairs of
+   the largest rolling hash around are chunks of two lines, until no pair of lines is left that repeats.
+   At the end lines of at least `min_words` words that stand in several places are treated as chunks of one line.
 
-Hot lines and chunks: counts are summed before the shuffle, and joins on a line's hash are plain joins that adaptive
-execution can split. Nothing is collected but one document's own lines and chunks.
+Hot lines and chunks: counts and first places are summed before the shuffle and written once; the joins with them are
+plain joins that adaptive execution can split. Nothing is collected but one document's own chunks.
 
-`docs` must give the same rows in the same order whenever it is read (a table of files or a checkpoint), as rows are
-numbered by monotonically_increasing_id; ids may then be null or repeat.
+Rows are known by file and place, or numbered once in the checkpoint folder (common.numbered): lost executors or a
+change of cores don't change the result, and ids may be null or repeat.
 
 Defined cases: null text stays null and takes no part; an empty text is one empty line; empty lines are lines; equal
-rows count as two occurrences, so the first stays whole; a text of which every line is removed becomes empty (its
-`left` is 0); an empty table gives an empty result; other columns are carried along under `row`.
+rows count as several occurrences, so the first stays whole; a text of which every line is removed becomes empty (its
+`left` is 0); null ids come after all others; an empty table gives an empty result; other columns, whatever their
+names, are carried along under `row`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, numbered
 
+SPAN = "array<struct<start:int,n:int>>"
 
-def chunks(lines: DataFrame) -> DataFrame:
-    """Lines (_rid, _k, _pos, h, w) -> their chunks (_rid, _k, start, n, words, chunk)."""
-    by_row = Window.partitionBy("_rid").orderBy("_pos")
-    lines = lines.withColumn("_run", F.col("_pos") - F.row_number().over(by_row))
-    run = Window.partitionBy("_rid", "_run").orderBy("_pos")
-    lines = lines.select("*", F.xxhash64(F.lag("h").over(run), "h").alias("_roll"), F.row_number().over(run).alias("_i"), F.count(F.lit(1)).over(Window.partitionBy("_rid", "_run")).alias("_of"))
-    ends = (F.col("_i") >= 2) & (F.col("_of") - F.col("_i") >= 2) & (F.col("_roll") > F.lag("_roll").over(run)) & (F.col("_roll") >= F.lead("_roll").over(run))
-    lines = lines.withColumn("_end", F.coalesce(ends, F.lit(False)).cast("int"))
-    lines = lines.withColumn("_chunk", F.coalesce(F.sum("_end").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return lines.groupBy("_rid", "_run", "_chunk").agg(
+
+def _repeated(rows: DataFrame, by: str, *more: Column) -> DataFrame:
+    """`by` values of several rows, with their number _n."""
+    return cut(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), *more).where("_n > 1"))
+
+
+def chunks(pairs: DataFrame, mode: str) -> DataFrame:
+    """Pairs of lines (_rid, _k, pos, item, _n) -> their chunks (_rid, _k, start, n, chunk).
+
+    `tight`: pairs that occur less often than a neighbour bound chunks too; `pairs`: the bounds themselves are the chunks.
+    """
+    by_row = Window.partitionBy("_rid").orderBy("pos")
+    runs = pairs.withColumn("_run", F.col("pos") - F.row_number().over(by_row))
+    run = Window.partitionBy("_rid", "_run").orderBy("pos")
+    before, after = F.lag("item").over(run), F.lead("item").over(run)
+    if mode == "pairs":
+        largest = F.coalesce(F.col("item") > before, F.lit(True)) & F.coalesce(F.col("item") >= after, F.lit(True))
+        return runs.withColumn("_largest", largest).where("_largest").select("_rid", "_k", F.col("pos").alias("start"), F.lit(2).alias("n"), F.col("item").alias("chunk"))
+    bound = F.coalesce((F.col("item") > before) & (F.col("item") >= after), F.lit(False))
+    if mode == "tight":
+        bound |= F.coalesce(F.col("_n") < F.greatest(F.lag("_n").over(run), F.lead("_n").over(run)), F.lit(False))
+    inside = runs.withColumn("_bound", bound).where(~F.col("_bound"))
+    inside = inside.withColumn("_chunk", F.col("pos") - F.row_number().over(by_row))
+    return inside.groupBy("_rid", "_chunk").agg(
         F.first("_k").alias("_k"),
-        F.min("_pos").alias("start"),
-        F.count(F.lit(1)).cast("int").alias("n"),
-        F.sum("w").alias("words"),
-        F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "h"))), lambda x: x["h"])).alias("chunk"),
-    )
+        F.min("pos").alias("start"),
+        (F.count(F.lit(1)) + 1).cast("int").alias("n"),
+        F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"])).alias("chunk"),
+    ).drop("_chunk")
+
+
+def _places(found: DataFrame) -> DataFrame:
+    """The repeated ones of `found`, and `first`: whether this is the one that stays."""
+    found = cut(found)
+    place = F.struct(F.col("_k").isNull().alias("a"), F.col("_k").alias("b"), F.col("_rid").alias("c"), F.col("start").alias("d"))
+    firsts = _repeated(found, "chunk", F.min(place).alias("_first"))
+    return cut(found.join(firsts.select("chunk", "_first"), "chunk").select("_rid", "_k", "start", "n", "chunk", (place == F.col("_first")).alias("first")))
+
+
+def _without(rows: DataFrame, gone: DataFrame, reach: int) -> DataFrame:
+    """The rows (_rid, pos) that lie in no removed span; a row is `reach` lines longer than one."""
+    lost = gone.where("not first").select("_rid", F.explode(F.sequence(F.col("start") - reach, F.col("start") + F.col("n") - 1)).alias("pos"))
+    return rows.join(lost.distinct(), ["_rid", "pos"], "left_anti")
+
+
+def _verified(places: DataFrame, rows: DataFrame) -> DataFrame:
+    """The spans to remove (_rid, start, n), after a comparison of all bytes of the chunks that have equal hashes."""
+    asked = places.groupBy("_rid").agg(F.collect_list(F.struct("start", "n", "chunk", "first", "round")).alias("_asked"))
+    held = rows.select("_rid", "_k", F.split("_t", "\n", -1).alias("_s")).join(asked, "_rid")
+    body = lambda c: F.array_join(F.slice("_s", c["start"] + 1, c["n"]), "\n")
+    bodies = held.select("_rid", "_k", F.explode(F.transform("_asked", lambda c: F.struct(c["round"].alias("round"), c["chunk"].alias("chunk"), c["start"].alias("start"), c["n"].alias("n"), body(c).alias("body")))).alias("_c")).select("_rid", "_k", "_c.*")
+    same = bodies.groupBy("round", "chunk").agg((F.min("body") != F.max("body")).alias("_unlike"))
+    unlike = cut(same.where("_unlike").select("round", "chunk"))
+    gone = places.where("not first").select("_rid", "start", "n", "round", "chunk")
+    if unlike.isEmpty():
+        return gone.select("_rid", "start", "n")
+    place = F.struct(F.col("_k").isNull().alias("a"), F.col("_k").alias("b"), F.col("_rid").alias("c"), F.col("start").alias("d"))
+    mixed = cut(bodies.join(unlike, ["round", "chunk"]))
+    firsts = mixed.groupBy("round", "chunk", "body").agg(F.min(place).alias("_first"))
+    later = mixed.join(firsts, ["round", "chunk", "body"]).where(place != F.col("_first"))
+    return gone.join(unlike, ["round", "chunk"], "left_anti").select("_rid", "start", "n").union(later.select("_rid", "start", "n"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
     """Columns: row (struct), lines int, removed array<struct<start int, n int>> (never null), left int, text (new)."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_t"), F.col(key).alias("_k")).withColumn("_rid", F.monotonically_increasing_id())
-    split = F.split("_t", "\n", -1)
-    counted = rows.select(F.explode(F.transform(split, lambda x: F.xxhash64(x))).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
-    measured = F.transform(split, lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w")))
-    lines = rows.select("_rid", "_k", F.posexplode(measured).alias("_pos", "_line")).select("_rid", "_k", "_pos", "_line.h", "_line.w")
-    found = cut(chunks(lines.join(counted, "h", "left_semi")).where((F.col("n") > 1) | (F.col("words") >= min_words)))
-    repeated = found.groupBy("chunk").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("chunk")
-    asked = found.join(repeated, "chunk", "left_semi").groupBy("_rid").agg(F.collect_list(F.struct("start", "n")).alias("_asked"))
-    body = lambda c: F.array_join(F.slice(split, c["start"] + 1, c["n"]), "\n")
-    texts = rows.select("_rid", "_k", "_t").join(asked, "_rid").select("_rid", "_k", F.explode(F.transform("_asked", lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), body(c).alias("body")))).alias("_c"))
-    texts = cut(texts.select("_rid", "_k", "_c.*"))
-    place = F.struct(F.col("_k").isNull().alias("a"), F.col("_k").alias("b"), F.col("_rid").alias("c"), F.col("start").alias("d"))
-    first = texts.groupBy("body").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")).where("_n > 1").select("body", F.col("_first.c").alias("_rid0"), F.col("_first.d").alias("_start0"))
-    later = texts.join(first, "body").where((F.col("_rid") != F.col("_rid0")) | (F.col("start") != F.col("_start0")))
-    gone = later.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("_gone"))
-    out = rows.join(gone, "_rid", "left")
-    kept = F.filter(split, lambda x, i: ~F.exists("_gone", lambda s: (i >= s["start"]) & (i < s["start"] + s["n"])))
-    total = F.coalesce(F.size(split), F.lit(0))
+    rows = numbered(docs, F.struct("*").alias("row"), F.col(text).alias("_t"), F.col(key).alias("_k"))
+    measured = F.transform(F.split("_t", "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("h"), (F.regexp_count(x, F.lit(WORD)) >= min_words).alias("long")))
+    lines = rows.select("_rid", "_k", measured.alias("_l"))
+    pairs = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x["h"], F.get("_l", i + 1)["h"]).alias("item"), (i + 1 < F.size("_l")).alias("pair")))
+    alone = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), F.xxhash64(F.lit("line"), x["h"]).alias("item"), (~x["long"]).alias("pair")))
+    items = lines.select("_rid", "_k", F.explode(F.concat(F.filter(pairs, lambda x: x["pair"]), F.filter(alone, lambda x: ~x["pair"]))).alias("_i")).select("_rid", "_k", "_i.*")
+    met = cut(items.join(_repeated(items, "item"), "item"))
+    live, long = met.where("pair").drop("pair"), met.where("not pair").select("_rid", "_k", "pos", F.col("item").alias("chunk"))
+    places, turn, modes = [], 0, ["loose", "tight", "pairs"]
+    while modes:
+        found = _places(chunks(live, modes[0]))
+        if modes[0] != "pairs" or found.isEmpty():
+            modes.pop(0)
+        if not found.isEmpty():
+            places.append(found.withColumn("round", F.lit(turn)))
+            left, long = cut(_without(live, found, 1).drop("_n")), _without(long, found, 0)
+            live, turn = cut(left.join(_repeated(left, "item"), "item")), turn + 1
+    single = _places(long.select("_rid", "_k", F.col("pos").alias("start"), F.lit(1).alias("n"), "chunk"))
+    places.append(single.withColumn("round", F.lit(turn)))
+    every = places[0]
+    for more in places[1:]:
+        every = every.unionByName(more)
+    gone = _verified(every, rows).groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("_gone"))
+    split, out = F.split("_t", "\n", -1), rows.join(gone, "_rid", "left")
+    total = F.coalesce(F.when(F.col("_t").isNotNull(), F.size(split)), F.lit(0))
+    ends = F.concat(F.transform("_gone", lambda s: s["start"]), F.array(total))
+    kept = F.flatten(F.transform(F.concat(F.array(F.lit(0)), F.transform("_gone", lambda s: s["start"] + s["n"])), lambda a, i: F.slice(split, a + 1, F.get(ends, i) - a)))
     lost = F.aggregate(F.col("_gone"), F.lit(0), lambda a, s: a + s["n"])
     return out.select(
         "row",
-        F.when(F.col("_t").isNull(), 0).otherwise(total).alias("lines"),
-        F.coalesce("_gone", F.array().cast("array<struct<start int, n int>>")).alias("removed"),
-        (F.when(F.col("_t").isNull(), 0).otherwise(total) - F.coalesce(lost, F.lit(0))).alias("left"),
+        total.alias("lines"),
+        F.coalesce("_gone", F.array().cast(SPAN)).alias("removed"),
+        (total - F.coalesce(lost, F.lit(0))).alias("left"),
         F.when(F.col("_gone").isNull(), F.col("_t")).otherwise(F.array_join(kept, "\n")).alias("text"),
     )

@@ -1,27 +1,29 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
-A source's documents are put into a seeded order and read as one ring of words. The mix is made of blocks of equal
-word counts. Blocks go to sources by highest quotient target / (2 * blocks so far + 1); as this rule is house
-monotone, the first k/shards-th part of the allotment is a valid allotment of its own, and the differences are the
-integer quotas of each shard. A source's quota is then read from its ring from a seeded block onwards; a quota above
-the source's blocks goes round again, never past two rounds (max_epochs).
+A source's documents are put into a seeded order and read as one ring of words, cut into blocks of equal word counts
+(the last one may be shorter). Blocks go to sources by highest quotient target / (2 * blocks so far + 1); as this rule
+is house monotone, the first k/shards-th part of the allotment is a valid allotment of its own, and the differences are
+the integer quotas of each shard. The seats of a source are then dealt to its blocks by a seeded permutation: seat j
+takes block (start + j * step) mod blocks, and seats lie in shards as the quotas say. A quota above the source's blocks
+goes round again, never past two rounds.
 
 Only one row per source reaches the driver (at most `max_sources`, else ValueError); ranks and running sums inside
 a hot source are found in two levels (see common.ranked).
 
 Defined cases: null source is a source of its own and comes last; null or empty text has size 0 and is taken 0 times;
-a source of size 0 has target 0; equal rows are interchangeable; an empty table gives an empty result; other columns
-are carried along under `row`.
+a source of size 0 has target 0; equal rows are interchangeable; an empty table gives an empty result; other columns,
+whatever their names, are carried along under `row`.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from dataclasses import dataclass
 
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, bucket_count, group_key, ranked
@@ -34,9 +36,11 @@ WEIGHTS = (3, 1, 2)
 class Share:
     size: int
     target: float
-    blocks: int
-    quotas: list[int]
-    first_block: int
+    blocks: int  # seats won
+    quotas: list[int]  # of each shard
+    ring: int  # blocks of the source
+    start: int
+    turn: int  # inverse of the permutation's step modulo ring
 
 
 def targets(sizes: list[int], weights: list[float], share: float, cap: float) -> list[float]:
@@ -83,25 +87,33 @@ def plan(sizes: dict[str, int], share: float = 1.5, cap: int = 2, weights: tuple
     size = [sizes[k] for k in names]
     goal = targets(size, [weights[i % len(weights)] for i in range(len(names))], share, cap)
     if block is None:
-        block = max(1, min(1024, int(min((g for g in goal if g > 0), default=0) / 100)))
+        block = max(1, min(1024, int(min((g for g in goal if g > 0), default=0) / 300)), max(size, default=0) >> 31)
     most = [math.ceil(cap * s / block) for s in size]
     seats = round(sum(goal) / block)
     so_far = [sainte_lague(goal, seats * (k + 1) // shards, most) for k in range(shards)]
     out = {}
     for i, k in enumerate(names):
-        won = [s[i] for s in so_far]
-        ring = max(1, math.ceil(size[i] / block))
-        out[k] = Share(size[i], goal[i], won[-1], [b - a for a, b in zip([0, *won], won)], xxhash.xxh64_intdigest(k, seed) % ring)
+        won, ring = [s[i] for s in so_far], max(1, math.ceil(size[i] / block))
+        turn = xxhash.xxh64_intdigest(k, seed + 1) % ring
+        while math.gcd(turn, ring) != 1:
+            turn += 1
+        out[k] = Share(size[i], goal[i], won[-1], [b - a for a, b in zip([0, *won], won)], ring, xxhash.xxh64_intdigest(k, seed) % ring, turn)
     return block, out
 
 
+def _table(spark: SparkSession, shares: dict[str, Share]) -> DataFrame:
+    """One row per source, made in the JVM from a literal."""
+    rows = [{"_g": k, "target": s.target, "_seats": s.blocks, "_ring": s.ring, "_start": s.start, "_turn": s.turn, "_until": [sum(s.quotas[: i + 1]) for i in range(len(s.quotas))]} for k, s in shares.items()]
+    kind = "array<struct<_g:string,target:double,_seats:long,_ring:long,_start:long,_turn:long,_until:array<long>>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
+
+
 def mix(docs: DataFrame, source: str = "source", text: str | None = "text", size: str | None = None, key: tuple[str, ...] = ("doc_id",), seed: int = 8, max_sources: int = 1_000_000, **rule: object) -> DataFrame:
-    """Columns: row (struct), size, source_size, target, taken, whole (rounds in full), cut_from / cut_to and wrap_to.
+    """Columns: row (struct), size, source_size, target, taken, readings array<struct<start, stop, shard, round>>.
 
-    A document gives its words [cut_from, cut_to) and [0, wrap_to) once more besides `whole` full readings; taken
-    counts all of these. `size` names a column that has the word count already.
+    A reading is a block's share of the document, words [start, stop), that the mix takes: of the first round or the
+    second, for one shard. taken is the readings' words. `size` names a column that has the word count already.
     """
-    spark = docs.sparkSession
     words = F.col(size) if size else F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0))
     ids = [F.col(k) for k in key]
     base = docs.select(F.struct("*").alias("row"), group_key(F.col(source)).alias("_g"), words.cast("long").alias("size"), F.xxhash64(F.lit(seed), *ids).alias("_h"), *[c.alias(f"_k{i}") for i, c in enumerate(ids)])
@@ -109,27 +121,40 @@ def mix(docs: DataFrame, source: str = "source", text: str | None = "text", size
     if len(found) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     block, shares = plan({r["_g"]: r["size"] for r in found}, seed=seed, **rule)
-    chosen = [(k, s.target, min(s.blocks * block, 2 * s.size), min(s.first_block * block, max(0, s.size - 1))) for k, s in shares.items()]
-    extra = spark.createDataFrame(chosen, "_g string, target double, _take long, _start long")
-    df = ranked(base, bucket_count(sum(r["rows"] for r in found)), "_g", "_h", ["size", *[f"_k{i}" for i in range(len(ids))]], "size", extra)
-    whole_rounds = F.when(F.col("_sum") > 0, F.floor(F.col("_take") / F.greatest(F.col("_sum"), F.lit(1)))).otherwise(0).cast("long")
-    rest = F.col("_take") - whole_rounds * F.col("_sum")
-    begin, end = F.col("_before"), F.col("_before") + F.col("size")
-    stop = F.col("_start") + rest
-    clip = lambda x: F.least(F.greatest(x - begin, F.lit(0)), F.col("size"))
-    df = df.withColumns({"whole": whole_rounds, "cut_from": clip(F.col("_start")), "cut_to": clip(F.least(stop, F.col("_sum"))), "wrap_to": F.when(stop > F.col("_sum"), clip(stop - F.col("_sum"))).otherwise(F.lit(0).cast("long"))})
-    taken = F.col("whole") * F.col("size") + F.col("cut_to") - F.col("cut_from") + F.col("wrap_to")
-    return df.select("row", "size", F.col("_sum").alias("source_size"), "target", taken.cast("long").alias("taken"), "whole", "cut_from", "cut_to", "wrap_to")
+    df = ranked(base, bucket_count(sum(r["rows"] for r in found)), "_g", "_h", ["size", *[f"_k{i}" for i in range(len(ids))]], "size", _table(docs.sparkSession, shares))
+    begin, end, width = F.col("_before"), F.col("_before") + F.col("size"), F.lit(block)
+    low, high = F.floor(begin / width).cast("long"), F.floor((end - 1) / width).cast("long")
+
+    def readings(b: Column) -> Column:
+        seat = F.pmod((b - F.col("_start")) * F.col("_turn"), F.col("_ring"))
+        seats = F.filter(F.array(seat, seat + F.col("_ring")), lambda j: j < F.col("_seats"))
+        start, stop = F.greatest(b * width - begin, F.lit(0)), F.least((b + 1) * width - begin, F.col("size"))
+        shard = lambda j: F.size(F.filter("_until", lambda q: q <= j)).cast("int")
+        return F.transform(seats, lambda j, i: F.struct(start.alias("start"), stop.alias("stop"), shard(j).alias("shard"), (i + 1).cast("int").alias("round")))
+
+    own = F.when(F.col("size") > 0, F.flatten(F.transform(F.sequence(low, high), readings)))
+    df = df.withColumn("readings", F.coalesce(own, F.array().cast("array<struct<start:long,stop:long,shard:int,round:int>>")))
+    taken = F.aggregate("readings", F.lit(0).cast("long"), lambda s, x: s + x["stop"] - x["start"])
+    return df.select("row", "size", F.col("_sum").alias("source_size"), "target", taken.alias("taken"), "readings")
 
 
 def mixed_texts(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The documents of the mix: each full reading once, and the cut readings with the words they keep.
+    """The documents of the mix: for each round, each stretch of a document that lies in blocks taken.
 
-    Columns: those of the input's rows. A reading cut inside a document has its words joined by single blanks.
+    Columns: those of the input's rows. A stretch that is the whole document keeps its text byte for byte; a shorter
+    one has its words joined by single blanks.
     """
-    words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(f"({WORD})"), F.lit(1))
-    part = lambda a, b: F.when((a == 0) & (b == F.col("size")), F.col(f"row.{text}")).when(b > a, F.array_join(F.slice(words, (a + 1).cast("int"), (b - a).cast("int")), " "))
-    texts = F.concat(F.array_repeat(F.col(f"row.{text}"), F.col("whole").cast("int")), F.array(part(F.col("cut_from"), F.col("cut_to")), part(F.lit(0), F.col("wrap_to"))))
-    kept = mixed.where(F.col("taken") > 0).withColumn("_text", F.explode(F.filter(texts, lambda t: t.isNotNull())))
+    whole = F.col(f"row.{text}")
+    words = F.regexp_extract_all(whole, F.lit(f"({WORD})"), F.lit(1))
+
+    def stretches(turn: int) -> Column:
+        own = F.filter("readings", lambda x: x["round"] == turn)
+        first, last = F.transform(own, lambda x: x["start"]), F.transform(own, lambda x: x["stop"])
+        stops = F.array_except(last, first)
+        return F.transform(F.array_except(first, last), lambda a, i: F.struct(a.alias("start"), F.get(stops, i).alias("stop")))
+
+    kept = mixed.where("taken > 0").select("row", "size", F.explode(F.concat(stretches(1), stretches(2))).alias("_s"))
+    part = F.array_join(F.slice(words, (F.col("_s.start") + 1).cast("int"), (F.col("_s.stop") - F.col("_s.start")).cast("int")), " ")
+    chosen = F.when((F.col("_s.start") == 0) & (F.col("_s.stop") == F.col("size")), whole).otherwise(part)
     names = mixed.schema["row"].dataType.fieldNames()
-    return kept.select(*[(F.col("_text") if n == text else F.col("row")[n]).alias(n) for n in names])
+    return kept.select(*[(chosen if n == text else F.col("row")[n]).alias(n) for n in names])

@@ -11,7 +11,8 @@ union can be lower than the sum of the bounds.)
 Only piece lengths are needed to pack: drop the ids column first if the ids themselves aren't wanted downstream.
 
 Defined cases: null or empty text is the end id alone; rows with equal ids are packed each on its own; an empty table
-gives an empty result; a length that isn't in 1..capacity raises ValueError.
+gives an empty result; a length that isn't in 1..capacity raises ValueError; other columns, whatever their names, are
+carried along under `row`.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bucket_count, cut
+from .common import bucket_count, cut, small_batches
 
 #: Words for which the pre-tokenizer's rule can be applied here: ASCII and the letters of Latin-1.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -45,52 +46,54 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Words(dict):
-    """Word -> ids, found at the first lookup."""
+    """Word -> ids, found at the first lookup; `held` is about the bytes that it takes."""
 
-    def __init__(self, find: Callable[[bytes], bytes]) -> None:
-        self.find = find
+    def __init__(self, find: Callable[[str | bytes], bytes]) -> None:
+        self.find, self.held = find, 0
 
-    def __missing__(self, word: bytes) -> bytes:
+    def __missing__(self, word: str | bytes) -> bytes:
         ids = self[word] = self.find(word)
+        self.held += 180 + len(word) + len(ids)
         return ids
 
+    def forget(self, most: int) -> None:
+        if self.held > most:
+            self.clear()
+            self.held = 0
+
 
 class WordTokenizer:
     """ids(text) as the tokenizer file gives them, found word by word.
 
     The file drops white space and never joins across it, so a text's ids are its words' ids in a row. Words are
-    remembered (beyond `most` of them all are forgotten before the next text), which is many times faster than whole
-    texts. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer).
+    remembered, which is many times faster than whole texts; when they take over `most` bytes all are forgotten before
+    the next text. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer).
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 24 << 20) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model, self.letter = self.whole.model, _byte_letters().__getitem__
-        self.most, self.words, self.parts = most, _Words(self._word), {}
+        self.most, self.words, self.parts = most, _Words(self._word), _Words(self._part)
 
     def _part(self, part: str) -> bytes:
-        if (ids := self.parts.get(part)) is None:
-            if len(self.parts) >= self.most:
-                self.parts.clear()
-            spelt = part if part.isascii() else "".join(map(self.letter, part.encode()))
-            ids = self.parts[part] = struct.pack(f"<{len(found := [t.id for t in self.model.tokenize(spelt)])}I", *found)
-        return ids
+        spelt = part if part.isascii() else "".join(map(self.letter, part.encode()))
+        return struct.pack(f"<{len(found := [t.id for t in self.model.tokenize(spelt)])}I", *found)
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         if len(text) <= 200 and _PLAIN.fullmatch(text) and "<|" not in text:
             low = text.lower()
-            return self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
+            return self.parts[low] if low.isalpha() else b"".join([self.parts[p] for p in _PARTS.findall(low)])
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (UTF-8)."""
         out, ids = [], self.words.__getitem__
         for t in texts:
-            if len(self.words) > self.most:
-                self.words.clear()
+            self.words.forget(self.most)
+            self.parts.forget(self.most)
             out.append(b"".join(map(ids, t.split())))
         return out
 
@@ -112,16 +115,16 @@ def _chunks(texts: list[bytes | None], size: int = 4_000_000) -> Iterator[tuple[
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key: tuple[str, ...] = ("doc_id",), capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """Columns: the key, piece int, start long, length long, ids binary (little-endian unsigned 32-bit)."""
-    rows = docs.select(*key, F.col(text).cast("binary").alias("_text"))
-    fields = [T.StructField(k, rows.schema[k].dataType) for k in key]
-    schema = T.StructType([*fields, T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
-    names, end, step = list(key), np.array([end_id], "<u4").tobytes(), 4 * capacity
+    """Columns: row (struct of the key), piece int, start long, length long, ids binary (little-endian unsigned 32-bit)."""
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.struct(*key).alias("row"), F.col(text).cast("binary").alias("_text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
+    end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _worker_tokenizer(tokenizer_path)
         for batch in batches:
-            texts = batch.column(len(names)).to_pylist()
+            texts = batch.column(1).to_pylist()
             for a, b in _chunks(texts):
                 at, piece, ids = [], [], []
                 for i, got in enumerate(tokenizer.encode([t or b"" for t in texts[a:b]]), a):
@@ -130,10 +133,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
                         at.append(i)
                         piece.append(k // step)
                         ids.append(got[k : k + step])
-                take = pa.array(at, pa.int64())
                 number = pa.array(piece, pa.int32())
                 lengths = np.array([len(x) // 4 for x in ids], "i8")
-                yield pa.RecordBatch.from_arrays([*[batch.column(j).take(take) for j in range(len(names))], number, pa.array(np.array(piece, "i8") * capacity), pa.array(lengths), pa.array(ids, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), number, pa.array(np.array(piece, "i8") * capacity), pa.array(lengths), pa.array(ids, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -212,7 +214,7 @@ def _repacker(capacity: int, turn: int, last: bool) -> Callable[[pd.DataFrame],
 
 
 def pack(pieces: DataFrame, length: str = "length", capacity: int = 2048, part_rows: int = 20_000, fan_in: int = 16) -> DataFrame:
-    """The pieces with sequence_id long and offset long. `pieces` is written to the checkpoint folder first."""
+    """Columns: row (struct of the pieces' columns), sequence_id long, offset long. `pieces` goes to the checkpoint folder first."""
     rows = cut(pieces.select(F.struct("*").alias("row"), F.col(length).cast("long").alias("_length"))).withColumn("_row", F.monotonically_increasing_id())
     parts = bucket_count(rows.count(), part_rows, 1 << 22)
     state = rows.select("_row", "_length", F.pmod(F.xxhash64("_row"), F.lit(parts)).alias("_part"), F.lit(None).cast("long").alias("_seq"), F.lit(None).cast("long").alias("offset"))
@@ -229,4 +231,4 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = 2048, part_r
     placed = done[0]
     for more in done[1:]:
         placed = placed.union(more)
-    return rows.join(placed, "_row").select("row.*", "sequence_id", "offset")
+    return rows.join(placed, "_row").select("row", "sequence_id", "offset")

@@ -28,15 +28,15 @@ def _tokenizer() -> str:
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), words=3, radius=2)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select("row.doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     key = F.col("doc_id")
     model = train(docs, where=key.isNotNull() & ~held_out(key))
-    rows = docs.select("doc_id", held_out(key).alias("held_out"), F.col("text").cast("binary").alias("text"))
-    return predict(rows, model).drop("text")
+    out = predict(docs.select("doc_id", held_out(key).alias("held_out"), "text"), model)
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +47,8 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), capacity=2048)
-    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(digest, capacity=2048)
+    digest = pieces.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(digest, capacity=2048).select("row.*", "sequence_id", "offset")
 
 
 def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,26 +5,22 @@ fingerprint the Hamming distances to many reference fingerprints (pivots) are co
 mask for each block of bits, and some seeded random ones. The distances to a mask and to zero give the fingerprint's
 coordinate in that block (its number of set bits), and fingerprints within `radius` differ in few coordinates.
 
-Candidates meet in tables keyed by a choice of coordinates:
-- `covering`: the blocks form m groups; within `radius` at least m - radius groups are alike, so one table for each
-  choice of m - radius groups finds every pair (no pair is missed);
-- `sampled`: for wide radii, each table takes about log2(rows) + 2 seeded coordinates; the chance to miss a pair is
-  (1 - (1 - d / bits) ^ coordinates) ^ tables at distance d.
-In a table, rows of one key are compared two by two: pairs whose pivot distances differ by more than `radius` in any
-coordinate are discarded (triangle inequality), the survivors are verified by their exact distance. Keys with over
-`most` rows are split: at a radius of 2 or less their rows meet at the fingerprints one bit away, in work linear in
-the rows (_ball_links); at wider radii the rows are dealt into chunks of about `most`, and each pair of chunks is a
-task of its own. A group of many links gives a spanning forest instead of all its pairs. Components come from large-star /
-small-star rounds, each written to the checkpoint folder.
+Candidates meet in covering tables: the blocks form m groups; within `radius` at least m - radius groups are alike, so
+one table for each choice of m - radius groups finds every pair (no pair is missed). In a table, rows of one key are
+compared two by two: pairs whose pivot distances differ by more than `radius` in any coordinate are discarded (triangle
+inequality), the survivors are verified by their exact distance. Keys with over `most` rows are split: their rows meet
+at the fingerprints one bit away, in work linear in the rows (_ball_links, radius 2 at most). A group of many links
+gives a spanning forest instead of all its pairs. Components come from large-star / small-star rounds, each written to
+the checkpoint folder. Near copies by shingle similarity (wide fingerprints) are in similar.py.
 
 Defined cases: null or empty text has fingerprint 0 and is linked like any other; equal texts share a fingerprint
 and are linked whatever their number without a pair being made; null ids are in the result but never a component's
-name (null where a component has no other id); an empty table gives an empty result; other columns don't matter.
+name (null where a component has no other id); an empty table gives an empty result; other columns, whatever their
+names, are carried along under `row`.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -36,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, small_batches
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
@@ -77,6 +73,7 @@ def fingerprint(text: bytes | None, words: int = 3, lanes: int = 1) -> np.ndarra
 
 def fingerprints(docs: DataFrame, text: str = "text", words: int = 3, lanes: int = 1) -> DataFrame:
     """All columns but the text, and f0.. : the fingerprint in signed 64-bit words."""
+    small_batches(docs.sparkSession)
     rows = docs.select(*[c for c in docs.columns if c != text], F.col(text).cast("binary").alias(text))
     fields = [f for f in rows.schema.fields if f.name != text]
     schema = T.StructType([*fields, *[T.StructField(f"f{i}", T.LongType()) for i in range(lanes)]])
@@ -92,7 +89,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 3, lanes: int
 
 @dataclass
 class Pivots:
-    """Reference fingerprints (zero first, then a mask for each block, then random ones) and the tables' choices."""
+    """Reference fingerprints (of tables: zero first, then a mask for each block, then random ones) and the tables' choices."""
 
     references: np.ndarray  # pivots x lanes
     widths: np.ndarray  # bits of each block
@@ -118,9 +115,10 @@ class Pivots:
         return Pivots.build(lanes, radius, [np.concatenate(c).tolist() for c in combinations(blocks, groups - radius)], width)
 
     @staticmethod
-    def sampled(lanes: int, radius: int, tables: int, rows: int, seed: int = 5) -> Pivots:
-        rng, take = np.random.default_rng(seed), max(8, math.ceil(math.log2(max(2, rows))) + 2)
-        return Pivots.build(lanes, radius, [rng.choice(64 * lanes, min(take, 32 * lanes), replace=False).tolist() for _ in range(tables)], 1)
+    def wide(lanes: int, radius: int, pivots: int = 8, seed: int = 5) -> Pivots:
+        """References alone, for rows that meet under keys of another kind."""
+        own = np.random.default_rng(seed).integers(0, 1 << 64, (pivots, lanes), "u8")
+        return Pivots(own, np.zeros(0, "i8"), np.zeros((0, 0), "u8"), radius)
 
     def distances(self, prints: np.ndarray) -> np.ndarray:
         """The pivot distance table: rows x pivots."""
@@ -248,14 +246,7 @@ def links(nodes: DataFrame, pivots: Pivots, lanes: int, most: int = 256) -> Data
     out = cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(pivots, lanes, most), result))
     hot = out.where(F.col("b").isNull()).select("key", F.col("a").alias("_node"), *prints)
     pairs = out.where(F.col("b").isNotNull()).select("a", "b")
-    if pivots.radius <= 2:
-        return pairs.union(_ball_links(hot.groupBy("_node").agg(*[F.first(f).alias(f) for f in prints]), prints))
-    if not hot.isEmpty():
-        chunks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_chunks"))
-        dealt = hot.join(chunks, "key").withColumn("_i", F.pmod(F.xxhash64("_node"), F.col("_chunks")).cast("int")).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-        dealt = dealt.select(F.xxhash64("key", F.least("_i", "_j"), F.greatest("_i", "_j")).alias("key"), "_node", *prints)
-        pairs = pairs.union(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(pivots, lanes, 1 << 40), result).select("a", "b"))
-    return pairs
+    return pairs.union(_ball_links(hot.groupBy("_node").agg(*[F.first(f).alias(f) for f in prints]), prints))
 
 
 def _ball_links(nodes: DataFrame, prints: list[str]) -> DataFrame:
@@ -271,7 +262,7 @@ def _ball_links(nodes: DataFrame, prints: list[str]) -> DataFrame:
 
 
 def components(pairs: DataFrame) -> DataFrame:
-    """Columns _node, _root (the smallest node reachable) for all nodes that have a link."""
+    """Columns _node, _root (the smallest node reachable) for all nodes that have a link but the roots themselves."""
     edges = cut(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
@@ -287,18 +278,16 @@ def components(pairs: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, lanes: int = 1, radius: int = 2, groups: int = 4, tables: int = 0, most: int = 256) -> DataFrame:
-    """All columns but the text, and f0.., component_id: the smallest `key` among the rows linked to this one.
-
-    tables = 0: covering tables over `groups` groups of blocks (every pair within the radius is found); otherwise
-    that many sampled tables.
-    """
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, lanes: int = 1, radius: int = 2, groups: int = 4, most: int = 256) -> DataFrame:
+    """Columns: row (struct of all columns but the text), f0.., component_id: the smallest `key` among the linked rows."""
+    if radius > 2:
+        raise ValueError("hot keys are split at a radius of 2 at most")
     prints = [f"f{i}" for i in range(lanes)]
-    rows = cut(fingerprints(docs, text, words, lanes))
-    nodes = cut(rows.groupBy(*prints).agg(F.min(key).alias("_least"))).withColumn("_node", F.monotonically_increasing_id())
-    pivots = Pivots.sampled(lanes, radius, tables, nodes.count()) if tables else Pivots.covering(lanes, radius, groups)
-    roots = components(links(nodes, pivots, lanes, most))
+    own = docs.select(F.struct(*[c for c in docs.columns if c != text]).alias("row"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = cut(fingerprints(own, "_text", words, lanes))
+    nodes = cut(rows.groupBy(*prints).agg(F.min("_key").alias("_least"))).withColumn("_node", F.monotonically_increasing_id())
+    roots = components(links(nodes, Pivots.covering(lanes, radius, groups), lanes, most))
     placed = nodes.join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     named = placed.groupBy("_root").agg(F.min("_least").alias("component_id"))
     placed = cut(placed.join(named, "_root").select(*prints, "component_id"))
-    return rows.join(placed, prints)
+    return rows.join(placed, prints).select("row", *prints, "component_id")

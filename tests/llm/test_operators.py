@@ -48,7 +48,7 @@ def test_simhash_against_brute_force(spark):
 
 
 def test_simhash_cases(docs, none):
-    out = {r["doc_id"]: r for r in simhash.near_duplicates(docs.select("doc_id", "text")).collect()}
+    out = {r["row"]["doc_id"]: r for r in simhash.near_duplicates(docs.select("doc_id", "text")).collect()}
     assert out[2]["component_id"] == out[3]["component_id"] == 2
     assert out[5]["component_id"] == 4
     assert simhash.near_duplicates(none.select("doc_id", "text")).count() == 0
@@ -75,7 +75,7 @@ def test_langid(spark, docs, none):
     held = out.where("held_out").join(true.where("lang is not null"), "doc_id")
     assert held.where("lang = lang_pred").count() >= 0.95 * held.count()
     model = langid.train(docs, where=F.lit(True))
-    got = [(r["doc_id"], r["lang_pred"]) for r in langid.predict(docs, model).collect()]
+    got = [(r["row"]["doc_id"], r["lang_pred"]) for r in langid.predict(docs, model).collect()]
     assert {k for k, v in got if v == "und"} == {2, 3, 7}
     assert langid.predict(none, langid.train(none, where=F.lit(True))).count() == 0
 
@@ -103,12 +103,12 @@ def test_packing_round_trip(docs, none):
     whole = Tokenizer.from_file(queries._tokenizer())
     pieces = packing.token_pieces(docs.where("doc_id <> 7"), queries._tokenizer())
     for k, text in {(r[0], r[1]) for r in ROWS if r[0] not in (7, None)}:
-        own = sorted(pieces.where(F.col("doc_id") == k).collect(), key=lambda r: r["piece"])
+        own = sorted(pieces.where(F.col("row.doc_id") == k).collect(), key=lambda r: r["piece"])
         want = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
         assert b"".join(bytes(r["ids"]) for r in own) == want
     bins = {}
     for r in packing.pack(pieces).collect():
-        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["row"]["length"]))
     for own in bins.values():
         assert [a for a, _ in sorted(own)] == np.cumsum([0, *[n for _, n in sorted(own)][:-1]]).tolist()
         assert sum(n for _, n in own) <= 2048
@@ -166,6 +166,142 @@ def test_mixing(spark, docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_by_brute_force(spark):
+    """The seats one at a time, each source near its target, quotas of shards, and equal reruns."""
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        weights, most = rng.uniform(0.1, 5, 6).tolist(), rng.integers(1, 40, 6).tolist()
+        won = [0] * 6
+        for _ in range(60):
+            open_ = [i for i in range(6) if won[i] < most[i]]
+            if open_:
+                won[min(open_, key=lambda i: (-weights[i] / (2 * won[i] + 1), i))] += 1
+        assert mixing.sainte_lague(weights, 60, most) == won
+    rows = [(i, " ".join(["w"] * int(n)), None if s == 3 else f"s{s}") for i, (n, s) in enumerate(zip(rng.integers(0, 300, 900), rng.choice(4, 900, p=[0.55, 0.2, 0.2, 0.05]), strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs).collect()
+    block, shares = mixing.plan({k: sum(r["size"] for r in out if (r["row"]["source"] or "") == k.removeprefix("=")) for k in ("=s0", "=s1", "=s2", "")})
+    for k, share in shares.items():
+        own = [r for r in out if (r["row"]["source"] or "") == k.removeprefix("=")]
+        assert abs(sum(r["taken"] for r in own) - share.target) <= 0.01 * share.target + block
+        by_shard = np.zeros(16)
+        for r in own:
+            assert r["taken"] == sum(x["stop"] - x["start"] for x in r["readings"]) <= 2 * r["size"]
+            for x in r["readings"]:
+                by_shard[x["shard"]] += x["stop"] - x["start"]
+        assert np.abs(by_shard - np.array(share.quotas) * block).max() <= 2 * block
+    again = {r["row"]["doc_id"]: r["taken"] for r in mixing.mix(docs.repartition(7)).collect()}
+    assert again == {r["row"]["doc_id"]: r["taken"] for r in out}
+
+
+def test_sharding_mixture(spark):
+    rows = [(i % 700, "hot" if i % 3 else f"s{i % 9}", 1) for i in range(1600)]
+    out = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, source string, shard int"), rows_per_part=40).collect()
+    for source in {r["row"]["source"] for r in out}:
+        per = np.bincount([r["shard"] for r in out if r["row"]["source"] == source], minlength=16)
+        assert per.max() - per.min() <= 2
+
+
+def passages(text, least=50):
+    lines = (text or "").split("\n")
+    out = []
+    for a in range(len(lines)):
+        words = 0
+        for b in range(a, len(lines)):
+            words += len(lines[b].split())
+            if words > least:
+                out.append("\n".join(lines[a : b + 1]))
+                break
+    return out
+
+
+def test_line_dedup_by_brute_force(spark):
+    """No passage of over 50 words is left in two documents, none is lost, and lines that repeat nowhere stay."""
+    out = line_dedup.dedup_lines(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
+    before, after, lines = {}, {}, {}
+    for k, r in enumerate(out):
+        for p in set(passages(r["row"]["text"])):
+            before.setdefault(p, set()).add(k)
+        for p in set(passages(r["text"])):
+            after.setdefault(p, set()).add(k)
+        for x in (r["row"]["text"] or "").split("\n"):
+            lines.setdefault(x, []).append(k)
+    assert any(len(v) > 1 for v in before.values())
+    assert all(len(v) == 1 for v in after.values())
+    for k, r in enumerate(out):
+        old = (r["row"]["text"] or "").split("\n")
+        gone = {i for s in r["removed"] for i in range(s["start"], s["start"] + s["n"])}
+        assert r["lines"] - r["left"] == len(gone)
+        assert (r["text"] or "") == "\n".join(x for i, x in enumerate(old) if i not in gone)
+        assert all(len(lines[old[i]]) > 1 for i in gone)
+    everything = {x for r in out for x in (r["text"] or "").split("\n")}
+    assert {x for x in lines if x} <= everything
+
+
+def test_line_dedup_insertions(spark):
+    """Lines put in before a passage don't keep it from being found; what stands around it stays."""
+    passage = [f"shared line {i} of the passage" for i in range(40)]
+    texts = [[f"own {k} {j}" for j in range(k)] + passage[: 40 - k] + [f"end {k}"] for k in range(8)]
+    d = spark.createDataFrame([(k, "\n".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    out = {r["row"]["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(d).collect()}
+    assert out[0] == texts[0]
+    for k in range(1, 8):
+        assert [x for x in out[k] if not x.startswith("shared")] == [x for x in texts[k] if not x.startswith("shared")]
+        assert sum(x.startswith("shared") for x in out[k]) <= 1
+
+
+def test_line_dedup_words_and_cases(spark):
+    long, short = " ".join(["word"] * 50), " ".join(["word"] * 49)
+    rows = [(1, f"a\n{long}\nb\n{short}"), (2, f"c\n{short}\nd\n{long}"), (None, f"{long}\ne"), (3, "x\ny"), (3, "x\ny"), (5, "p\nq\nr\np\nq")]
+    out = [(r["row"]["doc_id"], r["text"], r["left"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(out, key=repr) == sorted([(1, rows[0][1], 4), (2, f"c\n{short}\nd", 3), (None, "e", 1), (3, "x\ny", 2), (3, "", 0), (5, "p\nq\nr", 3)], key=repr)
+    large = "\n".join(f"l{i % 5000}" for i in range(20_000))
+    one = line_dedup.dedup_lines(spark.createDataFrame([(1, large)], "doc_id long, text string")).first()
+    assert one["lines"] == 20_000 and one["left"] <= 5_010
+
+
+def test_line_dedup_after_a_change_of_cores(spark, tmp_path, monkeypatch):
+    spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(24).write.parquet(str(tmp_path / "documents.parquet"))
+    conf = {"spark.sql.files.openCostInBytes": "0", "spark.sql.leafNodeDefaultParallelism": "24"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        want = None
+        for change in (False, True):
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", "24")
+            cuts, old = [], line_dedup.cut
+
+            def cut(df, cuts=cuts, old=old, change=change):
+                out = old(df)
+                cuts.append(1)
+                if change and len(cuts) == 1:
+                    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "6")
+                return out
+
+            monkeypatch.setattr(line_dedup, "cut", cut)
+            got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(spark.read.parquet(str(tmp_path / "documents.parquet"))).select("row.doc_id", "text").collect())
+            monkeypatch.setattr(line_dedup, "cut", old)
+            assert want is None or got == want
+            want = got
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_clashing_columns(spark):
+    """Columns that are named like an operator's own come through."""
+    names = ("row", "_text", "_k", "_key", "_rid", "_t", "f0", "component_id", "lang_pred", "score", "_p", "sequence_id", "offset", "piece", "ids", "size", "taken", "shard", "slot", "_g", "_h", "_part", "lines", "left", "removed", "sentences", "licenses", "entities", "target", "_e", "_s", "_metadata")
+    docs = spark.createDataFrame([(1, "un deux", "fr", "a"), (2, "one two", "en", "b")], "doc_id long, text string, lang string, source string").withColumns({n: F.lit("x") for n in names})
+    pieces = packing.token_pieces(docs, queries._tokenizer(), key=("doc_id", "piece", "sequence_id"))
+    outs = [
+        simhash.near_duplicates(docs), langid.predict(docs, langid.train(docs, where=F.lit(True))), licenses.scan(docs), pieces, packing.pack(pieces.select("row.*", "length")),
+        sharding.shard_rows(docs), mixing.mix(docs), mixing.mixed_texts(mixing.mix(docs)), pii.pseudonymise(docs, key="k"), line_dedup.dedup_lines(docs),
+    ]
+    for out in outs:
+        assert len(set(out.columns)) == len(out.columns)
+        assert len(out.collect()) >= 1
+
+
 def test_line_dedup(spark, docs, none):
     passage = "\n".join(f"a line of the shared passage number {i}" for i in range(12))
     d = spark.createDataFrame([(1, f"one\n{passage}\nend one"), (2, f"two\nother\n{passage}\nend two"), (3, None), (4, ""), (5, "alone")], "doc_id long, text string")
@@ -188,12 +324,39 @@ def test_pii(spark, none):
     assert pii.pseudonymise(none.select("doc_id", "text"), key="k").count() == 0
 
 
-def test_pipeline(spark):
+def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
-        docs = stage(spark, docs, SMALL)
-        assert docs.columns == list(corpus_pipeline.COLUMNS), k
-    assert docs.count() > 0
+    kept = []
+    for name, stage in corpus_pipeline.STAGES:
+        kept.append(docs.count())
+        if name != corpus_pipeline.STAGES[0][0]:
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+        if name == "mixing":
+            words = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n")).collect()}
+        if name == "packing":
+            mixed = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n")).collect()}
+        stage(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    assert kept[0] >= kept[1] >= kept[2] >= kept[3] > 0
+    names = sorted(words)
+    for name, goal in zip(names, mixing.targets([words[k] for k in names], [mixing.WEIGHTS[i % 3] for i in range(len(names))], 1.5, 2), strict=True):
+        assert abs(mixed.get(name, 0) - goal) <= 0.05 * goal + 2
+    run = corpus_pipeline.run(spark, SMALL)
+    assert run.count() == docs.count() and run.columns == docs.columns
+    spaces = run.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert spaces.where("n <> end or n > 2048").count() == 0
+
+
+def test_pipeline_cases(spark):
+    rows = [(None, "un deux trois quatre cinq six sept", "fr", "a", 1), (None, "un deux trois quatre cinq six sept", "fr", "a", 1), (3, "un deux trois quatre cinq six sept", "fr", "a", 1), (3, "one two three four five six", "en", "b", 1), (4, None, "en", "b", 0), (5, "12 34", "en", None, 5)]
+    docs = spark.createDataFrame(rows, DOCS)
+    near = corpus_pipeline.near_copies(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in near if r["doc_id"] == 3) == [(3, "one two three four five six"), (3, "un deux trois quatre cinq six sept")]
+    assert len(near) == 4
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()} == {None, 3}
+    empty = docs.where("doc_id > 9")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0
 
 
 def edited(rng, words, edits):
@@ -220,8 +383,10 @@ def test_near_copies_against_brute_force(spark):
     near = [[j for j, b in enumerate(sets) if a == b or 5 * len(a & b) >= 4 * len(a | b)] for a in sets]
     for _ in texts:
         root = [min(root[j] for j in own) for own in near]
-    docs = spark.createDataFrame(list(enumerate(texts)), "_rid long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "_rid long, text string").withColumn("_k", F.col("_rid"))
     out = {r["_rid"]: r["_group"] for r in similar.near_copies(docs).collect()}
+    small = {r["_rid"]: r["_group"] for r in similar.near_copies(docs, most=4, most_words=2000).collect()}
+    assert len(set(zip(out.values(), [small[k] for k in out], strict=True))) == len(set(out.values())) == len(set(small.values()))
     least = {}
     for i in range(len(texts)):
         least.setdefault(out[i], i)
