@@ -1,19 +1,26 @@
 """Surrogates for personal data, in DataFrame functions only.
 
 Entities are found by one pattern (mail addresses, IP addresses, secrets, bank accounts, social security, phone and
-card numbers, persons). The same entity always gets the same surrogate, whatever its format or case (coreference):
-a keyed digest of its canonical form gives every character. Surrogates keep type, format, letter case and script; a
-card number that passes the Luhn test gets one that passes it; names keep their title and are drawn to match gender.
-Phone numbers keep their country code, mail addresses their top-level domain, cards their first digit.
+card numbers, persons). A number of 13 to 19 digits is a card only if it begins with 2 to 6 and passes the Luhn test;
+any other one is left alone. Persons are a title with up to three names, a given name of the lists (or of
+`given_names`) with a surname, and up to three names after a phrase such as "my name is".
+
+The same entity always gets the same surrogate, whatever its format or case (coreference): a keyed digest of its
+canonical form gives every character. Surrogates keep type, format, letter case and script; cards pass the Luhn test.
+Persons are replaced name by name: a name alone decides its surrogate, whatever title or names stand beside it, and the
+ending shows the gender that the lists or the name's own ending give. Titles stay. Phone numbers keep their country
+code, mail addresses their top-level domain, cards their first digit.
 
 Distinctness is checked over the whole corpus: the distinct entities are written once, an entity whose surrogate is
 also that of a smaller entity of its type, or equals an entity that occurs, is drawn anew until no collision is left.
-Only redrawn entities need a join; all others get their surrogate from the key alone.
+Only redrawn entities need a join; all others get their surrogate from the key alone. Names grow by a syllable with
+each draw, so they never run out.
 
-`docs` must give the same rows in the same order whenever it is read (files or a checkpoint).
+Rows are known by file and place, or numbered once in the checkpoint folder (common.numbered).
 
 Defined cases: null text stays null; texts without entities are returned byte for byte; equal rows get equal texts;
-an empty table gives an empty result; other columns are carried along under `row`.
+ids may be null or repeat; an empty table gives an empty result; other columns, whatever their names, are carried along
+under `row`.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, numbered
 
 # Patterns of each type, in order of preference.
 EMAIL = r"(?=[^\s@])(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
@@ -33,18 +40,30 @@ ACCOUNT = r"(?=[A-Z])(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-
 SSN = r"(?=[0-9])(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?=[0-9+(])(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?!\d)|(?=[+])(?<![\d+])\+\d{1,3}(?:[ .-]?\(?\d{2,5}\)?){2,5}(?!\d)"
 CARD = r"(?=[0-9])(?<!\d)(?:\d{4}[ -]){3}\d{1,4}(?!\d)|(?=[0-9])(?<!\d)\d{13,19}(?!\d)"
-# Titles that give a gender, titles that give none, and given names.
-MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "господин", "κύριος")
-FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "госпожа", "κυρία")
-OTHER_TITLES = ("Dr", "Prof")
-MALE_NAMES = ("Alexander", "Andreas", "Charles", "Christopher", "Daniel", "Fernando", "François", "Friedrich", "Heinrich", "James", "Joseph", "Matthew", "Michael", "Robert", "Stefan", "Thomas", "William", "Владимир", "Дмитрий", "Николай", "Γιώργος", "Δημήτρης")
-FEMALE_NAMES = ("Alexandra", "Catherine", "Christine", "Elizabeth", "Françoise", "Gabriela", "Gertrud", "Jennifer", "Jessica", "Katharina", "Margaret", "Patricia", "Sabine", "Stephanie", "Susanne", "Victoria", "Екатерина", "Наталья", "Светлана", "Ελένη", "Κατερίνα")
+# Titles, given names by gender, and phrases that a name follows.
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Mademoiselle", "Señor", "Señora", "Señorita", "господин", "госпожа", "κύριος", "κυρία")
+MALE_NAMES = (
+    "Alexander", "Andreas", "Andrew", "Anthony", "Antonio", "Carlos", "Charles", "Christopher", "Daniel", "David", "Edward", "Fernando", "François", "Friedrich", "George", "Heinrich", "Henry", "James", "Jean", "John", "Jorge", "Joseph", "José", "Juan", "Jürgen", "Karl", "Klaus", "Louis", "Luis",
+    "Manuel", "Mark", "Matthew", "Michael", "Miguel", "Patrick", "Paul", "Pedro", "Peter", "Philippe", "Pierre", "Richard", "Robert", "Stefan", "Steven", "Thomas", "William", "Wolfgang", "Александр", "Владимир", "Дмитрий", "Иван", "Николай", "Γιώργος", "Δημήτρης",
+)
+FEMALE_NAMES = (
+    "Alexandra", "Alice", "Anna", "Barbara", "Carmen", "Catherine", "Christine", "Claudia", "Elena", "Elizabeth", "Emily", "Emma", "Françoise", "Gabriela", "Gertrud", "Helen", "Isabel", "Jane", "Jennifer", "Jessica", "Julia", "Karen", "Katharina", "Laura", "Linda", "Lisa", "Margaret", "Maria",
+    "María", "Marie", "Martha", "Mary", "Monika", "Nancy", "Nathalie", "Patricia", "Petra", "Sabine", "Sarah", "Sophie", "Stephanie", "Susan", "Susanne", "Ursula", "Victoria", "Екатерина", "Мария", "Наталья", "Светлана", "Ελένη", "Κατερίνα", "Μαρία",
+)
+PHRASES = ("[Mm]y name is", "[Nn]ame:", "[Dd]ear", "[Ii]ch heiße", "[Jj]e m’appelle", "[Jj]e m'appelle", "[Mm]e llamo", "меня зовут")
 NAME = r"\p{Lu}[\p{L}'’-]+"
-#: Persons begin with the first letter of a title or name: a cheap test before the alternatives.
-STARTS = "".join(sorted({n[0] for n in (*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES, *MALE_NAMES, *FEMALE_NAMES)}))
-PERSON = rf"(?=[{STARTS}])(?<!\p{{L}})(?:(?:{'|'.join((*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES))})\.? {NAME}(?: {NAME}){{0,2}}|(?:{'|'.join((*MALE_NAMES, *FEMALE_NAMES))}) {NAME})"
-TYPES = {"email": EMAIL, "ip": IP, "secret": SECRET, "account": ACCOUNT, "ssn": SSN, "phone": PHONE, "card": CARD, "person": PERSON}
-ANY = "|".join(TYPES.values())
+
+
+def person(given_names: tuple[str, ...] = ()) -> str:
+    """The pattern of persons; `given_names` are sought beside those of the lists."""
+    known = (*MALE_NAMES, *FEMALE_NAMES, *given_names)
+    starts = "".join(sorted({n[0] for n in (*TITLES, *known)}))
+    return rf"(?=[{starts}])(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? {NAME}(?: {NAME}){{0,2}}|(?:{'|'.join(known)}) {NAME})|(?<=(?:{'|'.join(PHRASES)}) ){NAME}(?: {NAME}){{0,2}}"
+
+
+TYPES = {"email": EMAIL, "ip": IP, "secret": SECRET, "account": ACCOUNT, "ssn": SSN, "phone": PHONE, "card": CARD}
+#: Stands around entities while a text is cut.
+MARK = "\u0001"
 # Syllables of surrogate names by script, and the endings that show a gender.
 SYLLABLES = {
     "latin": ("bel", "cor", "dan", "fel", "gar", "hol", "jor", "kel", "lam", "mor", "nel", "per", "ros", "sel", "tor", "val"),
@@ -54,18 +73,28 @@ SYLLABLES = {
 ENDINGS = {"latin": {"m": "us", "f": "ia", "": "en"}, "cyrillic": {"m": "ий", "f": "ия", "": "ов"}, "greek": {"m": "ος", "f": "ία", "": "ης"}}
 
 
+PARTS = "array<struct<kind:string,canon:string>>"
+
+
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with the value computed once however often `use` refers to it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def entity_type(e: Column) -> Column:
-    """The first type whose pattern is all of the entity."""
+    """The first type whose pattern is all of the entity; `none` for numbers that are no cards."""
     out = None
     for name, pattern in TYPES.items():
+        own = F.when(_is_card(e), F.lit("card")).otherwise(F.lit("none")) if name == "card" else F.lit(name)
         hit = e.rlike(rf"^(?:{pattern})$")
-        out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
-    return out.otherwise(F.lit("secret"))
+        out = F.when(hit, own) if out is None else out.when(hit, own)
+    return out.otherwise(F.lit("person"))
+
+
+def _is_card(e: Column) -> Column:
+    digits = _digits(e)
+    valid = (_luhn(F.left(digits, F.length(digits) - 1)) + F.right(digits, F.lit(1)).cast("int")) % 10 == 0
+    return digits.rlike("^[2-6][0-9]{12,18}$") & valid
 
 
 def _digits(e: Column) -> Column:
@@ -123,8 +152,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
 
 def _drawn(kind: Column, canon: Column, attempt: Column, digest: Column) -> Column:
     digits = F.array_join(F.transform(F.split(canon, ""), lambda c, i: _pick("0123456789", digest, i)), "")
-    valid = (_luhn(F.left(canon, F.length(canon) - 1)) + F.right(canon, F.lit(1)).cast("int")) % 10 == 0
-    card = _let(F.concat(F.left(canon, F.lit(1)), F.substring(digits, F.lit(2), F.length(canon) - 1)), lambda new: _let(F.left(new, F.length(new) - 1), lambda body: F.concat(body, F.when(valid, ((10 - _luhn(body) % 10) % 10).cast("string")).otherwise(F.right(new, F.lit(1))))))
+    card = _let(F.concat(F.left(canon, F.lit(1)), F.substring(digits, F.lit(2), F.length(canon) - 2)), lambda body: F.concat(body, ((10 - _luhn(body) % 10) % 10).cast("string")))
     octet = lambda o, i: F.when(F.length(o) == 3, 100 + _draw(digest, i, 156)).when(F.length(o) == 2, 10 + _draw(digest, i, 90)).otherwise(_draw(digest, i, 10)).cast("string")
     ip = F.array_join(F.transform(F.split(canon, r"\."), octet), ".")
     top = F.regexp_extract(canon, r"\.[^.]+$", 0)
@@ -132,13 +160,13 @@ def _drawn(kind: Column, canon: Column, attempt: Column, digest: Column) -> Colu
     prefix = F.regexp_extract(canon, r"^(?:AKIA|gh[pousr]_|sk-)", 0)
     secret = F.concat(prefix, _letters(F.substring(canon, F.length(prefix) + 1, F.length(canon)), digest, hexadecimal=canon.rlike("^[0-9a-f]+$")))
     account = F.concat(F.left(canon, F.lit(2)), _letters(F.substring(canon, F.lit(3), F.length(canon)), digest))
-    gender, script = F.substring(kind, F.lit(6), F.lit(1)), _script(canon)
+    gender, script = _gender(canon), _script(canon)
     name = None
     for own, syllables in SYLLABLES.items():
         stem = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2), lambda i: F.element_at(F.array(*map(F.lit, syllables)), _draw(digest, i, len(syllables)) + 1)), ""))  # noqa: B023
         ends = F.when(gender == "m", F.lit(ENDINGS[own]["m"])).when(gender == "f", F.lit(ENDINGS[own]["f"])).otherwise(F.lit(ENDINGS[own][""]))
         name = F.when(script == own, F.concat(stem, ends)) if name is None else name.when(script == own, F.concat(stem, ends))
-    return F.when(kind.startswith("name"), name).when(kind == "card", card).when(kind.isin("phone", "ssn"), digits).when(kind == "ip", ip).when(kind == "email", email).when(kind == "account", account).otherwise(secret)
+    return F.when(kind == "name", name).when(kind == "card", card).when(kind.isin("phone", "ssn"), digits).when(kind == "ip", ip).when(kind == "email", email).when(kind == "account", account).otherwise(secret)
 
 
 def _into_shape(e: Column, new: Column, what: str) -> Column:
@@ -148,15 +176,16 @@ def _into_shape(e: Column, new: Column, what: str) -> Column:
     return done["s"]
 
 
+def _gender(name: Column) -> Column:
+    """m, f or nothing, by the name alone."""
+    return F.when(name.isin(*MALE_NAMES), F.lit("m")).when(name.isin(*FEMALE_NAMES) | name.rlike("[aаяα]$"), F.lit("f")).otherwise(F.lit(""))
+
+
 def _name_kinds(e: Column) -> Column:
-    """array<struct<kind, canon>> of a person's parts; titles have a null canon."""
-    title = F.regexp_extract(e, rf"^(?:{'|'.join((*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES))})\.?(?= )", 0)
-    bare = F.regexp_replace(title, r"\.", "")
-    names = F.split(F.ltrim(F.substring(e, F.length(title) + 1, F.length(e))), " ")
-    first = F.get(names, F.lit(0))
-    gender = F.when(bare.isin(*MALE_TITLES) | first.isin(*MALE_NAMES), F.lit("name m")).when(bare.isin(*FEMALE_TITLES) | first.isin(*FEMALE_NAMES), F.lit("name f")).otherwise(F.lit("name "))
-    given = F.transform(names, lambda n, i: F.struct(F.when(i < F.size(names) - 1, gender).otherwise(F.lit("name ")).alias("kind"), n.alias("canon")))
-    return F.when(title == "", given).otherwise(F.concat(F.array(F.struct(F.lit("title").alias("kind"), title.alias("canon"))), given))
+    """array<struct<kind, canon>> of a person's parts: a title if there is one, and the names."""
+    title = F.regexp_extract(e, rf"^(?:{'|'.join(TITLES)})\.?(?= )", 0)
+    names = F.transform(F.split(F.ltrim(F.substring(e, F.length(title) + 1, F.length(e))), " "), lambda n: F.struct(F.lit("name").alias("kind"), n.alias("canon")))
+    return F.when(title == "", names).otherwise(F.concat(F.array(F.struct(F.lit("title").alias("kind"), title.alias("canon"))), names))
 
 
 def _parts(e: Column) -> Column:
@@ -165,7 +194,7 @@ def _parts(e: Column) -> Column:
 
 
 def _typed_parts(kind: Column, e: Column) -> Column:
-    return F.when(kind == "person", _name_kinds(e)).otherwise(F.array(F.struct(kind.alias("kind"), canonical(kind, e).alias("canon"))))
+    return F.when(kind == "person", _name_kinds(e)).when(kind == "none", F.array().cast(PARTS)).otherwise(F.array(F.struct(kind.alias("kind"), canonical(kind, e).alias("canon"))))
 
 
 def _written(e: Column, redrawn: Column | None, key: str) -> Column:
@@ -176,10 +205,11 @@ def _written(e: Column, redrawn: Column | None, key: str) -> Column:
         return F.coalesce(F.get(own, F.lit(0))["attempt"], F.lit(0))
 
     def shaped(parts: Column, new: Column) -> Column:
-        kind, first = F.get(parts, F.lit(0))["kind"], F.get(new, F.lit(0))
+        kind, first = F.get(parts, F.lit(0))["kind"], F.get(new, F.lit(0))  # no part: not an entity
         cased = F.array_join(F.zip_with(F.split(e, ""), F.split(first, ""), lambda a, b: F.when(a != F.lower(a), F.upper(b)).otherwise(b)), "")
         return (
-            F.when(kind.startswith("name") | (kind == "title"), F.array_join(new, " "))
+            F.when(kind.isNull(), e)
+            .when(kind.isin("name", "title"), F.array_join(new, " "))
             .when(kind.isin("phone", "card", "ssn"), _let(first, lambda x: _into_shape(e, x, "0-9")))
             .when(kind == "account", _let(first, lambda x: _into_shape(e, x, "0-9A-Z")))
             .when(kind == "email", cased)
@@ -216,30 +246,44 @@ def redrawn_entities(entities: DataFrame, key: str, most_rounds: int = 64) -> Da
     raise ValueError("a type has as many entities as its format has values")
 
 
-def _mentions(text: Column) -> Column:
-    """All entities in text order. Texts that can't hold one are told by cheaper tests first."""
-    some = text.rlike("[0-9@]") | text.contains("sk-") | text.contains("AKIA") | text.contains("gh") & text.contains("_")
-    for name in (*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES):
-        some |= text.contains(f"{name} ") | text.contains(f"{name}. ")
-    for name in (*MALE_NAMES, *FEMALE_NAMES):
-        some |= text.contains(f"{name} ")
-    return F.when(some, F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
+def _pieces(text: Column, given_names: tuple[str, ...]) -> Column:
+    """The text cut at its entities, which have the odd places; null where the text can't hold one.
+
+    The text is searched once, for persons only if it may hold one: marks are put around entities. A text that holds
+    the mark itself is searched twice.
+    """
+    plain = "|".join(TYPES.values())
+
+    def cut_at(pattern: str) -> Column:
+        gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+        twice = F.flatten(F.zip_with(gaps, found, lambda g, e: F.when(e.isNull(), F.array(g)).otherwise(F.array(g, e))))
+        return F.when(text.contains(MARK), twice).otherwise(F.split(F.regexp_replace(text, f"({pattern})", f"{MARK}$1{MARK}"), MARK, -1))
+
+    persons = text.rlike("|".join([f"{NAME} {NAME}", *[rf"{t}\.? " for t in TITLES], *[f"{n} " for n in given_names], *PHRASES]))
+    others = text.rlike("[0-9@]|[a-f]{32}|AKIA|gh[pousr]_|sk-")
+    return F.when(persons, cut_at(f"{plain}|{person(given_names)}")).when(others, cut_at(plain))
+
+
+def _odd(pieces: Column) -> Column:
+    return F.filter(pieces, lambda x, i: i % 2 == 1)
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", given_names: tuple[str, ...] = ()) -> DataFrame:
     """Columns: row (struct), text (with surrogates), entities array<struct<type, surrogate>> in text order."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_t")).withColumn("_rid", F.monotonically_increasing_id())
-    found = rows.select("_rid", _mentions(F.col("_t")).alias("_e")).where(F.size("_e") > 0)
+    rows = numbered(docs, F.struct("*").alias("row"), F.col(text).alias("_t"))
+    found = rows.select("_rid", _odd(_pieces(F.col("_t"), given_names)).alias("_e")).where(F.size("_e") > 0)
     mentions = cut(found.select("_rid", F.explode(F.array_distinct(F.flatten(F.transform("_e", _parts)))).alias("_p")).select("_rid", "_p.*").where("kind <> 'title'"))
     again = redrawn_entities(mentions.select("kind", "canon").distinct(), key)
     out = rows
     if again is not None:
         lists = mentions.join(again, ["kind", "canon"]).groupBy("_rid").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("_again"))
         out = rows.join(lists, "_rid", "left")
-    out = out.withColumn("_e", _mentions(F.col("_t")))
     none = F.array().cast("array<struct<kind string, canon string, attempt int>>")
     redrawn = None if again is None else F.coalesce("_again", none)
-    out = out.withColumn("_s", F.when(F.size("_e") > 0, F.transform("_e", lambda e: F.struct(entity_type(e).alias("type"), _written(e, redrawn, key).alias("surrogate")))))
-    gaps = F.split("_t", ANY, -1)
+    out = out.withColumn("_c", _pieces(F.col("_t"), given_names))
+    written = lambda e: F.struct(entity_type(e).alias("type"), _written(e, redrawn, key).alias("surrogate"))
+    out = out.withColumn("_s", F.when(F.size("_c") > 1, F.transform(_odd(F.col("_c")), written)))
+    gaps = F.filter("_c", lambda x, i: i % 2 == 0)
     pieces = F.zip_with(gaps, F.col("_s"), lambda g, s: F.concat(g, F.coalesce(s["surrogate"], F.lit(""))))
-    return out.select("row", F.when(F.col("_s").isNull(), F.col("_t")).otherwise(F.array_join(pieces, "")).alias("text"), F.coalesce("_s", F.array().cast("array<struct<type string, surrogate string>>")).alias("entities"))
+    entities = F.coalesce(F.filter("_s", lambda s: s["type"] != "none"), F.array().cast("array<struct<type string, surrogate string>>"))
+    return out.select("row", F.when(F.col("_s").isNull(), F.col("_t")).otherwise(F.array_join(pieces, "")).alias("text"), entities.alias("entities"))
