@@ -69,7 +69,7 @@ def cells(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
 class Model:
     langs: list[str]
     bits: int
-    weights: np.ndarray  # cells x languages, log probabilities
+    weights: np.ndarray  # languages x cells, log probabilities
     prior: np.ndarray
 
     def predict(self, texts: list[bytes | None], evidence: float = 60.0) -> tuple[list[str], list[float]]:
@@ -83,7 +83,11 @@ class Model:
         for n in GRAMS:
             index = cells(codes, n, self.bits)
             first, last = ends - sizes, np.maximum(ends - n + 1, ends - sizes)  # n-grams across documents stay out
-            self._times(index, first, last, sums)
+            some = np.flatnonzero(last > first)
+            edges, index = np.stack((first[some], last[some]), axis=1).reshape(-1), np.append(index, 0)
+            if len(some):
+                for k, own in enumerate(self.weights):  # one column of the sparse rows' product
+                    sums[some, k] += np.add.reduceat(own[index], edges)[::2]
             grams += last - first
         best = (sums + self.prior).argmax(axis=1)
         scaled = sums * (np.minimum(grams, evidence) / grams)[:, None] + self.prior
@@ -93,19 +97,8 @@ class Model:
             pred[i], score[i] = self.langs[k], float(s[k])
         return pred, score
 
-    def _times(self, index: np.ndarray, first: np.ndarray, last: np.ndarray, out: np.ndarray, most: int = 1 << 22) -> None:
-        """Adds the product of the sparse rows index[first:last] and the weights to `out`, `most` weights at a time."""
-        step = max(1024, most // max(1, len(self.langs)))
-        for a in range(0, len(index), step):
-            b = min(a + step, len(index))
-            own = np.flatnonzero((first < b) & (last > a) & (last > first))
-            if len(own):
-                edges = np.stack((np.maximum(first[own], a), np.minimum(last[own], b)), axis=1).reshape(-1) - a
-                part = np.concatenate((self.weights[index[a:b]], np.zeros((1, len(self.langs)), "f4")))
-                out[own] += np.add.reduceat(part, edges, axis=0, dtype="f8")[::2]
 
-
-def _slices(texts: list[bytes | None], size: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[bytes | None], size: int = 250_000) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, t in enumerate(texts):
         total += len(t or b"")
@@ -124,7 +117,7 @@ def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text
     if len(per) > max_langs:
         raise ValueError(f"more than {max_langs} languages")
     langs, total = sorted(per), sum(per.values())
-    while bits > 8 and len(langs) * 4 << bits > matrix_mb << 20:
+    while bits > 8 and len(langs) * 8 << bits > matrix_mb << 20:
         bits -= 1
     share = 1.0 if total <= max_train else max_train / total
     sample = labelled.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -147,7 +140,7 @@ def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text
     place = {k: i for i, k in enumerate(langs)}
     if seen.num_rows:
         np.add.at(counts, (seen["cell"].to_numpy(), np.array([place[k] for k in seen["lang"].to_pylist()])), seen["n"].to_numpy())
-    weights = np.log(counts / counts.sum(axis=0)).astype("f4") if langs else np.zeros((1, 0), "f4")
+    weights = np.ascontiguousarray(np.log(counts / counts.sum(axis=0)).T) if langs else np.zeros((0, 1))
     return Model(langs, bits, weights, np.log(np.array([per[k] for k in langs]) / max(1, total)) if langs else np.zeros(0))
 
 

@@ -6,10 +6,10 @@
    so cuts stay where they are when lines are put in before them; every chunk keeps two lines or more.
 3. Of the chunks that repeat (equal hashes of their pairs) the first one (smallest id, then row, then line) stays; the
    others are removed with their line ends, after their texts have been compared byte by byte.
-4. Rounds follow over what is left. In the first of these, runs are also cut at pairs rarer than a pair beside them: a
-   passage whose neighbours differ from document to document is a chunk of its own then. In the others the pairs of
-   the largest rolling hash around are chunks of two lines, until no pair of lines is left that repeats.
-   At the end lines of at least `min_words` words that stand in several places are treated as chunks of one line.
+4. A passage whose neighbours differ from document to document may lie in chunks that differ. So of the pairs of lines
+   that repeat in what is left, each is a chunk of two lines: all but the first of equal pairs go, so no pair of lines
+   is left twice, while every line stays where it stands first. At the end lines of at least `min_words` words that
+   stand in several places are treated as chunks of one line.
 
 Hot lines and chunks: counts and first places are summed before the shuffle and written once; the joins with them are
 plain joins that adaptive execution can split. Nothing is collected but one document's own chunks.
@@ -38,21 +38,13 @@ def _repeated(rows: DataFrame, by: str, *more: Column) -> DataFrame:
     return cut(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), *more).where("_n > 1"))
 
 
-def chunks(pairs: DataFrame, mode: str) -> DataFrame:
-    """Pairs of lines (_rid, _k, pos, item, _n) -> their chunks (_rid, _k, start, n, chunk).
-
-    `tight`: pairs that occur less often than a neighbour bound chunks too; `pairs`: the bounds themselves are the chunks.
-    """
+def chunks(pairs: DataFrame) -> DataFrame:
+    """Repeated pairs of lines (_rid, _k, pos, item) -> their chunks (_rid, _k, start, n, chunk)."""
     by_row = Window.partitionBy("_rid").orderBy("pos")
     runs = pairs.withColumn("_run", F.col("pos") - F.row_number().over(by_row))
     run = Window.partitionBy("_rid", "_run").orderBy("pos")
     before, after = F.lag("item").over(run), F.lead("item").over(run)
-    if mode == "pairs":
-        largest = F.coalesce(F.col("item") > before, F.lit(True)) & F.coalesce(F.col("item") >= after, F.lit(True))
-        return runs.withColumn("_largest", largest).where("_largest").select("_rid", "_k", F.col("pos").alias("start"), F.lit(2).alias("n"), F.col("item").alias("chunk"))
     bound = F.coalesce((F.col("item") > before) & (F.col("item") >= after), F.lit(False))
-    if mode == "tight":
-        bound |= F.coalesce(F.col("_n") < F.greatest(F.lag("_n").over(run), F.lead("_n").over(run)), F.lit(False))
     inside = runs.withColumn("_bound", bound).where(~F.col("_bound"))
     inside = inside.withColumn("_chunk", F.col("pos") - F.row_number().over(by_row))
     return inside.groupBy("_rid", "_chunk").agg(
@@ -77,6 +69,12 @@ def _without(rows: DataFrame, gone: DataFrame, reach: int) -> DataFrame:
     return rows.join(lost.distinct(), ["_rid", "pos"], "left_anti")
 
 
+def _stretches(at: Column) -> Column:
+    """Ascending numbers -> their stretches without a gap."""
+    starts, ends = F.array_except(at, F.transform(at, lambda x: x + 1)), F.array_except(at, F.transform(at, lambda x: x - 1))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("n")))
+
+
 def _verified(places: DataFrame, rows: DataFrame) -> DataFrame:
     """The spans to remove (_rid, start, n), after a comparison of all bytes of the chunks that have equal hashes."""
     asked = places.groupBy("_rid").agg(F.collect_list(F.struct("start", "n", "chunk", "first", "round")).alias("_asked"))
@@ -104,22 +102,19 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     alone = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), F.xxhash64(F.lit("line"), x["h"]).alias("item"), (~x["long"]).alias("pair")))
     items = lines.select("_rid", "_k", F.explode(F.concat(F.filter(pairs, lambda x: x["pair"]), F.filter(alone, lambda x: ~x["pair"]))).alias("_i")).select("_rid", "_k", "_i.*")
     met = cut(items.join(_repeated(items, "item"), "item"))
-    live, long = met.where("pair").drop("pair"), met.where("not pair").select("_rid", "_k", "pos", F.col("item").alias("chunk"))
-    places, turn, modes = [], 0, ["loose", "tight", "pairs"]
-    while modes:
-        found = _places(chunks(live, modes[0]))
-        if modes[0] != "pairs" or found.isEmpty():
-            modes.pop(0)
-        if not found.isEmpty():
-            places.append(found.withColumn("round", F.lit(turn)))
-            left, long = cut(_without(live, found, 1).drop("_n")), _without(long, found, 0)
-            live, turn = cut(left.join(_repeated(left, "item"), "item")), turn + 1
-    single = _places(long.select("_rid", "_k", F.col("pos").alias("start"), F.lit(1).alias("n"), "chunk"))
-    places.append(single.withColumn("round", F.lit(turn)))
+    live, long = met.where("pair"), met.where("not pair").select("_rid", "_k", "pos", F.col("item").alias("chunk"))
+    places = [_places(chunks(live))]
+    left = cut(_without(live.select("_rid", "_k", "pos", "item"), places[0], 1))
+    places.append(_places(left.join(_repeated(left, "item"), "item").select("_rid", "_k", F.col("pos").alias("start"), F.lit(2).alias("n"), F.col("item").alias("chunk"))))
+    single = _without(_without(long, places[0], 0), places[1], 0)
+    places.append(_places(single.select("_rid", "_k", F.col("pos").alias("start"), F.lit(1).alias("n"), "chunk")))
+    places = [p.withColumn("round", F.lit(i)) for i, p in enumerate(places)]
     every = places[0]
     for more in places[1:]:
         every = every.unionByName(more)
-    gone = _verified(every, rows).groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("_gone"))
+    spans = F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("n") - 1)))
+    gone = _verified(every, rows).groupBy("_rid").agg(F.array_sort(F.array_distinct(spans)).alias("_at"))
+    gone = gone.select("_rid", _stretches(F.col("_at")).alias("_gone"))
     split, out = F.split("_t", "\n", -1), rows.join(gone, "_rid", "left")
     total = F.coalesce(F.when(F.col("_t").isNotNull(), F.size(split)), F.lit(0))
     ends = F.concat(F.transform("_gone", lambda s: s["start"]), F.array(total))

@@ -70,7 +70,7 @@ class WordTokenizer:
     the next text. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer).
     """
 
-    def __init__(self, path: str, most: int = 24 << 20) -> None:
+    def __init__(self, path: str, most: int = 48 << 20) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
