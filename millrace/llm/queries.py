@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import licenses
 from .ann import nearest
 from .common import WORD, read
 from .exact_topk import exact_top_k
@@ -96,7 +98,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _licenses_sql() -> str:
+    """op3 in DuckDB: the same tables of sentences, variations and rules, with its own chain of functions."""
+
+    def replaced(x: str, pattern: str, new: str) -> str:
+        return f"regexp_replace({x}, {_quoted(pattern)}, {_quoted(re.sub(r'[$]([0-9])', r'\\\1', new))}, 'g')"
+
+    def named(x: str) -> str:
+        x = replaced(f"translate({x}, '{licenses.UPPER}', '{licenses.LOWER}')", r"\.+([^0-9]|$)", " $1")
+        x = f"trim({replaced(x, '[^a-z0-9.]+', ' ')})"
+        for pattern, new in licenses.VARYING:
+            x = replaced(x, pattern, new)
+        return x
+
+    def table(entries: dict[str, str]) -> str:
+        return "MAP {" + ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in entries.items()) + "}"
+
+    found = "coalesce(map_extract_value(known, {x}), map_extract_value(long, array_to_string(list_slice(string_split({x}, ' '), 1, 8), ' ')))"
+    left = "array_to_string(list_transform(ids, lambda i: i || ' '), '')"
+    for pattern, name in licenses.RULES:
+        left = replaced(left, pattern, f"<{name}> ")
+    return f"""
+        WITH parts AS (
+            SELECT doc_id, CASE WHEN regexp_matches(text, {_quoted(licenses.HINT)}) THEN string_split({replaced("text", licenses.BREAK, "$1$2" + chr(1))}, chr(1)) ELSE [] END AS s FROM documents),
+        units AS (SELECT doc_id, list_transform(s, lambda x: {{'n': {named("x")}, 'l': list_transform(string_split(x, chr(10)), lambda y: {named("y")})}}) AS u,
+            {table(licenses.KNOWN)} AS known, {table(licenses.LONG)} AS long FROM parts),
+        named AS (SELECT doc_id, coalesce(flatten(list_transform(u, lambda x: CASE WHEN {found.format(x="x.n")} IS NOT NULL THEN [{found.format(x="x.n")}]
+            ELSE list_transform(x.l, lambda y: coalesce({found.format(x="y")}, '-')) END)), []) AS ids FROM units)
+        SELECT doc_id, array_to_string(list_filter(ids, lambda i: i <> '-'), ' ') AS sentences, array_to_string(regexp_extract_all({left}, '<([^>]+)>', 1), ' ') AS licenses FROM named
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op3_licenses": _licenses_sql(),
     "op6_exact_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e

@@ -396,23 +396,46 @@ def test_near_copies_against_brute_force(spark):
     assert similar.near_copies(docs.where("_rid < 0")).count() == 0
 
 
-def test_license_sentences_alone(spark):
-    texts = {
-        "APACHE2": "Licensed under the Apache License, Version 2.0", "APACHE_MAY_NOT": "You may not use this file except in compliance with the License", "APACHE_OBTAIN": "You may obtain a copy of the License at",
-        "APACHE_ASIS": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS basis", "MIT_REF": "Released under the MIT License",
-        "MIT_GRANT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-        "MIT_NOTICE": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "MIT_ASIS": "The software is provided as is, without warranty of any kind",
-        "MIT_LIABLE": "In no event shall the authors or copyright holders be liable", "GPL3_REF": "Licensed under the GNU General Public License, version 3", "GPL2_REF": "Licensed under the GNU General Public License, version 2",
-        "GPL_FREE": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License", "GPL_HOPE": "This program is distributed in the hope that it will be useful, but without any warranty",
-        "BSD_REDIST": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "BSD_SOURCE": "Redistributions of source code must retain the above copyright notice",
-        "BSD_BINARY": "Redistributions in binary form must reproduce the above copyright notice", "BSD_NAME": "Neither the name of X nor of others may be used to endorse or promote products", "BSD_ASIS": "This software is provided by the copyright holders and contributors as is",
-        "CC_BY_NC": "Released under CC BY-NC 4.0", "CC_BY_SA": "Released under Creative Commons Attribution-ShareAlike 4.0", "CC_BY": "This work is released under CC\nBY 4.0", "PUBLIC_DOMAIN": "Released into the Public Domain", "RIGHTS": "All rights reserved", "COPYRIGHT": "Copyright (c) 2020 A",
+def license_rows():
+    """Every known sentence, in several cases and line breaks, and references in their usual wordings."""
+    filled = {"public domain": "public domain"}
+    rows = []
+    for k, name in licenses.KNOWN.items():
+        for text in (filled.get(k, k), "copyright (c) 2020 A" if name == "COPYRIGHT" else f"this work is licensed {k}" if k.startswith("under ") else k):
+            text = f"released {text}" if text.startswith("under ") else "Copyright 2020 A" if text == "copyright notice" else text
+            rows += [(name, case(text) + end) for case in (str, str.upper, str.title) for end in (".", "", " \n")]
+            rows.append((name, text.replace(" ", "\n  ")))
+    for k, name in licenses.LONG.items():
+        rows += [(name, case(f"{k} and more words") + end) for case in (str, str.upper, str.title) for end in (".", "")]
+    usual = {
+        "Licensed under the Apache License, Version 2.0 (the \"License\")": "REF_Apache-2.0", "Released under the MIT License (MIT)": "REF_MIT", "SPDX-License-Identifier: GPL-2.0-or-later": "REF_GPL-2.0", "SPDX-License-Identifier: BSD-3-Clause": "REF_BSD-3-Clause", "Licensed under CC BY-NC 4.0": "REF_CC-BY-NC",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "REF_CC-BY-SA", "This program is licensed under the terms of the GNU General Public Licence, version 3 or any later version": "REF_GPL-3.0", "Distributed under the GPLv3": "REF_GPL-3.0", "The software is released under the ISC license": "REF_ISC",
+        "Copyright (c) 2020 A. All rights reserved": None, "Copyright 2001 B, All Rights Reserved": "RIGHTS", "1. Redistributions of source code must retain the above copyright notice": "BSD_SOURCE", "Neither the name of X nor the names of others may be used to endorse": "BSD_NAME",
     }
-    assert set(texts) == set(licenses.SENTENCES)
-    cases = [(k, case(t) + end) for k, t in texts.items() for case in (str, str.lower, str.upper, str.title) for end in (".", "")]
-    cases += [(k, t.replace(" ", "\n  ")) for k, t in texts.items()]
-    out = licenses.scan(spark.createDataFrame(cases, "name string, text string")).collect()
-    assert [(r["row"]["text"], r["sentences"]) for r in out if r["sentences"] != [r["row"]["name"]]] == []
+    return rows + [(n, t + ".") for t, n in usual.items() if n]
+
+
+def test_license_sentences_alone(spark):
+    out = licenses.scan(spark.createDataFrame(license_rows(), "name string, text string")).collect()
+    assert [(r["row"]["text"], r["sentences"]) for r in out if [x for x in r["sentences"] if x != "-"] != [r["row"]["name"]]][:5] == []
+
+
+def test_license_rules_and_sql(spark, tmp_path):
+    import duckdb
+
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy. The above copyright notice and this permission notice shall be included. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND. In no event shall the authors or copyright holders be liable."
+    texts = [None, "", mit, f"{mit} {mit}", mit[:60], "Licensed under MIT. Also licensed under the GPL, version 2. All rights reserved.", "Copyright (c) 2020 A. All rights reserved.", "a license for fish", "LGPL text. This library is free software; you can redistribute it. This library is distributed in the hope that x."]
+    texts += [t for _, t in license_rows()[::7]] + ["w " * 200_000 + "\n\nReleased under the MIT License."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["sentences"], r["licenses"]) for r in queries.op3_licenses(spark, str(tmp_path)).collect()}
+    want = ["", "", "MIT", "MIT MIT", "Incomplete", "MIT GPL-2.0 Proprietary", "Proprietary", "", "LGPL"]
+    assert [got[i][1] for i in range(len(want))] == want and got[len(texts) - 1][1] == "MIT"
+    con = duckdb.connect()
+    for folder in (str(tmp_path), SMALL):
+        con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{folder}/documents.parquet{'/*.parquet' if folder != SMALL else ''}'")
+        sql = {k: (s, x) for k, s, x in con.execute(queries.ORACLES["op3_licenses"]).fetchall()}
+        assert sql == {r["doc_id"]: (r["sentences"], r["licenses"]) for r in queries.op3_licenses(spark, folder).collect()}
 
 
 def test_pii_many_surnames(spark):
