@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,32 +36,33 @@ CANONICAL = {
     "netzknoten_hoes": "von der Netzausbaumaßnahme betroffene(r) Netzknoten im überlagerten HöS-Netz",
 }
 
-#: Header rules in order, on the normalised header: (key, RE2 / Java pattern found anywhere). (fixed values)
+#: Header rules in order, on the normalised header: (key, patterns that must all be found somewhere). (fixed values)
 HEADER_RULES = [
-    ("lfd_nr", r"^(lfd\.? ?nr\.?|index)$"),
-    ("massnahme", r"^(objekt/)?maßnahme$"),
-    ("projektkategorie", r"^maßnahmenart$"),
-    ("kurze_projektbeschreibung", r"kurze projektbeschreibung|^projektbeschreibung$"),
-    ("projektkategorie", r"projektkategorie"),
-    ("betriebsmittel", r"betriebsmittel"),
-    ("leitungslaenge_km", r"leitungs|zubau|^länge des|^leitungslänge \[km\]$"),
-    ("kapazitaetsaenderung_mva", r"kapazität|übertragungs"),
-    ("netzbegruendung_2", r"netztechnische.*(begründung|begründ ung).*(2\.|welchem grund|überwiegend|\(grund\)|hauptgrund)"),
-    ("netzbegruendung_1", r"netztechnische.*(begründung|begründ ung)"),
-    ("engpass_bestehend_beheben", r"engpass.*(bereits|bestehend)|(bereits|bestehend).*engpass"),
-    ("engpass_prognose_vorbeugen", r"engpass"),
-    ("optimaler_zeitpunkt", r"optimaler zeitpunkt|^benötigt bis$"),
-    ("inbetriebnahme", r"inbetriebnahme|inbtrieb|^voraussichtliches bauende$"),
-    ("baubeginn", r"baubeginn"),
-    ("verzoegerungsgrund_beschreibung", r"verzögerungsgrund.*beschreibung|beschreibung.*verzögerungsgrund"),
-    ("verzoegerungsgrund", r"verzögerungsgrund"),
-    ("kosten", r"kosten"),
-    ("projektstatus", r"projektstatus"),
-    ("genehmigungsverfahren", r"genehmigung"),
-    ("alternativen", r"alternativ"),
-    ("netzebene", r"umspann|netz.*vorrangig|vorrangig.*netz"),
-    ("teilnetzgebiet", r"teilnetzgebiet"),
-    ("netzknoten_hoes", r"netzknoten|hös-netz|^uw$"),
+    ("lfd_nr", (r"^(lfd\.? ?nr\.?|index)$",)),
+    ("massnahme", (r"^(objekt/)?maßnahme$",)),
+    ("projektkategorie", (r"^maßnahmenart$",)),
+    ("kurze_projektbeschreibung", (r"kurze projektbeschreibung|^projektbeschreibung$",)),
+    ("projektkategorie", (r"projektkategorie",)),
+    ("betriebsmittel", (r"betriebsmittel",)),
+    ("leitungslaenge_km", (r"leitungs|zubau|^länge des|^leitungslänge \[km\]$",)),
+    ("kapazitaetsaenderung_mva", (r"kapazität|übertragungs",)),
+    ("netzbegruendung_2", (r"netztechnische", r"begründ ?ung", r"2\.|welchem grund|überwiegend|\(grund\)|hauptgrund")),
+    ("netzbegruendung_1", (r"netztechnische", r"begründ ?ung")),
+    ("engpass_bestehend_beheben", (r"engpass", r"bereits|bestehend")),
+    ("engpass_prognose_vorbeugen", (r"engpass",)),
+    ("optimaler_zeitpunkt", (r"optimaler zeitpunkt|^benötigt bis$",)),
+    ("inbetriebnahme", (r"inbetriebnahme|inbtrieb|^voraussichtliches bauende$",)),
+    ("baubeginn", (r"baubeginn",)),
+    ("verzoegerungsgrund_beschreibung", (r"verzögerungsgrund", r"beschreibung")),
+    ("verzoegerungsgrund", (r"verzögerungsgrund",)),
+    ("kosten", (r"kosten",)),
+    ("projektstatus", (r"projektstatus",)),
+    ("genehmigungsverfahren", (r"genehmigung",)),
+    ("alternativen", (r"alternativ",)),
+    ("netzebene", (r"umspann",)),
+    ("netzebene", (r"netz", r"vorrangig")),
+    ("teilnetzgebiet", (r"teilnetzgebiet",)),
+    ("netzknoten_hoes", (r"netzknoten|hös-netz|^uw$",)),
 ]
 
 #: Words that mark a column worth searching. (fixed values)
@@ -90,14 +95,15 @@ def normalize_header(name: Column) -> Column:
 def classify_header(name: Column) -> Column:
     """The canonical key of a raw header, or null."""
     n, out = normalize_header(name), F.lit(None).cast("string")
-    for key, pattern in reversed(HEADER_RULES):
-        out = F.when(n.rlike(pattern), F.lit(key)).otherwise(out)
+    for key, patterns in reversed(HEADER_RULES):
+        out = F.when(reduce(and_, [n.rlike(p) for p in patterns]), F.lit(key)).otherwise(out)
     return out
 
 
 def header_key(name: Column) -> Column:
-    """The canonical key, or _extra_<normalised header>."""
-    return F.coalesce(classify_header(name), F.concat(F.lit("_extra_"), normalize_header(name)))
+    """The canonical key, or _extra_<normalised header>; a header that is blank stays as it is."""
+    n = normalize_header(name)
+    return F.when(n == "", name).otherwise(F.coalesce(classify_header(name), F.concat(F.lit("_extra_"), n)))
 
 
 def is_data_cell(cell: Column) -> Column:
@@ -137,6 +143,17 @@ def similarity(a: Column, b: Column) -> Column:
     return F.round(100 * (1 - F.levenshtein(F.lower(a), F.lower(b)) / longest), 4)
 
 
+def token_similarity(a: Column, b: Column) -> Column:
+    """0 to 100: the better of the plain score, 95 % of that of the sorted words, and 90 where all words of one text,
+    in order, stand inside the other as whole words (texts without a word left out)."""
+    words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    line = lambda c: F.array_join(words(c), " ")
+    spaced = lambda c: F.concat(F.lit(" "), line(c), F.lit(" "))
+    ordered = similarity(F.array_join(F.array_sort(words(a)), " "), F.array_join(F.array_sort(words(b)), " "))
+    inside = (line(a) != "") & (line(b) != "") & (spaced(a).contains(spaced(b)) | spaced(b).contains(spaced(a)))
+    return F.greatest(similarity(a, b), F.round(ordered * 0.95, 4), F.when(inside, F.lit(90.0)).otherwise(F.lit(0.0)))
+
+
 def page_ranges(raw: Column, pages: Column) -> Column:
     """"1-3, 7" -> array<struct<first, last>>; blank text, reversed or outside ranges raise an error."""
     part = F.transform(F.split(raw, ","), lambda p: F.split(F.trim(p), r"\s*-\s*"))
@@ -207,15 +224,91 @@ def replace_in_order(text: Column, entries: Column) -> Column:
 
 
 def variants(name: Column, words: tuple[str, ...] = SYNONYMS) -> Column:
-    """The name with each of the words in place of any of them."""
-    return F.array(*[F.regexp_replace(name, "|".join(words), w) for w in words])
+    """The name with each of the words in place of any of them; words are taken literally."""
+    any_ = "|".join(re.sub(r"([^\w\s])", r"\\\1", w) for w in words)
+    return F.array(*[F.regexp_replace(name, any_, w.replace("\\", "\\\\").replace("$", "\\$")) for w in words])
 
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def norm(a: Column) -> Column:
+    return F.sqrt(dot(a, a))
+
+
+def unit(a: Column) -> Column:
+    """The vector at length 1; a zero vector stays."""
+    return F.transform(a, lambda x: x.cast("double") / F.when(norm(a) == 0, F.lit(1.0)).otherwise(norm(a)))
+
+
+def prefixed(tags: Column, prefix: str = "tag::") -> Column:
+    """A map's keys under a prefix."""
+    return F.transform_keys(tags, lambda k, v: F.concat(F.lit(prefix), k))
+
+
+def page_coordinate(share: Column, size: Column) -> Column:
+    """A point in 0..1 of the page -> whole points, cut off (not rounded)."""
+    return (share * size).cast("int")
+
+
+def with_prefix(settings: Column, prefix: str = "text_") -> Column:
+    """The settings whose names begin with the prefix, without it."""
+    own = F.map_filter(settings, lambda k, v: k.startswith(prefix))
+    return F.transform_keys(own, lambda k, v: F.substring(k, F.lit(len(prefix) + 1), F.length(k)))
+
+
+def settings_map(text: Column) -> Column:
+    """A JSON object's values as text; null where the text is no JSON object."""
+    clean = strip(text)
+    return F.when(clean.startswith("{") & F.try_parse_json(clean).isNotNull(), F.from_json(clean, "map<string,string>"))
+
+
+def settings_problem(text: Column) -> Column:
+    """Why `settings_map` has no result: null where it has one."""
+    return F.when(strip(F.coalesce(text, F.lit(""))) == "", F.lit("no settings")).when(settings_map(text).isNull(), F.lit("not a JSON object"))
+
+
+def base64_text(content: Column) -> Column:
+    """Base64 in one line."""
+    return F.regexp_replace(F.base64(content), r"\s", "")
+
+
+def label_key(row_hash: Column, candidate: Column) -> Column:
+    return F.struct(row_hash.alias("row_hash"), candidate.alias("candidate"))
+
+
+def way_url(way: Column, base: str = "https://www.openstreetmap.org/way/") -> Column:
+    return F.concat(F.lit(base), way.cast("bigint").cast("string"))
+
+
+def row_json(columns: list[str], by_name: bool = True) -> Column:
+    """A row as one JSON object with nulls kept; columns in order of their names, or as given."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in (sorted(columns) if by_name else columns)]), {"ignoreNullFields": "false"})
+
+
+def few_shot(rows: Column, answers: Column) -> Column:
+    """Examples for a prompt: `row -> answer`, three line ends between examples."""
+    return F.array_join(F.zip_with(rows, answers, lambda r, a: F.concat(r, F.lit(" -> "), a)), "\n\n\n")
+
+
+def without_labels(columns: list[str], word: str = "label") -> list[str]:
+    """The columns whose name doesn't hold the word."""
+    return [c for c in columns if word not in c]
+
+
+def display_order(columns: list[str], first: list[str]) -> list[str]:
+    """The columns: those of `first` that exist, then the others, each once."""
+    return list(dict.fromkeys([*[c for c in first if c in columns], *columns]))
+
+
 def row_identity(columns: list[str]) -> Column:
-    """The sum of all cells' hashes modulo 2^64."""
-    wide = [F.coalesce(F.xxhash64(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("decimal(20,0)") for c in columns]
-    return F.pmod(sum(wide[1:], wide[0]).cast("decimal(38,0)"), F.lit(str(2**64)).cast("decimal(38,0)")).cast("decimal(20,0)")
+    """The sum of all cells' hashes modulo 2^64: a cell's hash depends on its column's name, so order doesn't matter and
+    null (0) differs from any value. A hash is the first eight bytes of the MD5 of name, unit separator and value."""
+
+    def cell(c: str) -> Column:
+        text = F.concat(F.lit(f"{c}\x1f"), F.col(f"`{c}`").cast("string"))
+        return F.coalesce(F.conv(F.left(F.md5(text), F.lit(16)), 16, 10).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+
+    total = reduce(lambda a, b: (a + b).cast("decimal(38,0)"), [cell(c) for c in columns])
+    return F.pmod(total, F.lit(str(2**64)).cast("decimal(38,0)")).cast("decimal(20,0)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
@@ -71,14 +71,53 @@ def distinct_rows(rows: DataFrame, by: list[str], place: str) -> DataFrame:
 
 
 def histogram(rows: DataFrame, column: str, width: float) -> DataFrame:
-    """(bin, n): counts over bins of `width` that begin at the smallest value."""
-    low = rows.agg(F.min(column)).first()[0]
+    """(bin, low, n): counts over bins of `width` whose edges begin at the smallest value; when run, an error if there
+    is no value."""
+    low, some = rows.agg(F.min(column), F.count(column)).first()
+    if not some:
+        raise ValueError(f"no values in {column}")
     placed = rows.where(F.col(column).isNotNull()).select(F.floor((F.col(column) - F.lit(low)) / width).cast("long").alias("bin"))
-    return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).select("bin", (F.lit(float(low)) + F.col("bin") * width).alias("low"), "n")
 
 
-def spelled_out(wide: DataFrame) -> DataFrame:
-    """Canonical keys under their display names, and each extra key as a column (names sorted)."""
-    names = [r[0] for r in wide.select(F.explode(F.map_keys("extra"))).distinct().orderBy("col").limit(10_000).collect()]
+def spelled_out(wide: DataFrame, most: int = 10_000) -> DataFrame:
+    """Canonical keys under their display names, and each extra key as a column (names sorted); more than `most` extra
+    keys raise ValueError."""
+    names = [r[0] for r in wide.select(F.explode(F.map_keys("extra"))).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} extra columns")
     fixed = [F.col(k).alias(v) for k, v in T.CANONICAL.items()]
-    return wide.select("source_file", "operator_id", "operator_name", *fixed, *[F.col("extra")[n].alias(n) for n in names])
+    return wide.select("source_file", "operator_id", "operator_name", *fixed, *[F.col("extra")[n].alias(n) for n in sorted(names)])
+
+
+def reordered(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns in order; those that don't exist are null text."""
+    return df.select(*[F.col(f"`{n}`") if n in df.columns else F.lit(None).cast("string").alias(n) for n in names])
+
+
+def renames(columns: list[str], spark: SparkSession) -> dict[str, str]:
+    """Old -> new name: the display name of a known header, else its _extra_ key; blank headers are left out."""
+    found = spark.createDataFrame([(c,) for c in columns], "name string").select("name", T.header_key(F.col("name")).alias("key")).collect()
+    return {r["name"]: T.CANONICAL.get(r["key"], r["key"]) for r in found if r["name"].strip()}
+
+
+def values_under(cells: DataFrame, pattern: str, file: str = "source_file") -> DataFrame:
+    """(value): the distinct cleaned cells below row 0 of each file's column whose header matches the pattern, sorted.
+
+    When run, an error if a file has several such columns. Blank cells count as values, null ones don't.
+    """
+    head = cells.where("row_no = 0").select(file, F.posexplode("cells").alias("col_no", "name"))
+    own = head.where(F.col("name").rlike(f"(?iu){pattern}")).groupBy(file).agg(F.count(F.lit(1)).alias("_n"), F.min("col_no").alias("col_no"))
+    own = own.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("several columns match")).cast("boolean")))
+    value = F.replace(F.trim(F.get("cells", F.col("col_no"))), F.lit("\n"), F.lit(""))
+    return cells.where("row_no > 0").join(own, file).select(value.alias("value")).where("value is not null").distinct().orderBy("value")
+
+
+def widths(cells: DataFrame, file: str = "source_file") -> DataFrame:
+    """(file, width): the most cells that a row of the file has."""
+    return cells.groupBy(file).agg(F.max(F.size("cells")).alias("width"))
+
+
+def without_empty_rows(df: DataFrame) -> DataFrame:
+    """Rows with at least one value."""
+    return df.na.drop("all")

@@ -1,46 +1,130 @@
-"""Review labels: upserts, membership, triplets, checks, samples and splits."""
+"""Review labels: upserts, lookups, membership, triplets, checks, samples and splits."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The last write of each key wins (largest `version`); one partial aggregate, no sort."""
-    rows = old.unionByName(new, allowMissingColumns=True)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), F.col(version)).alias("_r")).select("_r.*")
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str, place: str | None = None) -> DataFrame:
+    """The last write of each key wins: the largest `version` (null first), of equal ones the new row, then the largest.
+
+    `place`, if named, keeps the smallest value of a key's writes, so that a row stays where it was first put. One
+    partial aggregate, no sort.
+    """
+    rows = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    names = [c for c in rows.columns if c != "_new"]
+    order = F.struct(F.col(version).isNotNull().alias("a"), F.col(version).alias("b"), F.col("_new").alias("c"), F.struct(*[F.col(c) for c in names if c not in keys]).cast("string").alias("d"))
+    first = [F.min(place).alias("_place")] if place else []
+    out = rows.groupBy(*keys).agg(F.max_by(F.struct(*names), order).alias("_r"), *first)
+    return out.select(*[F.col("_place").alias(c) if c == place else F.col("_r")[c].alias(c) for c in names])
+
+
+def _same(rows: DataFrame, labels: DataFrame, key: str) -> Column:
+    return rows[key].eqNullSafe(labels[key])
 
 
 def unlabelled(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    return rows.join(labels.select(key), key, "left_anti")
+    """Rows whose key (null counts as a key) has no label."""
+    labels = labels.select(key).distinct()
+    return rows.join(labels, _same(rows, labels, key), "left_anti")
 
 
 def labelled(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    return rows.join(labels.select(key), key, "left_semi")
+    labels = labels.select(key).distinct()
+    return rows.join(labels, _same(rows, labels, key), "left_semi")
+
+
+def existing_labels(asked: DataFrame, labels: DataFrame, row: str, candidate: str, label: str) -> DataFrame:
+    """The labels of each asked (row, candidate): of that pair, or, where no candidate is asked, all of the row.
+
+    `asked` has both columns; a pair without a label stays with a null one.
+    """
+    known = labels.select(F.col(row).alias("_row"), F.col(candidate).alias("labelled_candidate"), F.col(label).alias(label))
+    hit = (F.col(row) == F.col("_row")) & (F.col(candidate).isNull() | (F.col(candidate) == F.col("labelled_candidate")))
+    return asked.join(known, hit, "left").drop("_row")
+
+
+def first_label(asked: DataFrame, labels: DataFrame, key: str, place: str) -> DataFrame:
+    """The label row of each asked key that comes first by `place`."""
+    first = labels.groupBy(key).agg(F.min_by(F.struct(*[c for c in labels.columns if c != key]), F.col(place)).alias("_r"))
+    return asked.join(first, key, "left").select(*asked.columns, "_r.*")
 
 
-def triplets(labels: DataFrame, anchor: str, candidate: str, label: str, yes: object = 1, no: object = 0) -> DataFrame:
-    """(anchor, positive, negative): every accepted with every rejected candidate of an anchor."""
+def next_candidate(ranked: DataFrame, seen: DataFrame, key: str, rank: str = "rank") -> DataFrame:
+    """For each key of `seen` (key, rank): the candidate one rank further, or a null one where the list is at its end."""
+    asked = seen.select(key, (F.col(rank) + 1).alias(rank))
+    return asked.join(ranked, [key, rank], "left")
+
+
+def at_most_one(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows; when run, an error if a key has several."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rows.columns)).alias("_r"))
+    checked = counted.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("a key has several rows")).cast("boolean")))
+    return checked.select("_r.*")
+
+
+def triplets(labels: DataFrame, anchor: str, candidate: str, label: str, yes: object = 1, no: object = 0, texts: DataFrame | None = None, key: str | None = None, parts: int = 1) -> DataFrame:
+    """(anchor, positive, negative): every accepted with every rejected candidate of an anchor.
+
+    With `texts` (key and `text`), the candidates are replaced by their texts. `parts` deals the accepted ones of an
+    anchor to that many tasks, for anchors with many of either; the result itself is their product.
+    """
     side = lambda value, name: labels.where(F.col(label) == F.lit(value)).select(anchor, F.col(candidate).alias(name))
-    return side(yes, "positive").join(side(no, "negative"), anchor)
+    good = side(yes, "positive").withColumn("_part", F.pmod(F.xxhash64("positive"), F.lit(parts)))
+    bad = side(no, "negative").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    out = good.join(bad, [anchor, "_part"]).select(anchor, "positive", "negative")
+    for name in ("positive", "negative") if texts is not None else ():
+        own = texts.select(F.col(key).alias(name), F.col("text").alias("_text"))
+        out = out.join(own, name).drop(name).withColumnRenamed("_text", name)
+    return out.select(anchor, "positive", "negative")
 
 
 def consistent(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
-    """(key, rows, consistent): whether all of a key's rows carry the same payload."""
-    told = F.xxhash64(*[F.col(c) for c in sorted(payload)], *[F.col(c).isNull() for c in sorted(payload)])
+    """(key, rows, consistent): whether all of a key's rows carry the same payload, compared as JSON with sorted names."""
+    told = F.to_json(F.struct(*[F.col(c) for c in sorted(payload)]), {"ignoreNullFields": "false"})
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), (F.min(told) == F.max(told)).alias("consistent"))
 
 
+def draw(seed: int, *keys: str) -> Column:
+    """A seeded number for a row: the first eight hexadecimal digits of an MD5, the same in every engine."""
+    return F.conv(F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), F.lit(8)), 16, 10).cast("long")
+
+
 def split(rows: DataFrame, key: str, share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds `part` (test or train) by a seeded hash of the key: no shuffle, the same at every run."""
-    return rows.withColumn("part", F.when(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(10_000)) < int(share * 10_000), "test").otherwise("train"))
+    """Adds `part` (test or train) by a seeded draw of the key: no shuffle, the same at every run; rows of a key stay
+    together, so with the anchor as key no anchor is in both parts."""
+    return rows.withColumn("part", F.when(draw(seed, key) % 10_000 < int(share * 10_000), "test").otherwise("train"))
 
 
 def sample_by_file(rows: DataFrame, file: str, key: str, seed: int) -> DataFrame:
-    """One random row of every file: the one with the smallest seeded hash."""
-    h = F.xxhash64(F.lit(seed), key)
-    return rows.groupBy(file).agg(F.min_by(F.struct(*[c for c in rows.columns if c != file]), F.struct(h, F.col(key))).alias("_r")).select(file, "_r.*")
+    """One random row of every file: the one with the smallest seeded draw."""
+    order = F.struct(draw(seed, key), F.col(key))
+    return rows.groupBy(file).agg(F.min_by(F.struct(*[c for c in rows.columns if c != file]), order).alias("_r")).select(file, "_r.*")
+
+
+def random_row(rows: DataFrame, file: str, key: str, seed: int, labels: DataFrame | None = None) -> DataFrame:
+    """One random row: a file is drawn first, so rows of small files come up more often; labelled keys are left out."""
+    rows = rows if labels is None else unlabelled(rows, labels, key)
+    each = sample_by_file(rows, file, key, seed)
+    return each.orderBy(draw(seed + 1, file), file).limit(1)
+
+
+def resampled(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """`n` rows drawn with replacement: each of n seeded draws takes the row of that number in the order of the key.
+
+    The rows' numbers are found in one task for a key's range only, by counts of ranges (two levels).
+    """
+    spark, total = rows.sparkSession, rows.count()
+    if not total:
+        return rows.withColumn("draw", F.lit(0).cast("long"))
+    parts = rows.withColumn("_part", F.pmod(F.crc32(F.col(key).cast("string")), F.lit(max(1, total // 100_000 + 1))))
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    number = F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    numbered = parts.join(before, "_part").withColumn("_at", number).drop("_part", "_before")
+    draws = spark.range(n).select(F.col("id").alias("draw"), (draw(seed, "id") % F.lit(total)).alias("_at"))
+    return draws.join(numbered, "_at").drop("_at")
 
 
 def chunked(rows: DataFrame, position: str, size: int = 10) -> DataFrame:

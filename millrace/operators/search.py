@@ -3,66 +3,150 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 
+#: Between the columns of a row that is searched as one text, and the name of the score's column. (fixed values)
+BETWEEN, SCORE = " | ", "_search_score"
+
 
 def by_regex(df: DataFrame, columns: list[str], pattern: str, case: bool = False) -> DataFrame:
-    """Rows in which any of the columns (those that exist) holds the pattern; all rows where there is nothing to seek."""
+    """Rows in which any of the columns (those that exist) holds the pattern; all rows where there is nothing to seek.
+
+    A pattern that isn't valid raises ValueError at once.
+    """
     own = [c for c in columns if c in df.columns]
     if not pattern or not columns:
         return df
+    full = pattern if case else f"(?iu){pattern}"
+    try:
+        df.sparkSession._jvm.java.util.regex.Pattern.compile(full)
+    except IllegalArgumentException as e:
+        raise ValueError(f"not a regular expression: {pattern}") from e
     found = F.lit(False)
     for c in own:
-        found |= T.single_blanks(F.coalesce(F.col(c).cast("string"), F.lit(""))).rlike(pattern if case else f"(?iu){pattern}")
+        found |= T.single_blanks(F.coalesce(F.col(c).cast("string"), F.lit(""))).rlike(full)
     return df.where(found)
 
 
-def by_similarity(df: DataFrame, columns: list[str], query: str, cutoff: float = 70.0) -> DataFrame:
-    """Rows whose joined columns are like the query; adds _search_score, best first."""
+def by_similarity(df: DataFrame, columns: list[str], query: str, cutoff: float = 70.0, ties: tuple[str, ...] = (), scorer: Callable[[Column, Column], Column] = T.similarity) -> DataFrame:
+    """Rows whose joined columns are like the query; adds SCORE, best first, then by `ties` and the columns searched."""
     if not query.strip() or not columns:
         return df
     own = [c for c in columns if c in df.columns]
     if not own:
         return df.limit(0)
-    joined = T.strip(T.single_blanks(F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in own])))
-    score = F.when(joined == "", 0.0).otherwise(T.similarity(F.lit(query), joined))
-    return df.withColumn("_search_score", score).where(F.col("_search_score") >= cutoff).orderBy(F.desc("_search_score"))
+    joined = T.strip(T.single_blanks(F.concat_ws(BETWEEN, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in own])))
+    score = F.when(joined == "", 0.0).otherwise(scorer(F.lit(query), joined))
+    return df.withColumn(SCORE, score).where(F.col(SCORE) >= cutoff).orderBy(F.desc(SCORE), *ties, *own)
+
+
+def _prefixes(texts: DataFrame, least: float) -> DataFrame:
+    """t -> t, _n (length), _short, _grams: the rarest pairs of letters of which two similar texts share one.
+
+    One edit changes two pairs of letters at most. A text of n letters is at most (1 - least) / least * n edits away
+    from any text like it, so with twice as many pairs and one more there is one that no edit changed. Texts that have
+    not so many pairs are `_short`.
+    """
+    low = texts.select("t", F.lower("t").alias("_l")).withColumn("_n", F.char_length("_l"))
+    pairs = F.when(F.col("_n") > 1, F.transform(F.sequence(F.lit(1), F.col("_n") - 1), lambda i: F.substring("_l", i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    low = low.withColumn("_p", pairs).withColumn("_need", (2 * F.floor(F.col("_n") * (1 - least) / least + 1e-9) + 1).cast("int"))
+    told = F.transform("_p", lambda g, i: F.concat(g, F.size(F.filter(F.slice("_p", 1, i + 1), lambda x: x == g)).cast("string")))
+    low = low.select("t", "_n", "_need", (F.size("_p") < F.col("_need")).alias("_short"), told.alias("_g"))
+    each = low.select("t", "_n", "_need", F.explode("_g").alias("_g"))
+    often = each.groupBy("_g").agg(F.count(F.lit(1)).alias("_often"))
+    rare = each.join(often, "_g").groupBy("t").agg(F.slice(F.array_sort(F.collect_list(F.struct("_often", "_g"))), F.lit(1), F.first("_need")).alias("_r"))
+    return low.select("t", "_n", "_short").join(rare, "t", "left").select("t", "_n", "_short", F.transform("_r", lambda x: x["_g"]).alias("_grams"))
 
 
 def fuzzy_matches(names: DataFrame, name: str, candidates: DataFrame, key: str, label: str, cutoff: float = 75.0, k: int = 10) -> DataFrame:
     """(name, key, label, score, rank): the k candidates most like each distinct name, ties to the smaller key.
 
     Equal names and equal labels are compared once; a label that several candidates share stands for the smallest
-    key. An edit distance within the cutoff bounds the difference in length, so names and labels meet by length: an
-    equi-join that adaptive execution can split, never all pairs.
+    key. Names and labels meet where they share one of their rarest pairs of letters (see _prefixes: no match is lost);
+    texts too short for that meet all texts whose length is within the cutoff's reach.
     """
-    asked = names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
-    least, size = cutoff / 100, F.char_length("name")
-    spread = asked.withColumn("_len", F.explode(F.sequence(F.ceil(size * least).cast("int"), F.floor(size / least).cast("int") + 1)))
+    if cutoff <= 0:
+        raise ValueError("the cutoff must be above 0")
+    least = cutoff / 100
+    asked = names.where(F.col(name).isNotNull()).select(F.col(name).alias("t")).distinct()
     labels = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(key).alias("key"))
-    labels = labels.withColumn("_len", F.char_length("label"))
-    scored = spread.join(labels, "_len").withColumn("score", T.similarity(F.col("name"), F.col("label"))).where(F.col("score") >= cutoff)
+    known = labels.select(F.col("label").alias("t"))
+    texts = _prefixes(asked.withColumn("_a", F.lit(1)).unionByName(known, allowMissingColumns=True).select("t").distinct(), least)
+    one = texts.join(asked, "t", "left_semi").select(F.col("t").alias("name"), F.col("_n").alias("_m"), F.col("_short").alias("_few"), F.col("_grams").alias("_own"))
+    other = texts.join(known, "t", "left_semi").select(F.col("t").alias("label"), "_n", "_short", "_grams")
+    near = (F.col("_n") >= F.col("_m") * least - 1e-9) & (F.col("_m") >= F.col("_n") * least - 1e-9)
+    met = one.withColumn("_x", F.explode("_own")).join(other.withColumn("_x", F.explode("_grams")), "_x").where(near).select("name", "label")
+    reach = one.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_m") * least - 1e-9).cast("int"), F.floor(F.col("_m") / least + 1e-9).cast("int"))))
+    short = reach.join(other, "_n").where("_few or _short").select("name", "label")
+    pairs = met.union(short).distinct().join(labels, "label")
+    scored = pairs.withColumn("score", T.similarity(F.col("name"), F.col("label"))).where(F.col("score") >= cutoff)
     rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "key"))
     return scored.select("name", "key", "label", "score", rank.alias("rank")).where(F.col("rank") <= k)
 
 
-def vector_matches(queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = 5, block: int = 4096) -> DataFrame:
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return lists.flatten().to_numpy(zero_copy_only=False).astype("f8").reshape(len(lists), -1)
+
+
+def vector_matches(queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = 5, block_mb: int = 16) -> DataFrame:
     """(query_id, vec_id, score, rank): each stated query's k largest dot products among the other candidates.
 
-    About `block` queries at a time are broadcast and meet all candidates.
+    Queries are read and broadcast in blocks of at most about `block_mb`; each block meets every batch of candidates as
+    a matrix product, of which a task keeps the k best of each query. Scores have six decimals, ties go to the smaller
+    key. Rows with a null key or vector take no part; all vectors must be of one length.
     """
-    blocks = max(1, math.ceil(queries.count() / block))
-    c = candidates.select(F.col(key).alias("vec_id"), F.col(vector).alias("_c"))
-    found = None
+    queries, candidates = (d.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")) for d in (queries, candidates))
+    rows, width = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    blocks, found = max(1, math.ceil(rows * (width or 1) * 8 / (block_mb << 20))), None
     for b in range(blocks):
-        own = queries.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == b)
-        q = own.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
-        part = c.join(F.broadcast(q), F.col("query_id") != F.col("vec_id"))
-        part = part.select("query_id", "vec_id", F.round(T.dot(F.col("_q"), F.col("_c")), 6).alias("score"))
+        own = queries.where(F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(blocks)) == b).toArrow()
+        shared = queries.sparkSession.sparkContext.broadcast((own["id"].to_numpy(), _matrix(own["v"]) if own.num_rows else np.zeros((0, 1))))
+
+        def run(batches: Iterable[pa.RecordBatch], shared: object = shared) -> Iterator[pa.RecordBatch]:
+            ids, q = shared.value
+            best_s, best_i = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), "i8")
+            for batch in batches:
+                if batch.num_rows and len(ids):
+                    other = batch.column(0).to_numpy()
+                    raw = q @ _matrix(batch.column(1)).T
+                    score = np.sign(raw) * np.floor(np.abs(raw) * 1e6 + 0.5) / 1e6
+                    score[ids[:, None] == other[None, :]] = -np.inf
+                    best_s, best_i = np.concatenate((best_s, score), axis=1), np.concatenate((best_i, np.broadcast_to(other, score.shape)), axis=1)
+                    top = np.lexsort((best_i, -best_s), axis=1)[:, :k]
+                    best_s, best_i = np.take_along_axis(best_s, top, axis=1), np.take_along_axis(best_i, top, axis=1)
+            i, j = np.nonzero(best_s > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(best_i[i, j]), pa.array(best_s[i, j])], names=["query_id", "vec_id", "score"])
+
+        part = candidates.mapInArrow(run, "query_id long, vec_id long, score double")
         found = part if found is None else found.union(part)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def looked_up(matches: DataFrame, table: DataFrame, key: str, rank: str = "rank") -> DataFrame:
+    """The rows of `table` behind matched keys, each with its match's columns, in match order."""
+    return matches.join(table, key).orderBy(rank, key)
+
+
+def exactly_one(df: DataFrame, where: Column) -> DataFrame:
+    """The one row that fulfils the condition; when run, an error if there are none or several."""
+    hit = df.where(where)
+    counted = hit.agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*hit.columns)).alias("_r"))
+    sure = F.when(F.col("_n") == 1, F.col("_r")).otherwise(F.raise_error(F.concat(F.lit("rows found: "), F.col("_n").cast("string"))).cast(hit.select(F.struct("*").alias("r")).schema["r"].dataType))
+    return counted.select(sure.alias("_r")).select("_r.*")
+
+
+def selected(shown: DataFrame, every: DataFrame, key: str, clicked: object, remembered: object) -> DataFrame:
+    """The clicked row of those shown, else the remembered one of those shown, else the remembered one of all."""
+    one = lambda df, value, order: df.where(F.col(key) == F.lit(value)).withColumn("_order", F.lit(order))
+    found = one(shown, clicked, 0).unionByName(one(shown, remembered, 1)).unionByName(one(every, remembered, 2))
+    return found.orderBy("_order", key).limit(1).drop("_order")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators import headers, labels, search
+from millrace.operators import headers, labels, models, pages, search
+from millrace.sources import files, osm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +20,44 @@ CODES = [("ring", "loop"), ("loop", "hoop"), ("small", None), ("large", "big")]
 #: Terms that stand for each other in part names.
 TERMS = ("ring", "gear", "bolt")
 RANGES = ["1-3", "2, 4-6, 5", "7", " 1 - 2 ,9-9"]
-HEADERS = [*T.CANONICAL.values(), "Lfd.Nr.", "Begrün-\ndung", "Maß­nahme", "Objekt/Maßnahme", "benötigt bis", "UW", "Zubau  Leitung", "unbekannt", ""]
+#: Raw headers and their keys, worked out by hand.
+HEADERS = {
+    "lfd. Nr.": "lfd_nr", "Lfd.Nr.": "lfd_nr", "LFD NR": "lfd_nr", "Index": "lfd_nr", "lfd. Nr. 2": "_extra_lfd. nr. 2", "Maßnahme": "massnahme", "Maß­nahme": "massnahme", "Objekt/Maßnahme": "massnahme", "Maßnahmenart": "projektkategorie", "Maßnahme 2": "_extra_maßnahme 2",
+    "kurze\nProjektbeschreibung": "kurze_projektbeschreibung", "Projektbeschreibung": "kurze_projektbeschreibung", "lange Projektbeschreibung": "_extra_lange projektbeschreibung", "Die Projektkategorie": "projektkategorie", "Betriebs-\nmittel": "betriebsmittel", "Zubau  Leitung": "leitungslaenge_km", "Länge des Kabels": "leitungslaenge_km",
+    "Die Länge des Kabels": "_extra_die länge des kabels", "Leitungslänge [km]": "leitungslaenge_km", "Übertragungs-\nkapazität": "kapazitaetsaenderung_mva", "Kapazität": "kapazitaetsaenderung_mva", "netztechnische Begründung": "netzbegruendung_1", "Begründung, netztechnische": "netzbegruendung_1", "netztechnische Begründ ung (Grund)": "netzbegruendung_2",
+    "2. netztechnische Begründung": "netzbegruendung_2", "Begründung netztechnische, Hauptgrund": "netzbegruendung_2", "Aus welchem Grund, Begründung netztechnische": "netzbegruendung_2", "Begründung": "_extra_begründung", "bestehend: Engpass": "engpass_bestehend_beheben", "Engpass bereits da": "engpass_bestehend_beheben", "Engpass": "engpass_prognose_vorbeugen",
+    "benötigt bis": "optimaler_zeitpunkt", "ist benötigt bis": "_extra_ist benötigt bis", "optimaler Zeitpunkt der Inbetriebnahme": "optimaler_zeitpunkt", "Inbtrieb": "inbetriebnahme", "voraussichtliches Bauende": "inbetriebnahme", "Baubeginn": "baubeginn", "Beschreibung Verzögerungsgrund": "verzoegerungsgrund_beschreibung", "Verzögerungsgrund": "verzoegerungsgrund",
+    "Kosten": "kosten", "Projektstatus": "projektstatus", "Genehmigung": "genehmigungsverfahren", "Alternativen": "alternativen", "vorrangig Netz": "netzebene", "Umspannebene": "netzebene", "Teilnetzgebiet": "teilnetzgebiet", "UW": "netzknoten_hoes", "UW Nord": "_extra_uw nord", "HöS-Netz": "netzknoten_hoes", "unbekannt": "_extra_unbekannt", "": "", " ": " ",
+}
+
+
+class Echo:
+    """A client that answers from the request alone, for queries without a model."""
+
+    def __init__(self, kind: str) -> None:
+        self.kind = kind
+
+    def ask(self, requests: list[str]) -> list[str | None]:
+        return [getattr(self, self.kind)(r) for r in requests]
+
+    def clues(self, request: str) -> str:
+        row = json.loads(json.loads(request)["messages"][1]["content"])
+        return json.dumps({"location_clues": [row["s_name"]], "asset_type": "substation" if row["s_nationkey"] % 2 else "no such type"})
+
+    def chunk(self, request: str) -> str:
+        return json.dumps([str(len(json.loads(line)["role"])) for line in request.split("\n")[1:]])
+
+    def vector(self, request: str) -> str:
+        return json.dumps([len(request), 2])
+
+    def place(self, request: str) -> str:
+        asked = json.loads(request)
+        return json.dumps([{"name": asked["q"], "country": asked["countrycodes"], "n": str(i)} for i in range(12)])
+
+    def operator(self, request: str) -> str | None:
+        i = int(request)
+        return None if i % 3 == 0 else json.dumps({"name": f"Netz {i}", "documents": [{"_id": f"d{k}", "name": "a/b.pdf"} for k in range(i % 3 - 1)]})
+
 
 
 def query(sql: str | None = None) -> Callable:
@@ -35,8 +74,6 @@ def _values(rows: list[str]) -> str:
     return ", ".join("('" + r.replace("'", "''") + "')" for r in rows)
 
 
-_SQL_HEADER = r"lower(trim(regexp_replace(regexp_replace(replace(h, chr(173), ''), '-\s+', '', 'g'), '\s+', ' ', 'g')))"
-_SQL_CASE = "CASE " + " ".join(f"WHEN regexp_matches(n, '{p}') THEN '{k}'" for k, p in T.HEADER_RULES) + " END"
 _SQL_SIMILAR = "round(100 * (1 - levenshtein(lower({a}), lower({b})) / greatest(length({a}), length({b}), 1)), 4)"
 
 
@@ -136,9 +173,11 @@ def page_ranges(t: Callable, spark: SparkSession) -> DataFrame:
     return raw.select("raw", F.explode(T.page_numbers(T.page_ranges(F.col("raw"), F.lit(9)))).alias("page"))
 
 
-@query("SELECT CAST(floor((n_chars - (SELECT min(n_chars) FROM documents)) / 500) AS BIGINT) AS bin, count(*) AS n FROM documents WHERE n_chars IS NOT NULL GROUP BY 1")
+@query("""
+    SELECT bin, CAST(m + bin * 500 AS DOUBLE) AS low, count(*) AS n FROM (
+        SELECT CAST(floor((n_chars - m) / 500) AS BIGINT) AS bin, m FROM documents, (SELECT min(n_chars) AS m FROM documents) WHERE n_chars IS NOT NULL) GROUP BY bin, m""")
 def x_histogram(t: Callable, spark: SparkSession) -> DataFrame:
-    return headers.histogram(t("documents"), "n_chars", 500)
+    return headers.histogram(t("documents"), "n_chars", 500.0)
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS tag_k FROM events")
@@ -165,7 +204,7 @@ def synonym_variants(t: Callable, spark: SparkSession) -> DataFrame:
     return t("part").select("p_partkey", F.explode(T.variants(F.col("p_name"), TERMS)).alias("variant"))
 
 
-@query(f"SELECT h, coalesce({_SQL_CASE}, '_extra_' || n) AS key FROM (SELECT h, {_SQL_HEADER} AS n FROM (VALUES {_values(HEADERS)}) v(h))")
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{h}', '{k}')" for h, k in HEADERS.items()) + ") v(h, key)")
 def classify_headers(t: Callable, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(h,) for h in HEADERS], "h string").select("h", T.header_key(F.col("h")).alias("key"))
 
@@ -181,16 +220,22 @@ GRID = [
 ]
 
 
-@query()
+@query("""
+    SELECT * FROM (VALUES ('00202_Netz A/t.0.csv', 0, 'lfd. Nr. Index', '_extra_lfd. nr. index'), ('00202_Netz A/t.0.csv', 1, 'Maßnahme Maßnahme', '_extra_maßnahme maßnahme'),
+        ('00202_Netz A/t.0.csv', 2, 'Kosten Projektstatus', 'kosten'), ('plain/t.1.csv', 0, 'a', '_extra_a'), ('plain/t.1.csv', 1, 'b', '_extra_b')) v(source_file, col_no, name, key)""")
 def header_detect(t: Callable, spark: SparkSession) -> DataFrame:
     grid = spark.createDataFrame(GRID, "source_file string, row_no int, cells array<string>")
     return headers.merged_headers(grid, headers.header_rows(grid))
 
 
-@query()
+@query("""
+    SELECT source_file, operator_id, operator_name, row_no, kosten, extra FROM (VALUES
+        ('00202_Netz A/t.0.csv', '00202', 'Netz A', 3, '12,5', '{"_extra_lfd. nr. index":"1","_extra_maßnahme maßnahme":"UW Nord"}'),
+        ('00202_Netz A/t.0.csv', '00202', 'Netz A', 4, '13', '{"_extra_lfd. nr. index":"2"}'),
+        ('plain/t.1.csv', 'plain', 'plain', 1, NULL, '{"_extra_a":"1","_extra_b":"2"}')) v(source_file, operator_id, operator_name, row_no, kosten, extra)""")
 def harmonise_grid(t: Callable, spark: SparkSession) -> DataFrame:
     grid = spark.createDataFrame(GRID, "source_file string, row_no int, cells array<string>")
-    return headers.harmonise(grid).withColumn("extra", F.to_json("extra"))
+    return headers.harmonise(grid).select("source_file", "operator_id", "operator_name", "row_no", "kosten", F.to_json("extra").alias("extra"))
 
 
 @query("SELECT o_orderkey AS k, coalesce(CASE WHEN o_custkey % 2 = 0 THEN o_custkey END, c_custkey, -1) AS v FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
@@ -216,18 +261,26 @@ def operator_parse(t: Callable, spark: SparkSession) -> DataFrame:
     return t("supplier").select("s_suppkey", number.alias("operator_id"), name.alias("operator_name"))
 
 
-@query()
+_SQL_DRAW = "CAST(('0x' || left(md5('{seed}|' || CAST({key} AS VARCHAR)), 8)) AS BIGINT)"
+
+
+@query("""
+    SELECT p_partkey, CAST(list_sum(list_transform([
+        'p_partkey' || chr(31) || p_partkey, 'p_name' || chr(31) || p_name, 'p_brand' || chr(31) || p_brand, 'p_type' || chr(31) || p_type, 'p_size' || chr(31) || p_size, 'p_retailprice' || chr(31) || p_retailprice],
+        lambda x: CAST(CAST('0x' || left(md5(x), 16) AS UBIGINT) AS HUGEINT))) % 18446744073709551616 AS DECIMAL(20, 0)) AS row_hash FROM part""")
 def row_identity(t: Callable, spark: SparkSession) -> DataFrame:
     p = t("part")
     return p.select("p_partkey", T.row_identity(p.columns).alias("row_hash"))
 
 
-@query()
+@query(f"""
+    SELECT source, doc_id, lang FROM (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_SQL_DRAW.format(seed=7, key='doc_id')}, doc_id) AS r FROM documents) WHERE r = 1""")
 def file_row_sample(t: Callable, spark: SparkSession) -> DataFrame:
     return labels.sample_by_file(t("documents").select("source", "doc_id", "lang"), "source", "doc_id", 7)
 
 
-@query()
+@query(f"SELECT *, CASE WHEN {_SQL_DRAW.format(seed=42, key='doc_id')} % 10000 < 2000 THEN 'test' ELSE 'train' END AS part FROM labels")
 def split_train_test(t: Callable, spark: SparkSession) -> DataFrame:
     return labels.split(t("labels"), "doc_id")
 
@@ -240,7 +293,7 @@ def pending_rows(t: Callable, spark: SparkSession) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey = 7")
 def point_lookup(t: Callable, spark: SparkSession) -> DataFrame:
-    return t("orders").where(F.col("o_orderkey") == 7).select("o_orderkey", "o_custkey", "o_orderstatus")
+    return search.exactly_one(t("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), F.col("o_orderkey") == 7)
 
 
 @query("""
@@ -269,3 +322,277 @@ def chunk_rows(t: Callable, spark: SparkSession) -> DataFrame:
 def clue_lists(t: Callable, spark: SparkSession) -> DataFrame:
     d = t("documents").select("doc_id", T.clue_list(F.col("text")).alias("c"))
     return d.select("doc_id", F.when(F.col("c").isNotNull(), F.size("c").cast("long")).alias("clues"), F.md5(F.get("c", F.lit(0))).alias("first_md5"))
+
+
+@query("""
+    SELECT a.k AS row_key, a.c AS asked, l.l_linenumber AS labelled_candidate, l.l_returnflag AS label
+    FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 100 <> 0 THEN 1 END AS c FROM orders WHERE o_orderkey % 50 = 0) a
+    LEFT JOIN lineitem l ON l.l_orderkey = a.k AND (a.c IS NULL OR l.l_linenumber = a.c)""")
+def existing_labels(t: Callable, spark: SparkSession) -> DataFrame:
+    asked = t("orders").where(F.col("o_orderkey") % 50 == 0).select(F.col("o_orderkey").alias("row_key"), F.when(F.col("o_orderkey") % 100 != 0, F.lit(1)).alias("asked"))
+    known = t("lineitem").select(F.col("l_orderkey").alias("row_key"), F.col("l_linenumber").alias("asked"), F.col("l_returnflag").alias("label"))
+    return labels.existing_labels(asked, known, "row_key", "asked", "label")
+
+
+@query("""
+    SELECT o_orderkey, f.l_linenumber, f.l_partkey FROM orders LEFT JOIN (
+        SELECT l_orderkey, l_linenumber, l_partkey FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey) AS r FROM lineitem) WHERE r = 1) f ON f.l_orderkey = o_orderkey""")
+def first_label(t: Callable, spark: SparkSession) -> DataFrame:
+    lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", F.struct("l_shipdate", "l_linenumber", "l_partkey").alias("place"))
+    return labels.first_label(t("orders").select("o_orderkey"), lines, "o_orderkey", "place").drop("place")
+
+
+@query("""
+    SELECT v.query_id, v.vec_id, CAST(v.r AS INTEGER) AS rank, e.label FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM (
+            SELECT q.vec_id AS query_id, c.vec_id, round(list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS score
+            FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)) v JOIN embeddings e ON e.vec_id = v.vec_id WHERE r <= 3""")
+def match_lookup(t: Callable, spark: SparkSession) -> DataFrame:
+    e = t("embeddings")
+    found = search.vector_matches(e.where(F.col("vec_id") % 50 == 0), e, "vec_id", "embedding", k=3)
+    return search.looked_up(found.select("query_id", "vec_id", "rank"), e.select("vec_id", "label"), "vec_id")
+
+
+@query("""
+    WITH r AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_linenumber) AS rank FROM lineitem)
+    SELECT o_orderkey AS l_orderkey, CAST(s AS INTEGER) AS rank, l_partkey FROM (SELECT o_orderkey, o_custkey % 5 + 1 AS s FROM orders) LEFT JOIN r ON l_orderkey = o_orderkey AND rank = s""")
+def next_candidate(t: Callable, spark: SparkSession) -> DataFrame:
+    from pyspark.sql import Window
+
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), "l_partkey", "l_linenumber"))
+    ranked = t("lineitem").select("l_orderkey", "l_partkey", rank.alias("rank"))
+    seen = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 5).cast("int").alias("rank"))
+    return labels.next_candidate(ranked, seen, "l_orderkey")
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def assert_unique(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.at_most_one(t("nation").select("n_nationkey", "n_name"), ["n_nationkey"])
+
+
+@query(f"""
+    WITH o AS (SELECT source, doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)),
+    f AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_SQL_DRAW.format(seed=3, key='doc_id')}, doc_id) AS r FROM o)
+    SELECT source, doc_id FROM f WHERE r = 1 ORDER BY {_SQL_DRAW.format(seed=4, key='source')}, source LIMIT 1""")
+def random_unlabelled(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.random_row(t("documents").select("source", "doc_id"), "source", "doc_id", 3, t("labels"))
+
+
+@query(f"""
+    WITH d AS (SELECT range AS draw, {_SQL_DRAW.format(seed=5, key='range')} % (SELECT count(*) FROM nation) AS pos FROM range(15)),
+    n AS (SELECT n_nationkey, n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS pos FROM nation)
+    SELECT draw, n_nationkey, n_name FROM d JOIN n USING (pos)""")
+def sample_replacement(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.resampled(t("nation").select("n_nationkey", "n_name"), "n_nationkey", 15, 5)
+
+
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS "tag::k", json_extract_string(props, '$.none') AS "tag::none" FROM events""")
+def tag_columns(t: Callable, spark: SparkSession) -> DataFrame:
+    return osm.expanded(t("events").select("event_id", F.from_json("props", "map<string,string>").alias("tags")), ("k", "none"))
+
+
+@query("SELECT event_id, 'tag::k' AS tag, json_extract_string(props, '$.k') AS value FROM events")
+def tag_prefix(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("events").select("event_id", F.explode(T.prefixed(F.from_json("props", "map<string,string>"))).alias("tag", "value"))
+
+
+@query("SELECT DISTINCT replace(trim(p_type), chr(10), '') AS value FROM part ORDER BY 1")
+def values_under_header(t: Callable, spark: SparkSession) -> DataFrame:
+    body = F.to_json(F.concat(F.array(F.array(F.lit("Nr."), F.lit("Art des Betriebsmittels"))), F.collect_list(F.array(F.col("p_partkey").cast("string"), F.concat(F.lit(" "), F.col("p_type"))))))
+    tables = t("part").groupBy(F.col("p_brand").alias("source_file")).agg(body.alias("value"))
+    return headers.values_under(files.json_tables(tables), ".*betrieb.*")
+
+
+@query("SELECT p_partkey, replace(replace(p_name, 'ring', 'ring (loop)'), 'large', 'large (big)') AS name FROM part")
+def lookup_replace(t: Callable, spark: SparkSession) -> DataFrame:
+    text = json.dumps({"entries": {"ring": {"canonical_name": "loop"}, "small": {"canonical_name": None}, "large": {"canonical_name": "big"}}})
+    return t("part").select("p_partkey", T.replace_in_order(F.col("p_name"), files.lookup_entries(F.lit(text))).alias("name"))
+
+
+@query(r"""
+    SELECT page_id, host, CASE WHEN r = 0 THEN 'page.html' ELSE 'page_' || r || '.html' END AS file FROM (
+        SELECT page_id, regexp_extract(url, '//([^/]+)/', 1) AS host, row_number() OVER (PARTITION BY regexp_extract(url, '//([^/]+)/', 1) ORDER BY page_id) - 1 AS r FROM pages)""")
+def doc_suffix(t: Callable, spark: SparkSession) -> DataFrame:
+    rows = t("pages").select("page_id", F.regexp_extract("url", "//([^/]+)/", 1).alias("host"), F.lit("page.html").alias("name"))
+    return files.document_names(rows, "host", "name", "page_id").select("page_id", "host", "file")
+
+
+@query("""SELECT s_suppkey, CAST(to_json(struct_pack(s_name := s_name, s_nationkey := s_nationkey, s_suppkey := s_suppkey)) AS VARCHAR) AS prompt FROM supplier""")
+def row_prompt(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("supplier").select("s_suppkey", T.row_json(["s_suppkey", "s_name", "s_nationkey"]).alias("prompt"))
+
+
+@query("""
+    SELECT n_regionkey, string_agg('{"n_name":"' || n_name || '"} -> ' || n_nationkey, chr(10) || chr(10) || chr(10) ORDER BY n_nationkey) AS examples FROM nation GROUP BY 1""")
+def few_shot(t: Callable, spark: SparkSession) -> DataFrame:
+    rows = t("nation").select("n_regionkey", F.struct("n_nationkey", T.row_json(["n_name"]).alias("row")).alias("r"))
+    held = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("r")).alias("r"))
+    return held.select("n_regionkey", T.few_shot(F.col("r.row"), F.transform("r", lambda x: x["n_nationkey"].cast("string"))).alias("examples"))
+
+
+@query("SELECT s_suppkey, s_name AS clue, CASE WHEN s_nationkey % 2 = 1 THEN 'substation' END AS asset_type FROM supplier")
+def clue_extraction(t: Callable, spark: SparkSession) -> DataFrame:
+    rows = t("supplier").select("s_suppkey", "s_name", "s_nationkey")
+    request = models.messages("Find places.", "no examples", T.row_json(rows.columns), "model")
+    out = models.extract_clues(rows, Echo("clues"), request)
+    return out.select("s_suppkey", F.array_join("`inferred:location_clues`", "|").alias("clue"), F.col("`inferred:asset_type`").alias("asset_type"))
+
+
+@query("SELECT conv_id, turn, CAST(length(role) AS VARCHAR) AS answer FROM conversations")
+def chunk_extraction(t: Callable, spark: SparkSession) -> DataFrame:
+    rows = t("conversations").select("conv_id", "turn", "role")
+    return models.by_chunk(rows, Echo("chunk"), "conv_id", "turn", ["role"], "One answer a row.").select("conv_id", "turn", "answer")
+
+
+@query("SELECT p_partkey, round(length(p_name) / sqrt(length(p_name) * length(p_name) + 4), 6) AS x FROM part")
+def embed_texts(t: Callable, spark: SparkSession) -> DataFrame:
+    return models.embedded(t("part").select("p_partkey", "p_name"), F.col("p_name"), Echo("vector")).select("p_partkey", F.round(F.get("embedding", F.lit(0)), 6).alias("x"))
+
+
+@query(f"""
+    WITH l AS (SELECT p_name AS label, min(p_partkey) AS key FROM part GROUP BY 1), c AS (SELECT s_suppkey, replace(p_name, 'ing', 'in') AS clue FROM supplier JOIN part ON p_partkey = s_suppkey WHERE s_nationkey % 2 = 1),
+    m AS (SELECT s_suppkey, key, row_number() OVER (PARTITION BY s_suppkey ORDER BY {_SQL_SIMILAR.format(a="clue", b="label")} DESC, key) AS r FROM c, l WHERE {_SQL_SIMILAR.format(a="clue", b="label")} >= 75)
+    SELECT s.s_suppkey, m.key AS osm_id FROM supplier s LEFT JOIN m ON m.s_suppkey = s.s_suppkey AND m.r = 1""")
+def geocode_clues(t: Callable, spark: SparkSession) -> DataFrame:
+    clues = F.array(F.replace(F.col("p_name"), F.lit("ing"), F.lit("in")), F.lit("other"))
+    rows = t("supplier").join(t("part"), F.col("p_partkey") == F.col("s_suppkey")).select("s_suppkey", F.when(F.col("s_nationkey") % 2 == 1, "substation").alias("kind"), clues.alias("clues"))
+    first = rows.where(F.col("kind") == "substation").select("s_suppkey", F.get("clues", F.lit(0)).alias("name"))
+    best = search.fuzzy_matches(first, "name", t("part"), "p_partkey", "p_name", k=1)
+    found = first.join(best, "name").select("s_suppkey", F.col("key").alias("osm_id"))
+    return t("supplier").select("s_suppkey").join(found, "s_suppkey", "left")
+
+
+@query("SELECT range AS operator_id, 'Netz ' || range AS operator_name, 'd0' AS document_id, 'a/b.pdf' AS document_name FROM range(10000) WHERE range % 3 = 2 AND range <> 770")
+def registry_documents(t: Callable, spark: SparkSession) -> DataFrame:
+    return models.scan_registry(spark, Echo("operator"))
+
+
+@query("""
+    SELECT DISTINCT p_name AS name, replace(p_name, 'ring', w) AS variant, CAST(n AS VARCHAR) AS n FROM part, (VALUES ('Umspannwerk'), ('Umspannanlage'), ('UA'), ('UW'), ('Schaltanlage')) v(w), range(10) g(n)
+    WHERE p_partkey < 50 AND p_name NOT LIKE '%UA%'""")
+def place_search(t: Callable, spark: SparkSession) -> DataFrame:
+    names = t("part").where("p_partkey < 50").select(F.replace("p_name", F.lit("ring"), F.lit("UA")).alias("name")).distinct()
+    out = models.places(names, "name", Echo("place"))
+    return out.select(F.replace("name", F.lit("UA"), F.lit("ring")).alias("name"), "variant", F.col("place")["n"].alias("n"))
+
+
+@query("SELECT p_partkey, p_name, p_size FROM part WHERE p_size BETWEEN 10 AND 20 AND regexp_matches(p_name, '^(small|red)') ORDER BY p_size")
+def words_range(t: Callable, spark: SparkSession) -> DataFrame:
+    words = t("part").select("p_partkey", "p_name", "p_size")
+    return pages.words_like(pages.words_between(words, 10, 20, "p_size", ("p_partkey",)), "^(small|red)", "p_name")
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE turn BETWEEN 1 AND 2")
+def page_slice(t: Callable, spark: SparkSession) -> DataFrame:
+    return pages.page_slice(t("conversations"), 1, 2, "turn").select("conv_id", "turn", "role")
+
+
+@query("""
+    SELECT conv_id, CAST(n AS INTEGER) AS range_no, role, min(turn) AS turn FROM conversations, (VALUES (0, 1, 3), (1, 2, 9)) r(n, a, b) WHERE turn BETWEEN a AND b GROUP BY 1, 2, 3""")
+def range_rows(t: Callable, spark: SparkSession) -> DataFrame:
+    rows = t("conversations").select("conv_id", "turn", F.lit(0).alias("row_no"), F.array("role", F.lit("")).alias("cells"))
+    out = pages.range_rows(rows, T.page_ranges(F.lit("1-3, 2-9"), F.lit(9)), "conv_id", "turn")
+    return out.select("conv_id", "range_no", F.get("cells", F.lit(0)).alias("role"), "place.turn")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(trunc(value * 10) AS INTEGER) AS x, NULL AS problem FROM events")
+def settings_parse(t: Callable, spark: SparkSession) -> DataFrame:
+    text = F.replace("props", F.lit('"k"'), F.lit('"text_k"'))
+    return t("events").select("event_id", T.with_prefix(T.settings_map(text))["k"].alias("k"), T.page_coordinate(F.col("value"), F.lit(10)).alias("x"), T.settings_problem(text).alias("problem"))
+
+
+@query("SELECT c_custkey, o_orderkey FROM (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey) WHERE c_custkey IS NOT NULL OR o_orderkey IS NOT NULL")
+def null_drop(t: Callable, spark: SparkSession) -> DataFrame:
+    joined = t("customer").join(t("orders"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return headers.without_empty_rows(joined.select(F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).alias("c_custkey"), "o_orderkey"))
+
+
+@query("SELECT n_name, n_nationkey, n_regionkey FROM nation")
+def display_columns(t: Callable, spark: SparkSession) -> DataFrame:
+    df = t("nation").withColumn("label:x", F.lit(1))
+    return df.select(*T.display_order(T.without_labels(df.columns), ["none", "n_name"]))
+
+
+@query("SELECT doc_id, md5(base64(encode(text))) AS digest FROM documents")
+def base64_text(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("documents").select("doc_id", F.md5(T.base64_text(F.encode("text", "UTF-8"))).alias("digest"))
+
+
+@query("SELECT vec_id, round(sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm FROM embeddings")
+def vector_norms(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("embeddings").select("vec_id", F.round(T.norm(F.col("embedding")), 6).alias("norm"))
+
+
+@query("SELECT n_nationkey AS k, n_name AS name FROM nation UNION ALL SELECT r_regionkey, r_name FROM region")
+def append_rows(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("nation").selectExpr("n_nationkey AS k", "n_name AS name").unionAll(t("region").selectExpr("r_regionkey", "r_name"))
+
+
+@query("SELECT conv_id AS source_file, CAST(max(len(string_split(text, ' '))) AS INTEGER) AS width FROM conversations GROUP BY 1")
+def table_widths(t: Callable, spark: SparkSession) -> DataFrame:
+    return headers.widths(t("conversations").select(F.col("conv_id").alias("source_file"), F.split("text", " ", -1).alias("cells")))
+
+
+@query("""
+    SELECT * FROM (VALUES ('Index', 'lfd. Nr.'), ('Kosten [EUR]', 'Kosten (geschätzt) in Euro'), ('Foo  Bar', '_extra_foo bar')) v("old", "new")""")
+def rename_map(t: Callable, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(headers.renames(["Index", "Kosten [EUR]", "Foo  Bar", " "], spark).items()), "old string, new string")
+
+
+@query("SELECT n_name, n_regionkey, CAST(NULL AS VARCHAR) AS none FROM nation")
+def reindexed(t: Callable, spark: SparkSession) -> DataFrame:
+    return headers.reordered(t("nation"), ["n_regionkey", "none", "n_name"])
+
+
+@query("""
+    SELECT 'n' AS source_file, CAST(n_nationkey + 1 AS INTEGER) AS row_no, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region, NULL AS again FROM nation
+    UNION ALL SELECT 'r', CAST(r_regionkey + 1 AS INTEGER), r_name, NULL, 'x' FROM region""")
+def csv_rows(t: Callable, spark: SparkSession) -> DataFrame:
+    """Two files with unlike headers, one of which repeats a name and holds missing-value words."""
+    cells = lambda df, name, at, *cols: df.select(F.lit(name).alias("source_file"), at.cast("int").alias("row_no"), F.array(*cols).alias("cells"))
+    head = spark.createDataFrame([("n", 0, ["region", "name", "again"]), ("r", 0, ["name", "region", "name"]), ("r", 6, [])], "source_file string, row_no int, cells array<string>")
+    n = cells(t("nation"), "n", F.col("n_nationkey") + 1, F.col("n_regionkey").cast("string"), F.col("n_name"))
+    r = cells(t("region"), "r", F.col("r_regionkey") + 1, F.col("r_name"), F.lit("NA"), F.lit("x"), F.lit("beyond"))
+    rows = files.rows_by_header(head.union(n).union(r))
+    return rows.select("source_file", "row_no", *[F.try_element_at("fields", F.lit(c)).alias(c) for c in ("name", "region")], F.try_element_at("fields", F.lit("name.1")).alias("again"))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey = 7")
+def selected_row(t: Callable, spark: SparkSession) -> DataFrame:
+    part = t("part").select("p_partkey", "p_name")
+    return search.selected(part.where("p_partkey > 100"), part, "p_partkey", -1, 7)
+
+
+_SQL_WORDS = "list_filter(regexp_split_to_array(lower({c}), '[^[:alnum:]]+'), lambda w: w <> '')"
+
+
+@query(f"""
+    WITH x AS (SELECT p_partkey, concat(coalesce(p_name, ''), ' | ', coalesce(p_brand, '')) AS b, 'ring small brand' AS a FROM part),
+    w AS (SELECT *, {_SQL_WORDS.format(c="a")} AS wa, {_SQL_WORDS.format(c="b")} AS wb FROM x),
+    l AS (SELECT *, ' ' || array_to_string(wa, ' ') || ' ' AS la, ' ' || array_to_string(wb, ' ') || ' ' AS lb, array_to_string(list_sort(wa), ' ') AS sa, array_to_string(list_sort(wb), ' ') AS sb FROM w),
+    s AS (SELECT p_partkey, greatest({_SQL_SIMILAR.format(a="a", b="b")}, round({_SQL_SIMILAR.format(a="sa", b="sb")} * 0.95, 4), CASE WHEN contains(la, lb) OR contains(lb, la) THEN 90 ELSE 0 END) AS score FROM l)
+    SELECT p_partkey, score FROM s WHERE score >= 60""")
+def token_filter(t: Callable, spark: SparkSession) -> DataFrame:
+    out = search.by_similarity(t("part"), ["p_name", "p_brand"], "ring small brand", 60.0, scorer=T.token_similarity)
+    return out.select("p_partkey", F.col(search.SCORE).alias("score"))
+
+
+@query("""
+    SELECT d.lang, md5(p.text) AS positive, md5(n.text) AS negative FROM (SELECT DISTINCT lang FROM documents) d
+    JOIN (SELECT lang, text FROM documents JOIN labels USING (doc_id) WHERE quality = 1) p ON p.lang = d.lang
+    JOIN (SELECT lang, text FROM documents JOIN labels USING (doc_id) WHERE quality = 0) n ON n.lang = d.lang""")
+def triplet_texts(t: Callable, spark: SparkSession) -> DataFrame:
+    held = t("labels").join(t("documents").select("doc_id", "lang"), "doc_id")
+    texts = t("documents").select("doc_id", F.md5("text").alias("text"))
+    return labels.triplets(held, "lang", "doc_id", "quality", texts=texts, key="doc_id", parts=4)
+
+
+@query("SELECT o_orderkey, 'https://www.openstreetmap.org/way/' || o_orderkey AS url FROM orders")
+def way_urls(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("orders").select("o_orderkey", T.way_url(F.col("o_orderkey").cast("double")).alias("url"))
+
+
+@query("SELECT DISTINCT o_orderkey % 10 AS row_hash, o_custkey % 3 AS candidate FROM orders")
+def label_pairs(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("orders").select(T.label_key(F.col("o_orderkey") % 10, F.col("o_custkey") % 3).alias("k")).distinct().select("k.*")
