@@ -20,6 +20,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,18 +108,22 @@ class MultiProbe:
     def __init__(self, index: Index, q: np.ndarray, ids: np.ndarray, k: int) -> None:
         self.index, self.q, self.ids, self.k = index, q, ids, k
         self.found = Best(len(ids), k, np.dtype("f8").type)
-        self.visits = index.visits(q) if len(q) else np.zeros((0, TABLES, 0), "i4")
 
     def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.found.rows()
 
+    def _visits(self, step: int = 2048) -> Iterator[tuple[int, np.ndarray]]:
+        """The cells that each query visits, found for `step` queries at a time."""
+        for a in range(0, len(self.q), step):
+            yield from enumerate(self.index.visits(self.q[a : a + step]), a)
+
     def feed(self, x: np.ndarray, ids: np.ndarray) -> None:
         cells, n = self.index.rows(x), len(ids)
         order = np.argsort(cells, axis=1, kind="stable")
         starts = np.stack([np.searchsorted(np.take(c, o), np.arange((1 << CELL_BITS) + 1)) for c, o in zip(cells, order, strict=True)])
         flat, shift = order.reshape(-1), (np.arange(TABLES) * n)[:, None]
         tables = np.arange(TABLES)[:, None]
-        for i, cell in enumerate(self.visits):
+        for i, cell in self._visits():
             a, b = starts[tables, cell] + shift, starts[tables, cell + 1] + shift
             size = (b - a).reshape(-1)
             full = size > 0
@@ -175,4 +180,4 @@ def nearest(table: DataFrame, key: str = "vec_id", vector: str = "embedding", ev
     def scorer(q: np.ndarray, ids: np.ndarray) -> MultiProbe:
         return MultiProbe(index, q, ids, k)
 
-    return search(rows, F.col("id") % every == 0, width or 0, k, scorer, "double", block=2048)
+    return search(rows, F.col("id") % every == 0, width or 0, k, scorer, "double")

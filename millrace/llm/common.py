@@ -69,8 +69,8 @@ def group_key(column: Column) -> Column:
     return F.when(text.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), text))
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 1_000, most: int = 1 << 20) -> int:
-    """Parts of about `rows_per_bucket` rows; beyond `most` parts (a billion rows) the parts grow with the rows."""
+def bucket_count(rows: int, rows_per_bucket: int = 500, most: int = 1 << 20) -> int:
+    """Parts of about `rows_per_bucket` rows; beyond `most` parts (half a billion rows) the parts grow with the rows."""
     return max(1, min(most, math.ceil(rows / rows_per_bucket)))
 
 

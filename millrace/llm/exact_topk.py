@@ -8,7 +8,8 @@ dropped, rows that no query needs are compacted away, and when few pairs are lef
 Sums are exact: in doubles while dimensions * largest query component * largest row component stays below 2^53,
 otherwise in Python integers (clipped to the range of a long).
 
-Defined cases: null vectors, null or non-finite components and null ids take no part; vectors of other lengths are
+Defined cases: null vectors, null or non-finite components (also such that aren't finite after scaling) and null ids
+take no part; vectors of other lengths are
 padded with zeros; a row is never its own neighbour, nor are other rows with its id; fewer candidates than k give
 fewer rows; an empty table gives an empty result.
 """
@@ -77,7 +78,7 @@ class BranchAndBound:
 
 def exact_top_k(table: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, scale: float = 256.0) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose key is divisible by `every`, over floor(scale * component)."""
-    rows = usable(table, key, vector, zero=True)
+    rows = usable(table, key, vector, zero=True, scale=scale)
     width = rows.select(F.max(F.size("v"))).first()[0] or 0
 
     def scorer(q: np.ndarray, ids: np.ndarray) -> BranchAndBound:

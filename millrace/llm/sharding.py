@@ -5,7 +5,7 @@ source, where start in [0, 1) is a seeded hash of the source, so that sources of
 point. Rows are ordered by fractional rank and the order is cut into shards whose row counts are at most one apart;
 each run of the order holds every source in proportion.
 
-Both orders are found in two levels (parts of about 1,000 rows, then a window inside each part), so that neither a
+Both orders are found in two levels (parts of about 500 rows, then a window inside each part), so that neither a
 hot source nor the whole table ever lies in one task. Only the parts' counts, at most 2^20, meet in one task.
 
 Defined cases: null source is a source of its own; null text has size 1 (no bytes, plus 1); rows that are equal in
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import bucket_count, group_key, ranked
 
 
-def shard_rows(rows: DataFrame, source: str = "source", key: tuple[str, ...] = ("doc_id",), shards: int = 16, seed: int = 20, rows_per_part: int = 1_000) -> DataFrame:
+def shard_rows(rows: DataFrame, source: str = "source", key: tuple[str, ...] = ("doc_id",), shards: int = 16, seed: int = 20, rows_per_part: int = 500) -> DataFrame:
     """Columns: row (struct of the input's columns), shard int, slot long (gapless from 0 in each shard)."""
     total = rows.select(F.count(F.lit(1))).first()[0]
     parts = bucket_count(total, rows_per_part)

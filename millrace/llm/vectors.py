@@ -1,8 +1,9 @@
 """What both vector searches share: clean vectors, blocks of stated queries, and the merge of each task's best.
 
-The query set is read in blocks of at most `block` rows (by a hash of the id). One block is collected and broadcast
-at a time (block x dimensions x 8 bytes, 2 MB at 4,096 x 64) and meets every row of the table in chunks of `chunk`
-rows; each task keeps only its k best of every query, and these are merged by query.
+The query set is read in blocks of about `block` rows (by a hash of the id), fewer for long vectors: a block takes at
+most `block_mb`. One block is collected and broadcast at a time and meets every row of the table in chunks of `chunk`
+rows; each task keeps only its k best of every query, and these are merged by query. Of several blocks each one's
+result goes to the checkpoint folder, and its broadcast is released.
 """
 
 from __future__ import annotations
@@ -15,14 +16,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: (queries' matrix, queries' ids) -> an object with feed(matrix, ids) and best() -> (query number, id, score)
 Scorer = Callable[[np.ndarray, np.ndarray], object]
 
 
-def usable(table: DataFrame, key: str, vector: str, zero: bool) -> DataFrame:
-    """Columns id, v (array of double): rows with an id whose vector has only finite components (and isn't zero)."""
+def usable(table: DataFrame, key: str, vector: str, zero: bool, scale: float = 1.0) -> DataFrame:
+    """Columns id, v (array of double): rows with an id whose vector has only components that are finite, also times
+    `scale` (and isn't zero)."""
     v = F.col(vector).cast("array<double>")
-    good = F.col(key).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    good = F.col(key).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) != float("inf")))
     if not zero:
         good &= F.exists(v, lambda x: x != 0)
     return table.where(good).select(F.col(key).cast("long").alias("id"), v.alias("v"))
@@ -38,11 +42,11 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def search(rows: DataFrame, is_query: Column, width: int, k: int, scorer: Callable[[np.ndarray, np.ndarray], Scorer], score_type: str, block: int = 4096, chunk: int = 8192) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, width: int, k: int, scorer: Callable[[np.ndarray, np.ndarray], Scorer], score_type: str, block: int = 65_536, block_mb: int = 32, chunk: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of each query row, best first, ties to the smaller id."""
     spark = rows.sparkSession
     queries = rows.where(is_query)
-    blocks = max(1, math.ceil(queries.count() / block))
+    blocks = max(1, math.ceil(queries.count() / min(block, max(1, (block_mb << 17) // max(1, width)))))
     found = None
     for b in range(blocks):
         own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(F.lit(b"block"), "id"), F.lit(blocks)) == b)
@@ -64,6 +68,9 @@ def search(rows: DataFrame, is_query: Column, width: int, k: int, scorer: Callab
             yield pa.RecordBatch.from_arrays([pa.array((number.astype("i8") << 20) | b), pa.array(own_ids[number].astype("i8")), pa.array(vec.astype("i8")), pa.array(score)], names=["_q", "query_id", "vec_id", "score"])
 
         part = rows.mapInArrow(run, f"_q long, query_id long, vec_id long, score {score_type}")
+        if blocks > 1:
+            part = cut(part)
+            shared.unpersist()
         found = part if found is None else found.union(part)
     best = Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -136,6 +136,27 @@ def test_vector_cases(spark):
     assert got == {(0, 2, 256 * 128), (0, 20, 0), (20, 0, 0), (20, 2, 0)}
 
 
+def test_vector_ties_and_sizes(spark, monkeypatch):
+    """Ties, repeated ids, fewer rows than k, unequal lengths, an empty table, large components, several blocks."""
+    kind = "vec_id long, embedding array<double>"
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (40, [1.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [1.0, 0.0]), (7, [None, 1.0]), (8, [])]
+    v = spark.createDataFrame(rows, kind)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(v, every=20, k=3).collect())
+    assert [x for x in got if x[0] == 0] == [(0, 1, 2), (0, 2, 2), (0, 3, 3)]
+    assert [x for x in got if x[0] == 40] == [(40, 1, 0), (40, 2, 2), (40, 3, 2)]
+    exact = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in exact_topk.exact_top_k(v, every=20, k=2).collect())
+    assert exact == [(0, 1, 2, 65536), (0, 2, 2, 65536), (20, 1, 0, 0), (20, 2, 2, 0), (40, 1, 0, 65536), (40, 2, 2, 65536)]
+    assert ann.nearest(v.where("vec_id < 0"), every=20).count() == exact_topk.exact_top_k(v.where("vec_id < 0"), every=20).count() == 0
+    large = spark.createDataFrame([(0, [1e307, 0.0]), (20, [1e300, 1.0]), (40, [1e300, -1.0]), (60, [1.0, 1.0])], kind)
+    assert {(r["query_id"], r["vec_id"], r["score"]) for r in exact_topk.exact_top_k(large, every=20, k=1).collect()} == {(20, 40, 2**63 - 1), (40, 20, 2**63 - 1), (60, 20, 2**63 - 1)}
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    want = [sorted(map(tuple, f(table, every=2).collect())) for f in (ann.nearest, exact_topk.exact_top_k)]
+    from millrace.llm import vectors
+
+    monkeypatch.setattr(vectors.search, "__defaults__", (16, 32, 8192))
+    assert [sorted(map(tuple, f(table, every=2).collect())) for f in (ann.nearest, exact_topk.exact_top_k)] == want
+
+
 def test_exact_topk_against_sql(spark):
     import duckdb
 
