@@ -48,45 +48,39 @@ def by_similarity(df: DataFrame, columns: list[str], query: str, cutoff: float =
     return df.withColumn(SCORE, score).where(F.col(SCORE) >= cutoff).orderBy(F.desc(SCORE), *ties, *own)
 
 
-def _prefixes(texts: DataFrame, least: float) -> DataFrame:
-    """t -> t, _n (length), _short, _grams: the rarest pairs of letters of which two similar texts share one.
+def _prefixes(t: Column, least: float) -> Column:
+    """struct<n (length), short, pairs>: some of the text's pairs of letters, of which two similar texts share one.
 
     One edit changes two pairs of letters at most. A text of n letters is at most (1 - least) / least * n edits away
-    from any text like it, so with twice as many pairs and one more there is one that no edit changed. Texts that have
-    not so many pairs are `_short`.
+    from any text like it, so of twice as many pairs and one more, the first ones in an order that is the same for all
+    texts (by hash), there is one that no edit changed. Texts that have not so many pairs are `short`.
     """
-    low = texts.select("t", F.lower("t").alias("_l")).withColumn("_n", F.char_length("_l"))
-    pairs = F.when(F.col("_n") > 1, F.transform(F.sequence(F.lit(1), F.col("_n") - 1), lambda i: F.substring("_l", i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    low = low.withColumn("_p", pairs).withColumn("_need", (2 * F.floor(F.col("_n") * (1 - least) / least + 1e-9) + 1).cast("int"))
-    told = F.transform("_p", lambda g, i: F.concat(g, F.size(F.filter(F.slice("_p", 1, i + 1), lambda x: x == g)).cast("string")))
-    low = low.select("t", "_n", "_need", (F.size("_p") < F.col("_need")).alias("_short"), told.alias("_g"))
-    each = low.select("t", "_n", "_need", F.explode("_g").alias("_g"))
-    often = each.groupBy("_g").agg(F.count(F.lit(1)).alias("_often"))
-    rare = each.join(often, "_g").groupBy("t").agg(F.slice(F.array_sort(F.collect_list(F.struct("_often", "_g"))), F.lit(1), F.first("_need")).alias("_r"))
-    return low.select("t", "_n", "_short").join(rare, "t", "left").select("t", "_n", "_short", F.transform("_r", lambda x: x["_g"]).alias("_grams"))
+    low = F.lower(t)
+    n = F.char_length(low)
+    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(low, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    need = (2 * F.floor(n * (1 - least) / least + 1e-9) + 1).cast("int")
+    numbered = lambda p: F.transform(p, lambda g, i: F.xxhash64(g, F.size(F.filter(F.slice(p, 1, i + 1), lambda x: x == g))))
+    first = F.get(F.transform(F.array(pairs), lambda p: F.slice(F.array_sort(numbered(p)), F.lit(1), need)), F.lit(0))
+    return F.struct(n.alias("n"), (n - 1 < need).alias("short"), first.alias("pairs"))
 
 
 def fuzzy_matches(names: DataFrame, name: str, candidates: DataFrame, key: str, label: str, cutoff: float = 75.0, k: int = 10) -> DataFrame:
     """(name, key, label, score, rank): the k candidates most like each distinct name, ties to the smaller key.
 
     Equal names and equal labels are compared once; a label that several candidates share stands for the smallest
-    key. Names and labels meet where they share one of their rarest pairs of letters (see _prefixes: no match is lost);
+    key. Names and labels meet where they share one of their first pairs of letters (see _prefixes: no match is lost);
     texts too short for that meet all texts whose length is within the cutoff's reach.
     """
     if cutoff <= 0:
         raise ValueError("the cutoff must be above 0")
     least = cutoff / 100
-    asked = names.where(F.col(name).isNotNull()).select(F.col(name).alias("t")).distinct()
-    labels = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(key).alias("key"))
-    known = labels.select(F.col("label").alias("t"))
-    texts = _prefixes(asked.withColumn("_a", F.lit(1)).unionByName(known, allowMissingColumns=True).select("t").distinct(), least)
-    one = texts.join(asked, "t", "left_semi").select(F.col("t").alias("name"), F.col("_n").alias("_m"), F.col("_short").alias("_few"), F.col("_grams").alias("_own"))
-    other = texts.join(known, "t", "left_semi").select(F.col("t").alias("label"), "_n", "_short", "_grams")
-    near = (F.col("_n") >= F.col("_m") * least - 1e-9) & (F.col("_m") >= F.col("_n") * least - 1e-9)
-    met = one.withColumn("_x", F.explode("_own")).join(other.withColumn("_x", F.explode("_grams")), "_x").where(near).select("name", "label")
-    reach = one.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_m") * least - 1e-9).cast("int"), F.floor(F.col("_m") / least + 1e-9).cast("int"))))
-    short = reach.join(other, "_n").where("_few or _short").select("name", "label")
-    pairs = met.union(short).distinct().join(labels, "label")
+    one = names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct().withColumn("_a", _prefixes(F.col("name"), least))
+    other = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(key).alias("key")).withColumn("_b", _prefixes(F.col("label"), least))
+    near = (F.col("_b.n") >= F.col("_a.n") * least - 1e-9) & (F.col("_a.n") >= F.col("_b.n") * least - 1e-9)
+    met = one.withColumn("_x", F.explode("_a.pairs")).join(other.withColumn("_x", F.explode("_b.pairs")), "_x").where(near)
+    reach = one.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_a.n") * least - 1e-9).cast("int"), F.floor(F.col("_a.n") / least + 1e-9).cast("int"))))
+    short = reach.join(other.withColumn("_n", F.col("_b.n")), "_n").where("_a.short or _b.short")
+    pairs = met.select("name", "key", "label").union(short.select("name", "key", "label")).distinct()
     scored = pairs.withColumn("score", T.similarity(F.col("name"), F.col("label"))).where(F.col("score") >= cutoff)
     rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "key"))
     return scored.select("name", "key", "label", "score", rank.alias("rank")).where(F.col("rank") <= k)
