@@ -115,11 +115,128 @@ def test_packing_round_trip(docs, none):
     assert packing.pack(packing.token_pieces(none, queries._tokenizer())).count() == 0
 
 
-def test_ann_recall(spark):
-    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+def fewest_bins(sizes, capacity):
+    """By trying everything."""
+    best = len(sizes)
+
+    def place(k, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if k == len(sizes):
+            best = len(bins)
+            return
+        for i in range(len(bins)):
+            if bins[i] + sizes[k] <= capacity and bins[i] not in bins[:i]:
+                place(k + 1, [*bins[:i], bins[i] + sizes[k], *bins[i + 1 :]])
+        place(k + 1, [*bins, sizes[k]])
+
+    place(0, [])
+    return best
+
+
+def test_packing_bounds_by_brute_force():
+    """Bounds are never over the fewest bins, best-fit decreasing never under them, and no bin is overfull."""
+    rng, certified = np.random.default_rng(6), 0
+    for _ in range(150):
+        capacity = int(rng.integers(5, 30))
+        sizes = np.sort(rng.integers(1, capacity + 1, int(rng.integers(1, 9))))[::-1].copy()
+        bins, offsets = packing.best_fit_decreasing(sizes, capacity)
+        assert (offsets + sizes <= capacity).all()
+        for b in range(bins.max() + 1):
+            own = bins == b
+            order = np.argsort(offsets[own])
+            assert (np.cumsum(sizes[own][order]) - sizes[own][order] == offsets[own][order]).all()
+        least = fewest_bins(sizes.tolist(), capacity)
+        assert packing.lower_bound(sizes, capacity) <= least <= bins.max() + 1
+        certified += packing.lower_bound(sizes, capacity) == bins.max() + 1
+    assert certified >= 100
+
+
+def test_packing_parts(spark):
+    """Many parts that exchange documents: gapless sequences, every row once (repeated ones too), few sequences."""
+    rng = np.random.default_rng(7)
+    rows = [(int(i) % 700, int(n)) for i, n in enumerate(rng.integers(1, 1500, 1500))] + [(1, 2048)] * 3
+    d = spark.createDataFrame(rows, "doc_id long, length long")
+    out = packing.pack(d, part_rows=50, fan_in=4).collect()
+    assert sorted((r["row"]["doc_id"], r["row"]["length"]) for r in out) == sorted(rows)
+    bins = {}
+    for r in out:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["row"]["length"]))
+    for own in bins.values():
+        assert [a for a, _ in sorted(own)] == np.cumsum([0, *[n for _, n in sorted(own)][:-1]]).tolist() and sum(n for _, n in own) <= 2048
+    assert len(bins) <= 1.04 * packing.lower_bound(np.array([n for _, n in rows]), 2048) + 1
+    for bad in (0, 2049):
+        with pytest.raises(Exception, match="lengths must be"):
+            packing.pack(spark.createDataFrame([(1, bad)], "doc_id long, length long")).collect()
+
+
+def test_langid_cases(spark):
+    """Equal rows alike, ties to the first language, null ids and labels, nothing to learn, too many languages."""
+    rows = [(None, "abc abc", "x", None), (1, "abc abc", "x", None), (1, "abc abc", "y", None), (2, "zzz", None, None), (3, "word " * 100_000, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    tie = langid.train(docs.where("doc_id = 1"), where=F.lit(True))
+    assert tie.langs == ["x", "y"] and {r["lang_pred"] for r in langid.predict(docs, tie).where("row.doc_id = 1").collect()} == {"x"}
+    out = langid.predict(docs, langid.train(docs, where=F.col("doc_id").isNotNull())).collect()
+    assert len({(r["row"]["text"], r["lang_pred"], r["score"]) for r in out}) == 3 and all(0 <= r["score"] <= 1 for r in out)
+    assert {(r["lang_pred"], r["score"]) for r in langid.predict(docs, langid.train(docs.where("lang is null"), where=F.lit(True))).collect()} == {("und", 0.0)}
+    with pytest.raises(ValueError, match="more than 1 languages"):
+        langid.train(docs, where=F.lit(True), max_langs=1)
+
+
+def test_langid_score_by_brute_force():
+    """The sparse product equals sums taken n-gram by n-gram."""
+    rng = np.random.default_rng(8)
+    model = langid.Model(["a", "b", "c"], 10, np.log(rng.dirichlet(np.ones(1 << 10), 3)), np.log(np.array([0.2, 0.3, 0.5])))
+    texts = [b"one two three", b"a", b"", None, "été où".encode(), b"12 3", b"xyz " * 5000]
+    pred, score = model.predict(texts)
+    for t, p, s in zip(texts, pred, score, strict=True):
+        codes = langid.folded(t or b"")
+        if codes.max(initial=32) <= 32:
+            assert (p, s) == ("und", 0.0)
+            continue
+        sums, grams = np.zeros(3), 0
+        for n in (1, 2, 3):
+            for i in range(len(codes) - n + 1):
+                sums += model.weights[:, langid.cells(codes[i : i + n], n, 10)[0]]
+                grams += 1
+        assert p == model.langs[int((sums + model.prior).argmax())]
+        share = np.exp(sums * min(grams, 60) / grams + model.prior)
+        assert abs(s - share[model.langs.index(p)] / share.sum()) < 1e-9
+
+
+def test_near_copies_recall():
+    """Of random pairs at similarity 0.8 next to none lacks a common anchor or lies beyond the radius, at any size of set."""
+    rng = np.random.default_rng(9)
+    for n in (9, 30, 100, 400):
+        lost = 0
+        for _ in range(500):
+            own = rng.integers(0, 1 << 64, 2 * n, "u8")
+            shared = -(-8 * n // 9)
+            a, b = np.unique(own[:n]), np.unique(np.concatenate((own[:shared], own[n : 2 * n - shared])))
+            assert len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)) - 1e-9
+            lost += not set(similar.anchors(a)) & set(similar.anchors(b)) or int(np.bitwise_count(similar.set_print(a) ^ similar.set_print(b)).sum()) > similar.RADIUS
+        assert lost <= 2, n
+
+
+def test_sharding_writes(spark, tmp_path):
+    """One hot source, repeated rows and ids, null text and source; the files hold every row at its place."""
+    rows = [(i % 5, "t" * (i % 3) or None, "hot" if i else None) for i in range(100)]
+    out = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, text string, source string"), shards=7)
+    sharding.write_shards(out, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted((r["shard"], r["slot"]) for r in back.collect()) == [(s, k) for s in range(7) for k in range(15 if s < 2 else 14)]
+    assert sorted(map(repr, (tuple(r["row"]) for r in back.collect()))) == sorted(map(repr, rows))
+    few = sharding.shard_rows(spark.createDataFrame(rows[:3], "doc_id long, text string, source string")).collect()
+    assert sorted(r["shard"] for r in few) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("folder", [SMALL, SMALL.replace("0.001", "0.01"), SMALL.replace("0.001", "0.1")])
+def test_ann_recall(spark, folder):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], "f8")
     got = {}
-    for r in queries.op5_ann(spark, SMALL).collect():
+    for r in queries.op5_ann(spark, folder).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     hit = total = 0
     for q in ids[ids % 20 == 0]:
@@ -510,6 +627,14 @@ def test_pii_clean_texts(spark):
     assert marked.startswith("a \u0001 b ") and marked.endswith(".org \u0001") and "a.b@c" not in marked
 
 
+def test_pii_persons(spark):
+    """Each title, given name and phrase finds its person; names of the caller's own too."""
+    cases = [f"so {t} Xavi said" for t in pii.TITLES] + [f"so {t}. Xavi said" for t in pii.TITLES[:6]] + [f"so {n} Xavi said" for n in (*pii.MALE_NAMES, *pii.FEMALE_NAMES, "Zorblo")]
+    cases += [f"{p} Xavi Yolo, so" for p in ("My name is", "my name is", "Name:", "name:", "Dear", "dear", "Ich heiße", "ich heiße", "Je m’appelle", "je m'appelle", "Me llamo", "me llamo", "меня зовут")]
+    out = pii.pseudonymise(spark.createDataFrame([(t,) for t in cases], "text string"), key="k", given_names=("Zorblo",)).collect()
+    assert [r["row"]["text"] for r in out if [e["type"] for e in r["entities"]] != ["person"] or "Xavi" in r["text"]] == []
+
+
 def test_pii_coreference(spark):
     """One entity, one surrogate, over rows, formats, titles and neighbours; others differ."""
     rows = ["Mr Alexis Brown and Dr Alexis Brown", "Mr Robert", "Robert Green met Ms Green", "+1 (487) 555-7209 or 487-555-7209", "4539148803436467 4539 1488 0343 6467", "A.B@X.org a.b@x.org"]
