@@ -69,6 +69,12 @@ def group_key(column: Column) -> Column:
     return F.when(text.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), text))
 
 
+def seeded(seed: int, *columns: Column) -> Column:
+    """A seeded number of 60 bits, from an MD5 of the columns that aren't null, so that plain SQL can give it too."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns])
+    return F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("long")
+
+
 def bucket_count(rows: int, rows_per_bucket: int = 500, most: int = 1 << 20) -> int:
     """Parts of about `rows_per_bucket` rows; beyond `most` parts (half a billion rows) the parts grow with the rows."""
     return max(1, min(most, math.ceil(rows / rows_per_bucket)))

@@ -135,7 +135,27 @@ def _licenses_sql() -> str:
     """
 
 
+#: CRC-32 of a text's UTF-8 bytes, byte by byte over the table `crcs`.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))"""
+_CRCS = "list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs"
+_SEEDED = "CAST('0x' || left(md5({text}), 15) AS BIGINT)"
+
+
 ORACLES: dict[str, str] = {
+    "op7_sharding": f"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(strlen(text), 0) + 1 AS size, coalesce({_CRC}, 0) AS text_crc32, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS g
+            FROM documents, (SELECT {_CRCS})),
+        h AS (SELECT *, {_SEEDED.format(text="concat_ws('|', '20', doc_id, text_crc32, size)")} AS h, {_SEEDED.format(text="'21|' || g")} % 1048576 / 1048576.0::DOUBLE AS start,
+            (SELECT CAST(greatest(1, least(1048576, ceil(count(*) / 500.0))) AS BIGINT) FROM d) AS parts, (SELECT count(*) FROM d) AS total FROM d),
+        r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY h % parts, h, doc_id NULLS FIRST, text_crc32, size) AS rank, count(*) OVER (PARTITION BY g) AS n FROM h),
+        f AS (SELECT *, (CAST(rank - 1 AS DOUBLE) + start) / n AS f FROM r),
+        p AS (SELECT *, row_number() OVER (ORDER BY least(floor(f * parts), parts - 1), f, g, rank) - 1 AS place, total // 16 AS small, total % 16 AS longer FROM f),
+        s AS (SELECT *, CASE WHEN place < longer * (small + 1) THEN place // (small + 1) ELSE longer + (place - longer * (small + 1)) // greatest(small, 1) END AS shard FROM p)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+            CASE WHEN place < longer * (small + 1) THEN place % (small + 1) ELSE (place - longer * (small + 1)) % greatest(small, 1) END AS slot, CAST(NULL AS INTEGER) AS grown_shard, source FROM s
+    """,
     "op3_licenses": _licenses_sql(),
     "op6_exact_topk": """
         WITH v AS (

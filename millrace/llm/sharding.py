@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, group_key, ranked
+from .common import bucket_count, group_key, ranked, seeded
 
 
 def shard_rows(rows: DataFrame, source: str = "source", key: tuple[str, ...] = ("doc_id",), shards: int = 16, seed: int = 20, rows_per_part: int = 500) -> DataFrame:
@@ -26,10 +26,10 @@ def shard_rows(rows: DataFrame, source: str = "source", key: tuple[str, ...] = (
     total = rows.select(F.count(F.lit(1))).first()[0]
     parts = bucket_count(total, rows_per_part)
     ids = [F.col(k) for k in key]
-    df = rows.select(F.struct("*").alias("row"), group_key(F.col(source)).alias("_g"), F.xxhash64(F.lit(seed), *ids).alias("_h"), F.lit(1).alias("_one"), *[c.alias(f"_k{i}") for i, c in enumerate(ids)])
+    df = rows.select(F.struct("*").alias("row"), group_key(F.col(source)).alias("_g"), seeded(seed, *ids).alias("_h"), F.lit(1).alias("_one"), *[c.alias(f"_k{i}") for i, c in enumerate(ids)])
     ties = [f"_k{i}" for i in range(len(ids))]
     df = ranked(df, parts, "_g", "_h", ties, "_one")
-    start = F.pmod(F.xxhash64(F.lit(seed + 1), "_g"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    start = F.pmod(seeded(seed + 1, F.col("_g")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     df = df.withColumn("_f", (F.col("_rank") - 1 + start) / F.col("_rows"))
     df = df.withColumn("_p", F.least(F.floor(F.col("_f") * parts), F.lit(parts - 1)).cast("int")).drop("_before", "_sum", "_one")
     counts = df.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))

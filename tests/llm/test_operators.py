@@ -274,13 +274,19 @@ def test_vector_ties_and_sizes(spark, monkeypatch):
     assert [sorted(map(tuple, f(table, every=2).collect())) for f in (ann.nearest, exact_topk.exact_top_k)] == want
 
 
-def test_exact_topk_against_sql(spark):
+@pytest.mark.parametrize("name", queries.ORACLES)
+@pytest.mark.parametrize("folder", [SMALL, SMALL.replace("0.001", "0.01")])
+def test_against_sql(spark, name, folder):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")
-    got = queries.op6_exact_topk(spark, SMALL).select("query_id", "rank", "vec_id", "score").collect()
-    assert sorted(map(tuple, got)) == sorted(con.execute(queries.ORACLES["op6_exact_topk"]).fetchall())
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    got, want = queries.QUERIES[name](spark, folder), con.sql(queries.ORACLES[name])
+    names = sorted(got.columns)
+    assert names == sorted(want.columns)
+    plain = lambda rows, columns: sorted((tuple(r[columns.index(n)] for n in names) for r in rows), key=repr)
+    assert plain(got.collect(), got.columns) == plain(want.fetchall(), want.columns)
 
 
 def test_sharding(spark, docs, none):
