@@ -17,16 +17,16 @@ whatever their names, are carried along under `row`.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import math
 from dataclasses import dataclass
 
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, bucket_count, group_key, ranked
+from .common import WORD, bucket_count, group_key, ranked, seeded
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -94,10 +94,10 @@ def plan(sizes: dict[str, int], share: float = 1.5, cap: int = 2, weights: tuple
     out = {}
     for i, k in enumerate(names):
         won, ring = [s[i] for s in so_far], max(1, math.ceil(size[i] / block))
-        turn = xxhash.xxh64_intdigest(k, seed + 1) % ring
+        start, turn = (int(hashlib.md5(f"{n}|{k}".encode()).hexdigest()[:15], 16) % ring for n in (seed, seed + 1))
         while math.gcd(turn, ring) != 1:
             turn += 1
-        out[k] = Share(size[i], goal[i], won[-1], [b - a for a, b in zip([0, *won], won)], ring, xxhash.xxh64_intdigest(k, seed) % ring, turn)
+        out[k] = Share(size[i], goal[i], won[-1], [b - a for a, b in zip([0, *won], won)], ring, start, turn)
     return block, out
 
 
@@ -116,7 +116,7 @@ def mix(docs: DataFrame, source: str = "source", text: str | None = "text", size
     """
     words = F.col(size) if size else F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0))
     ids = [F.col(k) for k in key]
-    base = docs.select(F.struct("*").alias("row"), group_key(F.col(source)).alias("_g"), words.cast("long").alias("size"), F.xxhash64(F.lit(seed), *ids).alias("_h"), *[c.alias(f"_k{i}") for i, c in enumerate(ids)])
+    base = docs.select(F.struct("*").alias("row"), group_key(F.col(source)).alias("_g"), words.cast("long").alias("size"), seeded(seed, *ids).alias("_h"), *[c.alias(f"_k{i}") for i, c in enumerate(ids)])
     found = base.groupBy("_g").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(max_sources + 1).collect()
     if len(found) > max_sources:
         raise ValueError(f"more than {max_sources} sources")

@@ -143,6 +143,31 @@ _SEEDED = "CAST('0x' || left(md5({text}), 15) AS BIGINT)"
 
 
 ORACLES: dict[str, str] = {
+    "op8_mixing": rf"""
+        WITH d AS (
+            SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS g, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+                {_SEEDED.format(text="concat_ws('|', '8', doc_id)")} AS h FROM documents),
+        s AS (SELECT g, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY g = '', g) - 1 AS i FROM d GROUP BY g),
+        w AS (SELECT *, [3, 1, 2][i % 3 + 1] AS w, 2 * s / [3, 1, 2][i % 3 + 1]::DOUBLE AS full_at FROM s),
+        c AS (SELECT *, coalesce(sum(s) OVER up, 0) AS s0, coalesce(sum(w) OVER up, 0) AS w0, sum(s) OVER () AS s1, sum(w) OVER () AS w1 FROM w
+            WINDOW up AS (ORDER BY full_at, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        u AS (SELECT min_by((1.5 * s1 - 2 * s0)::DOUBLE / (w1 - w0), (full_at, i)) AS unit FROM c WHERE w * ((1.5 * s1 - 2 * s0)::DOUBLE / (w1 - w0)) <= 2 * s),
+        t AS (SELECT g, s, i, CASE WHEN w * unit > 2 * s THEN CAST(2 * s AS DOUBLE) ELSE w * unit END AS target FROM w, u),
+        b AS (SELECT CAST(greatest(1, least(1024, floor(coalesce(min(target) FILTER (target > 0), 0) / 300))) AS BIGINT) AS block, sum(target) AS goal FROM t),
+        q AS (SELECT g, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, i, seat) AS place FROM (
+            SELECT g, i, target, unnest(range(CAST(ceil(2 * s / block::DOUBLE) AS BIGINT))) AS seat FROM t, b WHERE target > 0)),
+        k AS (SELECT g, count(*) AS seats FROM q, b WHERE place <= round_even(goal / block, 0) GROUP BY g),
+        r AS (SELECT t.*, block, coalesce(seats, 0) AS seats, greatest(1, CAST(ceil(s / block::DOUBLE) AS BIGINT)) AS ring FROM t CROSS JOIN b LEFT JOIN k USING (g)),
+        p AS (SELECT *, {_SEEDED.format(text="'8|' || g")} % ring AS start, {_SEEDED.format(text="'9|' || g")} % ring AS turn0 FROM r),
+        x AS (SELECT * EXCLUDE turn0, list_filter(range(turn0, turn0 + 1000), lambda n: gcd(n, ring) = 1)[1] AS turn FROM p),
+        o AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY g ORDER BY h % (SELECT CAST(greatest(1, least(1048576, ceil(count(*) / 500.0))) AS BIGINT) FROM d), h, size, doc_id NULLS FIRST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER () AS id FROM d),
+        e AS (SELECT o.*, x.*, unnest(CASE WHEN size > 0 THEN range(CAST(before // block AS BIGINT), CAST((before + size - 1) // block + 1 AS BIGINT)) ELSE [NULL] END) AS n FROM o JOIN x ON o.g = x.g),
+        f AS (SELECT *, ((CAST(n AS HUGEINT) - start) * turn % ring + ring) % ring AS seat FROM e)
+        SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(s) AS source_size, any_value(target) AS target,
+            CAST(coalesce(sum(((seat < seats)::INTEGER + (seat + ring < seats)::INTEGER) * (least((n + 1) * block, before + size) - greatest(n * block, before))), 0) AS BIGINT) AS taken
+        FROM f GROUP BY id
+    """,
     "op7_sharding": f"""
         WITH d AS (
             SELECT doc_id, source, coalesce(strlen(text), 0) + 1 AS size, coalesce({_CRC}, 0) AS text_crc32, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS g
