@@ -1,6 +1,6 @@
 """Line dedup by content-defined line chunks, in DataFrame functions only.
 
-1. Every line is hashed. A rolling hash over two line hashes names each pair of neighbouring lines; a pair that occurs
+1. Every line is hashed (MD5, so that plain SQL can do it too). A rolling hash over two line hashes names each pair of neighbouring lines; a pair that occurs
    once in the corpus can't be inside a repeated chunk, so chunks are sought only in runs of repeated pairs.
 2. A run is cut at pairs whose rolling hash is larger than those beside it. The rule looks at nothing but these lines,
    so cuts stay where they are when lines are put in before them; every chunk keeps two lines or more.
@@ -96,10 +96,11 @@ def _verified(places: DataFrame, rows: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
     """Columns: row (struct), lines int, removed array<struct<start int, n int>> (never null), left int, text (new)."""
     rows = numbered(docs, F.struct("*").alias("row"), F.col(text).alias("_t"), F.col(key).alias("_k"))
-    measured = F.transform(F.split("_t", "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("h"), (F.regexp_count(x, F.lit(WORD)) >= min_words).alias("long")))
+    measured = F.transform(F.split("_t", "\n", -1), lambda x: F.struct(F.md5(x).alias("h"), (F.regexp_count(x, F.lit(WORD)) >= min_words).alias("long")))
     lines = rows.select("_rid", "_k", measured.alias("_l"))
-    pairs = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x["h"], F.get("_l", i + 1)["h"]).alias("item"), (i + 1 < F.size("_l")).alias("pair")))
-    alone = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), F.xxhash64(F.lit("line"), x["h"]).alias("item"), (~x["long"]).alias("pair")))
+    number = lambda x: F.conv(F.left(x, F.lit(15)), 16, 10).cast("long")
+    pairs = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), number(F.md5(F.concat(x["h"], F.get("_l", i + 1)["h"]))).alias("item"), (i + 1 < F.size("_l")).alias("pair")))
+    alone = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), (-1 - number(x["h"])).alias("item"), (~x["long"]).alias("pair")))
     items = lines.select("_rid", "_k", F.explode(F.concat(F.filter(pairs, lambda x: x["pair"]), F.filter(alone, lambda x: ~x["pair"]))).alias("_i")).select("_rid", "_k", "_i.*")
     met = cut(items.join(_repeated(items, "item"), "item"))
     live, long = met.where("pair"), met.where("not pair").select("_rid", "_k", "pos", F.col("item").alias("chunk"))
