@@ -160,13 +160,11 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return own, label[own]
 
 
-def _linker(pivots: Pivots, lanes: int, most: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (key, node, f0..) sorted by key -> links (a, b), and the rows of keys with over `most` rows as they are."""
-    names = ["key", "a", "b", *[f"f{i}" for i in range(lanes)]]
+def _linker(pivots: Pivots, lanes: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, node, f0..) sorted by key -> links (a, b) that connect all nodes of a key within the radius."""
 
-    def out(key: np.ndarray, a: np.ndarray, b: np.ndarray | None, prints: np.ndarray | None) -> pa.RecordBatch:
-        none = pa.nulls(len(a), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), none if b is None else pa.array(b), *[none if prints is None else pa.array(np.ascontiguousarray(prints[:, k]).view("i8")) for k in range(lanes)]], names=names)
+    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def found(key: np.ndarray, node: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
@@ -186,7 +184,7 @@ def _linker(pivots: Pivots, lanes: int, most: int) -> Callable[[Iterable[pa.Reco
                 break
             ok = small[pivots.links(prints, table, small, small + step)]
             if len(ok):
-                yield out(key[ok], node[ok], node[ok + step], None)
+                yield out(node[ok], node[ok + step])
         for a, n in zip(begin[sizes > 16].tolist(), sizes[sizes > 16].tolist(), strict=True):
             ii, jj = [], []
             for r in range(0, n, 128):  # blocks of rows, so that memory stays small
@@ -196,37 +194,36 @@ def _linker(pivots: Pivots, lanes: int, most: int) -> Callable[[Iterable[pa.Reco
                 jj.append(j[ok] + r)
             x, y = _forest(n, np.concatenate(ii), np.concatenate(jj))
             if len(x):
-                yield out(key[a + x], node[a + x], node[a + y], None)
+                yield out(node[a + x], node[a + y])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: tuple[np.ndarray, ...] | None = None
-        over = None  # a key that is known to have too many rows
         for batch in batches:
             key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             prints = np.stack([batch.column(2 + k).to_numpy() for k in range(lanes)], axis=1).view("u8")
             if rest is not None:
                 key, node, prints = (np.concatenate((a, b)) for a, b in zip(rest, (key, node, prints), strict=True))
-            if not len(key):
-                continue
-            first = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
-            sizes = np.diff(first)
-            large = sizes > most
-            if over is not None and key[0] == over:
-                large[0] = True
-            over = key[-1] if large[-1] else None
-            hot = np.repeat(large, sizes)
-            if hot.any():
-                yield out(key[hot], node[hot], None, prints[hot])
-            tail = first[-2] if not large[-1] else len(key)  # the last key may go on in the next batch
-            rest = (key[tail:], node[tail:], prints[tail:])
-            own = ~hot[:tail]
-            yield from found(key[:tail][own], node[:tail][own], prints[:tail][own])
+            if len(key):
+                tail = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+                yield from found(key[:tail], node[:tail], prints[:tail])
+                rest = (key[tail:], node[tail:], prints[tail:])
         if rest is not None:
             yield from found(*rest)
 
     return run
 
 
+def sized(keyed: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (key, ...) of keys with several rows, and those with over `most` (None if there are none), with their _n.
+
+    Keys are counted before the shuffle; the join with the counts is one that adaptive execution can split.
+    """
+    sizes = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    rows = keyed.join(sizes, "key")
+    hot = rows.where(F.col("_n") > most)
+    return rows.where(F.col("_n") <= most), None if sizes.where(F.col("_n") > most).isEmpty() else hot
+
+
 def links(nodes: DataFrame, pivots: Pivots, lanes: int, most: int = 256) -> DataFrame:
     """Links (a, b) that connect all nodes within the radius. `nodes`: _node long, f0.. (distinct fingerprints)."""
     prints = [f"f{i}" for i in range(lanes)]
@@ -241,11 +238,11 @@ def links(nodes: DataFrame, pivots: Pivots, lanes: int, most: int = 256) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, t]).view("i8")), *part.columns], names=["key", "_node", *prints])
 
     lane_type = ", ".join(f"{f} long" for f in prints)
-    rows = nodes.select("_node", *prints).mapInArrow(keyed, f"key long, _node long, {lane_type}")
-    result = f"key long, a long, b long, {lane_type}"
-    out = cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(pivots, lanes, most), result))
-    hot = out.where(F.col("b").isNull()).select("key", F.col("a").alias("_node"), *prints)
-    pairs = out.where(F.col("b").isNotNull()).select("a", "b")
+    rows = cut(nodes.select("_node", *prints).mapInArrow(keyed, f"key long, _node long, {lane_type}"))
+    cold, hot = sized(rows, most)
+    pairs = cold.drop("_n").repartition("key").sortWithinPartitions("key").mapInArrow(_linker(pivots, lanes), "a long, b long")
+    if hot is None:
+        return pairs
     return pairs.union(_ball_links(hot.groupBy("_node").agg(*[F.first(f).alias(f) for f in prints]), prints))
 
 
