@@ -149,3 +149,13 @@ def places(names: DataFrame, name: str, client: Client, country: str = "de", lim
     request = F.to_json(F.struct(F.col("variant").alias("q"), F.lit(country).alias("countrycodes"), F.lit(limit).alias("limit"), F.lit("json").alias("format")))
     got = answered(each, request, client, "_answer").withColumn("_p", F.slice(F.from_json("_answer", "array<map<string,string>>"), 1, limit))
     return got.select(name, "variant", F.explode("_p").alias("place"))
+
+
+def fetched(documents: DataFrame, url: Column, client: Client, content: str = "content") -> DataFrame:
+    """The documents and their bytes (the client answers base64); when run, an error if one isn't answered.
+
+    Time limits and retries are the client's own.
+    """
+    got = answered(documents, url, client, "_answer")
+    lost = F.raise_error(F.lit("a document wasn't answered")).cast("binary")
+    return got.withColumn(content, F.when(F.col("_answer").isNull(), lost).otherwise(F.unbase64("_answer"))).drop("_answer")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 from collections.abc import Callable
 
@@ -54,6 +55,9 @@ class Echo:
         asked = json.loads(request)
         return json.dumps([{"name": asked["q"], "country": asked["countrycodes"], "n": str(i)} for i in range(12)])
 
+    def document(self, request: str) -> str:
+        return base64.b64encode(request.encode()).decode()
+
     def operator(self, request: str) -> str | None:
         i = int(request)
         return None if i % 3 == 0 else json.dumps({"name": f"Netz {i}", "documents": [{"_id": f"d{k}", "name": "a/b.pdf"} for k in range(i % 3 - 1)]})
@@ -595,3 +599,9 @@ def way_urls(t: Callable, spark: SparkSession) -> DataFrame:
 @query("SELECT DISTINCT o_orderkey % 10 AS row_hash, o_custkey % 3 AS candidate FROM orders")
 def label_pairs(t: Callable, spark: SparkSession) -> DataFrame:
     return t("orders").select(T.label_key(F.col("o_orderkey") % 10, F.col("o_custkey") % 3).alias("k")).distinct().select("k.*")
+
+
+@query("SELECT page_id, md5(url) AS digest, strlen(url) AS bytes FROM pages")
+def document_fetch(t: Callable, spark: SparkSession) -> DataFrame:
+    got = models.fetched(t("pages").select("page_id", "url"), F.col("url"), Echo("document"))
+    return got.select("page_id", F.md5("content").alias("digest"), F.octet_length("content").cast("long").alias("bytes"))

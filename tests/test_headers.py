@@ -174,6 +174,13 @@ def test_models(spark):
         models.by_chunk(rows.withColumn("f", F.lit("f")), models.Recorded({'x\n{"text":"a"}\n{}\n{"text":"c"}': '["1"]', 'x\n{"text":"a"}\n{"text":null}\n{"text":"c"}': '["1"]'}), "f", "id", ["text"], "x").collect()
 
 
+def test_fetches(spark):
+    rows = spark.createDataFrame([("u",)], "url string")
+    assert models.fetched(rows, F.col("url"), models.Recorded({"u": "YQ=="})).first()["content"] == b"a"
+    with pytest.raises(Exception, match="wasn't answered"):
+        models.fetched(rows, F.col("url"), models.Recorded()).collect()
+
+
 def test_reads_documents_by_client(spark):
     pdf = b"%PDF-1.4 1 0 obj <</Type /Pages>> endobj 2 0 obj <</Type /Page >> endobj 3 0 obj <</Type/Page/X 1>> endobj"
     held = spark.createDataFrame([("a.pdf", pdf), ("b", b"x")], "path string, content binary")
