@@ -18,7 +18,7 @@ carried along under `row`.
 from __future__ import annotations
 
 import re
-import struct
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
@@ -70,7 +70,7 @@ class WordTokenizer:
     the next text. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer).
     """
 
-    def __init__(self, path: str, most: int = 48 << 20) -> None:
+    def __init__(self, path: str, most: int = 100 << 20) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -79,9 +79,14 @@ class WordTokenizer:
 
     def _part(self, part: str) -> bytes:
         spelt = part if part.isascii() else "".join(map(self.letter, part.encode()))
-        return struct.pack(f"<{len(found := [t.id for t in self.model.tokenize(spelt)])}I", *found)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        if len(word) <= 200:  # ASCII letters, with a mark behind them: the rule below, in short
+            if word.isalpha():
+                return self.parts[word.lower().decode()]
+            if word[-1:] in b".,;:!?" and word[:-1].isalpha():
+                return self.parts[word[:-1].lower().decode()] + self.parts[word[-1:].decode()]
         text = word.decode("utf-8", "replace")
         if len(text) <= 200 and _PLAIN.fullmatch(text) and "<|" not in text:
             low = text.lower()
