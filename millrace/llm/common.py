@@ -31,7 +31,8 @@ def cut(df: DataFrame) -> DataFrame:
 def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Lower the session's bytes per Arrow batch, so that a Python worker holds a few MB of texts at a time."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name, "67108864b").rstrip("b")) > most:
+    own = (spark.conf.get(name, None) or "").rstrip("b")
+    if not own.isdigit() or int(own) > most:
         spark.conf.set(name, f"{most}b")
 
 
