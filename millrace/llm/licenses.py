@@ -19,6 +19,9 @@ equal results; an empty table gives an empty result; other columns, whatever the
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 VERBS = ("licensed", "released", "distributed", "available", "provided", "published")
 #: A text without any of these holds no known sentence: each entry below needs one.
 HINT = rf"(?i)(?:{'|'.join(VERBS)})[^a-z0-9]+under|spdx|licen[sc]e|permission|redistribut|copyright|warranty|domain|reserved|applicable|hope[^a-z0-9]+that|received[^a-z0-9]+a[^a-z0-9]+copy|unencumbered|source[^a-z0-9]+code[^a-z0-9]+form|provided[^a-z0-9]+as|neither[^a-z0-9]+the[^a-z0-9]+name"
+#: What each alternative of HINT holds in lower case: a cheaper test, made first.
+STEMS = ("under", "spdx", "licens", "licenc", "permission", "redistribut", "copyright", "warranty", "domain", "reserved", "applicable", "hope", "received", "unencumbered", "source", "provided", "neither")
 
 #: Names of licenses as they stand after `under`, without "license" and "version". (fixed values)
 NAMES = {
@@ -128,13 +133,14 @@ def identifier(text: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Columns: row (struct), sentences array<string> (identifiers), licenses array<string>; both never null."""
     none = F.array().cast("array<string>")
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_t"))
+    stem = F.get(F.transform(F.array(F.lower(text)), lambda low: reduce(or_, [low.contains(w) for w in STEMS])), F.lit(0))
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_t"), (stem & F.col(text).rlike(HINT)).alias("_hint"))
     cut = F.split(F.regexp_replace("_t", BREAK, "$1$2\u0001"), "\u0001", -1)
     by_line = lambda s: F.transform(F.transform(F.split(s, "\n", -1), normalised), lambda x: F.coalesce(identifier(x), F.lit("-")))
     plain = F.transform(cut, lambda s: F.struct(normalised(s).alias("n"), s.alias("s")))
     known = F.transform(plain, lambda u: F.struct(identifier(u["n"]).alias("id"), u["s"].alias("s")))
     units = F.flatten(F.transform(known, lambda u: F.when(u["id"].isNotNull(), F.array(u["id"])).otherwise(by_line(u["s"]))))
-    rows = rows.withColumn("sentences", F.coalesce(F.when(F.col("_t").rlike(HINT), units), none))
+    rows = rows.withColumn("sentences", F.coalesce(F.when(F.col("_hint"), units), none))
     left = F.array_join(F.transform("sentences", lambda s: F.concat(s, F.lit(" "))), "")
     for pattern, name in RULES:
         left = F.regexp_replace(left, pattern, f"<{name}> ")
