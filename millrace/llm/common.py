@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,6 +39,13 @@ def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
         spark.conf.set(name, f"{most}b")
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker, which outlives its task, to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _of_one_table(df: DataFrame) -> bool:
     """Whether the rows of `df` are rows of one relation, each once at most (projections and filters only)."""
     plan = df._jdf.queryExecution().analyzed()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bucket_count, cut, small_batches
+from .common import bucket_count, cut, give_back, small_batches
 
 #: Words for which the pre-tokenizer's rule can be applied here: ASCII and the letters of Latin-1.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -67,10 +67,10 @@ class WordTokenizer:
 
     The file drops white space and never joins across it, so a text's ids are its words' ids in a row. Words are
     remembered, which is many times faster than whole texts; when they take over `most` bytes all are forgotten before
-    the next text. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer).
+    the next text. A Python worker keeps one tokenizer for all of its tasks (see _worker_tokenizer), and no words.
     """
 
-    def __init__(self, path: str, most: int = 100 << 20) -> None:
+    def __init__(self, path: str, most: int = 80 << 20) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -93,12 +93,15 @@ class WordTokenizer:
             return self.parts[low] if low.isalpha() else b"".join([self.parts[p] for p in _PARTS.findall(low)])
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def forget(self, most: int = -1) -> None:
+        self.words.forget(most)
+        self.parts.forget(most)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (UTF-8)."""
         out, ids = [], self.words.__getitem__
         for t in texts:
-            self.words.forget(self.most)
-            self.parts.forget(self.most)
+            self.forget(self.most)
             out.append(b"".join(map(ids, t.split())))
         return out
 
@@ -141,6 +144,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
                 number = pa.array(piece, pa.int32())
                 lengths = np.array([len(x) // 4 for x in ids], "i8")
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), number, pa.array(np.array(piece, "i8") * capacity), pa.array(lengths), pa.array(ids, pa.binary())], names=schema.names)
+        tokenizer.forget()
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

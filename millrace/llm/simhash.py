@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small_batches
+from .common import cut, give_back, small_batches
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
@@ -209,6 +209,7 @@ def _linker(pivots: Pivots, lanes: int) -> Callable[[Iterable[pa.RecordBatch]],
                 rest = (key[tail:], node[tail:], prints[tail:])
         if rest is not None:
             yield from found(*rest)
+        give_back()
 
     return run
 
