@@ -119,3 +119,20 @@ def ranked(df: DataFrame, buckets: int, group: str, order: str, ties: list[str],
         .withColumn("_before", F.col("_before0") + F.coalesce(F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .drop("_part", "_rank0", "_before0")
     )
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, *keys: str, most: int = 100_000, salts: int = 32) -> DataFrame:
+    """The rows with the columns of their group (one row of `groups` for each value of the keys, null a value too).
+
+    Groups are counted: up to `most` of them are broadcast; more are written out `salts` times, so that the rows of a
+    group that holds a large share of all meet it in that many tasks. A row without a group has nulls.
+    """
+    own = groups.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    if own.limit(most + 1).count() <= most:
+        out = rows.join(F.broadcast(own), same, "left")
+    else:
+        salted = own.withColumn("_k_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), *rows.columns), F.lit(salts)).cast("int"))
+        out = dealt.join(salted, [*same, F.col("_salt") == F.col("_k_salt")], "left").drop("_salt", "_k_salt")
+    return out.drop(*[f"_k_{k}" for k in keys])

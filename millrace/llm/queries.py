@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import licenses
 from .ann import nearest
+from .codes import compress
 from .common import WORD, read
 from .exact_topk import exact_top_k
 from .langid import held_out, predict, train
@@ -18,6 +19,8 @@ from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack, token_pieces
 from .pii import pseudonymise
+from .prefix_trie import rebuilt, sequences, trie
+from .sentencepiece_bpe import encoded
 from .sharding import shard_rows
 from .simhash import near_duplicates
 
@@ -85,6 +88,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "lines", F.col("left").alias("lines_left"), F.array_join(gone.cast("array<string>"), " ").alias("removed_lines"), F.crc32("text").alias("text_crc32"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = compress(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    code = F.lower(F.array_join(F.transform("code", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return out.rows.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(out.sha256()).alias("codebooks_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = sequences(read(spark, sf_dir, "conversations"))
+    c = F.col("conv_id")
+    return trie(rebuilt(own, base=c - c % 20, head=F.crc32(c.cast("string")) % 4, most=3))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    out = encoded(docs.select("doc_id", "text"), F.col("text"), public_tokenizers.path("piece_bpe_32k.model"), decode=True)
+    tokens = F.floor(F.octet_length("ids") / 4).cast("long")
+    return out.select("row.doc_id", tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_langid": op2_langid,
@@ -96,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
+    "op11_codes": op11_codes,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 
@@ -142,6 +169,52 @@ _CRCS = "list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(
 _SEEDED = "CAST('0x' || left(md5({text}), 15) AS BIGINT)"
 
 
+def _codes_sql() -> str:
+    """op11 in DuckDB: plain distances of every part to every entry, in integers, in each round."""
+    far = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))"
+
+    def nearest(k: int) -> str:
+        return f"a{k} AS (SELECT rid, p, min((CAST({far} AS BIGINT), e)) AS best FROM part JOIN b{k} USING (p) GROUP BY rid, p)"
+
+    def moved(k: int) -> str:
+        return f"""n{k} AS (SELECT p, best[2] AS e, i, CAST(floor(sum(x[i]) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS c FROM a{k} JOIN part USING (rid, p), size, range(1, size + 1) r(i) GROUP BY p, e, i),
+            m{k} AS (SELECT p, e, list(c ORDER BY i) AS z FROM n{k} GROUP BY p, e),
+            b{k + 1} AS (SELECT p, e, coalesce(z, y) AS y FROM b{k} LEFT JOIN m{k} USING (p, e))"""
+
+    return f"""
+        WITH v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS rid FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+        size AS (SELECT max(len(v)) // 16 AS size FROM v),
+        part AS (SELECT rid, vec_id, p, v[p * size + 1:p * size + size] AS x FROM v, size, range(16) r(p)),
+        first AS (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v QUALIFY e < 64),
+        b0 AS (SELECT p, e, x AS y FROM first JOIN part USING (rid)),
+        {nearest(0)}, {moved(0)}, {nearest(1)}, {moved(1)}, {nearest(2)},
+        o AS (SELECT rid, string_agg(lpad(lower(to_hex(best[2])), 2, '0'), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a2 GROUP BY rid),
+        h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN o USING (rid), h
+    """
+
+
+_TRIE = rf"""
+    WITH t AS (
+        SELECT conv_id AS c, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+        FROM conversations WHERE conv_id IS NOT NULL),
+    k AS (SELECT c, list(struct_pack(d := d, w := w) ORDER BY turn NULLS FIRST, d) AS s FROM t GROUP BY c),
+    h AS (SELECT c, s, {_CRC.replace("text", "CAST(c AS VARCHAR)")} % 4 AS h FROM k, (SELECT {_CRCS})),
+    r AS (SELECT h.c, list_concat(coalesce(list_slice(k.s, 1, h), []), list_slice(h.s, h + 1, len(h.s))) AS s FROM h LEFT JOIN k ON k.c = h.c - h.c % 20),
+    p AS (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM r),
+    n AS (
+        SELECT array_to_string(list_transform(list_slice(s, 1, d), lambda x: x.d), '') AS node, d, min(c) AS conv_id, count(*) AS n_convs, any_value(s[d].w) AS w,
+            sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends_sha256 FROM p GROUP BY node, d),
+    q AS (SELECT left(node, 32 * (d - 1)) AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+    m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN q USING (node)),
+    u AS (SELECT left(node, 32 * a) AS node, sum((n_children = 0)::INTEGER) AS n_leaves, sum((n_convs - 1) * coalesce(w, 0)) AS saved_tokens FROM (SELECT *, unnest(range(d + 1)) AS a FROM m) GROUP BY 1)
+    SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+    FROM m JOIN u USING (node) LEFT JOIN m up ON m.d > 0 AND up.node = left(m.node, 32 * (m.d - 1))
+"""
+
+
 ORACLES: dict[str, str] = {
     "op10_line_dedup": rf"""
         WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l, row_number() OVER () AS rid FROM documents),
@@ -207,6 +280,8 @@ ORACLES: dict[str, str] = {
             CASE WHEN place < longer * (small + 1) THEN place % (small + 1) ELSE (place - longer * (small + 1)) % greatest(small, 1) END AS slot, CAST(NULL AS INTEGER) AS grown_shard, source FROM s
     """,
     "op3_licenses": _licenses_sql(),
+    "op11_codes": _codes_sql(),
+    "op12_prefix_trie": _TRIE,
     "op6_exact_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
