@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -26,8 +27,9 @@ from pyspark.sql import types as T
 
 from .common import give_back, small_batches
 
-#: The blank's stand-in in pieces, the text of the unknown id (fixed values); parts that a worker remembers.
-BLANK, UNKNOWN, CACHE = "▁", " ⁇ ", 250_000
+#: The blank's stand-in in pieces, the text of the unknown id (fixed values); parts that a worker remembers, and their
+#: length at most; the place of a score that isn't there.
+BLANK, UNKNOWN, CACHE, SHORT, NONE = "▁", " ⁇ ", 600_000, 32, np.iinfo("i4").max
 
 
 class Pieces:
@@ -44,72 +46,149 @@ class Pieces:
         self.ids = {self.text[i]: i for i in plain}
         if any(lib.is_unused(i) for i in plain):
             raise ValueError("vocabularies with unused pieces aren't supported")
-        self.score = {self.text[i]: lib.get_score(i) for i in plain}
+        self.order = {self.text[i]: -lib.get_score(i) for i in plain}
         self.bytes = {int(self.text[i][3:5], 16): i for i in range(n) if lib.is_byte(i)}
         self.silent = {i for i in range(n) if lib.is_control(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        apart = not any(BLANK in t.lstrip(BLANK) for t in self.ids)
-        self.part = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if apart else r"(?s).+")
-        self.known: dict[str, tuple[int, ...]] = {}
+        special = {i for i in range(n) if i in self.byte_of or i in self.silent or lib.is_unknown(i)}
+        self.simple = [chr(self.byte_of[i]) if self.byte_of.get(i, 255) < 128 else None if i in special else t for i, t in enumerate(self.shown)]
+        self.part = _parts(self.ids)
+        self._pairs()
+        self.known: dict[str, bytes] = {}
 
     def merged(self, part: str) -> list[str]:
         """The symbols that are left when the agenda is empty."""
-        symbols: list[str] = list(part)
-        before, after = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
-        score, agenda = self.score, []
-
-        def offer(left: int, right: int) -> None:
-            both = symbols[left] + symbols[right]
-            found = score.get(both)
-            if found is not None:
-                heapq.heappush(agenda, (-found, left, right, both))
-
-        for i in range(len(symbols) - 1):
-            offer(i, i + 1)
+        order, n = self.order.get, len(part)
+        agenda = [(found, i, i + 1, part[i : i + 2]) for i in range(n - 1) if (found := order(part[i : i + 2])) is not None]
+        symbols = list(part)
+        if not agenda:
+            return symbols
+        heapq.heapify(agenda)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         while agenda:
             _, left, right, both = heapq.heappop(agenda)
-            if after[left] != right or not symbols[right] or symbols[left] + symbols[right] != both:
+            if after[left] != right or len(symbols[left]) + len(symbols[right]) != len(both):
                 continue
-            symbols[left], symbols[right] = both, ""
-            far = after[left] = after[right]
+            far = after[right]
+            symbols[left], symbols[right], after[left], after[right] = both, "", far, -2
             if far >= 0:
                 before[far] = left
-                offer(left, far)
-            if before[left] >= 0:
-                offer(before[left], left)
+                joint = both + symbols[far]
+                if (found := order(joint)) is not None:
+                    heapq.heappush(agenda, (found, left, far, joint))
+            near = before[left]
+            if near >= 0:
+                joint = symbols[near] + both
+                if (found := order(joint)) is not None:
+                    heapq.heappush(agenda, (found, near, left, joint))
         return [s for s in symbols if s]
 
-    def part_ids(self, part: str) -> tuple[int, ...]:
-        found = self.known.get(part)
-        if found is None:
-            out: list[int] = []
-            for symbol in self.merged(part):
-                own = self.ids.get(symbol)
-                if own is not None:
-                    out.append(own)
-                elif self.bytes:
-                    out.extend(self.bytes[b] for b in symbol.encode())
-                else:
-                    out.append(self.library.unk_id())
-            found = tuple(out)
-            if len(part) <= 64:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[part] = found
-        return found
+    def _pairs(self) -> None:
+        """Sorted pairs of symbols (a piece's id, or the number of ids and a character's code) that make a piece, with
+        the places of their scores and the pieces."""
+        place = {v: i for i, v in enumerate(sorted(set(self.order.values())))}
+        self.symbol = {c: self.ids.get(c, len(self.text) + ord(c)) for c in {c for t in self.ids for c in t}}
+        found = []
+        for t, i in self.ids.items():
+            for k in range(1, len(t)):
+                left, right = (self.ids.get(x, self.symbol[x] if len(x) == 1 else None) for x in (t[:k], t[k:]))
+                if left is not None and right is not None:
+                    found.append((left << 21 | right, place[self.order[t]], i))
+        table = np.array(sorted(found), "i8").reshape(-1, 3)
+        self.keys, self.places, self.made = np.ascontiguousarray(table[:, 0]), table[:, 1].astype("i4"), table[:, 2].copy()
+
+    def _joint(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the pair's score (NONE: no piece) and the pair's number."""
+        key = np.where((left < 0) | (right < 0), -1, left << 21 | right)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.places[at], NONE), at
+
+    def _merged_parts(self, parts: list[str]) -> None:
+        """part_ids() of many short parts at once: in each round every part takes the best pair of its agenda."""
+        n, ids = len(parts), len(self.text)
+        size = np.array([len(p) for p in parts])
+        wide = int(size.max()) + 1
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
+        kinds, which = np.unique(codes, return_inverse=True)
+        symbols = np.full((n, wide), -1, "i8")
+        symbols[np.arange(wide) < size[:, None]] = np.array([self.symbol.get(chr(c), ids + c) for c in kinds.tolist()], "i8")[which]
+        agenda = np.full((n, wide), NONE, "i4")
+        agenda[:, :-1] = self._joint(symbols[:, :-1], symbols[:, 1:])[0]
+        after = np.tile(np.arange(1, wide + 1, dtype="i4"), (n, 1))
+        before = np.tile(np.arange(-1, wide - 1, dtype="i4"), (n, 1))
+        row = np.arange(n)
+        while len(row):
+            best = agenda[row].argmin(axis=1)
+            open_ = agenda[row, best] != NONE
+            row, left = row[open_], best[open_]
+            right = after[row, left]
+            symbols[row, left] = self.made[self._joint(symbols[row, left], symbols[row, right])[1]]
+            symbols[row, right], agenda[row, right] = -1, NONE
+            far = np.minimum(after[row, right], wide - 1)  # the last place is never a symbol
+            after[row, left], before[row, far] = far, left
+            agenda[row, left] = self._joint(symbols[row, left], symbols[row, far])[0]
+            inner = before[row, left] >= 0
+            row_, left_ = row[inner], left[inner]
+            near = before[row_, left_]
+            agenda[row_, near] = self._joint(symbols[row_, near], symbols[row_, left_])[0]
+        held = symbols >= 0
+        whole = symbols[held]
+        ends, odd = np.cumsum(held.sum(axis=1)).tolist(), (symbols >= ids).any(axis=1).tolist()
+        body, last = whole.astype("<u4").tobytes(), 0
+        for part, end, strange in zip(parts, ends, odd, strict=True):
+            if strange:  # characters that are no pieces
+                self.part_ids(part)
+            else:
+                self.known[part] = body[4 * last : 4 * end]
+            last = end
 
-    def encode(self, text: str) -> list[int]:
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """encode() of many texts."""
+        if len(self.known) >= CACHE:
+            self.known.clear()
+        parts = [self.part.findall(self.library.normalize(t)) for t in texts]
+        found = [list(map(self.known.get, own)) for own in parts]
+        new = {p for own, ids in zip(parts, found, strict=True) if None in ids for p, i in zip(own, ids, strict=True) if i is None and len(p) <= SHORT}
+        new = sorted(new, key=len)
+        for a in range(0, len(new), 8192):
+            self._merged_parts(new[a : a + 8192])
+        return [self._joined(own, ids) for own, ids in zip(parts, found, strict=True)]
+
+    def part_ids(self, part: str) -> bytes:
         out: list[int] = []
-        ids, unknown, whole = self.part_ids, self.library.unk_id(), not self.bytes
-        for part in self.part.findall(self.library.normalize(text)):
-            out.extend(ids(part))
-        if whole:  # neighbouring unknown symbols are one
-            out = [i for k, i in enumerate(out) if i != unknown or not k or out[k - 1] != unknown]
+        for symbol in self.merged(part):
+            own = self.ids.get(symbol)
+            if own is not None:
+                out.append(own)
+            elif self.bytes:
+                out.extend([self.bytes[b] for b in symbol.encode()])
+            else:
+                out.append(self.library.unk_id())
+        found = array("I", out).tobytes()
+        if len(part) <= SHORT:
+            self.known[part] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        """Ids as unsigned 32-bit integers."""
+        parts = self.part.findall(self.library.normalize(text))
+        return self._joined(parts, list(map(self.known.get, parts)))
+
+    def _joined(self, parts: list[str], found: list[bytes | None]) -> bytes:
+        out = b"".join([f if f is not None else self.known.get(p) or self.part_ids(p) for f, p in zip(found, parts, strict=True)] if None in found else found)
+        if not self.bytes:  # neighbouring unknown symbols are one
+            ids, unknown = np.frombuffer(out, "u4"), self.library.unk_id()
+            out = ids[np.append(True, (ids[1:] != unknown) | (ids[:-1] != unknown))[: len(ids)]].tobytes()
         return out
 
     def decode(self, ids: list[int]) -> str:
         """Pieces with their blanks, less one blank before the first; byte pieces as UTF-8, each byte that isn't part of
         a character as U+FFFD; control pieces are silent."""
+        begin, end = ids[:1] == [self.library.bos_id()], ids[-1:] == [self.library.eos_id()]
+        plain = list(map(self.simple.__getitem__, ids[begin : len(ids) - (end and len(ids) > begin)]))
+        if None not in plain:
+            whole = "".join(plain)
+            return whole[1:] if whole[:1] == " " and ids[begin] not in self.byte_of else whole
         text, silent, byte_of, unknown = self.shown, self.silent, self.byte_of, self.library.unk_id()
         out: list[str] = []
         held, first = bytearray(), True
@@ -134,6 +213,28 @@ class Pieces:
         return "".join(out)
 
 
+def _parts(pieces: Iterable[str]) -> re.Pattern:
+    """Parts of a normalised text that no merge leaves: blanks, and after them characters of one group."""
+    group: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while group.setdefault(c, c) != c:
+            c = group[c]
+        return c
+
+    for piece in pieces:
+        own = piece.lstrip(BLANK)
+        if BLANK in own:
+            return re.compile(r"(?s).+")
+        for a, b in zip(own, own[1:], strict=False):
+            group[top(a)] = top(b)
+    classes: dict[str, list[str]] = {}
+    for c in list(group):
+        classes.setdefault(top(c), []).append(c)
+    each = [f"{BLANK}*[{''.join(map(re.escape, sorted(own)))}]+" for own in sorted(classes.values(), key=len, reverse=True)]
+    return re.compile("|".join([*each, f"{BLANK}*[^{BLANK}]", f"{BLANK}+"]))
+
+
 def _characters(body: bytes) -> str:
     out = ""
     while body:
@@ -165,15 +266,16 @@ def encoded(docs: DataFrame, text: Column, model: str, decode: bool = False, beg
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(model)
         lib = own.library
-        head, tail = [lib.bos_id()] * begin, [lib.eos_id()] * end
+        head, tail = (np.array([i] * asked, "<u4").tobytes() for i, asked in ((lib.bos_id(), begin), (lib.eos_id(), end)))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = [head + own.encode(t) + tail for t in texts]
-            _same(ids, lib.encode(texts, add_bos=begin, add_eos=end, num_threads=1), "an encoding")
-            out = [batch.column(0), pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary())]
+            ids = [head + i + tail for i in own.encode_all(texts)]
+            wanted = lib.encode(texts, add_bos=begin, add_eos=end, num_threads=1, out_type="numpy")
+            _same(ids, [i.tobytes() for i in wanted], "an encoding")
+            out = [batch.column(0), pa.array(ids, pa.binary())]
             if decode:
-                back = [own.decode(i) for i in ids]
-                _same(back, lib.decode(ids, num_threads=1), "a text")
+                back = [own.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
+                _same(back, lib.decode(wanted, num_threads=1), "a text")
                 out.append(pa.array(back, pa.string()))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
         give_back()
