@@ -30,6 +30,7 @@ from .common import give_back, small_batches
 #: The blank's stand-in in pieces, the text of the unknown id (fixed values); parts that a worker remembers, and their
 #: length at most; the place of a score that isn't there.
 BLANK, UNKNOWN, CACHE, SHORT, NONE = "▁", " ⁇ ", 600_000, 32, np.iinfo("i4").max
+SILENT, ODD = 1, 2
 
 
 class Pieces:
@@ -50,8 +51,9 @@ class Pieces:
         self.bytes = {int(self.text[i][3:5], 16): i for i in range(n) if lib.is_byte(i)}
         self.silent = {i for i in range(n) if lib.is_control(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        special = {i for i in range(n) if i in self.byte_of or i in self.silent or lib.is_unknown(i)}
-        self.simple = [chr(self.byte_of[i]) if self.byte_of.get(i, 255) < 128 else None if i in special else t for i, t in enumerate(self.shown)]
+        low = {i for i, b in self.byte_of.items() if b < 128}  # characters on their own, whatever stands beside them
+        self.kinds = np.array([SILENT if i in self.silent else ODD if lib.is_unknown(i) or (i in self.byte_of and i not in low) else 0 for i in range(n)], "u1")
+        self.table = np.array(["" if i in self.silent else chr(self.byte_of[i]) if i in low else t for i, t in enumerate(self.shown)], object)
         self.part = _parts(self.ids)
         self._pairs()
         self.known: dict[str, bytes] = {}
@@ -94,13 +96,13 @@ class Pieces:
                 left, right = (self.ids.get(x, self.symbol[x] if len(x) == 1 else None) for x in (t[:k], t[k:]))
                 if left is not None and right is not None:
                     found.append((left << 21 | right, place[self.order[t]], i))
-        table = np.array(sorted(found), "i8").reshape(-1, 3)
+        table = np.array([*sorted(found), (np.iinfo("i8").max, NONE, 0)], "i8")
         self.keys, self.places, self.made = np.ascontiguousarray(table[:, 0]), table[:, 1].astype("i4"), table[:, 2].copy()
 
     def _joint(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the pair's score (NONE: no piece) and the pair's number."""
-        key = np.where((left < 0) | (right < 0), -1, left << 21 | right)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        """Place of the pair's score (NONE: no piece, or a side that is no symbol, -1) and the pair's number."""
+        key = left << 21 | right
+        at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.places[at], NONE), at
 
     def _merged_parts(self, parts: list[str]) -> None:
@@ -112,8 +114,8 @@ class Pieces:
         kinds, which = np.unique(codes, return_inverse=True)
         symbols = np.full((n, wide), -1, "i8")
         symbols[np.arange(wide) < size[:, None]] = np.array([self.symbol.get(chr(c), ids + c) for c in kinds.tolist()], "i8")[which]
-        agenda = np.full((n, wide), NONE, "i4")
-        agenda[:, :-1] = self._joint(symbols[:, :-1], symbols[:, 1:])[0]
+        agenda, pair = np.full((n, wide), NONE, "i4"), np.zeros((n, wide), "i4")
+        agenda[:, :-1], pair[:, :-1] = self._joint(symbols[:, :-1], symbols[:, 1:])
         after = np.tile(np.arange(1, wide + 1, dtype="i4"), (n, 1))
         before = np.tile(np.arange(-1, wide - 1, dtype="i4"), (n, 1))
         row = np.arange(n)
@@ -122,15 +124,15 @@ class Pieces:
             open_ = agenda[row, best] != NONE
             row, left = row[open_], best[open_]
             right = after[row, left]
-            symbols[row, left] = self.made[self._joint(symbols[row, left], symbols[row, right])[1]]
+            own = symbols[row, left] = self.made[pair[row, left]]
             symbols[row, right], agenda[row, right] = -1, NONE
             far = np.minimum(after[row, right], wide - 1)  # the last place is never a symbol
             after[row, left], before[row, far] = far, left
-            agenda[row, left] = self._joint(symbols[row, left], symbols[row, far])[0]
-            inner = before[row, left] >= 0
-            row_, left_ = row[inner], left[inner]
-            near = before[row_, left_]
-            agenda[row_, near] = self._joint(symbols[row_, near], symbols[row_, left_])[0]
+            agenda[row, left], pair[row, left] = self._joint(own, symbols[row, far])
+            near = before[row, left]
+            inner = near >= 0
+            some, near = row[inner], near[inner]
+            agenda[some, near], pair[some, near] = self._joint(symbols[some, near], own[inner])
         held = symbols >= 0
         whole = symbols[held]
         ends, odd = np.cumsum(held.sum(axis=1)).tolist(), (symbols >= ids).any(axis=1).tolist()
@@ -181,14 +183,21 @@ class Pieces:
             out = ids[np.append(True, (ids[1:] != unknown) | (ids[:-1] != unknown))[: len(ids)]].tobytes()
         return out
 
+    def decode_all(self, texts: list[np.ndarray]) -> list[str]:
+        """decode() of many texts; most have no odd pieces and are joined from a table."""
+        out = []
+        for ids in texts:
+            kind = self.kinds[ids]
+            if kind[1:-1].any() or len(ids) < 3 or kind[0] == ODD or kind[-1] == ODD:
+                out.append(self.decode(ids.tolist()))
+            else:
+                whole = "".join(self.table[ids].tolist())
+                out.append(whole[1:] if whole[:1] == " " and (ids[1] if kind[0] else ids[0]) not in self.byte_of else whole)
+        return out
+
     def decode(self, ids: list[int]) -> str:
         """Pieces with their blanks, less one blank before the first; byte pieces as UTF-8, each byte that isn't part of
         a character as U+FFFD; control pieces are silent."""
-        begin, end = ids[:1] == [self.library.bos_id()], ids[-1:] == [self.library.eos_id()]
-        plain = list(map(self.simple.__getitem__, ids[begin : len(ids) - (end and len(ids) > begin)]))
-        if None not in plain:
-            whole = "".join(plain)
-            return whole[1:] if whole[:1] == " " and ids[begin] not in self.byte_of else whole
         text, silent, byte_of, unknown = self.shown, self.silent, self.byte_of, self.library.unk_id()
         out: list[str] = []
         held, first = bytearray(), True
@@ -274,7 +283,7 @@ def encoded(docs: DataFrame, text: Column, model: str, decode: bool = False, beg
             _same(ids, [i.tobytes() for i in wanted], "an encoding")
             out = [batch.column(0), pa.array(ids, pa.binary())]
             if decode:
-                back = [own.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
+                back = own.decode_all(wanted)
                 _same(back, lib.decode(wanted, num_threads=1), "a text")
                 out.append(pa.array(back, pa.string()))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
@@ -293,9 +302,9 @@ def decoded(rows: DataFrame, ids: Column, model: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(model)
         for batch in batches:
-            asked = [np.frombuffer(b, "<u4").tolist() for b in batch.column(1).to_pylist()]
-            back = [own.decode(i) for i in asked]
-            _same(back, own.library.decode(asked, num_threads=1) if asked else [], "a text")
+            asked = [np.frombuffer(b, "<u4") for b in batch.column(1).to_pylist()]
+            back = own.decode_all(asked)
+            _same(back, own.library.decode([i.tolist() for i in asked], num_threads=1) if asked else [], "a text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(back, pa.string())], names=schema.names)
         give_back()
 

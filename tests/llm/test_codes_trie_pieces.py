@@ -158,11 +158,11 @@ def test_pieces_are_the_librarys():
         assert own.encode(t) == together
         ids = np.frombuffer(own.encode(t), "u4").tolist()
         assert ids == own.library.encode(t)
-        assert own.decode(ids) == own.library.decode(ids) == t.replace("▁", " ")
+        assert own.decode(ids) == own.library.decode(ids) == t.replace("▁", " ") == own.decode_all([np.array([1, *ids, 2])])[0]
     rng = random.Random(2)
     for _ in range(5000):  # ids that no text gives: broken bytes, unknown and control ids
         ids = [rng.choice([rng.randrange(32_000), rng.randrange(260), 259, 28_705, 0, 1, 2, 229, 153, 132]) for _ in range(rng.randrange(9))]
-        assert own.decode(ids) == own.library.decode(ids)
+        assert own.decode(ids) == own.library.decode(ids) == own.decode_all([np.array(ids, "u4")])[0]
 
 
 def test_pieces_forget(monkeypatch):
