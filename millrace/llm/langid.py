@@ -110,7 +110,8 @@ def _slices(texts: list[bytes | None], size: int = 250_000) -> Iterator[tuple[in
 
 
 def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text", label: str = "lang", max_train: int = 20_000, bits: int = 16, matrix_mb: int = 64, max_langs: int = 1024, seed: int = 2) -> Model:
-    """Learn from at most about `max_train` labelled rows among those that satisfy `where`."""
+    """Learn from at most about `max_train` labelled rows among those that satisfy `where`; rows are drawn by id and
+    text. Labels of which no drawn text has a letter aren't learned."""
     labelled = docs.where(where & F.col(label).isNotNull()).select(key, F.col(label).alias("_label"), F.col(text).alias("_text"))
     small_batches(docs.sparkSession)
     per = {r["_label"]: r["n"] for r in labelled.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).limit(max_langs + 1).collect()}
@@ -120,7 +121,7 @@ def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text
     while bits > 8 and len(langs) * 8 << bits > matrix_mb << 20:
         bits -= 1
     share = 1.0 if total <= max_train else max_train / total
-    sample = labelled.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = labelled if share == 1 else labelled.where(F.pmod(F.xxhash64(F.lit(seed), key, "_text"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[str, np.ndarray] = {}
@@ -136,6 +137,8 @@ def train(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype("i4")), pa.array(have[at])], names=["lang", "cell", "n"])
 
     seen = sample.select("_label", F.col("_text").cast("binary")).mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    told = set(seen["lang"].to_pylist())
+    langs = [k for k in langs if k in told]
     counts = np.full((1 << bits, len(langs)), 0.5)
     place = {k: i for i, k in enumerate(langs)}
     if seen.num_rows:

@@ -3,7 +3,8 @@
 A source's documents are put into a seeded order and read as one ring of words, cut into blocks of equal word counts
 (the last one may be shorter). Blocks go to sources by highest quotient target / (2 * blocks so far + 1); as this rule
 is house monotone, the first k/shards-th part of the allotment is a valid allotment of its own, and the differences are
-the integer quotas of each shard. The seats of a source are then dealt to its blocks by a seeded permutation: seat j
+the integer quotas of each shard. Sources of unlike sizes are apportioned in tiers (targets within a factor of 16 of each
+other), each with blocks of its own size, so a small source doesn't make the blocks of a large one small. The seats of a source are then dealt to its blocks by a seeded permutation: seat j
 takes block (start + j * step) mod blocks, and seats lie in shards as the quotas say. A quota above the source's blocks
 goes round again, never past two rounds.
 
@@ -39,6 +40,7 @@ class Share:
     blocks: int  # seats won
     quotas: list[int]  # of each shard
     ring: int  # blocks of the source
+    block: int  # words of a block
     start: int
     turn: int  # inverse of the permutation's step modulo ring
 
@@ -56,7 +58,8 @@ def targets(sizes: list[int], weights: list[float], share: float, cap: float) ->
         for i in full:
             out[i] = float(cap * sizes[i])
             left -= out[i]
-        open_ = [i for i in open_ if out[i] == 0.0 and i not in set(full)]
+        gone = set(full)
+        open_ = [i for i in open_ if i not in gone]
     return out
 
 
@@ -81,34 +84,42 @@ def sainte_lague(weights: list[float], seats: int, most: list[int]) -> list[int]
     return won
 
 
-def plan(sizes: dict[str, int], share: float = 1.5, cap: int = 2, weights: tuple[float, ...] = WEIGHTS, shards: int = 16, seed: int = 8, block: int | None = None) -> tuple[int, dict[str, Share]]:
-    """The block size and each source's share. Keys: as group_key makes them ("" for null, last)."""
+def tier(goal: float) -> int:
+    """Number of the tier of a target: a block of 1, 16, 256 or 1024 words is at most 1/300 of it."""
+    return sum(goal >= 300 * least for least in (16, 256, 1024))
+
+
+def plan(sizes: dict[str, int], share: float = 1.5, cap: int = 2, weights: tuple[float, ...] = WEIGHTS, shards: int = 16, seed: int = 8, block: int | None = None) -> dict[str, Share]:
+    """Each source's share. Keys: as group_key makes them ("" for null, last). `block` is every block's size, if given."""
     names = sorted(sizes, key=lambda k: (k == "", k))
-    size = [sizes[k] for k in names]
-    goal = targets(size, [weights[i % len(weights)] for i in range(len(names))], share, cap)
-    if block is None:
-        block = max(1, min(1024, int(min((g for g in goal if g > 0), default=0) / 300)), max(size, default=0) >> 31)
-    most = [math.ceil(cap * s / block) for s in size]
-    seats = round(sum(goal) / block)
-    so_far = [sainte_lague(goal, seats * (k + 1) // shards, most) for k in range(shards)]
+    goal = targets([sizes[k] for k in names], [weights[i % len(weights)] for i in range(len(names))], share, cap)
+    tiers: dict[int, list[int]] = {}
+    for i, g in enumerate(goal):
+        tiers.setdefault(tier(g), []).append(i)
     out = {}
-    for i, k in enumerate(names):
-        won, ring = [s[i] for s in so_far], max(1, math.ceil(size[i] / block))
-        start, turn = (int(hashlib.md5(f"{n}|{k}".encode()).hexdigest()[:15], 16) % ring for n in (seed, seed + 1))
-        while math.gcd(turn, ring) != 1:
-            turn += 1
-        out[k] = Share(size[i], goal[i], won[-1], [b - a for a, b in zip([0, *won], won)], ring, start, turn)
-    return block, out
+    for own in tiers.values():
+        size, aim = [sizes[names[i]] for i in own], [goal[i] for i in own]
+        width = block or max(1, min(1024, int(min((g for g in aim if g > 0), default=0) / 300)), max(size) >> 31)
+        most = [math.ceil(cap * s / width) for s in size]
+        seats = round(sum(aim) / width)
+        so_far = [sainte_lague(aim, seats * (k + 1) // shards, most) for k in range(shards)]
+        for i, n in enumerate(own):
+            won, ring = [s[i] for s in so_far], max(1, math.ceil(size[i] / width))
+            start, turn = (int(hashlib.md5(f"{x}|{names[n]}".encode()).hexdigest()[:15], 16) % ring for x in (seed, seed + 1))
+            while math.gcd(turn, ring) != 1:
+                turn += 1
+            out[names[n]] = Share(size[i], aim[i], won[-1], [b - a for a, b in zip([0, *won], won)], ring, width, start, turn)
+    return out
 
 
 def _table(spark: SparkSession, shares: dict[str, Share]) -> DataFrame:
     """One row per source, made in the JVM from a literal."""
-    rows = [{"_g": k, "target": s.target, "_seats": s.blocks, "_ring": s.ring, "_start": s.start, "_turn": s.turn, "_until": [sum(s.quotas[: i + 1]) for i in range(len(s.quotas))]} for k, s in shares.items()]
-    kind = "array<struct<_g:string,target:double,_seats:long,_ring:long,_start:long,_turn:long,_until:array<long>>>"
+    rows = [{"_g": k, "target": s.target, "_seats": s.blocks, "_ring": s.ring, "_block": s.block, "_start": s.start, "_turn": s.turn, "_until": [sum(s.quotas[: i + 1]) for i in range(len(s.quotas))]} for k, s in shares.items()]
+    kind = "array<struct<_g:string,target:double,_seats:long,_ring:long,_block:long,_start:long,_turn:long,_until:array<long>>>"
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
 
 
-def mix(docs: DataFrame, source: str = "source", text: str | None = "text", size: str | None = None, key: tuple[str, ...] = ("doc_id",), seed: int = 8, max_sources: int = 1_000_000, **rule: object) -> DataFrame:
+def mix(docs: DataFrame, source: str = "source", text: str | None = "text", size: str | None = None, key: tuple[str, ...] = ("doc_id",), seed: int = 8, max_sources: int = 100_000, **rule: object) -> DataFrame:
     """Columns: row (struct), size, source_size, target, taken, readings array<struct<start, stop, shard, round>>.
 
     A reading is a block's share of the document, words [start, stop), that the mix takes: of the first round or the
@@ -120,9 +131,9 @@ def mix(docs: DataFrame, source: str = "source", text: str | None = "text", size
     found = base.groupBy("_g").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(max_sources + 1).collect()
     if len(found) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
-    block, shares = plan({r["_g"]: r["size"] for r in found}, seed=seed, **rule)
+    shares = plan({r["_g"]: r["size"] for r in found}, seed=seed, **rule)
     df = ranked(base, bucket_count(sum(r["rows"] for r in found)), "_g", "_h", ["size", *[f"_k{i}" for i in range(len(ids))]], "size", _table(docs.sparkSession, shares))
-    begin, end, width = F.col("_before"), F.col("_before") + F.col("size"), F.lit(block)
+    begin, end, width = F.col("_before"), F.col("_before") + F.col("size"), F.col("_block")
     low, high = F.floor(begin / width).cast("long"), F.floor((end - 1) / width).cast("long")
 
     def readings(b: Column) -> Column:

@@ -250,12 +250,13 @@ ORACLES: dict[str, str] = {
         c AS (SELECT *, coalesce(sum(s) OVER up, 0) AS s0, coalesce(sum(w) OVER up, 0) AS w0, sum(s) OVER () AS s1, sum(w) OVER () AS w1 FROM w
             WINDOW up AS (ORDER BY full_at, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
         u AS (SELECT min_by((1.5 * s1 - 2 * s0)::DOUBLE / (w1 - w0), (full_at, i)) AS unit FROM c WHERE w * ((1.5 * s1 - 2 * s0)::DOUBLE / (w1 - w0)) <= 2 * s),
-        t AS (SELECT g, s, i, CASE WHEN w * unit > 2 * s THEN CAST(2 * s AS DOUBLE) ELSE w * unit END AS target FROM w, u),
-        b AS (SELECT CAST(greatest(1, least(1024, floor(coalesce(min(target) FILTER (target > 0), 0) / 300))) AS BIGINT) AS block, sum(target) AS goal FROM t),
-        q AS (SELECT g, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, i, seat) AS place FROM (
-            SELECT g, i, target, unnest(range(CAST(ceil(2 * s / block::DOUBLE) AS BIGINT))) AS seat FROM t, b WHERE target > 0)),
-        k AS (SELECT g, count(*) AS seats FROM q, b WHERE place <= round_even(goal / block, 0) GROUP BY g),
-        r AS (SELECT t.*, block, coalesce(seats, 0) AS seats, greatest(1, CAST(ceil(s / block::DOUBLE) AS BIGINT)) AS ring FROM t CROSS JOIN b LEFT JOIN k USING (g)),
+        t0 AS (SELECT g, s, i, CASE WHEN w * unit > 2 * s THEN CAST(2 * s AS DOUBLE) ELSE w * unit END AS target FROM w, u),
+        t AS (SELECT *, (target >= 4800)::INTEGER + (target >= 76800)::INTEGER + (target >= 307200)::INTEGER AS tier FROM t0),
+        b AS (SELECT tier, CAST(greatest(1, least(1024, floor(coalesce(min(target) FILTER (target > 0), 0) / 300))) AS BIGINT) AS block, sum(target) AS goal FROM t GROUP BY tier),
+        q AS (SELECT g, tier, row_number() OVER (PARTITION BY tier ORDER BY target / (2 * seat + 1) DESC, i, seat) AS place FROM (
+            SELECT g, i, tier, target, unnest(range(CAST(ceil(2 * s / block::DOUBLE) AS BIGINT))) AS seat FROM t JOIN b USING (tier) WHERE target > 0)),
+        k AS (SELECT g, count(*) AS seats FROM q JOIN b USING (tier) WHERE place <= round_even(goal / block, 0) GROUP BY g),
+        r AS (SELECT t.*, block, coalesce(seats, 0) AS seats, greatest(1, CAST(ceil(s / block::DOUBLE) AS BIGINT)) AS ring FROM t JOIN b USING (tier) LEFT JOIN k USING (g)),
         p AS (SELECT *, {_SEEDED.format(text="'8|' || g")} % ring AS start, {_SEEDED.format(text="'9|' || g")} % ring AS turn0 FROM r),
         x AS (SELECT * EXCLUDE turn0, list_filter(range(turn0, turn0 + 1000), lambda n: gcd(n, ring) = 1)[1] AS turn FROM p),
         o AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY g ORDER BY h % (SELECT CAST(greatest(1, least(1048576, ceil(count(*) / 500.0))) AS BIGINT) FROM d), h, size, doc_id NULLS FIRST

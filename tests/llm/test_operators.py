@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 import xxhash
@@ -324,20 +326,54 @@ def test_mixing_by_brute_force(spark):
     rows = [(i, " ".join(["w"] * int(n)), None if s == 3 else f"s{s}") for i, (n, s) in enumerate(zip(rng.integers(0, 300, 900), rng.choice(4, 900, p=[0.55, 0.2, 0.2, 0.05]), strict=True))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = mixing.mix(docs).collect()
-    block, shares = mixing.plan({k: sum(r["size"] for r in out if (r["row"]["source"] or "") == k.removeprefix("=")) for k in ("=s0", "=s1", "=s2", "")})
+    shares = mixing.plan({k: sum(r["size"] for r in out if (r["row"]["source"] or "") == k.removeprefix("=")) for k in ("=s0", "=s1", "=s2", "")})
     for k, share in shares.items():
         own = [r for r in out if (r["row"]["source"] or "") == k.removeprefix("=")]
-        assert abs(sum(r["taken"] for r in own) - share.target) <= 0.01 * share.target + block
+        assert abs(sum(r["taken"] for r in own) - share.target) <= 0.01 * share.target + share.block
         by_shard = np.zeros(16)
         for r in own:
             assert r["taken"] == sum(x["stop"] - x["start"] for x in r["readings"]) <= 2 * r["size"]
             for x in r["readings"]:
                 by_shard[x["shard"]] += x["stop"] - x["start"]
-        assert np.abs(by_shard - np.array(share.quotas) * block).max() <= 2 * block
+        assert np.abs(by_shard - np.array(share.quotas) * share.block).max() <= 2 * share.block
     again = {r["row"]["doc_id"]: r["taken"] for r in mixing.mix(docs.repartition(7)).collect()}
     assert again == {r["row"]["doc_id"]: r["taken"] for r in out}
 
 
+def test_mixing_sources_of_unlike_sizes(spark):
+    """A tiny source has small blocks of its own, the large one keeps large ones."""
+    shares = mixing.plan({"=big": 10**9, "=mid": 10**6, "=tiny": 150})
+    assert [shares[k].block for k in ("=big", "=mid", "=tiny")] == [1024, 1024, 1]
+    rows = [(i, "w " * 2000, "big") for i in range(100)] + [(1000 + i, "w " * 10, "tiny") for i in range(10)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sum(len(r["readings"]) for r in out) < 2500
+    for name in ("big", "tiny"):
+        own = [r for r in out if r["row"]["source"] == name]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.02 * own[0]["target"]
+
+
+def test_mixing_many_sources():
+    start = time.time()
+    shares = mixing.plan({f"={i}": 10 + i % 5000 for i in range(20_000)})
+    assert time.time() - start < 60 and len(shares) == 20_000
+    assert abs(sum(s.blocks * s.block for s in shares.values()) - sum(s.target for s in shares.values())) < 0.02 * sum(s.target for s in shares.values())
+
+
+def test_language_of_rows_that_share_an_id(spark):
+    rows = [(7, f"the cat and the dog of {i}", "en") for i in range(400)] + [(7, f"der hund und die katze {i}", "de") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True), max_train=100)
+    assert model.langs == ["de", "en"]
+    assert langid.train(spark.createDataFrame([(1, "12 3", "de"), (2, None, "en")], df.schema), F.lit(True)).langs == []
+
+
+def test_pipeline_keeps_texts_without_labels(spark):
+    rows = [(i if i % 2 else None, f"the cat and the dog of house {i}", None, "a", 9) for i in range(50)] + [(99, "12 3", None, "a", 9), (98, None, None, "a", 9)]
+    df = spark.createDataFrame(rows, DOCS)
+    assert corpus_pipeline.language(spark, df, "").count() == 50
+    assert corpus_pipeline.language(spark, df.withColumn("doc_id", F.lit(None).cast("long")).withColumn("lang", F.lit("en")), "").count() == 50
+
+
 def test_sharding_mixture(spark):
     rows = [(i % 700, "hot" if i % 3 else f"s{i % 9}", 1) for i in range(1600)]
     out = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, source string, shard int"), rows_per_part=40).collect()
