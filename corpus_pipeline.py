@@ -20,9 +20,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no learned language go: no letter, or no language that takes half of the probability.
 
-    A document without a label gets the predicted language as its `lang`.
+    A document without a label gets the predicted language as its `lang`. Where no language could be learned (no
+    label, or no labelled text with a letter), only documents without a letter go.
     """
-    model = langid.train(docs, where=F.col("doc_id").isNotNull())
+    model = langid.train(docs, where=F.lit(True))
+    if not model.langs:
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     found = langid.predict(docs.select(*COLUMNS), model).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
     return found.select(*[F.coalesce("row.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"row.{c}") for c in COLUMNS])
 
