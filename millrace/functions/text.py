@@ -75,7 +75,7 @@ UNSERIALISED = ("netztechnische", "begründung", "verzögerung", "kosten", "unna
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 #: Interchangeable terms for a substation. (fixed values)
-SYNONYMS = ("Umspannwerk", "Umspannanlage", "UA", "UW", "Schaltanlage")
+SYNONYMS = ("UW", "Umspannwerk", "UA", "Station", "substation")
 
 
 def strip(text: Column) -> Column:
@@ -121,6 +121,12 @@ def known_value(cell: Column) -> Column:
     return F.when(~cell.isin(*MISSING), cell)
 
 
+def told_apart(names: Column) -> Column:
+    """An array of names in which all but the first of equal ones get ".1", ".2" and so on."""
+    again = lambda h, i: F.size(F.filter(F.slice(names, F.lit(1), i), lambda x: x == h))
+    return F.transform(names, lambda h, i: F.when(again(h, i) == 0, h).otherwise(F.concat(h, F.lit("."), again(h, i).cast("string"))))
+
+
 def serialize(fields: dict[str, Column], prefix: str) -> Column:
     """`prefix` and "name: value; ..." of the fields that aren't null."""
     return F.concat(F.lit(prefix), F.concat_ws("; ", *[F.concat(F.lit(f"{k}: "), v.cast("string")) for k, v in fields.items()]))
@@ -155,11 +161,15 @@ def token_similarity(a: Column, b: Column) -> Column:
 
 
 def page_ranges(raw: Column, pages: Column) -> Column:
-    """"1-3, 7" -> array<struct<first, last>>; blank text, reversed or outside ranges raise an error."""
-    part = F.transform(F.split(raw, ","), lambda p: F.split(F.trim(p), r"\s*-\s*"))
-    out = F.transform(part, lambda p: F.struct(F.element_at(p, 1).cast("int").alias("first"), F.element_at(p, -1).cast("int").alias("last")))
+    """"1-3, 7" -> array<struct<first, last>>; each part is a number or two around its first hyphen. Blank text, parts
+    that are no numbers ("1-2-3"), and reversed or outside ranges raise an error."""
+    number = lambda t: F.trim(t).try_cast("int")
+    part = F.transform(F.split(raw, ","), lambda p: F.split(p, "-", 2))
+    out = F.transform(part, lambda p: F.struct(number(F.get(p, F.lit(0))).alias("first"), number(F.element_at(p, -1)).alias("last")))
+    odd = F.exists(out, lambda r: r["first"].isNull() | r["last"].isNull())
     bad = F.exists(out, lambda r: (r["first"] < 1) | (r["first"] > r["last"]) | (r["last"] > pages))
-    return F.when(F.trim(raw) == "", F.raise_error(F.lit("no page range")).cast(_RANGES)).when(bad, F.raise_error(F.lit("page range out of bounds")).cast(_RANGES)).otherwise(out)
+    error = lambda why: F.raise_error(F.concat(F.lit(why), raw)).cast(_RANGES)
+    return F.when(F.trim(raw) == "", error("no page range")).when(odd, error("not a page range: ")).when(bad, error("page range out of bounds: ")).otherwise(out)
 
 
 _RANGES = "array<struct<first:int,last:int>>"

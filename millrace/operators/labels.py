@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +59,17 @@ def next_candidate(ranked: DataFrame, seen: DataFrame, key: str, rank: str = "ra
     return asked.join(ranked, [key, rank], "left")
 
 
+def advance(ranked: DataFrame, seen: DataFrame, key: str, drawn: DataFrame, rank: str = "rank") -> DataFrame:
+    """For each (key, rank) of `seen`: the candidate one rank further, or, behind the last one, the first candidate of
+    the drawn measure (`drawn`: one row with the key; none: nothing follows)."""
+    asked = seen.select(F.col(key).alias("_asked"), (F.col(rank) + 1).alias("_rank"))
+    own = asked.join(ranked, (F.col("_asked") == F.col(key)) & (F.col("_rank") == F.col(rank)), "left")
+    begin = ranked.where(F.col(rank) == 1).join(F.broadcast(drawn.select(key).limit(1)), key, "left_semi").limit(1)
+    other = F.broadcast(begin.select(F.struct(*ranked.columns).alias("_new")))
+    both = own.withColumn("_own", F.struct(*ranked.columns)).join(other, F.col(rank).isNull(), "left")
+    return both.select(F.col("_asked").alias("seen"), F.when(F.col(rank).isNotNull(), F.col("_own")).otherwise(F.col("_new")).alias("_r")).select("seen", "_r.*")
+
+
 def at_most_one(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows; when run, an error if a key has several."""
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rows.columns)).alias("_r"))
@@ -97,6 +110,48 @@ def split(rows: DataFrame, key: str, share: float = 0.2, seed: int = 42) -> Data
     return rows.withColumn("part", F.when(draw(seed, key) % 10_000 < int(share * 10_000), "test").otherwise("train"))
 
 
+def nth_draw(draws: DataFrame, n: int, bits: int = 15, digits: int = 4) -> tuple[int, int]:
+    """(the n-th smallest of the column `draw`, from 1; how many are smaller): one histogram of 2^bits counts for each
+    digit, from the highest down, over the draws that agree with it so far."""
+    known, before = F.lit(True), 0
+    value = 0
+    for d in reversed(range(digits)):
+        digit = F.shiftright("draw", bits * d)
+        low = digit.bitwiseAND(F.lit((1 << bits) - 1))
+        for at, count in draws.where(known).groupBy(low.alias("at")).agg(F.count(F.lit(1)).alias("n")).orderBy("at").collect():
+            if before + count >= n:
+                value = value << bits | at
+                break
+            before += count
+        known = digit == value
+    return value, before
+
+
+def split_exact(rows: DataFrame, key: str, share: float = 0.2, seed: int = 42, by_key: bool = False) -> DataFrame:
+    """Adds `part`: exactly ceil(share x n) are `test`, the rest `train`: of the rows, or (`by_key`) of the keys, whose
+    rows then stay together.
+
+    The border is the n-th smallest seeded draw of the keys, found by counts alone, so no row moves; a null key is one
+    more key. Only rows that share the border's draw, as those of one key do, are ranked: by their task and place in it.
+    """
+    drawn = rows.withColumn("draw", F.conv(F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), F.lit(15)), 16, 10).cast("long"))
+    of = drawn.select(key, "draw").distinct() if by_key else drawn.select("draw")
+    total = of.count()
+    wanted = math.ceil(round(share * total, 9))
+    if not wanted:
+        return drawn.withColumn("part", F.lit("train")).drop("draw")
+    border, before = nth_draw(of, wanted)
+    if by_key or of.where(F.col("draw") == border).limit(2).count() == 1:
+        return drawn.withColumn("part", F.when(F.col("draw") <= border, "test").otherwise("train")).drop("draw")
+    ties = drawn.where(F.col("draw") == border).withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    counts = ties.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select("_task", (F.sum("_n").over(Window.orderBy("_task")) - F.col("_n")).alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_task").orderBy("_at"))
+    told = ties.join(counts, "_task").withColumn("part", F.when(place <= wanted - before, "test").otherwise("train")).select(*rows.columns, "part")
+    rest = drawn.where(F.col("draw") != border).withColumn("part", F.when(F.col("draw") < border, "test").otherwise("train"))
+    return rest.select(*rows.columns, "part").union(told)
+
+
 def sample_by_file(rows: DataFrame, file: str, key: str, seed: int) -> DataFrame:
     """One random row of every file: the one with the smallest seeded draw."""
     order = F.struct(draw(seed, key), F.col(key))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,42 +86,53 @@ def fuzzy_matches(names: DataFrame, name: str, candidates: DataFrame, key: str,
     return scored.select("name", "key", "label", "score", rank.alias("rank")).where(F.col("rank") <= k)
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def _matrix(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype("f8").reshape(len(lists), -1)
 
 
-def vector_matches(queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = 5, block_mb: int = 16) -> DataFrame:
+def _best(ids: np.ndarray, q: np.ndarray, others: np.ndarray, x: np.ndarray, k: int, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query ids, ids, scores): the k best of a block of candidates for `step` queries at a time."""
+    for a in range(0, len(ids), step):
+        raw = q[a : a + step] @ x.T
+        score = np.sign(raw) * np.floor(np.abs(raw) * 1e6 + 0.5) / 1e6
+        score[ids[a : a + step, None] == others[None, :]] = -np.inf
+        last = np.partition(score, max(0, len(others) - k), axis=1)[:, max(0, len(others) - k)]
+        row, col = np.nonzero((score >= last[:, None]) & (score > -np.inf))
+        found = score[row, col]
+        order = np.lexsort((others[col], -found, row))
+        row, col, found = row[order], col[order], found[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = place < k
+        yield ids[a + row[keep]], others[col[keep]], found[keep]
+
+
+def vector_matches(queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = 5, block: int = 8192) -> DataFrame:
     """(query_id, vec_id, score, rank): each stated query's k largest dot products among the other candidates.
 
-    Queries are read and broadcast in blocks of at most about `block_mb`; each block meets every batch of candidates as
-    a matrix product, of which a task keeps the k best of each query. Scores have six decimals, ties go to the smaller
-    key. Rows with a null key or vector take no part; all vectors must be of one length.
+    Queries and candidates are dealt to blocks of about `block` rows by hash, fewer where vectors are long (16 MB). A
+    cell of the grid is a query block and a candidate block: one matrix product, of which each query's k best go on to
+    the merge. Every row is sent once for each block of the other side and none through the driver; a task holds two
+    blocks and the scores of 256 queries at a time (about 100 MB), whatever the number of queries. Scores have six
+    decimals, ties go to the smaller key. Rows with a null key or vector take no part; all vectors must be of one length.
     """
     queries, candidates = (d.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")) for d in (queries, candidates))
-    rows, width = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    blocks, found = max(1, math.ceil(rows * (width or 1) * 8 / (block_mb << 20))), None
-    for b in range(blocks):
-        own = queries.where(F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(blocks)) == b).toArrow()
-        shared = queries.sparkSession.sparkContext.broadcast((own["id"].to_numpy(), _matrix(own["v"]) if own.num_rows else np.zeros((0, 1))))
-
-        def run(batches: Iterable[pa.RecordBatch], shared: object = shared) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
-            best_s, best_i = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), "i8")
-            for batch in batches:
-                if batch.num_rows and len(ids):
-                    other = batch.column(0).to_numpy()
-                    raw = q @ _matrix(batch.column(1)).T
-                    score = np.sign(raw) * np.floor(np.abs(raw) * 1e6 + 0.5) / 1e6
-                    score[ids[:, None] == other[None, :]] = -np.inf
-                    best_s, best_i = np.concatenate((best_s, score), axis=1), np.concatenate((best_i, np.broadcast_to(other, score.shape)), axis=1)
-                    top = np.lexsort((best_i, -best_s), axis=1)[:, :k]
-                    best_s, best_i = np.take_along_axis(best_s, top, axis=1), np.take_along_axis(best_i, top, axis=1)
-            i, j = np.nonzero(best_s > -np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(best_i[i, j]), pa.array(best_s[i, j])], names=["query_id", "vec_id", "score"])
-
-        part = candidates.mapInArrow(run, "query_id long, vec_id long, score double")
-        found = part if found is None else found.union(part)
+    asked, width = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    rows = max(1, min(block, (16 << 20) // (8 * max(1, width or 1))))
+    across, down = max(1, math.ceil(asked / rows)), max(1, math.ceil(candidates.count() / rows))
+    own = lambda n: F.pmod(F.xxhash64(F.lit(b"grid"), "id", "v"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select(own(across).alias("i"), every(down).alias("j"), F.lit(True).alias("asked"), "id", "v")
+    c = candidates.select(every(across).alias("i"), own(down).alias("j"), F.lit(False).alias("asked"), "id", "v")
+
+    def cell(table: pa.Table) -> pa.Table:
+        asked, ids = table["asked"].to_numpy(), table["id"].to_numpy()
+        out = [(np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0))]
+        if asked.any() and not asked.all():
+            v = _matrix(table["v"].combine_chunks())
+            out += _best(ids[asked], v[asked], ids[~asked], v[~asked], k)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), (np.concatenate(part) for part in zip(*out, strict=True)), strict=True)))
+
+    found = q.union(c).groupBy("i", "j").applyInArrow(cell, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators import headers, labels, models, pages, search
-from millrace.sources import files, osm
+from millrace.functions.alignment import weighted_similarity
+from millrace.operators import headers, labels, matching, models, pages, replacement, search, types
+from millrace.sources import files, osm, stores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -591,6 +592,65 @@ def triplet_texts(t: Callable, spark: SparkSession) -> DataFrame:
     return labels.triplets(held, "lang", "doc_id", "quality", texts=texts, key="doc_id", parts=4)
 
 
+def _sql_lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence of texts of up to 62 characters, by bits of `a` over the characters of `b`."""
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({a}) - {_sql_unset(a, _sql_masks(a, b))} END"
+
+
+def _sql_masks(a: str, b: str) -> str:
+    return f"list_transform(string_split({b}, ''), lambda c: CAST(list_sum(list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, CAST(i + 1 AS INTEGER), 1) = c THEN 1::BIGINT << CAST(i AS INTEGER) ELSE 0 END)) AS BIGINT))"
+
+
+def _sql_unset(a: str, masks: str) -> str:
+    full = f"((1::BIGINT << length({a})) - 1)"
+    return f"bit_count(list_reduce(list_prepend({full}, {masks}), lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full}))"
+
+
+def _sql_window(s: str, t: str) -> str:
+    """Score of `s` in the best window of `t`, which isn't shorter."""
+    edges = f"greatest(w, 1), least(w + length({s}) - 1, length({t}))"
+    common = f"length({s}) - {_sql_unset(s, f'list_slice(masks, {edges})')}"
+    each = f"lambda w: 200.0::DOUBLE * ({common}) / (length({s}) + least(w + length({s}) - 1, length({t})) - greatest(w, 1) + 1)"
+    return f"(SELECT list_max(list_transform(range(2 - length({s}), length({t}) + 1), {each})) FROM (SELECT {_sql_masks(s, t)} AS masks))"
+
+
+def _sql_weighted(pairs: str) -> str:
+    """The relation `pairs` (a, b and more; words parted by single blanks) with its weighted `score`, as a list of CTEs."""
+    ratio = lambda a, b: f"200.0::DOUBLE * ({_sql_lcs(a, b)}) / (length({a}) + length({b}))"
+    window = lambda a, b: f"CASE WHEN length({a}) < length({b}) THEN {_sql_window(a, b)} WHEN length({a}) > length({b}) THEN {_sql_window(b, a)} ELSE greatest({_sql_window(a, b)}, {_sql_window(b, a)}) END"
+    joined = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    return f"""
+        w0 AS (SELECT *, string_split(a, ' ') AS xa, string_split(b, ' ') AS xb, greatest(length(a), length(b)) / least(length(a), length(b))::DOUBLE AS unlike FROM {pairs}),
+        w1 AS (SELECT *, list_distinct(list_filter(xa, lambda x: list_contains(xb, x))) AS shared, list_distinct(list_filter(xa, lambda x: NOT list_contains(xb, x))) AS oa, list_distinct(list_filter(xb, lambda x: NOT list_contains(xa, x))) AS ob FROM w0),
+        w2 AS (SELECT *, {joined('xa')} AS sa, {joined('xb')} AS sb, {joined('oa')} AS da, {joined('ob')} AS db, length({joined('shared')}) AS n FROM w1),
+        w3 AS (SELECT *, {ratio('a', 'b')} AS plain, {ratio('sa', 'sb')} AS sorted, 100 * (1 - (length(da) + length(db) - 2 * ({_sql_lcs('da', 'db')})) / greatest(2 * (n + (n > 0)::INTEGER) + length(da) + length(db), 1)::DOUBLE) AS rest FROM w2 WHERE unlike < 1.5),
+        w4 AS (SELECT *, CASE WHEN len(shared) > 0 AND (da = '' OR db = '') THEN 100 WHEN n > 0 THEN greatest(rest, 100 * (1 - (1 + length(da)) / (2 * n + 1 + length(da))::DOUBLE), 100 * (1 - (1 + length(db)) / (2 * n + 1 + length(db))::DOUBLE)) ELSE rest END AS sets FROM w3),
+        w5 AS (SELECT *, CASE WHEN unlike <= 8 THEN 0.9 ELSE 0.6 END::DOUBLE AS share FROM w2 WHERE unlike >= 1.5),
+        weighted AS (
+            SELECT * EXCLUDE (xa, xb, unlike, shared, oa, ob, sa, sb, da, db, n, plain, sorted, rest, sets), round(greatest(plain, 0.95 * sorted, 0.95 * sets), 4) AS score FROM w4
+            UNION ALL BY NAME SELECT * EXCLUDE (xa, xb, unlike, shared, oa, ob, sa, sb, da, db, n, share), round(greatest({ratio('a', 'b')}, share * ({window('a', 'b')}),
+                CASE WHEN len(shared) > 0 THEN 100 * 0.95 * share ELSE share * 0.95 * ({window('sa', 'sb')}) END), 4) AS score FROM w5)"""
+
+
+@query(f"""
+    WITH pairs AS (SELECT 'small rng' AS a, concat(coalesce(p_name, ''), ' | ', coalesce(p_brand, '')) AS b, p_partkey FROM part), {_sql_weighted("pairs")}
+    SELECT p_partkey, score FROM weighted WHERE score >= 60""")
+def fuzzy_filter_partial(t: Callable, spark: SparkSession) -> DataFrame:
+    out = search.by_similarity(t("part"), ["p_name", "p_brand"], "small rng", 60.0, scorer=weighted_similarity)
+    return out.select("p_partkey", F.col(search.SCORE).alias("score"))
+
+
+@query(f"""
+    WITH names AS (SELECT DISTINCT replace(p_name, 'ing', 'in') AS a FROM part), labels AS (SELECT concat(p_type, ' ', p_name) AS b, min(p_partkey) AS key FROM part GROUP BY 1),
+    pairs AS (SELECT a, b, key FROM names, labels), {_sql_weighted("pairs")},
+    r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, key) AS rank FROM weighted WHERE score >= 75)
+    SELECT a AS name, key, b AS label, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
+def fuzzy_join_partial(t: Callable, spark: SparkSession) -> DataFrame:
+    names = t("part").select(F.replace("p_name", F.lit("ing"), F.lit("in")).alias("clue"))
+    labels_ = t("part").select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("label"))
+    return matching.aligned_matches(names, "clue", labels_, "p_partkey", "label")
+
+
 @query("SELECT o_orderkey, 'https://www.openstreetmap.org/way/' || o_orderkey AS url FROM orders")
 def way_urls(t: Callable, spark: SparkSession) -> DataFrame:
     return t("orders").select("o_orderkey", T.way_url(F.col("o_orderkey").cast("double")).alias("url"))
@@ -605,3 +665,138 @@ def label_pairs(t: Callable, spark: SparkSession) -> DataFrame:
 def document_fetch(t: Callable, spark: SparkSession) -> DataFrame:
     got = models.fetched(t("pages").select("page_id", "url"), F.col("url"), Echo("document"))
     return got.select("page_id", F.md5("content").alias("digest"), F.octet_length("content").cast("long").alias("bytes"))
+
+
+@query("SELECT doc_id, source, md5(nullif(text, '')) AS text_md5 FROM documents")
+def csv_ranges(t: Callable, spark: SparkSession) -> DataFrame:
+    """Texts with quotes and line ends, written as CSV and read by ranges of bytes."""
+    folder = files.scratch(spark)
+    files.write_csv(t("documents").select("doc_id", "source", "text"), folder)
+    rows = files.read_rows(spark, folder)
+    field = lambda name: F.try_element_at("fields", F.lit(name))
+    return rows.select(field("doc_id").cast("long").alias("doc_id"), field("source").alias("source"), F.md5(field("text")).alias("text_md5"))
+
+
+@query("""
+    SELECT DISTINCT p_brand, 0 AS row_no, 'p_partkey' AS id, 'p_name' AS mark FROM part
+    UNION ALL SELECT p_brand, CAST(r AS INTEGER), CAST(p_partkey AS VARCHAR), p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part) WHERE r < 4""")
+def csv_preview(t: Callable, spark: SparkSession) -> DataFrame:
+    """The first four records of each brand's file, of which only the first bytes are read."""
+    folder = files.scratch(spark)
+    dealt = t("part").select("p_brand", "p_partkey", "p_name").repartition("p_brand").sortWithinPartitions("p_brand", "p_partkey")
+    dealt.write.partitionBy("p_brand").csv(folder, header=True)
+    brand = F.url_decode(F.regexp_extract("source_file", "p_brand=([^/]+)/", 1)).alias("p_brand")
+    return files.read_preview(spark, folder).select(brand, "row_no", F.get("cells", F.lit(0)).alias("id"), F.get("cells", F.lit(1)).alias("mark"))
+
+
+@query("SELECT event_id AS id, event_type AS power, json_extract_string(props, '$.k') AS \"tag::k\" FROM events WHERE event_type = 'click'")
+def map_extract(t: Callable, spark: SparkSession) -> DataFrame:
+    """Events as ways with tags, written as an extract and read in ranges, with the tag's value pushed to the source."""
+    folder = files.scratch(spark)
+    tags = F.create_map(F.lit("power"), F.col("event_type"), F.lit("k"), F.try_element_at(F.from_json("props", "map<string,string>"), F.lit("k")))
+    osm.write_ways(t("events").select(F.col("event_id").alias("id"), tags.alias("tags")), folder)
+    return osm.expanded(osm.read_ways(spark, folder, value="click", range_bytes=1 << 20), ("k",))
+
+
+_SQL_CELLS = """
+    SELECT 'customer' AS source_file, c_custkey AS row_no, unnest(['key', 'name', 'amount', 'flag']) AS name,
+        unnest([CAST(c_custkey AS VARCHAR), c_name, CAST(c_acctbal AS VARCHAR), CASE WHEN c_nationkey % 2 = 0 THEN 'True' ELSE 'False' END]) AS v FROM customer
+    UNION ALL SELECT 'part', p_partkey, unnest(['key', 'name', 'amount', 'note']), unnest([CASE WHEN p_partkey % 7 = 0 THEN 'NA' ELSE CAST(p_partkey AS VARCHAR) END, p_brand, CAST(p_size AS VARCHAR), '']) FROM part"""
+_SQL_TYPES = f"""
+    cells AS ({_SQL_CELLS}),
+    kinds AS (SELECT *, CASE WHEN v IN ('', 'NA') THEN 'none' WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 'whole' WHEN regexp_full_match(v, '[+-]?[0-9]*[.][0-9]*([eE][+-]?[0-9]+)?') THEN 'fraction' WHEN v IN ('True', 'False') THEN 'truth' ELSE 'words' END AS kind FROM cells),
+    sets AS (
+        SELECT source_file, name, list(DISTINCT kind) AS k FROM kinds GROUP BY ALL
+        UNION ALL SELECT NULL, name, list_concat(list(DISTINCT kind), CASE WHEN count(DISTINCT source_file) < 2 THEN ['none'] ELSE [] END) FROM kinds GROUP BY name),
+    types AS (
+        SELECT source_file, name, CASE WHEN list_contains(k, 'words') OR (list_contains(k, 'truth') AND len(list_distinct(k)) > 1) THEN 'string' WHEN list_contains(k, 'truth') THEN 'boolean'
+            WHEN list_contains(k, 'fraction') OR list_contains(k, 'none') THEN 'double' ELSE 'long' END AS type FROM sets)"""
+
+
+def _typed_cells(t: Callable, spark: SparkSession) -> DataFrame:
+    """Customers and parts as the records of two CSV files with unlike headers."""
+    head = lambda df, name, *cols: df.agg(F.lit(0).alias("row_no"), F.array(*[F.lit(c) for c in cols]).alias("cells")).select(F.lit(name).alias("source_file"), F.col("row_no").cast("long").alias("row_no"), "cells")
+    flag = F.when(F.col("c_nationkey") % 2 == 0, "True").otherwise("False")
+    c = t("customer").select(F.lit("customer").alias("source_file"), (F.col("c_custkey") + 1).alias("row_no"), F.array(F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string"), flag).alias("cells"))
+    key = F.when(F.col("p_partkey") % 7 == 0, "NA").otherwise(F.col("p_partkey").cast("string"))
+    p = t("part").select(F.lit("part").alias("source_file"), (F.col("p_partkey") + 1).alias("row_no"), F.array(key, "p_brand", F.col("p_size").cast("string"), F.lit("")).alias("cells"))
+    return head(t("customer"), "customer", "key", "name", "amount", "flag").union(head(t("part"), "part", "key", "name", "amount", "note")).union(c).union(p)
+
+
+@query(f"WITH {_SQL_TYPES} SELECT * FROM types")
+def inferred_types(t: Callable, spark: SparkSession) -> DataFrame:
+    return types.column_types(types.column_classes(_typed_cells(t, spark)))
+
+
+@query(f"""
+    WITH {_SQL_TYPES} SELECT source_file, row_no + 1 AS row_no, count(CASE WHEN type IN ('long', 'double') THEN 1 END) AS numbers, round(sum(CASE WHEN type IN ('long', 'double') THEN CAST(nullif(v, 'NA') AS DOUBLE) END), 2) AS total
+    FROM (SELECT * FROM cells WHERE v NOT IN ('', 'NA')) JOIN types USING (source_file, name) GROUP BY ALL""")
+def typed_values(t: Callable, spark: SparkSession) -> DataFrame:
+    cells = _typed_cells(t, spark)
+    rows = types.typed_rows(files.rows_by_header(cells), types.column_types(types.column_classes(cells)))
+    number = F.filter(F.transform(F.map_values("fields"), lambda v: F.when(F.schema_of_variant(v).rlike("BIGINT|DOUBLE|DECIMAL|INT"), F.try_variant_get(v, "$", "double"))), lambda x: x.isNotNull())
+    return rows.select("source_file", "row_no", F.size(number).cast("long").alias("numbers"), F.round(F.aggregate(number, F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
+
+
+_SQL_LONG_DRAW = "CAST('0x' || left(md5('42|' || CAST({key} AS VARCHAR)), 15) AS BIGINT)"
+
+
+@query(f"SELECT *, CASE WHEN row_number() OVER (ORDER BY {_SQL_LONG_DRAW.format(key='doc_id')}) <= ceil((SELECT count(*) FROM labels) / 5.0) THEN 'test' ELSE 'train' END AS part FROM labels")
+def split_rows_exactly(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.split_exact(t("labels"), "doc_id")
+
+
+@query(f"""
+    SELECT l_orderkey, l_linenumber, CASE WHEN dense_rank() OVER (ORDER BY {_SQL_LONG_DRAW.format(key='l_orderkey')}) <= ceil((SELECT count(DISTINCT l_orderkey) FROM lineitem) / 5.0) THEN 'test' ELSE 'train' END AS part FROM lineitem""")
+def split_anchors_exactly(t: Callable, spark: SparkSession) -> DataFrame:
+    return labels.split_exact(t("lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", by_key=True)
+
+
+_SQL_FOLD = """
+    names AS (SELECT DISTINCT p_name FROM part), entries AS (SELECT list(struct_pack(t := '', c := p_name, n := next) ORDER BY p_name) AS e FROM (SELECT p_name, lead(p_name) OVER (ORDER BY p_name) AS next FROM names) WHERE next IS NOT NULL)"""
+_SQL_FOLDED = "list_reduce(list_prepend(struct_pack(t := {text}, c := '', n := ''), e), lambda a, x: struct_pack(t := replace(a.t, x.c, x.c || ' (' || x.n || ')'), c := '', n := '')).t"
+
+
+def _name_entries(t: Callable) -> list[tuple[str, str]]:
+    """Every part name, with the next one behind it: an inserted name sets off the next entry."""
+    names = sorted(r[0] for r in t("part").select("p_name").distinct().limit(replacement.MOST_ENTRIES).collect())
+    return list(zip(names, names[1:], strict=False))
+
+
+@query(f"WITH {_SQL_FOLD} SELECT p_partkey, {_SQL_FOLDED.format(text="p_brand || ': ' || p_name")} AS name FROM part, entries")
+def chained_replace(t: Callable, spark: SparkSession) -> DataFrame:
+    return t("part").select("p_partkey", replacement.replace_all(F.concat("p_brand", F.lit(": "), "p_name"), _name_entries(t)).alias("name"))
+
+
+@query(f"""
+    WITH {_SQL_FOLD} SELECT p_partkey, 'query: p_name: ' || CASE WHEN regexp_matches(p_brand, '^.*Brand.*[12].*') THEN {_SQL_FOLDED.format(text="p_name")} ELSE p_name END || '; p_type: ' || p_type || '; p_size: ' || p_size AS query FROM part, entries""")
+def serialize_measures(t: Callable, spark: SparkSession) -> DataFrame:
+    text = replacement.serialized_measure(["p_name", "p_type", "p_size"], _name_entries(t), "p_name", "p_brand", ".*Brand.*[12].*")
+    return t("part").select("p_partkey", text.alias("query"))
+
+
+@query("""
+    SELECT event_id, user_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS r FROM events) WHERE r = 1""")
+def label_store(t: Callable, spark: SparkSession) -> DataFrame:
+    """All events as labels in three upserts of a bucketed store."""
+    store = stores.LabelStore(spark, files.scratch(spark), ["user_id", "event_type"], "event_id", 8)
+    e = t("events").select("event_id", "user_id", "event_type", "value")
+    for wanted in ("event_type = 'click'", "event_type <> 'click' AND value < 20", "event_type <> 'click' AND value >= 20"):
+        store.upsert(e.where(wanted))
+    return store.read()
+
+
+@query("""
+    WITH r AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_linenumber) AS rank FROM lineitem),
+    n AS (SELECT * FROM r WHERE rank = 1 AND l_orderkey = (SELECT max(l_orderkey) FROM lineitem))
+    SELECT o_orderkey AS seen, coalesce(r.l_orderkey, n.l_orderkey) AS l_orderkey, CAST(coalesce(r.rank, n.rank) AS INTEGER) AS rank, CASE WHEN r.rank IS NULL THEN n.l_partkey ELSE r.l_partkey END AS l_partkey
+    FROM (SELECT o_orderkey, o_custkey % 5 + 1 AS s FROM orders) LEFT JOIN r ON r.l_orderkey = o_orderkey AND r.rank = s CROSS JOIN n""")
+def next_measure(t: Callable, spark: SparkSession) -> DataFrame:
+    """The next candidate of each order; behind the last one, the first of a new order."""
+    from pyspark.sql import Window
+
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), "l_partkey", "l_linenumber"))
+    ranked = t("lineitem").select("l_orderkey", "l_partkey", rank.alias("rank"))
+    seen = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 5).cast("int").alias("rank"))
+    return labels.advance(ranked, seen, "l_orderkey", t("lineitem").agg(F.max("l_orderkey").alias("l_orderkey")))

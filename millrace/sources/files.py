@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import csv
-import io
+import tempfile
+import uuid
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
@@ -12,41 +12,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.sources import records
 
-#: A cell may be as long as a file; a file is one row and so at most 2 GB.
-CELL = 1 << 31 - 1
 
-
-def below(root: str) -> Column:
+def below(root: str, path: Column | None = None) -> Column:
     """The file's decoded path below the last `root`/."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.substring_index(path, f"{root.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    at = F.url_decode(F.replace(F.col("_metadata.file_path") if path is None else path, F.lit("+"), F.lit("%2B")))
+    return F.substring_index(at, f"{root.rstrip('/').rsplit('/', 1)[-1]}/", -1)
 
 
 def read_cells(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """(source_file, row_no, cells): each record of each CSV file, whatever its width; one file is one task's at most.
+    """(source_file, row_no, cells): each record of each CSV file, whatever its width; large files are read in ranges.
 
     Bytes that aren't UTF-8 are replaced. `pattern` is matched against file names, "*csv" for any that end so.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    named = files.select(below(root).alias("source_file"), "content")
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        csv.field_size_limit(CELL)
-        for batch in batches:
-            for name, body in zip(batch["source_file"], batch["content"], strict=True):
-                records = csv.reader(io.StringIO(body.decode("utf-8-sig", "replace"), newline=""))
-                part: list[list[str]] = []
-                start = 0
-                for record in records:
-                    part.append(record)
-                    if len(part) == 10_000:
-                        yield pd.DataFrame({"source_file": name, "row_no": range(start, start + len(part)), "cells": part})
-                        start, part = start + len(part), []
-                if part:
-                    yield pd.DataFrame({"source_file": name, "row_no": range(start, start + len(part)), "cells": part})
-
-    return named.mapInPandas(parse, "source_file string, row_no int, cells array<string>")
+    found = records.read_records(spark, root, pattern)
+    return found.select(below(root, F.col("path")).alias("source_file"), F.col("row_no").cast("int").alias("row_no"), "cells")
+
+
+def read_preview(spark: SparkSession, root: str, pattern: str = "*.csv", most: int = 4) -> DataFrame:
+    """read_cells() of the first records of each file; only the files' first bytes are read."""
+    found = records.first_records(spark, root, pattern, most)
+    plain = F.replace(F.col("path"), F.lit("%"), F.lit("%25"))
+    return found.select(below(root, plain).alias("source_file"), F.col("row_no").cast("int").alias("row_no"), "cells")
 
 
 def preview(cells: DataFrame, most: int = 4) -> DataFrame:
@@ -72,9 +60,7 @@ def read_rows(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
 
 def rows_by_header(cells: DataFrame, file: str = "source_file") -> DataFrame:
     """read_rows() over records that have been read."""
-    heads = cells.where("row_no = 0").select(file, F.col("cells").alias("_h"))
-    again = lambda h, i: F.size(F.filter(F.slice("_h", 1, i), lambda x: x == h))
-    heads = heads.select(file, F.transform("_h", lambda h, i: F.when(again(h, i) == 0, h).otherwise(F.concat(h, F.lit("."), again(h, i).cast("string")))).alias("_h"))
+    heads = cells.where("row_no = 0").select(file, T.told_apart(F.col("cells")).alias("_h"))
     rows = cells.where((F.col("row_no") > 0) & (F.size("cells") > 0)).join(heads, file)
     pairs = F.filter(F.transform("_h", lambda h, i: F.struct(h.alias("k"), T.known_value(F.get("cells", i)).alias("v"))), lambda p: p["v"].isNotNull())
     return rows.select(file, "row_no", F.map_from_entries(pairs).alias("fields"))
@@ -124,9 +110,20 @@ def read_bytes(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFr
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "length", "content")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that the driver and all tasks share, below spark.checkpoint.dir; a local master needs none set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp()
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{uuid.uuid4().hex}")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """A folder of CSV files; `path` must not be one that `df` reads."""
-    df.write.csv(path, header=header, escape='"', quoteAll=False, mode=mode)
+    df.write.csv(path, header=header, escape='"', quoteAll=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, mode=mode)
 
 
 def write_tables(rows: DataFrame, path: str, folder: str = "folder", table: str = "table", width: int | None = None) -> None:
