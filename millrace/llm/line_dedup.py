@@ -7,9 +7,11 @@
 3. Of the chunks that repeat (equal hashes of their pairs) the first one (smallest id, then row, then line) stays; the
    others are removed with their line ends, after their texts have been compared byte by byte.
 4. A passage whose neighbours differ from document to document may lie in chunks that differ. So of the pairs of lines
-   that repeat in what is left, each is a chunk of two lines: all but the first of equal pairs go, so no pair of lines
-   is left twice, while every line stays where it stands first. At the end lines of at least `min_words` words that
-   stand in several places are treated as chunks of one line.
+   that repeat in what is left, each is a chunk of two lines, of which all but the first are later ones; a stretch of
+   later pairs goes as a whole. At the end lines of at least `min_words` words that stand in several places are treated
+   as chunks of one line.
+5. No span goes that has fewer than `min_span` words (the query and the pipeline ask for 10): blank lines, braces and
+   salutations then stay, wherever they repeat.
 
 Hot lines and chunks: counts and first places are summed before the shuffle and written once; the joins with them are
 plain joins that adaptive execution can split. Nothing is collected but one document's own chunks.
@@ -38,8 +40,9 @@ def _repeated(rows: DataFrame, by: str, *more: Column) -> DataFrame:
     return cut(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), *more).where("_n > 1"))
 
 
-def chunks(pairs: DataFrame) -> DataFrame:
-    """Repeated pairs of lines (_rid, _k, pos, item) -> their chunks (_rid, _k, start, n, chunk)."""
+def chunks(pairs: DataFrame, min_span: int) -> DataFrame:
+    """Repeated pairs of lines (_rid, _k, pos, item, words w and v of both lines) -> their chunks (_rid, _k, start, n,
+    chunk) of at least `min_span` words."""
     by_row = Window.partitionBy("_rid").orderBy("pos")
     runs = pairs.withColumn("_run", F.col("pos") - F.row_number().over(by_row))
     run = Window.partitionBy("_rid", "_run").orderBy("pos")
@@ -52,7 +55,8 @@ def chunks(pairs: DataFrame) -> DataFrame:
         F.min("pos").alias("start"),
         (F.count(F.lit(1)) + 1).cast("int").alias("n"),
         F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"])).alias("chunk"),
-    ).drop("_chunk")
+        (F.sum("w") + F.max_by("v", "pos")).alias("_words"),
+    ).where(F.col("_words") >= min_span).drop("_chunk", "_words")
 
 
 def _places(found: DataFrame) -> DataFrame:
@@ -60,7 +64,15 @@ def _places(found: DataFrame) -> DataFrame:
     found = cut(found)
     place = F.struct(F.col("_k").isNull().alias("a"), F.col("_k").alias("b"), F.col("_rid").alias("c"), F.col("start").alias("d"))
     firsts = _repeated(found, "chunk", F.min(place).alias("_first"))
-    return cut(found.join(firsts.select("chunk", "_first"), "chunk").select("_rid", "_k", "start", "n", "chunk", (place == F.col("_first")).alias("first")))
+    return cut(found.join(firsts.select("chunk", "_first"), "chunk").select(*found.columns, (place == F.col("_first")).alias("first")))
+
+
+def _long_stretches(pairs: DataFrame, min_span: int) -> DataFrame:
+    """Pairs that stay, and later ones that lie in stretches of at least `min_span` words."""
+    later = pairs.where("not first").withColumn("_run", F.col("start") - F.row_number().over(Window.partitionBy("_rid").orderBy("start")))
+    stretch = Window.partitionBy("_rid", "_run")
+    words = F.sum("w").over(stretch) + F.max_by("v", "start").over(stretch)
+    return pairs.where("first").unionByName(later.withColumn("_words", words).where(F.col("_words") >= min_span).drop("_run", "_words")).drop("w", "v")
 
 
 def _without(rows: DataFrame, gone: DataFrame, reach: int) -> DataFrame:
@@ -93,24 +105,25 @@ def _verified(places: DataFrame, rows: DataFrame) -> DataFrame:
     return gone.join(unlike, ["round", "chunk"], "left_anti").select("_rid", "start", "n").union(later.select("_rid", "start", "n"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50, min_span: int = 0) -> DataFrame:
     """Columns: row (struct), lines int, removed array<struct<start int, n int>> (never null), left int, text (new)."""
     rows = numbered(docs, F.struct("*").alias("row"), F.col(text).alias("_t"), F.col(key).alias("_k"))
-    measured = F.transform(F.split("_t", "\n", -1), lambda x: F.struct(F.md5(x).alias("h"), (F.regexp_count(x, F.lit(WORD)) >= min_words).alias("long")))
+    measured = F.transform(F.split("_t", "\n", -1), lambda x: F.struct(F.md5(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w")))
     lines = rows.select("_rid", "_k", measured.alias("_l"))
     number = lambda x: F.conv(F.left(x, F.lit(15)), 16, 10).cast("long")
-    pairs = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), number(F.md5(F.concat(x["h"], F.get("_l", i + 1)["h"]))).alias("item"), (i + 1 < F.size("_l")).alias("pair")))
-    alone = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), (-1 - number(x["h"])).alias("item"), (~x["long"]).alias("pair")))
+    pairs = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), number(F.md5(F.concat(x["h"], F.get("_l", i + 1)["h"]))).alias("item"), (i + 1 < F.size("_l")).alias("pair"), x["w"].alias("w"), F.get("_l", i + 1)["w"].alias("v")))
+    alone = F.transform("_l", lambda x, i: F.struct(i.alias("pos"), (-1 - number(x["h"])).alias("item"), (x["w"] < min_words).alias("pair"), x["w"].alias("w"), F.lit(0).alias("v")))
     items = lines.select("_rid", "_k", F.explode(F.concat(F.filter(pairs, lambda x: x["pair"]), F.filter(alone, lambda x: ~x["pair"]))).alias("_i")).select("_rid", "_k", "_i.*")
     met = cut(items.join(_repeated(items, "item"), "item"))
     live, long = met.where("pair"), met.where("not pair").select("_rid", "_k", "pos", F.col("item").alias("chunk"))
-    places = [_places(chunks(live))]
-    left = cut(_without(live.select("_rid", "_k", "pos", "item"), places[0], 1))
-    places.append(_places(left.join(_repeated(left, "item"), "item").select("_rid", "_k", F.col("pos").alias("start"), F.lit(2).alias("n"), F.col("item").alias("chunk"))))
+    places = [_places(chunks(live, min_span))]
+    left = cut(_without(live.select("_rid", "_k", "pos", "item", "w", "v"), places[0], 1))
+    again = left.join(_repeated(left, "item"), "item").select("_rid", "_k", F.col("pos").alias("start"), F.lit(2).alias("n"), F.col("item").alias("chunk"), "w", "v")
+    places.append(cut(_long_stretches(_places(again), min_span)))
     single = _without(_without(long, places[0], 0), places[1], 0)
     places.append(_places(single.select("_rid", "_k", F.col("pos").alias("start"), F.lit(1).alias("n"), "chunk")))
     places = [p.withColumn("round", F.lit(i)) for i, p in enumerate(places)]
-    every = places[0]
+    every = places[0]  # all with the same columns
     for more in places[1:]:
         every = every.unionByName(more)
     spans = F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("n") - 1)))

@@ -14,7 +14,8 @@ code, mail addresses their top-level domain, cards their first digit.
 Distinctness is checked over the whole corpus: the distinct entities are written once, an entity whose surrogate is
 also that of a smaller entity of its type, or equals an entity that occurs, is drawn anew until no collision is left.
 Only redrawn entities need a join; all others get their surrogate from the key alone. Names grow by a syllable with
-each draw, so they never run out.
+each draw; after some draws octets take any length, mail addresses more letters, phone and social security numbers more
+digits, so a format with few values never runs out.
 
 Rows are known by file and place, or numbered once in the checkpoint folder (common.numbered).
 
@@ -77,6 +78,8 @@ SYLLABLES = {
 ENDINGS = {"latin": {"m": "us", "f": "ia", "": "en"}, "cyrillic": {"m": "ий", "f": "ия", "": "ов"}, "greek": {"m": "ος", "f": "ία", "": "ης"}}
 
 
+#: Draws after which a format begins to grow.
+GROWS = 2
 PARTS = "array<struct<kind:string,canon:string>>"
 
 
@@ -150,17 +153,21 @@ def _luhn(digits: Column) -> Column:
 
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a canonical form; keeps its length and shape. Names have three syllables and one more for each attempt."""
+    """The surrogate of a canonical form; keeps its length and shape at the first draws. Names have three syllables and one more for each attempt."""
     return _let(F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256), lambda digest: _drawn(kind, canon, attempt, digest))
 
 
 def _drawn(kind: Column, canon: Column, attempt: Column, digest: Column) -> Column:
+    # a format with few values grows: octets of any length from GROWS draws on, more letters before an address, more
+    # digits behind a number
+    more = lambda alphabet, n: F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: _pick(alphabet, digest, i + 1000)), "")).otherwise(F.lit(""))
     digits = F.array_join(F.transform(F.split(canon, ""), lambda c, i: _pick("0123456789", digest, i)), "")
+    longer = F.concat(digits, more("0123456789", attempt - 2 * GROWS))
     card = _let(F.concat(F.left(canon, F.lit(1)), F.substring(digits, F.lit(2), F.length(canon) - 2)), lambda body: F.concat(body, ((10 - _luhn(body) % 10) % 10).cast("string")))
-    octet = lambda o, i: F.when(F.length(o) == 3, 100 + _draw(digest, i, 156)).when(F.length(o) == 2, 10 + _draw(digest, i, 90)).otherwise(_draw(digest, i, 10)).cast("string")
+    octet = lambda o, i: F.when(attempt >= GROWS, _draw(digest, i, 256)).when(F.length(o) == 3, 100 + _draw(digest, i, 156)).when(F.length(o) == 2, 10 + _draw(digest, i, 90)).otherwise(_draw(digest, i, 10)).cast("string")
     ip = F.array_join(F.transform(F.split(canon, r"\."), octet), ".")
     top = F.regexp_extract(canon, r"\.[^.]+$", 0)
-    email = F.concat(_letters(F.substring(canon, F.lit(1), F.length(canon) - F.length(top)), digest), top)
+    email = F.concat(more("abcdefghijklmnopqrstuvwxyz", attempt - GROWS + 1), _letters(F.substring(canon, F.lit(1), F.length(canon) - F.length(top)), digest), top)
     prefix = F.regexp_extract(canon, r"^(?:AKIA|gh[pousr]_|sk-)", 0)
     secret = F.concat(prefix, _letters(F.substring(canon, F.length(prefix) + 1, F.length(canon)), digest, hexadecimal=canon.rlike("^[0-9a-f]+$")))
     account = F.concat(F.left(canon, F.lit(2)), _letters(F.substring(canon, F.lit(3), F.length(canon)), digest))
@@ -170,7 +177,7 @@ def _drawn(kind: Column, canon: Column, attempt: Column, digest: Column) -> Colu
         stem = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2), lambda i: F.element_at(F.array(*map(F.lit, syllables)), _draw(digest, i, len(syllables)) + 1)), ""))  # noqa: B023
         ends = F.when(gender == "m", F.lit(ENDINGS[own]["m"])).when(gender == "f", F.lit(ENDINGS[own]["f"])).otherwise(F.lit(ENDINGS[own][""]))
         name = F.when(script == own, F.concat(stem, ends)) if name is None else name.when(script == own, F.concat(stem, ends))
-    return F.when(kind == "name", name).when(kind == "card", card).when(kind.isin("phone", "ssn"), digits).when(kind == "ip", ip).when(kind == "email", email).when(kind == "account", account).otherwise(secret)
+    return F.when(kind == "name", name).when(kind == "card", card).when(kind.isin("phone", "ssn"), longer).when(kind == "ip", ip).when(kind == "email", email).when(kind == "account", account).otherwise(secret)
 
 
 def _into_shape(e: Column, new: Column, what: str) -> Column:
@@ -209,12 +216,13 @@ def _written(e: Column, redrawn: Column | None, key: str) -> Column:
         return F.coalesce(F.get(own, F.lit(0))["attempt"], F.lit(0))
 
     def shaped(parts: Column, new: Column) -> Column:
-        kind, first = F.get(parts, F.lit(0))["kind"], F.get(new, F.lit(0))  # no part: not an entity
+        kind, canon, first = F.get(parts, F.lit(0))["kind"], F.get(parts, F.lit(0))["canon"], F.get(new, F.lit(0))  # no part: not an entity
         cased = F.array_join(F.zip_with(F.split(e, ""), F.split(first, ""), lambda a, b: F.when(a != F.lower(a), F.upper(b)).otherwise(b)), "")
         return (
             F.when(kind.isNull(), e)
             .when(kind.isin("name", "title"), F.array_join(new, " "))
-            .when(kind.isin("phone", "card", "ssn"), _let(first, lambda x: _into_shape(e, x, "0-9")))
+            .when(kind == "card", _let(first, lambda x: _into_shape(e, x, "0-9")))
+            .when(kind.isin("phone", "ssn"), F.concat(_let(F.left(first, F.length(canon)), lambda x: _into_shape(e, x, "0-9")), F.substring(first, F.length(canon) + 1, F.length(first))))
             .when(kind == "account", _let(first, lambda x: _into_shape(e, x, "0-9A-Z")))
             .when(kind == "email", cased)
             .otherwise(first)

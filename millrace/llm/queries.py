@@ -83,7 +83,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), min_span=10)
     gone = F.flatten(F.transform("removed", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1)))
     return out.select("row.doc_id", "lines", F.col("left").alias("lines_left"), F.array_join(gone.cast("array<string>"), " ").alias("removed_lines"), F.crc32("text").alias("text_crc32"))
 
@@ -219,18 +219,20 @@ ORACLES: dict[str, str] = {
     "op10_line_dedup": rf"""
         WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l, row_number() OVER () AS rid FROM documents),
         h AS (SELECT doc_id, rid, list_transform(l, lambda x: md5(x)) AS h, l FROM d),
-        p0 AS (SELECT doc_id, rid, h, unnest(range(len(h) - 1)) AS pos FROM h WHERE len(h) > 1),
-        p1 AS (SELECT doc_id, rid, pos, {_SEEDED.format(text="h[pos + 1] || h[pos + 2]")} AS item FROM p0),
+        p0 AS (SELECT doc_id, rid, h, l, unnest(range(len(h) - 1)) AS pos FROM h WHERE len(h) > 1),
+        p1 AS (SELECT doc_id, rid, pos, {_SEEDED.format(text="h[pos + 1] || h[pos + 2]")} AS item, len(regexp_extract_all(l[pos + 1], '[^\x20\x09-\x0D]+')) AS w, len(regexp_extract_all(l[pos + 2], '[^\x20\x09-\x0D]+')) AS v FROM p0),
         p2 AS (SELECT * FROM p1 QUALIFY count(*) OVER (PARTITION BY item) > 1),
         run AS (SELECT *, pos - row_number() OVER (PARTITION BY rid ORDER BY pos) AS run FROM p2),
         edge AS (SELECT *, coalesce(item > lag(item) OVER w AND item >= lead(item) OVER w, false) AS edge FROM run WINDOW w AS (PARTITION BY rid, run ORDER BY pos)),
         part AS (SELECT *, pos - row_number() OVER (PARTITION BY rid ORDER BY pos) AS part FROM edge WHERE NOT edge),
-        c0 AS (SELECT rid, any_value(doc_id) AS doc_id, min(pos) AS start, count(*) + 1 AS n, list(item ORDER BY pos) AS chunk FROM part GROUP BY rid, part),
+        c0 AS (SELECT rid, any_value(doc_id) AS doc_id, min(pos) AS start, count(*) + 1 AS n, list(item ORDER BY pos) AS chunk FROM part GROUP BY rid, part HAVING sum(w) + arg_max(v, pos) >= 10),
         c1 AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id NULLS LAST, rid, start) AS r FROM c0),
         g0 AS (SELECT rid, unnest(range(start, start + n)) AS pos FROM c1 WHERE r > 1),
         p3 AS (SELECT * FROM p2 WHERE NOT EXISTS (SELECT 1 FROM g0 WHERE g0.rid = p2.rid AND g0.pos IN (p2.pos, p2.pos + 1))),
         p4 AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY doc_id NULLS LAST, rid, pos) AS r FROM p3),
-        g1 AS (SELECT DISTINCT rid, unnest([pos, pos + 1]) AS pos FROM p4 WHERE r > 1),
+        p5 AS (SELECT *, pos - row_number() OVER (PARTITION BY rid ORDER BY pos) AS stretch FROM p4 WHERE r > 1),
+        p6 AS (SELECT rid, unnest(list(pos)) AS pos FROM p5 GROUP BY rid, stretch HAVING sum(w) + arg_max(v, pos) >= 10),
+        g1 AS (SELECT DISTINCT rid, unnest([pos, pos + 1]) AS pos FROM p6),
         g2 AS (SELECT * FROM g0 UNION SELECT * FROM g1),
         s0 AS (SELECT doc_id, rid, unnest(range(len(l))) AS pos, unnest(l) AS line FROM h),
         s1 AS (SELECT * FROM s0 WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50 AND NOT EXISTS (SELECT 1 FROM g2 WHERE g2.rid = s0.rid AND g2.pos = s0.pos)),

@@ -352,6 +352,27 @@ def test_mixing_sources_of_unlike_sizes(spark):
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.02 * own[0]["target"]
 
 
+def test_pii_formats_with_few_values(spark):
+    """More entities than half of a format's values: all get surrogates, all distinct, none that occurs."""
+    addresses = [f"{i // 1000}.{i // 100 % 10}.{i // 10 % 10}.{i % 10}" for i in range(6000)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.com" for a in letters for b in letters]
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(addresses + mails)], "doc_id long, text string")
+    new = [r["text"] for r in pii.pseudonymise(df, key="k").collect()]
+    assert len(set(new)) == len(new) and not set(new) & set(addresses + mails)
+    assert sum(t.count(".") == 3 and "@" not in t for t in new) == 6000 and sum(t.endswith(".com") and "@" in t for t in new) == 676
+
+
+def test_line_dedup_keeps_short_spans(spark):
+    """Blank lines, braces and salutations stay wherever they repeat; long repeated passages go."""
+    passage = "\n".join(f"line {i} of the passage with some more words in it" for i in range(6))
+    texts = [f"alpha {i}\n\n\nDear Sir,\n\nbeta {i}\n}}\n\n}}\n{passage}\ngamma {i}" for i in range(4)]
+    got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_span=10).collect()}
+    assert got[0] == texts[0]
+    for i in range(1, 4):
+        assert got[i].count("\n\n\nDear Sir,\n\n") == 1 and "beta" in got[i] and "}" in got[i] and "of the passage" not in got[i] and f"gamma {i}" in got[i]
+
+
 def test_mixing_many_sources():
     start = time.time()
     shares = mixing.plan({f"={i}": 10 + i % 5000 for i in range(20_000)})
