@@ -31,8 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks and repeated long lines go; a document that has no other line goes too."""
-    out = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    """Repeated multi-line chunks of 10 words or more and repeated long lines go; a document that has no other line goes too."""
+    out = line_dedup.dedup_lines(docs.select(*COLUMNS), min_span=10)
     return _with_text(out.where((F.col("left") > 0) | (F.size("removed") == 0)), F.col("text"))
 
 
