@@ -1,7 +1,8 @@
 """Calls of models and services over rows: prompts in, checked answers out.
 
 A client is any object with `ask(requests: list[str]) -> list[str | None]` that can be pickled or builds its connection
-at the first call in a worker; `Recorded` answers from a table, for tests and for runs without a network. Batches are
+at the first call in a worker; `Recorded` answers from a dictionary and `RecordedTable` from a DataFrame of any size,
+for runs without a network and for answers of earlier runs. Batches are
 bounded by `batch`, requests of one batch may be answered in parallel by the client, and a row's answer stays with its
 row: positions never leave it.
 """
@@ -41,8 +42,22 @@ class Recorded:
         return [self.answers.get(r) for r in requests]
 
 
-def answered(rows: DataFrame, request: Column, client: Client, answer: str = "answer", batch: int = 64) -> DataFrame:
+@dataclass
+class RecordedTable:
+    """Answers in a DataFrame (request, answer): they are joined by the requests' digests. Of several answers of one
+    request the largest counts; what isn't recorded has none."""
+
+    answers: DataFrame
+
+    def by_digest(self, digest: str) -> DataFrame:
+        return self.answers.where(F.col("request").isNotNull()).groupBy(F.sha2("request", 256).alias(digest)).agg(F.max("answer").alias("_recorded"))
+
+
+def answered(rows: DataFrame, request: Column, client: Client | RecordedTable, answer: str = "answer", batch: int = 64) -> DataFrame:
     """The rows and their answers (text); a null request isn't asked and has a null answer."""
+    if isinstance(client, RecordedTable):
+        held = rows.select(F.struct("*").alias("_row"), F.sha2(request.cast("string"), 256).alias("_digest")).join(client.by_digest("_digest"), "_digest", "left")
+        return held.select("_row.*", F.col("_recorded").alias(answer))
     asked = rows.select(F.struct("*").alias("_row"), request.cast("string").alias("_request"))
     schema = T.StructType([asked.schema["_row"], T.StructField(answer, T.StringType())])
 
@@ -74,7 +89,7 @@ def clues(answer: Column) -> Column:
     return F.when(got["location_clues"].isNotNull(), F.struct(got["location_clues"].alias("location_clues"), kind.alias("asset_type")))
 
 
-def extract_clues(rows: DataFrame, client: Client, request: Column, prefix: str = "inferred:") -> DataFrame:
+def extract_clues(rows: DataFrame, client: Client | RecordedTable, request: Column, prefix: str = "inferred:") -> DataFrame:
     """The rows and two columns, `location_clues` and `asset_type`, after the prefix.
 
     Rows that have either already (a run that is taken up again) keep theirs and aren't asked.
@@ -89,7 +104,7 @@ def extract_clues(rows: DataFrame, client: Client, request: Column, prefix: str
     return got.drop("_answer", "_c")
 
 
-def by_chunk(rows: DataFrame, client: Client, file: str, position: str, columns: list[str], instructions: str, size: int = 10, answer: str = "answer") -> DataFrame:
+def by_chunk(rows: DataFrame, client: Client | RecordedTable, file: str, position: str, columns: list[str], instructions: str, size: int = 10, answer: str = "answer") -> DataFrame:
     """The rows and their answers, where `size` rows of a file at a time make one request that is answered by a JSON array.
 
     When run, an error if an array has not one element for each row.
@@ -104,13 +119,13 @@ def by_chunk(rows: DataFrame, client: Client, file: str, position: str, columns:
     return each.select("_r.row.*", F.get("_a", F.col("_i")).alias(answer))
 
 
-def embedded(rows: DataFrame, text: Column, client: Client, vector: str = "embedding", unit: bool = True) -> DataFrame:
+def embedded(rows: DataFrame, text: Column, client: Client | RecordedTable, vector: str = "embedding", unit: bool = True) -> DataFrame:
     """The rows and their texts' vectors (the client answers JSON arrays of numbers), at length 1 if `unit`."""
     got = answered(rows, text, client, "_answer").withColumn(vector, F.from_json("_answer", "array<double>")).drop("_answer")
     return got.withColumn(vector, X.unit(F.col(vector))) if unit else got
 
 
-def found_tables(files: DataFrame, client: Client, document: str = "path", content: str = "content") -> DataFrame:
+def found_tables(files: DataFrame, client: Client | RecordedTable, document: str = "path", content: str = "content") -> DataFrame:
     """(document, page, table_no, row_no, cells): what a table reader finds in documents, blank cells null.
 
     The client is asked with base64 content and answers a JSON array of {page, table_no, rows}.
@@ -120,7 +135,7 @@ def found_tables(files: DataFrame, client: Client, document: str = "path", conte
     return tables.select(document, "page", "table_no", F.posexplode("rows").alias("row_no", "cells")).withColumn("cells", F.transform("cells", lambda c: F.nullif(c, F.lit(""))))
 
 
-def found_words(files: DataFrame, client: Client, document: str = "path", content: str = "content") -> DataFrame:
+def found_words(files: DataFrame, client: Client | RecordedTable, document: str = "path", content: str = "content") -> DataFrame:
     """(document, page, text, x0, x1, top, bottom): the words a reader finds, asked and answered as in found_tables."""
     got = answered(files.select(document, X.base64_text(F.col(content)).alias("_asked")), F.col("_asked"), client, "_answer")
     return got.select(document, F.inline(F.from_json("_answer", "array<struct<page:int,text:string,x0:double,x1:double,top:double,bottom:double>>")))
@@ -135,7 +150,7 @@ def with_documents(operators: DataFrame, excluded: tuple[int, ...] = (770,)) ->
     return kept.select("operator_id", "operator_name", F.explode("documents").alias("_d")).select("operator_id", "operator_name", F.col("_d._id").alias("document_id"), F.col("_d.name").alias("document_name"))
 
 
-def scan_registry(spark: object, client: Client, ids: int = 10_000, excluded: tuple[int, ...] = (770,)) -> DataFrame:
+def scan_registry(spark: object, client: Client | RecordedTable, ids: int = 10_000, excluded: tuple[int, ...] = (770,)) -> DataFrame:
     """with_documents() over the operators 0 to ids - 1; the client answers an id with JSON or nothing."""
     asked = spark.range(ids).where(~F.col("id").isin(*excluded))
     got = answered(asked, F.col("id").cast("string"), client, "_answer")
@@ -143,7 +158,7 @@ def scan_registry(spark: object, client: Client, ids: int = 10_000, excluded: tu
     return with_documents(got.select(F.col("id").alias("operator_id"), F.from_json("_answer", form).alias("_o")).select("operator_id", F.col("_o.name").alias("operator_name"), "_o.documents"), excluded)
 
 
-def places(names: DataFrame, name: str, client: Client, country: str = "de", limit: int = 10) -> DataFrame:
+def places(names: DataFrame, name: str, client: Client | RecordedTable, country: str = "de", limit: int = 10) -> DataFrame:
     """(name, variant, place): what a place search answers for each synonym of a name, `limit` places at most."""
     each = names.select(name, F.explode(F.array_distinct(X.variants(F.col(name)))).alias("variant"))
     request = F.to_json(F.struct(F.col("variant").alias("q"), F.lit(country).alias("countrycodes"), F.lit(limit).alias("limit"), F.lit("json").alias("format")))
@@ -151,7 +166,7 @@ def places(names: DataFrame, name: str, client: Client, country: str = "de", lim
     return got.select(name, "variant", F.explode("_p").alias("place"))
 
 
-def fetched(documents: DataFrame, url: Column, client: Client, content: str = "content") -> DataFrame:
+def fetched(documents: DataFrame, url: Column, client: Client | RecordedTable, content: str = "content") -> DataFrame:
     """The documents and their bytes (the client answers base64); when run, an error if one isn't answered.
 
     Time limits and retries are the client's own.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import json
 from collections.abc import Callable
 
@@ -21,7 +20,6 @@ ORACLES: dict[str, str] = {}
 CODES = [("ring", "loop"), ("loop", "hoop"), ("small", None), ("large", "big")]
 #: Terms that stand for each other in part names.
 TERMS = ("ring", "gear", "bolt")
-RANGES = ["1-3", "2, 4-6, 5", "7", " 1 - 2 ,9-9"]
 #: Raw headers and their keys, worked out by hand.
 HEADERS = {
     "lfd. Nr.": "lfd_nr", "Lfd.Nr.": "lfd_nr", "LFD NR": "lfd_nr", "Index": "lfd_nr", "lfd. Nr. 2": "_extra_lfd. nr. 2", "Maßnahme": "massnahme", "Maß­nahme": "massnahme", "Objekt/Maßnahme": "massnahme", "Maßnahmenart": "projektkategorie", "Maßnahme 2": "_extra_maßnahme 2",
@@ -33,38 +31,6 @@ HEADERS = {
 }
 
 
-class Echo:
-    """A client that answers from the request alone, for queries without a model."""
-
-    def __init__(self, kind: str) -> None:
-        self.kind = kind
-
-    def ask(self, requests: list[str]) -> list[str | None]:
-        return [getattr(self, self.kind)(r) for r in requests]
-
-    def clues(self, request: str) -> str:
-        row = json.loads(json.loads(request)["messages"][1]["content"])
-        return json.dumps({"location_clues": [row["s_name"]], "asset_type": "substation" if row["s_nationkey"] % 2 else "no such type"})
-
-    def chunk(self, request: str) -> str:
-        return json.dumps([str(len(json.loads(line)["role"])) for line in request.split("\n")[1:]])
-
-    def vector(self, request: str) -> str:
-        return json.dumps([len(request), 2])
-
-    def place(self, request: str) -> str:
-        asked = json.loads(request)
-        return json.dumps([{"name": asked["q"], "country": asked["countrycodes"], "n": str(i)} for i in range(12)])
-
-    def document(self, request: str) -> str:
-        return base64.b64encode(request.encode()).decode()
-
-    def operator(self, request: str) -> str | None:
-        i = int(request)
-        return None if i % 3 == 0 else json.dumps({"name": f"Netz {i}", "documents": [{"_id": f"d{k}", "name": "a/b.pdf"} for k in range(i % 3 - 1)]})
-
-
-
 def query(sql: str | None = None) -> Callable:
     def add(f: Callable) -> Callable:
         QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"), spark)
@@ -170,12 +136,12 @@ def distinct_values_sorted(t: Callable, spark: SparkSession) -> DataFrame:
     return t("part").select(clean("p_type")).union(t("documents").select(clean("lang"))).distinct().orderBy("v")
 
 
-@query(f"""
-    SELECT DISTINCT raw, unnest(range(CAST(trim(split_part(p, '-', 1)) AS INTEGER), CAST(trim(split_part(p, '-', -1)) AS INTEGER) + 1))::INTEGER AS page
-    FROM (SELECT raw, unnest(string_split(raw, ',')) AS p FROM (VALUES {_values(RANGES)}) v(raw))""")
+@query("""
+    SELECT DISTINCT p_partkey, CAST(unnest(list_concat(range(p_size, p_size + p_partkey % 3 + 1), [p_partkey % 40 + 1])) AS INTEGER) AS page FROM part""")
 def page_ranges(t: Callable, spark: SparkSession) -> DataFrame:
-    raw = spark.createDataFrame([(r,) for r in RANGES], "raw string")
-    return raw.select("raw", F.explode(T.page_numbers(T.page_ranges(F.col("raw"), F.lit(9)))).alias("page"))
+    """Every part's pages, written as "size - size + 0..2, number"."""
+    raw = F.concat_ws("", "p_size", F.lit(" - "), F.col("p_size") + F.col("p_partkey") % 3, F.lit(","), F.col("p_partkey") % 40 + 1)
+    return t("part").select("p_partkey", F.explode(T.page_numbers(T.page_ranges(raw, F.lit(60)))).alias("page"))
 
 
 @query("""
@@ -209,38 +175,49 @@ def synonym_variants(t: Callable, spark: SparkSession) -> DataFrame:
     return t("part").select("p_partkey", F.explode(T.variants(F.col("p_name"), TERMS)).alias("variant"))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{h}', '{k}')" for h, k in HEADERS.items()) + ") v(h, key)")
+@query("SELECT n_nationkey, h, key FROM nation, (VALUES " + ", ".join(f"('{h}', '{k}')" for h, k in HEADERS.items()) + ") v(h, key)")
 def classify_headers(t: Callable, spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(h,) for h in HEADERS], "h string").select("h", T.header_key(F.col("h")).alias("key"))
+    """Every header in every nation's spelling: blanks, line ends and soft hyphens around and inside, upper case."""
+    each = t("nation").select("n_nationkey", F.explode(F.array(*[F.lit(h) for h in HEADERS])).alias("h"))
+    n = F.col("n_nationkey").cast("int")
+    spelled = F.concat(F.repeat(F.lit(" "), n % 4), F.replace("h", F.lit(" "), F.repeat(F.lit("\n"), n % 3 + 1)), F.repeat(F.lit("\u00ad"), n % 2), F.repeat(F.lit("\t"), n % 5))
+    upper = F.replace(F.upper(F.replace(spelled, F.lit("ß"), F.lit("\u0001"))), F.lit("\u0001"), F.lit("ß"))
+    spelled = F.when(F.trim("h") == "", F.col("h")).when(n % 2 == 1, upper).otherwise(spelled)
+    return each.select("n_nationkey", "h", T.header_key(spelled).alias("key"))
 
 
-GRID = [
-    ("00202_Netz A/t.0.csv", 0, ["Netzausbauplan", "", ""]),
-    ("00202_Netz A/t.0.csv", 1, ["lfd. Nr.", "Maßnahme", "Kosten"]),
-    ("00202_Netz A/t.0.csv", 2, ["Index", "Maßnahme", "Projektstatus"]),
-    ("00202_Netz A/t.0.csv", 3, ["1", "UW Nord", "12,5"]),
-    ("00202_Netz A/t.0.csv", 4, ["2", "NA", "13"]),
-    ("plain/t.1.csv", 0, ["a", "b"]),
-    ("plain/t.1.csv", 1, ["1", "2", "3"]),
-]
+def _grid(t: Callable) -> DataFrame:
+    """The parts of each brand as a table: a title and a header, for every other brand a header of two rows."""
+    number = F.regexp_extract("p_brand", "[0-9]+", 0).cast("int")
+    odd = number % 2 == 1
+    file = F.concat(F.lit("00"), number.cast("string"), F.lit("_Netz "), F.col("p_brand"), F.lit("/t.csv"))
+    brands = t("part").select(file.alias("source_file"), odd.alias("odd")).distinct()
+    head = F.when(F.col("odd"), F.array(F.array(F.lit("Netzausbauplan"), F.lit(""), F.lit("")), F.array(F.lit("lfd. Nr."), F.lit("Maßnahme"), F.lit("Kosten")), F.array(F.lit("Index"), F.lit("Projektstatus"), F.lit("geschätzte Kosten"))))
+    head = F.coalesce(head, F.array(F.array(F.lit("Kosten"), F.lit("Index"), F.lit("Foo  Bar"))))
+    heads = brands.select("source_file", F.posexplode(head).alias("row_no", "cells"))
+    text = lambda c: F.col(c).cast("string")
+    cells = F.when(odd, F.array(text("p_partkey"), text("p_name"), text("p_size"))).otherwise(F.array(text("p_size"), text("p_partkey"), F.when(F.col("p_partkey") % 3 == 0, "NA").otherwise(text("p_name"))))
+    return heads.union(t("part").select(file, (F.col("p_partkey") + 4).cast("int"), cells))
 
 
-@query("""
-    SELECT * FROM (VALUES ('00202_Netz A/t.0.csv', 0, 'lfd. Nr. Index', '_extra_lfd. nr. index'), ('00202_Netz A/t.0.csv', 1, 'Maßnahme Maßnahme', '_extra_maßnahme maßnahme'),
-        ('00202_Netz A/t.0.csv', 2, 'Kosten Projektstatus', 'kosten'), ('plain/t.1.csv', 0, 'a', '_extra_a'), ('plain/t.1.csv', 1, 'b', '_extra_b')) v(source_file, col_no, name, key)""")
+_SQL_FILE = "'00' || regexp_extract(p_brand, '[0-9]+') || '_Netz ' || p_brand || '/t.csv'"
+_SQL_ODD = "CAST(regexp_extract(p_brand, '[0-9]+') AS INTEGER) % 2 = 1"
+
+
+@query(f"""
+    SELECT DISTINCT {_SQL_FILE} AS source_file, col_no, CASE WHEN {_SQL_ODD} THEN ['lfd. Nr. Index', 'Maßnahme Projektstatus', 'Kosten geschätzte Kosten'][col_no + 1] ELSE ['Kosten', 'Index', 'Foo  Bar'][col_no + 1] END AS name,
+        CASE WHEN {_SQL_ODD} THEN ['_extra_lfd. nr. index', 'projektstatus', 'kosten'][col_no + 1] ELSE ['kosten', 'lfd_nr', '_extra_foo bar'][col_no + 1] END AS key FROM part, (VALUES (0), (1), (2)) c(col_no)""")
 def header_detect(t: Callable, spark: SparkSession) -> DataFrame:
-    grid = spark.createDataFrame(GRID, "source_file string, row_no int, cells array<string>")
+    grid = _grid(t)
     return headers.merged_headers(grid, headers.header_rows(grid))
 
 
-@query("""
-    SELECT source_file, operator_id, operator_name, row_no, kosten, extra FROM (VALUES
-        ('00202_Netz A/t.0.csv', '00202', 'Netz A', 3, '12,5', '{"_extra_lfd. nr. index":"1","_extra_maßnahme maßnahme":"UW Nord"}'),
-        ('00202_Netz A/t.0.csv', '00202', 'Netz A', 4, '13', '{"_extra_lfd. nr. index":"2"}'),
-        ('plain/t.1.csv', 'plain', 'plain', 1, NULL, '{"_extra_a":"1","_extra_b":"2"}')) v(source_file, operator_id, operator_name, row_no, kosten, extra)""")
+@query(f"""
+    SELECT {_SQL_FILE} AS source_file, '00' || regexp_extract(p_brand, '[0-9]+') AS operator_id, 'Netz ' || p_brand AS operator_name, CAST(p_partkey + 4 AS INTEGER) AS row_no, CASE WHEN NOT {_SQL_ODD} THEN CAST(p_partkey AS VARCHAR) END AS lfd_nr,
+        CASE WHEN {_SQL_ODD} THEN p_name END AS projektstatus, CAST(p_size AS VARCHAR) AS kosten,
+        CASE WHEN {_SQL_ODD} THEN '{{"_extra_lfd. nr. index":"' || p_partkey || '"}}' WHEN p_partkey % 3 = 0 THEN '{{}}' ELSE '{{"_extra_foo bar":"' || p_name || '"}}' END AS extra FROM part""")
 def harmonise_grid(t: Callable, spark: SparkSession) -> DataFrame:
-    grid = spark.createDataFrame(GRID, "source_file string, row_no int, cells array<string>")
-    return headers.harmonise(grid).select("source_file", "operator_id", "operator_name", "row_no", "kosten", F.to_json("extra").alias("extra"))
+    return headers.harmonise(_grid(t)).select("source_file", "operator_id", "operator_name", "row_no", "lfd_nr", "projektstatus", "kosten", F.to_json("extra").alias("extra"))
 
 
 @query("SELECT o_orderkey AS k, coalesce(CASE WHEN o_custkey % 2 = 0 THEN o_custkey END, c_custkey, -1) AS v FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
@@ -436,23 +413,60 @@ def few_shot(t: Callable, spark: SparkSession) -> DataFrame:
     return held.select("n_regionkey", T.few_shot(F.col("r.row"), F.transform("r", lambda x: x["n_nationkey"].cast("string"))).alias("examples"))
 
 
-@query("SELECT s_suppkey, s_name AS clue, CASE WHEN s_nationkey % 2 = 1 THEN 'substation' END AS asset_type FROM supplier")
-def clue_extraction(t: Callable, spark: SparkSession) -> DataFrame:
+_SQL_KIND = "CASE p_type WHEN 'SMALL' THEN 'substation' WHEN 'PROMO' THEN 'power_line' WHEN 'LARGE' THEN 'generator' ELSE 'no such type' END"
+
+
+def _recorded_clues(t: Callable) -> tuple[DataFrame, models.RecordedTable]:
+    """Suppliers with their request, and the answers on record: the names of the part of the same number, and its kind;
+    those of each fifth size are no JSON."""
     rows = t("supplier").select("s_suppkey", "s_name", "s_nationkey")
-    request = models.messages("Find places.", "no examples", T.row_json(rows.columns), "model")
-    out = models.extract_clues(rows, Echo("clues"), request)
+    rows = rows.withColumn("request", models.messages("Find places.", "no examples", T.row_json(rows.columns), "model"))
+    answer = F.to_json(F.struct(F.array("p_name", "p_brand").alias("location_clues"), F.expr(_SQL_KIND).alias("asset_type")))
+    answers = rows.join(t("part"), F.col("p_partkey") == F.col("s_suppkey")).select("request", F.when(F.col("p_size") % 5 == 0, "none found").otherwise(answer).alias("answer"))
+    return rows, models.RecordedTable(answers)
+
+
+_SQL_CLUES = f"""
+    SELECT s_suppkey, CASE WHEN p_size % 5 <> 0 THEN p_name || '|' || p_brand END AS clue, CASE WHEN p_size % 5 <> 0 THEN nullif({_SQL_KIND}, 'no such type') END AS asset_type
+    FROM supplier LEFT JOIN part ON p_partkey = s_suppkey"""
+
+
+@query(_SQL_CLUES)
+def clue_extraction(t: Callable, spark: SparkSession) -> DataFrame:
+    rows, client = _recorded_clues(t)
+    out = models.extract_clues(rows, client, F.col("request"))
     return out.select("s_suppkey", F.array_join("`inferred:location_clues`", "|").alias("clue"), F.col("`inferred:asset_type`").alias("asset_type"))
 
 
-@query("SELECT conv_id, turn, CAST(length(role) AS VARCHAR) AS answer FROM conversations")
+@query(_SQL_CLUES)
+def clues_asked_once(t: Callable, spark: SparkSession) -> DataFrame:
+    """The same by a store of answers: a first run over some nations' suppliers, a second one over all."""
+    rows, client = _recorded_clues(t)
+    store = stores.AnswerStore(spark, files.scratch(spark))
+    store.answered(rows.where("s_nationkey < 12"), F.col("request"), client)
+    out = store.answered(rows, F.col("request"), client).withColumn("c", models.clues(F.col("answer")))
+    return out.select("s_suppkey", F.array_join("c.location_clues", "|").alias("clue"), F.col("c.asset_type").alias("asset_type"))
+
+
+@query("SELECT conv_id, turn, left(md5(text), 8) AS answer FROM conversations")
 def chunk_extraction(t: Callable, spark: SparkSession) -> DataFrame:
+    """Ten turns a request, told by number and role only; the answers on record are the digests of their texts."""
     rows = t("conversations").select("conv_id", "turn", "role")
-    return models.by_chunk(rows, Echo("chunk"), "conv_id", "turn", ["role"], "One answer a row.").select("conv_id", "turn", "answer")
+    own = F.struct("turn", F.to_json(F.struct("conv_id", "turn", "role")).alias("json"), F.left(F.md5("text"), F.lit(8)).alias("answer"))
+    held = t("conversations").groupBy("conv_id", F.floor(F.col("turn") / 10)).agg(F.array_sort(F.collect_list(own)).alias("r"))
+    answers = held.select(F.concat(F.lit("One answer a row.\n"), F.array_join("r.json", "\n")).alias("request"), F.to_json("r.answer").alias("answer"))
+    return models.by_chunk(rows, models.RecordedTable(answers), "conv_id", "turn", ["conv_id", "turn", "role"], "One answer a row.").select("conv_id", "turn", "answer")
 
 
-@query("SELECT p_partkey, round(length(p_name) / sqrt(length(p_name) * length(p_name) + 4), 6) AS x FROM part")
+@query("""
+    WITH v AS (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY 1)
+    SELECT p_partkey, round(CAST(embedding[1] AS DOUBLE) / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS x FROM part JOIN v USING (p_name) LEFT JOIN embeddings ON vec_id = k""")
 def embed_texts(t: Callable, spark: SparkSession) -> DataFrame:
-    return models.embedded(t("part").select("p_partkey", "p_name"), F.col("p_name"), Echo("vector")).select("p_partkey", F.round(F.get("embedding", F.lit(0)), 6).alias("x"))
+    """Part names, whose vectors on record are those of the table of vectors, by the smallest part of the name."""
+    first = t("part").groupBy(F.col("p_name").alias("request")).agg(F.min("p_partkey").alias("vec_id"))
+    answers = first.join(t("embeddings"), "vec_id").select("request", F.to_json(F.col("embedding").cast("array<double>")).alias("answer"))
+    out = models.embedded(t("part").select("p_partkey", "p_name"), F.col("p_name"), models.RecordedTable(answers))
+    return out.select("p_partkey", F.round(F.get("embedding", F.lit(0)), 6).alias("x"))
 
 
 @query(f"""
@@ -468,17 +482,36 @@ def geocode_clues(t: Callable, spark: SparkSession) -> DataFrame:
     return t("supplier").select("s_suppkey").join(found, "s_suppkey", "left")
 
 
-@query("SELECT range AS operator_id, 'Netz ' || range AS operator_name, 'd0' AS document_id, 'a/b.pdf' AS document_name FROM range(10000) WHERE range % 3 = 2 AND range <> 770")
+@query("""
+    SELECT s_suppkey AS operator_id, s_name AS operator_name, 'd' || p_partkey AS document_id, p_name || '/plan.pdf' AS document_name
+    FROM supplier JOIN part ON p_partkey % 100 = s_suppkey WHERE s_suppkey % 4 <> 0 AND s_suppkey < 10000 AND s_suppkey <> 770""")
 def registry_documents(t: Callable, spark: SparkSession) -> DataFrame:
-    return models.scan_registry(spark, Echo("operator"))
+    """A registry on record: suppliers as operators, the parts of their number as documents; each fourth has none."""
+    docs = t("part").groupBy((F.col("p_partkey") % 100).alias("s_suppkey")).agg(F.collect_list(F.struct(F.concat(F.lit("d"), F.col("p_partkey")).alias("_id"), F.concat("p_name", F.lit("/plan.pdf")).alias("name"))).alias("documents"))
+    own = F.when(F.col("s_suppkey") % 4 == 0, F.lit(None)).otherwise(F.col("documents"))
+    answer = F.to_json(F.struct(F.col("s_name").alias("name"), own.alias("documents")))
+    answers = t("supplier").join(docs, "s_suppkey", "left").select(F.col("s_suppkey").cast("string").alias("request"), answer.alias("answer"))
+    return models.scan_registry(spark, models.RecordedTable(answers))
 
 
-@query("""
-    SELECT DISTINCT p_name AS name, replace(p_name, 'ring', w) AS variant, CAST(n AS VARCHAR) AS n FROM part, (VALUES ('Umspannwerk'), ('Umspannanlage'), ('UA'), ('UW'), ('Schaltanlage')) v(w), range(10) g(n)""")
+_SQL_STATION = "replace(replace(p_name, 'ring', 'UW'), 'gear', 'Umspannwerk')"
+
+
+@query(f"""
+    WITH names AS (SELECT DISTINCT {_SQL_STATION} AS name FROM part),
+    each AS (SELECT DISTINCT name, regexp_replace(name, 'UW|Umspannwerk|UA|Station|substation', w, 'g') AS variant FROM names, (VALUES ('UW'), ('Umspannwerk'), ('UA'), ('Station'), ('substation')) v(w)),
+    found AS (SELECT *, row_number() OVER (PARTITION BY name, variant ORDER BY n_nationkey) AS r FROM each, nation WHERE (n_nationkey + length(variant)) % 2 = 0)
+    SELECT name, variant, n_name AS place FROM found WHERE r <= 10""")
 def place_search(t: Callable, spark: SparkSession) -> DataFrame:
-    names = t("part").select(F.replace("p_name", F.lit("ring"), F.lit("UA")).alias("name")).distinct()
-    out = models.places(names, "name", Echo("place"))
-    return out.select(F.replace("name", F.lit("UA"), F.lit("ring")).alias("name"), "variant", F.col("place")["n"].alias("n"))
+    """Names with each of the terms for a substation, sought in a search on record: every other nation, by the length."""
+    names = t("part").select(F.replace(F.replace("p_name", F.lit("ring"), F.lit("UW")), F.lit("gear"), F.lit("Umspannwerk")).alias("name")).distinct()
+    terms = F.array(*[F.lit(w) for w in ("UW", "Umspannwerk", "UA", "Station", "substation")])
+    asked = names.select(F.explode(F.transform(terms, lambda w: F.regexp_replace("name", F.lit("UW|Umspannwerk|UA|Station|substation"), w))).alias("q")).distinct()
+    places = asked.join(t("nation"), F.col("n_nationkey") % 2 == F.length("q") % 2).groupBy("q").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("p"))
+    request = F.concat(F.lit('{"q":"'), F.col("q"), F.lit('","countrycodes":"de","limit":10,"format":"json"}'))
+    answer = F.to_json(F.transform("p", lambda x: F.create_map(F.lit("name"), x["n_name"])))
+    out = models.places(names, "name", models.RecordedTable(places.select(request.alias("request"), answer.alias("answer"))))
+    return out.select("name", "variant", F.col("place")["name"].alias("place"))
 
 
 @query("SELECT p_partkey, p_name, p_size FROM part WHERE p_size BETWEEN 10 AND 20 AND regexp_matches(p_name, '^(small|red)') ORDER BY p_size")
@@ -538,10 +571,10 @@ def table_widths(t: Callable, spark: SparkSession) -> DataFrame:
     return headers.widths(t("conversations").select(F.col("conv_id").alias("source_file"), F.split("text", " ", -1).alias("cells")))
 
 
-@query("""
-    SELECT * FROM (VALUES ('Index', 'lfd. Nr.'), ('Kosten [EUR]', 'Kosten (geschätzt) in Euro'), ('Foo  Bar', '_extra_foo bar')) v("old", "new")""")
+@query("""SELECT c_custkey AS "lfd. Nr.", c_acctbal AS "Kosten (geschätzt) in Euro", c_name AS "_extra_foo bar", c_nationkey AS " " FROM customer""")
 def rename_map(t: Callable, spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(headers.renames(["Index", "Kosten [EUR]", "Foo  Bar", " "], spark).items()), "old string, new string")
+    raw = t("customer").select(F.col("c_custkey").alias("Index"), F.col("c_acctbal").alias("Kosten [EUR]"), F.col("c_name").alias("Foo  Bar"), F.col("c_nationkey").alias(" "))
+    return raw.withColumnsRenamed(headers.renames(raw.columns, spark))
 
 
 @query("SELECT n_name, n_regionkey, CAST(NULL AS VARCHAR) AS none FROM nation")
@@ -661,9 +694,14 @@ def label_pairs(t: Callable, spark: SparkSession) -> DataFrame:
     return t("orders").select(T.label_key(F.col("o_orderkey") % 10, F.col("o_custkey") % 3).alias("k")).distinct().select("k.*")
 
 
-@query("SELECT page_id, md5(url) AS digest, strlen(url) AS bytes FROM pages")
+@query("""
+    WITH f AS (SELECT url, min_by(html, page_id) AS html FROM pages GROUP BY url)
+    SELECT page_id, md5(f.html) AS digest, strlen(f.html) AS bytes FROM pages JOIN f USING (url)""")
 def document_fetch(t: Callable, spark: SparkSession) -> DataFrame:
-    got = models.fetched(t("pages").select("page_id", "url"), F.col("url"), Echo("document"))
+    """Pages by their address, from a record of their bytes."""
+    first = t("pages").groupBy(F.col("url").alias("request")).agg(F.min_by("html", "page_id").alias("html"))
+    answers = first.select("request", T.base64_text(F.encode("html", "UTF-8")).alias("answer"))
+    got = models.fetched(t("pages").select("page_id", "url"), F.col("url"), models.RecordedTable(answers))
     return got.select("page_id", F.md5("content").alias("digest"), F.octet_length("content").cast("long").alias("bytes"))
 
 
@@ -800,3 +838,12 @@ def next_measure(t: Callable, spark: SparkSession) -> DataFrame:
     ranked = t("lineitem").select("l_orderkey", "l_partkey", rank.alias("rank"))
     seen = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 5).cast("int").alias("rank"))
     return labels.advance(ranked, seen, "l_orderkey", t("lineitem").agg(F.max("l_orderkey").alias("l_orderkey")))
+
+
+@query("SELECT doc_id, quality, toxic FROM labels")
+def label_array(t: Callable, spark: SparkSession) -> DataFrame:
+    """Labels written as JSON arrays, one for each quality and 500 ids, and read by their elements."""
+    folder = files.scratch(spark)
+    one = F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(F.struct("doc_id", "quality", "toxic"), {"ignoreNullFields": "false"})), ",\n"), F.lit("\n]"))
+    t("labels").groupBy("quality", F.floor(F.col("doc_id") / 500).alias("part")).agg(one.alias("value")).write.partitionBy("quality", "part").text(folder)
+    return files.read_json_array(spark, folder, "doc_id long, quality int, toxic int")

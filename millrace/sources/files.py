@@ -78,10 +78,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON array; a missing file has none."""
+    """Rows of the JSON array of a file (or of each file of a folder), read in ranges of lines; a missing file has none.
+
+    Elements that don't fit the schema are rows of nulls.
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.json(path, schema=schema, multiLine=True)
+    return records.read_elements(spark, path, "*").select(F.from_json("element", schema).alias("r")).select("r.*")
 
 
 def read_json_tables(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:

@@ -1,9 +1,10 @@
-"""CSV records of files of any size, read in ranges: a record may hold line ends in quotes and go over any border.
+"""CSV records and elements of JSON arrays in files of any size, read in ranges: each may go over any border.
 
 Files are read as lines by Spark's text reader, which cuts large files into blocks, whatever the store. Whether a block
 begins inside quotes can't be seen from it, so each block is scanned once for both cases (its end state and number of
 records for either); these small tables are composed along each file, and then every block knows its state and its
 first record's number. A second reading takes the records; pieces of those that go over a block's edge meet by number.
+JSON arrays are read in the same way, where the state is the depth of brackets.
 """
 
 from __future__ import annotations
@@ -208,3 +209,87 @@ def opened(path: str) -> pa.NativeFile:
         return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
     store, place = fs.FileSystem.from_uri(path)
     return store.open_input_file(place)
+
+
+_JSON_STRING, _JSON_MARK = re.compile(rb'"(?:[^"\\]|\\.)*+"'), re.compile(rb"[\[\]{},]")
+
+
+def _marks(line: bytes) -> Iterator[tuple[int, int]]:
+    """(place, mark) of each bracket and comma outside strings; a string never goes over a line's end."""
+    blank = _JSON_STRING.sub(lambda m: b" " * len(m[0]), line) if b'"' in line else line
+    for m in _JSON_MARK.finditer(blank):
+        yield m.start(), line[m.start()]
+
+
+def _scan_json(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each block: by how much the depth changes, and the number of commas at each depth, from the block's start."""
+    for (path, block), own in _by_block(batches, ("path", "block")):
+        depth, commas = 0, {}
+        for line in own:
+            for _, mark in _marks(line):
+                if mark == 44:
+                    commas[depth] = commas.get(depth, 0) + 1
+                else:
+                    depth += 1 if mark in b"[{" else -1
+        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([block]), pa.array([depth]), pa.array([list(commas.items())], pa.map_(pa.int64(), pa.int64()))], names=["path", "block", "change", "commas"])
+
+
+def _composed_json(blocks: pd.DataFrame) -> pd.DataFrame:
+    """The blocks of one file, in order: the depth at each one's start, and the number of the element that goes on there."""
+    depth, before, out = 0, 0, []
+    for b in blocks.sort_values("block").itertuples():
+        out.append((b.path, b.block, depth, before))
+        before += dict(b.commas).get(1 - depth, 0)
+        depth += b.change
+    return pd.DataFrame(out, columns=["path", "block", "depth", "before"])
+
+
+def _elements(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements of the outer array: whole ones, and parts of those that go over the block's edge."""
+    for (path, block, depth, at), own in _by_block(batches, ("path", "block", "depth", "before")):
+        held, begun, out = [], False, []  # text of the element so far; whether it began here
+        for line in own:
+            last = 0
+            for place, mark in _marks(line):
+                if mark in b"[{":
+                    depth += 1
+                    if depth == 1:
+                        last, begun = place + 1, True
+                elif mark == 44 and depth == 1:
+                    out.append((at, begun, b"".join([*held, line[last:place]])))
+                    at, last, held, begun = at + 1, place + 1, [], True
+                elif mark != 44:
+                    depth -= 1
+                    if depth == 0:
+                        out.append((at, begun, b"".join([*held, line[last:place]])))
+                        last, held = len(line), []
+            if depth:
+                held.append(line[last:] + b"\n")
+            if len(out) >= _ROWS:
+                yield _element_rows(path, block, out)
+                out = []
+        if depth and held:
+            out.append((at, False, b"".join(held)))
+        yield _element_rows(path, block, out)
+
+
+def _element_rows(path: str, block: int, out: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
+    columns = ([path] * len(out), [n for n, _, _ in out], [block] * len(out), [w for _, w, _ in out], [b for _, _, b in out])
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["path", "row_no", "block", "whole", "part"])
+
+
+def read_elements(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """(path, row_no, element): the elements, as JSON texts, of files that each hold one array, read in ranges.
+
+    Files are cut at line ends, so an array on one line is one task's. An empty array has no elements.
+    """
+    text = lines(spark, root, pattern)
+    scanned = text.mapInArrow(_scan_json, "path string, block long, change long, commas map<long,long>")
+    known = scanned.groupBy("path").applyInPandas(_composed_json, "path string, block long, depth long, before long")
+    found = text.join(F.broadcast(known), ["path", "block"]).mapInArrow(_elements, "path string, row_no long, block long, whole boolean, part binary")
+    parts = found.where(~F.col("whole")).groupBy("path", "row_no").agg(F.array_sort(F.collect_list(F.struct("block", "part"))).alias("p"))
+    body = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["part"]))
+    every = found.where("whole").select("path", "row_no", F.col("part").alias("b")).union(parts.select("path", "row_no", body))
+    element = F.regexp_replace(F.col("b").cast("string"), r"^\s+|\s+$", "")
+    return every.select("path", "row_no", element.alias("element")).where(F.col("element") != "")

@@ -62,6 +62,23 @@ def test_records_in_ranges(spark, tmp_path, ranges, size):
         assert records.lines(spark, str(tmp_path), "*.csv").select("path", "block").distinct().count() > 20
 
 
+@pytest.mark.parametrize("size", [9, 60, 1 << 27])
+def test_elements_in_ranges(spark, tmp_path, ranges, size):
+    ranges(size)
+    rng = random.Random(1)
+    value = lambda: rng.choice([None, 1.5, "a,b]", 'q"\\', [1, {"x": "[{"}], {"y": {"z": [[], {}]}}, "é漢\n", True])
+    held = {"a.json": [{"k": value(), "v": value()} for _ in range(25)], "b.json": [1, "two, [", None, [3]], "c.json": [], "d.json": [{"long": ["x" * 5] * 40}]}
+    for i, (name, array) in enumerate(held.items()):
+        (tmp_path / name).write_text(json.dumps(array, indent=2 if i != 1 else None, ensure_ascii=i % 2 == 0))
+    got = {}
+    for r in records.read_elements(spark, str(tmp_path)).collect():
+        got.setdefault(r["path"].split("/")[-1], {})[r["row_no"]] = json.loads(r["element"])
+    for name, array in held.items():
+        assert [v for _, v in sorted(got.get(name, {}).items())] == array and sorted(got.get(name, {})) == list(range(len(array)))
+    if size < 100:
+        assert records.lines(spark, str(tmp_path), "a.json").select("block").distinct().count() > 10
+
+
 def test_previews_read_the_head(spark, tmp_path):
     (tmp_path / "a b%.csv").write_text("h,i\n" + '"1\n2",x\n' * 5)
     (tmp_path / "long.csv").write_text("h\n" + '"' + "y\n" * 50_000 + '"\nz\n' + "w\n" * 200_000)
