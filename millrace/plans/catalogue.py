@@ -847,3 +847,104 @@ def label_array(t: Callable, spark: SparkSession) -> DataFrame:
     one = F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(F.struct("doc_id", "quality", "toxic"), {"ignoreNullFields": "false"})), ",\n"), F.lit("\n]"))
     t("labels").groupBy("quality", F.floor(F.col("doc_id") / 500).alias("part")).agg(one.alias("value")).write.partitionBy("quality", "part").text(folder)
     return files.read_json_array(spark, folder, "doc_id long, quality int, toxic int")
+
+
+@query("""
+    SELECT page_id, page, table_no, row_no, CAST(k AS INTEGER) AS cell_no, v AS cell FROM (
+        SELECT page_id, 1 AS page, 0 AS table_no, 0 AS row_no, unnest([url, NULL]) AS v, unnest([0, 1]) AS k FROM pages
+        UNION ALL SELECT page_id, 1, 0, 1, unnest([CAST(strlen(html) AS VARCHAR), 'x']), unnest([0, 1]) FROM pages
+        UNION ALL SELECT page_id, 2, CAST(page_id % 3 AS INTEGER), 0, CAST(page_id AS VARCHAR), 0 FROM pages)""")
+def document_tables(t: Callable, spark: SparkSession) -> DataFrame:
+    """Tables of documents from a reader's answers on record: two for each page, blank cells null."""
+    first = F.struct(F.lit(1).alias("page"), F.lit(0).alias("table_no"), F.array(F.array(F.col("url"), F.lit("")), F.array(F.octet_length("html").cast("string"), F.lit("x"))).alias("rows"))
+    second = F.struct(F.lit(2).alias("page"), (F.col("page_id") % 3).cast("int").alias("table_no"), F.array(F.array(F.col("page_id").cast("string"))).alias("rows"))
+    content = F.encode(F.concat(F.col("page_id").cast("string"), F.lit(":"), F.col("html")), "UTF-8")
+    docs = t("pages").withColumn("content", content)
+    answers = docs.select(T.base64_text(F.col("content")).alias("request"), F.to_json(F.array(first, second)).alias("answer"))
+    found = models.found_tables(docs.select("page_id", "content"), models.RecordedTable(answers), "page_id")
+    return found.select("page_id", "page", "table_no", "row_no", F.posexplode("cells").alias("cell_no", "cell"))
+
+
+@query("SELECT page_id, 1 AS page, word AS text, CAST(i * 10 AS DOUBLE) AS x0, CAST(i * 10 + length(word) AS DOUBLE) AS x1 FROM (SELECT page_id, unnest(string_split(url, '/')) AS word, unnest(range(len(string_split(url, '/')))) AS i FROM pages) WHERE i BETWEEN 2 AND 3")
+def document_words(t: Callable, spark: SparkSession) -> DataFrame:
+    """Words of documents with their places, of which those of a band of the page are kept."""
+    words = F.transform(F.split("url", "/"), lambda w, i: F.struct(F.lit(1).alias("page"), w.alias("text"), (i * 10.0).alias("x0"), (i * 10.0 + F.length(w)).alias("x1"), F.lit(0.0).alias("top"), i.cast("double").alias("bottom")))
+    docs = t("pages").withColumn("content", F.encode(F.concat(F.col("page_id").cast("string"), F.col("url")), "UTF-8"))
+    answers = docs.select(T.base64_text(F.col("content")).alias("request"), F.to_json(words).alias("answer"))
+    found = models.found_words(docs.select("page_id", "content"), models.RecordedTable(answers), "page_id")
+    return pages.words_between(found, 20, 30, "x0", ("page_id",)).select("page_id", "page", "text", "x0", "x1")
+
+
+@query("SELECT p_brand, p_type, CAST(row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) - 1 AS INTEGER) AS row_no, p_name AS a, CAST(p_size AS VARCHAR) AS b FROM part")
+def table_files(t: Callable, spark: SparkSession) -> DataFrame:
+    """A headerless file for each brand and type, written in order and read again as records."""
+    folder = files.scratch(spark)
+    rows = t("part").select(F.col("p_brand").alias("folder"), F.col("p_type").alias("table"), F.col("p_partkey").alias("place"), F.array("p_name", F.col("p_size").cast("string")).alias("cells"))
+    files.write_tables(rows, folder)
+    part = lambda name: F.url_decode(F.regexp_extract("source_file", f"{name}=([^/]+)/", 1))
+    return files.read_cells(spark, folder).select(part("folder").alias("p_brand"), part("table").alias("p_type"), "row_no", F.get("cells", F.lit(0)).alias("a"), F.get("cells", F.lit(1)).alias("b"))
+
+
+@query("SELECT n_nationkey AS folder, 'n_' || n_nationkey || '.csv' AS file FROM nation ORDER BY CAST(n_nationkey AS VARCHAR)")
+def listed_files(t: Callable, spark: SparkSession) -> DataFrame:
+    """A document of each nation, written below its folder and listed by a glob, sorted, by their path below the root."""
+    folder = files.scratch(spark)
+    rows = t("nation").select(F.col("n_nationkey").cast("string").alias("folder"), F.concat(F.lit("n_"), "n_nationkey", F.lit(".csv")).alias("file"), F.encode("n_name", "UTF-8").alias("content"))
+    files.write_documents(rows.unionByName(rows.withColumn("file", F.lit("other.txt"))), folder.removeprefix("file:"))
+    found = files.source_files(spark, folder, "*csv")
+    return found.select(F.split_part("source_file", F.lit("/"), F.lit(1)).cast("int").alias("folder"), F.split_part("source_file", F.lit("/"), F.lit(2)).alias("file"))
+
+
+@query("""SELECT s_suppkey AS case_no, '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '","note":null}' AS body FROM supplier""")
+def edge_cases(t: Callable, spark: SparkSession) -> DataFrame:
+    """Rows kept as cases, each in a folder of its own, and read again."""
+    folder = files.scratch(spark)
+    files.write_case(t("supplier").select("s_suppkey", "s_name", F.lit(None).cast("string").alias("note")), folder, "s_suppkey")
+    return spark.read.text(folder).select(F.col("_case").cast("long").alias("case_no"), F.col("value").alias("body"))
+
+
+@query("SELECT p_partkey FROM part WHERE regexp_matches(p_name, 'ring|17', 'i') OR regexp_matches(p_brand, 'ring|17', 'i')")
+def default_search(t: Callable, spark: SparkSession) -> DataFrame:
+    """A search over the telling columns only, found by their names: the type and the price are none."""
+    named = t("part").select("p_partkey", F.col("p_name").alias("Objekt/Maßnahme"), F.col("p_brand").alias("Betriebs-\nmittel Betriebsmittel"), F.col("p_type").alias("Art"), F.col("p_retailprice").alias("Preis"))
+    columns = T.search_columns([c for c in named.columns if c != "p_partkey"])
+    held = named.select("p_partkey", *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    return search.by_regex(held, held.columns[1:], "ring|17").select("p_partkey")
+
+
+@query("""
+    SELECT p_partkey, p_name AS first, p_brand AS last, [CAST(p_size AS DOUBLE), p_retailprice] AS lines, CASE WHEN p_size % 2 = 0 THEN p_partkey END AS id, CASE WHEN p_size < 10 THEN 'substation' ELSE p_type END AS asset FROM part""")
+def parsed_fields(t: Callable, spark: SparkSession) -> DataFrame:
+    """Written forms of lists, lines, ids and kinds, read again."""
+    held = T.list_literal(F.concat(F.lit("['"), "p_name", F.lit("', '"), "p_brand", F.lit("']")))
+    lines = T.vertical_lines(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(", ,"), F.col("p_retailprice").cast("string"), F.lit(" ,")))
+    number = T.id_value(F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" "))).otherwise("  "))
+    asset = T.asset_type(F.when(F.col("p_size") < 10, F.lit("transformer_station")).otherwise(F.col("p_type")))
+    return t("part").select("p_partkey", F.get(held, F.lit(0)).alias("first"), F.get(held, F.lit(1)).alias("last"), lines.alias("lines"), number.alias("id"), asset.alias("asset"))
+
+
+@query("SELECT s_suppkey, s_nationkey + 1 AS pages FROM supplier")
+def page_counts(t: Callable, spark: SparkSession) -> DataFrame:
+    """Documents of as many plainly stored pages as the nation's number and one, written, read as bytes and counted."""
+    folder = files.scratch(spark)
+    body = F.concat(F.lit("%PDF-1.4\n<< /Type /Pages >>\n"), F.repeat(F.lit("<< /Type /Page /Parent 1 0 R >>\n"), F.col("s_nationkey").cast("int") + 1))
+    rows = t("supplier").select(F.col("s_suppkey").cast("string").alias("folder"), F.lit("plan.pdf").alias("file"), F.encode(body, "UTF-8").alias("content"))
+    files.write_documents(rows, folder.removeprefix("file:"))
+    got = files.read_bytes(spark, folder)
+    return got.select(F.regexp_extract("path", "([0-9]+)/plan.pdf$", 1).cast("long").alias("s_suppkey"), pages.page_count(F.col("content")).cast("int").alias("pages"))
+
+
+@query(f"""
+    WITH labels_ AS (SELECT concat(p_type, ' ', p_name) AS b, min(p_partkey) AS key FROM part GROUP BY 1),
+    clues AS (SELECT s_suppkey, replace(p_name, 'ing', 'in') AS a FROM supplier JOIN part ON p_partkey = s_suppkey WHERE s_nationkey % 2 = 1),
+    pairs AS (SELECT s_suppkey, a, b, key FROM clues, labels_), {_sql_weighted("pairs")},
+    r AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY score DESC, key) AS rank FROM weighted WHERE score >= 75)
+    SELECT supplier.s_suppkey, r.key AS osm_id, r.score FROM supplier LEFT JOIN r ON r.s_suppkey = supplier.s_suppkey AND rank = 1""")
+def geocode_aligned(t: Callable, spark: SparkSession) -> DataFrame:
+    """The best match of each supplier's first clue by the weighted score, where it is a station."""
+    rows = t("supplier").join(t("part"), F.col("p_partkey") == F.col("s_suppkey")).where(F.col("s_nationkey") % 2 == 1)
+    first = rows.select("s_suppkey", F.replace("p_name", F.lit("ing"), F.lit("in")).alias("name"))
+    known = t("part").select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("label"))
+    best = matching.aligned_matches(first, "name", known, "p_partkey", "label", k=1)
+    found = first.join(best, "name").select("s_suppkey", F.col("key").alias("osm_id"), "score")
+    return t("supplier").select("s_suppkey").join(found, "s_suppkey", "left")
