@@ -6,8 +6,8 @@ a. A query visits, in every table, its own bucket and then buckets with some has
 their estimated success (the expected squared distances to the bucket borders, a template computed once). The
 candidates of all tables are merged and reranked by their exact inner product.
 
-Every row is indexed: each task builds the tables over chunks of its own rows with the same functions, so the union
-over tasks is the global index and no vector is shuffled. The number of probes is fitted on at most `sample` rows
+Every row is indexed: each cell of the grid of query and row blocks builds the tables over chunks of its rows with the
+same functions, so the union over row blocks is the global index. The number of probes is fitted on at most `sample` rows
 and 64 of their queries: the first step of LADDER that finds `goal` of the true neighbours (as many of the k as the
 sample can hold) is used.
 

@@ -1,18 +1,20 @@
-"""What both vector searches share: clean vectors, blocks of stated queries, and the merge of each task's best.
+"""What both vector searches share: clean vectors, a grid of query and row blocks, and the merge of each cell's best.
 
-The query set is read in blocks of about `block` rows (by a hash of the id), fewer for long vectors: a block takes at
-most `block_mb`. One block is collected and broadcast at a time and meets every row of the table in chunks of `chunk`
-rows; each task keeps only its k best of every query, and these are merged by query. Of several blocks each one's
-result goes to the checkpoint folder, and its broadcast is released.
+The stated queries and all rows are dealt to blocks by hash, of at most `block_mb` and 65,536 rows. A cell of the grid is
+a query block and a row block: it meets the rows in chunks of `chunk` and keeps the k best of each query, and these are
+merged by query. Every row is sent once for each block of the other side; none goes through the driver, and a task holds
+two blocks, whatever the number of queries. Queries are numbered once in the checkpoint folder, so rows that share an id
+are queries of their own.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,45 +44,36 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def search(rows: DataFrame, is_query: Column, width: int, k: int, scorer: Callable[[np.ndarray, np.ndarray], Scorer], score_type: str, block: int = 65_536, block_mb: int = 32, chunk: int = 8192) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, width: int, k: int, scorer: Callable[[np.ndarray, np.ndarray], Scorer], score_type: str, block_mb: int = 32, chunk: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of each query row, best first, ties to the smaller id."""
-    spark = rows.sparkSession
-    queries = rows.where(is_query)
-    blocks = max(1, math.ceil(queries.count() / min(block, max(1, (block_mb << 17) // max(1, width)))))
-    found = None
-    for b in range(blocks):
-        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(F.lit(b"block"), "id"), F.lit(blocks)) == b)
-        got = own.toArrow()
-        ids = got["id"].to_numpy()
-        shared = spark.sparkContext.broadcast((matrix(got["v"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.float64())), width), ids))
-
-        def run(batches: Iterable[pa.RecordBatch], shared: object = shared, b: int = b) -> Iterator[pa.RecordBatch]:
-            q, own_ids = shared.value
-            best = scorer(q, own_ids)
-            held: list[pa.RecordBatch] = []
-            for batch in batches:
-                held.append(batch)
-                if sum(x.num_rows for x in held) >= chunk:
-                    _feed(best, held, width, chunk)
-                    held = []
-            _feed(best, held, width, chunk)
-            number, vec, score = best.best()
-            yield pa.RecordBatch.from_arrays([pa.array((number.astype("i8") << 20) | b), pa.array(own_ids[number].astype("i8")), pa.array(vec.astype("i8")), pa.array(score)], names=["_q", "query_id", "vec_id", "score"])
-
-        part = rows.mapInArrow(run, f"_q long, query_id long, vec_id long, score {score_type}")
-        if blocks > 1:
-            part = cut(part)
-            shared.unpersist()
-        found = part if found is None else found.union(part)
+    queries = cut(rows.where(is_query).withColumn("_q", F.monotonically_increasing_id()))
+    most = max(1, min(65_536, (block_mb << 17) // max(1, width)))
+    asked, held = queries.count(), rows.count()
+    across, down = max(1, math.ceil(asked / most)), max(1, math.ceil(held / max(min(chunk, most), min(most, held // 64))))
+    own = lambda n, *of: F.pmod(F.xxhash64(F.lit(b"grid"), *of), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select(own(across, "_q").alias("i"), every(down).alias("j"), "_q", "id", "v")
+    c = rows.select(every(across).alias("i"), own(down, "id", "v").alias("j"), F.lit(None).cast("long").alias("_q"), "id", "v")
+
+    def cell(table: pa.Table) -> pa.Table:
+        asked = table["_q"].is_valid()
+        mine, others = table.filter(asked), table.filter(pc.invert(asked))
+        ids = mine["id"].to_numpy()
+        best = scorer(matrix(mine["v"].combine_chunks(), width), ids)
+        if len(ids):
+            _feed(best, others, width, chunk)
+        number, vec, score = best.best()
+        return pa.table({"_q": mine["_q"].to_numpy()[number].astype("i8"), "query_id": ids[number].astype("i8"), "vec_id": vec.astype("i8"), "score": score})
+
+    found = q.union(c).groupBy("i", "j").applyInArrow(cell, f"_q long, query_id long, vec_id long, score {score_type}")
     best = Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _feed(best: object, held: list[pa.RecordBatch], width: int, chunk: int) -> None:
-    if not held:
-        return
-    table = pa.Table.from_batches(held)
+def _feed(best: object, table: pa.Table, width: int, chunk: int) -> None:
     ids = table["id"].to_numpy()
+    if not len(ids):
+        return
     x = matrix(table["v"].combine_chunks(), width)
     order = np.argsort(ids, kind="stable")
     for a in range(0, len(ids), chunk):
