@@ -4,7 +4,7 @@
 2. A sentence is normalised: A-Z to lower case, every run of characters other than a-z, 0-9 and inner dots to one
    blank; then the parts that vary are taken out (`VARYING`: who is licensed, the verb, articles, versions' zeros, years
    and holders). The result is looked up in a map of known license sentences (`KNOWN`), long legal sentences by their
-   first eight words (`LONG`). A sentence that isn't known is looked up line by line, as a notice may follow a line
+   first words (`LONG`), and names joined by "or", "and" or "with" one by one, if all are known. A sentence that isn't known is looked up line by line, as a notice may follow a line
    without a full stop. What is still unknown has the identifier `-`.
 3. The identifiers in a row are matched against the license rules in their order: the first rule takes its runs of
    identifiers, the next one what is left, and so on. Hence a full license text is one license, and a sentence of it
@@ -46,29 +46,30 @@ NAMES = {
 }
 #: Whole sentences, normalised. (fixed values)
 SENTENCES = {
-    "you may not use this file except in compliance with the license": "APACHE_MAY_NOT",
+    "you may not use this file except in compliance with the license": "APACHE_MAY_NOT", "under apache 2 compliance": "REF_Apache-2.0",
+    "licensed to the apache software foundation asf under one or more contributor license agreements": "ASF_CONTRIBUTED", "see the notice file distributed with this work for additional information regarding copyright ownership": "ASF_NOTICE",
     "this project is in the public domain": "PUBLIC_DOMAIN", "this work is in the public domain": "PUBLIC_DOMAIN", "this file is in the public domain": "PUBLIC_DOMAIN", "this file is placed in the public domain": "PUBLIC_DOMAIN", "this work is placed in the public domain": "PUBLIC_DOMAIN",
     "released into the public domain": "PUBLIC_DOMAIN", "placed in the public domain": "PUBLIC_DOMAIN", "in the public domain": "PUBLIC_DOMAIN", "public domain": "PUBLIC_DOMAIN", "this work is dedicated to the public domain": "PUBLIC_DOMAIN",
     "all rights reserved": "RIGHTS", "copyright notice": "COPYRIGHT", "mit license": "REF_MIT", "the mit license": "REF_MIT", "apache license 2": "REF_Apache-2.0", "gnu general public license": "REF_GPL", "isc license": "REF_ISC", "the unlicense": "REF_Unlicense",
 }
-#: First eight words of long sentences, normalised. (fixed values)
+#: First words of long sentences, normalised. (fixed values)
 LONG = {
     "you may obtain a copy of the license": "APACHE_OBTAIN",
     "unless required by applicable law or agreed to": "APACHE_ASIS",
-    "permission is hereby granted free of charge to": "MIT_GRANT",
+    "permission is hereby granted free of charge to any person": "MIT_GRANT",
     "the above copyright notice and this permission notice": "MIT_NOTICE",
-    "the software is provided as is without warranty": "MIT_ASIS",
-    "in no event shall the authors or copyright": "MIT_LIABLE",
-    "permission to use copy modify and or distribute": "ISC_GRANT",
+    "the software is provided as is without warranty of any kind": "MIT_ASIS",
+    "in no event shall the authors or copyright holders": "MIT_LIABLE",
+    "permission to use copy modify and or distribute this software": "ISC_GRANT",
     "the software is provided as is and the": "ISC_ASIS",
-    "this program is free software you can redistribute": "GPL_FREE",
-    "this library is free software you can redistribute": "LGPL_FREE",
+    "this program is free software you can redistribute it": "GPL_FREE",
+    "this library is free software you can redistribute it": "LGPL_FREE",
     "this program is distributed in the hope that": "GPL_HOPE",
     "this library is distributed in the hope that": "GPL_HOPE",
-    "you should have received a copy of the": "GPL_COPY",
+    "you should have received a copy of the gnu": "GPL_COPY",
     "redistribution and use in source and binary forms": "BSD_REDIST",
-    "redistributions of source code must retain the above": "BSD_SOURCE",
-    "redistributions in binary form must reproduce the above": "BSD_BINARY",
+    "redistributions of source code must retain the above copyright": "BSD_SOURCE",
+    "redistributions in binary form must reproduce the above copyright": "BSD_BINARY",
     "neither the name of the copyright holder nor": "BSD_NAME",
     "this software is provided by the copyright holders": "BSD_ASIS",
     "this source code form is subject to the": "MPL_SUBJECT",
@@ -79,11 +80,17 @@ KNOWN = SENTENCES | {f"under {form}{later}": f"REF_{name}" for name, forms in NA
 #: What varies in a normalised sentence: (pattern, replacement) in order, in the common part of RE2 and Java.
 VARYING = [
     (r"\blicence", "license"),
+    (r" see (?:the )?(?:license|copying|notice|readme)(?: .*)?$", ""),
+    (r"^the asf licenses this file to you under ", "under "),
+    (r"^(?:this|the) [a-z]+ is ([a-z0-9. ]+) licensed$", "under $1"),
+    (r"^license (?:is )?", "under "),
     (r"^(?:copyright .* )?all rights reserved$", "all rights reserved"),
     (r"^copyright (?:c )?[0-9].*$", "copyright notice"),
     (r"^[0-9]+\.? (redistributions|neither) ", "$1 "),
     (r"^neither the name of .* nor ", "neither the name of the copyright holder nor "),
-    (rf"^(?:(?:this|the) (?:work|file|software|project|program|package|library|code|document) is )?(?:also )?(?:made )?(?:{'|'.join(VERBS)}) under ", "under "),
+    (rf"^(?:(?:this|the) (?:work|file|software|project|program|package|library|code|document) is )?(?:also )?(?:dual )?(?:made )?(?:{'|'.join(VERBS)}) under ", "under "),
+    (r"^(under .*?)(?: the license)? you may not use this file except in compliance with the license$", "$1 compliance"),
+    (r"^(under .*) at your option$", "$1"),
     (r"^spdx license identifier ", "under "),
     (r"^under (?:the )?(?:terms of )?(?:the |a |an )?", "under "),
     (r"\b(a?l?gpl)v([0-9])", "$1 $2"),
@@ -95,22 +102,24 @@ VARYING = [
     (r"^(under .* or (?:any )?later) version$", "$1"),
     (r"^(under c.*?)(?: [0-9.]+)?(?: international| unported| generic)?$", "$1"),
 ]
-#: License rules in order: (pattern over identifiers, each followed by a blank; what it says).
+#: License rules in order: (pattern over identifiers, each between @ and a blank; what it says).
 RULES = [
-    (r"MIT_GRANT MIT_NOTICE MIT_ASIS (?:MIT_LIABLE )?", "MIT"),
-    (r"ISC_GRANT (?:ISC_ASIS )?(?:MIT_LIABLE )?", "ISC"),
-    (r"REF_Apache-2.0 (?:APACHE_MAY_NOT )(?:APACHE_OBTAIN )?(?:- )?(?:APACHE_ASIS )?", "Apache-2.0"),
-    (r"BSD_REDIST BSD_SOURCE BSD_BINARY BSD_NAME (?:BSD_ASIS )?", "BSD-3-Clause"),
-    (r"BSD_REDIST BSD_SOURCE BSD_BINARY (?:BSD_ASIS )?", "BSD-2-Clause"),
-    (r"LGPL_FREE (?:GPL_HOPE )?(?:GPL_COPY )?", "LGPL"),
-    (r"GPL_FREE (?:GPL_HOPE )?(?:GPL_COPY )?", "GPL"),
-    (r"UNLICENSE_FREE ", "Unlicense"),
-    (r"MPL_SUBJECT ", "MPL"),
-    (r"REF_([A-Za-z0-9.-]+) ", "$1"),
-    (r"PUBLIC_DOMAIN ", "Public-Domain"),
-    (r"(?:COPYRIGHT )?RIGHTS ", "Proprietary"),
-    (r"(?:(?:MIT|ISC|APACHE|BSD|GPL)_[A-Z_]+ )+", "Incomplete"),
+    (r"@MIT_GRANT @MIT_NOTICE @MIT_ASIS (?:@MIT_LIABLE )?", "MIT"),
+    (r"@ISC_GRANT (?:@ISC_ASIS )?(?:@MIT_LIABLE )?", "ISC"),
+    (r"(?:@ASF_CONTRIBUTED )?(?:@ASF_NOTICE )?@REF_Apache-2\.0 (?:@APACHE_MAY_NOT )?(?:@APACHE_OBTAIN (?:@- )?)?(?:@APACHE_ASIS )?", "Apache-2.0"),
+    (r"@BSD_REDIST @BSD_SOURCE @BSD_BINARY @BSD_NAME (?:@BSD_ASIS )?", "BSD-3-Clause"),
+    (r"@BSD_REDIST @BSD_SOURCE @BSD_BINARY (?:@BSD_ASIS )?", "BSD-2-Clause"),
+    (r"@LGPL_FREE (?:@GPL_HOPE )?(?:@GPL_COPY )?", "LGPL"),
+    (r"@GPL_FREE (?:@GPL_HOPE )?(?:@GPL_COPY )?", "GPL"),
+    (r"@UNLICENSE_FREE ", "Unlicense"),
+    (r"@MPL_SUBJECT ", "MPL"),
+    (r"@REF_([A-Za-z0-9.-]+) ", "$1"),
+    (r"@PUBLIC_DOMAIN ", "Public-Domain"),
+    (r"(?:@COPYRIGHT )?@RIGHTS ", "Proprietary"),
+    (r"(?:@(?:MIT|ISC|APACHE|BSD|GPL)_[A-Z_]+ )+", "Incomplete"),
 ]
+#: Between the names of a sentence that gives several, and what may stand around each.
+JOINED, AROUND = " (?:or|and|with) ", "^(?:the|either|both) | license$"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"([.!?])[ \t\r]*\n|([.!?])[ \t]+|\n[ \t\r]*\n"
@@ -124,10 +133,17 @@ def normalised(sentence: Column) -> Column:
     return out
 
 
-def identifier(text: Column) -> Column:
-    """The identifier of a normalised sentence, else null."""
-    table = lambda entries: F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
-    return F.coalesce(F.try_element_at(table(KNOWN), text), F.try_element_at(table(LONG), F.substring_index(text, " ", 8)))
+def _table(entries: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+
+
+def identifiers(text: Column) -> Column:
+    """The identifiers of a normalised sentence (several where it joins names), else null."""
+    one = F.coalesce(F.try_element_at(_table(KNOWN), text), *[F.try_element_at(_table(LONG), F.substring_index(text, " ", n)) for n in sorted({len(k.split()) for k in LONG}, reverse=True)])
+    names = F.split(F.substring(text, F.lit(len("under ") + 1), F.length(text)), JOINED)
+    each = F.transform(names, lambda p: F.try_element_at(_table(KNOWN), F.concat(F.lit("under "), F.regexp_replace(p, AROUND, ""))))
+    several = F.when(text.startswith("under ") & text.rlike(JOINED), F.when(~F.exists(each, lambda x: x.isNull()), each))
+    return F.when(one.isNotNull(), F.array(one)).otherwise(several)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -136,12 +152,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     stem = F.get(F.transform(F.array(F.lower(text)), lambda low: reduce(or_, [low.contains(w) for w in STEMS])), F.lit(0))
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_t"), (stem & F.col(text).rlike(HINT)).alias("_hint"))
     cut = F.split(F.regexp_replace("_t", BREAK, "$1$2\u0001"), "\u0001", -1)
-    by_line = lambda s: F.transform(F.transform(F.split(s, "\n", -1), normalised), lambda x: F.coalesce(identifier(x), F.lit("-")))
+    by_line = lambda s: F.flatten(F.transform(F.transform(F.split(s, "\n", -1), normalised), lambda x: F.coalesce(identifiers(x), F.array(F.lit("-")))))
     plain = F.transform(cut, lambda s: F.struct(normalised(s).alias("n"), s.alias("s")))
-    known = F.transform(plain, lambda u: F.struct(identifier(u["n"]).alias("id"), u["s"].alias("s")))
-    units = F.flatten(F.transform(known, lambda u: F.when(u["id"].isNotNull(), F.array(u["id"])).otherwise(by_line(u["s"]))))
+    known = F.transform(plain, lambda u: F.struct(identifiers(u["n"]).alias("id"), u["s"].alias("s")))
+    units = F.flatten(F.transform(known, lambda u: F.coalesce(u["id"], by_line(u["s"]))))
     rows = rows.withColumn("sentences", F.coalesce(F.when(F.col("_hint"), units), none))
-    left = F.array_join(F.transform("sentences", lambda s: F.concat(s, F.lit(" "))), "")
+    left = F.array_join(F.transform("sentences", lambda s: F.concat(F.lit("@"), s, F.lit(" "))), "")
     for pattern, name in RULES:
         left = F.regexp_replace(left, pattern, f"<{name}> ")
     return rows.select("row", "sentences", F.regexp_extract_all(left, F.lit("<([^>]+)>"), F.lit(1)).alias("licenses"))

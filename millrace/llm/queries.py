@@ -147,8 +147,11 @@ def _licenses_sql() -> str:
     def table(entries: dict[str, str]) -> str:
         return "MAP {" + ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in entries.items()) + "}"
 
-    found = "coalesce(map_extract_value(known, {x}), map_extract_value(long, array_to_string(list_slice(string_split({x}, ' '), 1, 8), ' ')))"
-    left = "array_to_string(list_transform(ids, lambda i: i || ' '), '')"
+    firsts = [f"map_extract_value(long, array_to_string(list_slice(string_split({{x}}, ' '), 1, {n}), ' '))" for n in sorted({len(k.split()) for k in licenses.LONG}, reverse=True)]
+    one = f"coalesce(map_extract_value(known, {{x}}), {', '.join(firsts)})"
+    each = f"list_transform(string_split_regex(substr({{x}}, 7), {_quoted(licenses.JOINED)}), lambda p: map_extract_value(known, 'under ' || {replaced('p', licenses.AROUND, '')}))"
+    found = f"CASE WHEN {one} IS NOT NULL THEN [{one}] WHEN starts_with({{x}}, 'under ') AND regexp_matches({{x}}, {_quoted(licenses.JOINED)}) AND len(list_filter({each}, lambda i: i IS NULL)) = 0 THEN {each} END"
+    left = "array_to_string(list_transform(ids, lambda i: '@' || i || ' '), '')"
     for pattern, name in licenses.RULES:
         left = replaced(left, pattern, f"<{name}> ")
     return f"""
@@ -156,8 +159,7 @@ def _licenses_sql() -> str:
             SELECT doc_id, CASE WHEN regexp_matches(text, {_quoted(licenses.HINT)}) THEN string_split({replaced("text", licenses.BREAK, "$1$2" + chr(1))}, chr(1)) ELSE [] END AS s FROM documents),
         units AS (SELECT doc_id, list_transform(s, lambda x: {{'n': {named("x")}, 'l': list_transform(string_split(x, chr(10)), lambda y: {named("y")})}}) AS u,
             {table(licenses.KNOWN)} AS known, {table(licenses.LONG)} AS long FROM parts),
-        named AS (SELECT doc_id, coalesce(flatten(list_transform(u, lambda x: CASE WHEN {found.format(x="x.n")} IS NOT NULL THEN [{found.format(x="x.n")}]
-            ELSE list_transform(x.l, lambda y: coalesce({found.format(x="y")}, '-')) END)), []) AS ids FROM units)
+        named AS (SELECT doc_id, coalesce(flatten(list_transform(u, lambda x: coalesce({found.format(x="x.n")}, flatten(list_transform(x.l, lambda y: coalesce({found.format(x="y")}, ['-'])))))), []) AS ids FROM units)
         SELECT doc_id, array_to_string(list_filter(ids, lambda i: i <> '-'), ' ') AS sentences, array_to_string(regexp_extract_all({left}, '<([^>]+)>', 1), ' ') AS licenses FROM named
     """
 

@@ -597,6 +597,19 @@ def test_near_copies_against_brute_force(spark):
     assert similar.near_copies(docs.where("_rid < 0")).count() == 0
 
 
+def test_license_wordings(spark):
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    rest = "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS."
+    asf = "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
+    texts = {
+        "SPDX-License-Identifier: MIT OR Apache-2.0": ["MIT", "Apache-2.0"], "Dual licensed under MIT and GPL version 2.": ["MIT", "GPL-2.0"], "Licensed under the Apache License, Version 2.0 or the MIT license, at your option.": ["Apache-2.0", "MIT"],
+        "This code is MIT licensed.": ["MIT"], "License: MIT": ["MIT"], "Licensed under the MIT license, see LICENSE for details.": ["MIT"], apache: ["Apache-2.0"], f"{apache} {rest}": ["Apache-2.0"], f"{asf} {rest}": ["Apache-2.0"],
+        "Permission is hereby granted, free of charge, to park in the yard.": [], "You should have received a copy of the invoice by mail.": [], "Licensed under the terms of our contract or the law.": [], "License: see below and wait": [], "This house is fully licensed.": [],
+    }
+    got = {r["row"]["text"]: r["licenses"] for r in licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert got == texts
+
+
 def license_rows():
     """Every known sentence, in several cases and line breaks, and references in their usual wordings."""
     filled = {"public domain": "public domain"}
