@@ -143,7 +143,7 @@ def exact_links(texts: DataFrame, words: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def near_copies(rows: DataFrame, words: int = 5, most: int = 512, most_words: int = 2_000_000) -> DataFrame:
+def near_copies(rows: DataFrame, words: int = 5, most: int = 512, most_words: int = 1_000_000) -> DataFrame:
     """_rid, _k, _group of each row of `rows` (_rid, _k, text): equal for rows that links of similarity 4/5 or more connect.
 
     A task that verifies holds two chunks of `most` sets or `most_words` shingles at most (or a single larger text).
