@@ -64,13 +64,16 @@ def _lost_window(n: Column, c: float) -> Column:
 
 
 def _texts(rows: DataFrame, text: str, key: str | None) -> DataFrame:
-    """text, n, (smallest key), and its forms: as it is, and without repeated words where there are any."""
+    """text, n, (smallest key), its forms (as it is, and without repeated words where there are any), and its bag: a
+    number for each character and how often it has come before."""
     clean = T.strip(T.single_blanks(F.col(text)))
     held = rows.select(clean.alias("text"), *([F.col(key).alias("key")] if key else [])).where(F.col("text") != "")
     held = held.groupBy("text").agg(F.min("key").alias("key")) if key else held.distinct()
     words = F.split("text", " ")
     once = F.array_join(F.array_distinct(words), " ")
-    return held.withColumn("n", F.char_length("text")).withColumn("forms", F.when(F.size(F.array_distinct(words)) < F.size(words), F.array("text", once)).otherwise(F.array("text")))
+    signs = F.split("text", "")
+    bag = F.transform(signs, lambda c, i: F.xxhash64(c, F.size(F.filter(F.slice(signs, F.lit(1), i), lambda x: x == c))))
+    return held.withColumn("n", F.char_length("text")).withColumn("bag", bag).withColumn("forms", F.when(F.size(F.array_distinct(words)) < F.size(words), F.array("text", once)).otherwise(F.array("text")))
 
 
 def _rarest(form: Column, lost: Column, counters: Column) -> Column:
@@ -89,10 +92,10 @@ def _met(few: DataFrame, all_: DataFrame, lost: Column, few_counters: Column, al
 
     A place's rows are dealt to a grid: those of `few` by parts of their own number, each to all parts of the others.
     """
-    form = few.select(F.col("text").alias("a"), F.col("n").alias("an"), F.explode("forms").alias("form"), F.size("forms").alias("af"))
+    form = few.select(F.col("text").alias("a"), F.col("n").alias("an"), F.col("bag").alias("ab"), F.explode("forms").alias("form"), F.size("forms").alias("af"))
     form = form.withColumn("_lost", lost).withColumn("own", _rarest(F.col("form"), F.col("_lost"), all_counters))
-    left = form.select("*", F.posexplode("own").alias("at", "g")).select("a", "an", "af", "form", F.slice("own", F.lit(1), F.col("at")).alias("before"), "g")
-    right = all_.select(F.col("text").alias("b"), F.col("n").alias("bn"), F.size("forms").alias("bf"), F.explode(F.array_distinct(places(F.col("text")))).alias("g"))
+    left = form.select("*", F.posexplode("own").alias("at", "g")).select("a", "an", "ab", "af", "form", F.slice("own", F.lit(1), F.col("at")).alias("before"), "g")
+    right = all_.select(F.col("text").alias("b"), F.col("n").alias("bn"), F.col("bag").alias("bb"), F.size("forms").alias("bf"), F.explode(F.array_distinct(places(F.col("text")))).alias("g"))
     left = left.withColumn("i", F.pmod(F.xxhash64("a"), _parts(few_counters, F.col("g"))).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), _parts(all_counters, F.col("g")) - 1)))
     right = right.withColumn("j", F.pmod(F.xxhash64("b"), _parts(all_counters, F.col("g"))).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), _parts(few_counters, F.col("g")) - 1)))
     padded = F.concat(F.lit(" "), F.col("b"), F.lit(" "))
@@ -110,10 +113,25 @@ def _enough(n: Column, m: Column, c: float, window: bool) -> Column:
     return F.when(unlike < ALIKE, F.least(whole, sets)).otherwise(F.least(whole, F.when(n < m, in_window).otherwise(whole)))
 
 
+def _possible(c: float) -> Column:
+    """Whether a pair (a, b, lengths, bags) can have the score: no common subsequence is longer than the characters that
+    both have, and the shared words are known."""
+    n, m = F.col("an"), F.col("bn")
+    common = F.size(F.array_intersect("ab", "bb"))
+    whole = 2 * common >= c * (n + m) - 1e-9
+    window = 2 * common >= c / WINDOW * (F.least(n, m) + common) - 1e-9
+    mine, other = (F.array_distinct(F.split(x, " ")) for x in ("a", "b"))
+    long = lambda words: F.char_length(F.array_join(words, " "))
+    both, left, right = F.array_intersect(mine, other), F.array_except(mine, other), F.array_except(other, mine)
+    words = (F.size(both) > 0) & (2 * long(both) >= c / WORDS * (2 * long(both) + 1 + F.least(long(left), long(right))) - 1e-9)
+    inside = (F.size(both) > 0) & ((F.size(left) == 0) | (F.size(right) == 0))
+    return whole | F.when(F.greatest(n, m) < ALIKE * F.least(n, m), words | inside).otherwise(window)
+
+
 def aligned_candidates(names: DataFrame, labels: DataFrame, cutoff: float, k: int, counted: bool = True) -> DataFrame:
     """a, b: every pair that may be among the k best matches of a name (`names`, `labels` as _texts gives them).
 
-    With `counted` off, pairs are not held against the number of places that they must share.
+    With `counted` off, pairs are not held against the places and characters that they must share.
     """
     c = cutoff / 100
     gram = lambda rows: rows.select(F.explode(places(F.col("text"))).alias("g"))
@@ -122,7 +140,7 @@ def aligned_candidates(names: DataFrame, labels: DataFrame, cutoff: float, k: in
     by_name = _met(names, labels, F.greatest(_lost_whole(F.char_length("form"), c), _lost_window(F.char_length("form"), c / WINDOW)), of_names, of_labels).where(reach)
     by_label = _met(labels, names, _lost_window(F.char_length("form"), c / WINDOW), of_labels, of_names).where(reach & ((F.col("an") < F.col("bn")) | (F.col("af") > 1) | (F.col("bf") > 1)))
     shared = F.size(F.filter(places(F.col("form")), lambda g: F.contains(F.concat(F.lit(" "), F.col("b"), F.lit(" ")), g)))
-    enough = (F.col("af") > 1) | (F.col("bf") > 1) | (shared >= _enough(F.col("an"), F.col("bn"), c, True)) if counted else F.lit(True)
+    enough = (F.col("af") > 1) | (F.col("bf") > 1) | (shared >= _enough(F.col("an"), F.col("bn"), c, True)) & _possible(c) if counted else F.lit(True)
     found = by_name.where(enough).select("a", "b").union(by_label.where(enough).select(F.col("b").alias("a"), F.col("a").alias("b")))
     tiny = next(n for n in range(1, 1000) if int(n * (4 - 4 * c / WINDOW) / (2 - c / WINDOW) + 1e-9) + 2 <= n)
     found = found.union(_tiny(names, labels, tiny)).union(_tiny(labels, names, tiny).select("b", "a"))
