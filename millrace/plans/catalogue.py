@@ -533,9 +533,13 @@ def range_rows(t: Callable, spark: SparkSession) -> DataFrame:
     return out.select("conv_id", "range_no", F.get("cells", F.lit(0)).alias("role"), "place.turn")
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(trunc(value * 10) AS INTEGER) AS x, NULL AS problem FROM events")
+@query("""
+    SELECT event_id, CASE WHEN event_id % 4 = 0 THEN json_extract_string(props, '$.k') END AS k, CAST(trunc(value * 10) AS INTEGER) AS x,
+        CASE event_id % 4 WHEN 1 THEN 'not a JSON object' WHEN 2 THEN 'no settings' WHEN 3 THEN 'not a JSON object' END AS problem FROM events""")
 def settings_parse(t: Callable, spark: SparkSession) -> DataFrame:
-    text = F.replace("props", F.lit('"k"'), F.lit('"text_k"'))
+    """Settings of each event, of which a quarter are cut off, blank, or a list."""
+    whole, kind = F.replace("props", F.lit('"k"'), F.lit('"text_k"')), F.col("event_id") % 4
+    text = F.when(kind == 0, whole).when(kind == 1, F.left(whole, F.length(whole) - 1)).when(kind == 2, " ").otherwise(F.concat(F.lit("["), whole, F.lit("]")))
     return t("events").select("event_id", T.with_prefix(T.settings_map(text))["k"].alias("k"), T.page_coordinate(F.col("value"), F.lit(10)).alias("x"), T.settings_problem(text).alias("problem"))
 
 
@@ -895,12 +899,12 @@ def listed_files(t: Callable, spark: SparkSession) -> DataFrame:
     return found.select(F.split_part("source_file", F.lit("/"), F.lit(1)).cast("int").alias("folder"), F.split_part("source_file", F.lit("/"), F.lit(2)).alias("file"))
 
 
-@query("""SELECT s_suppkey AS case_no, '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '","note":null}' AS body FROM supplier""")
+@query("""SELECT n_nationkey AS case_no, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","note":null}' AS body FROM nation""")
 def edge_cases(t: Callable, spark: SparkSession) -> DataFrame:
     """Rows kept as cases, each in a folder of its own, and read again."""
     folder = files.scratch(spark)
-    files.write_case(t("supplier").select("s_suppkey", "s_name", F.lit(None).cast("string").alias("note")), folder, "s_suppkey")
-    return spark.read.text(folder).select(F.col("_case").cast("long").alias("case_no"), F.col("value").alias("body"))
+    files.write_case(t("nation").select("n_nationkey", "n_name", F.lit(None).cast("string").alias("note")), folder, "n_nationkey")
+    return spark.read.text(folder).select(F.col("_case").cast("int").alias("case_no"), F.col("value").alias("body"))
 
 
 @query("SELECT p_partkey FROM part WHERE regexp_matches(p_name, 'ring|17', 'i') OR regexp_matches(p_brand, 'ring|17', 'i')")
