@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.operators.matching import estimate, sketch
 
 #: Between the columns of a row that is searched as one text, and the name of the score's column. (fixed values)
 BETWEEN, SCORE = " | ", "_search_score"
@@ -48,19 +49,24 @@ def by_similarity(df: DataFrame, columns: list[str], query: str, cutoff: float =
     return df.withColumn(SCORE, score).where(F.col(SCORE) >= cutoff).orderBy(F.desc(SCORE), *ties, *own)
 
 
-def _prefixes(t: Column, least: float) -> Column:
+def _pairs(t: Column) -> Column:
+    """The lower-cased text's pairs of neighbouring letters, in order."""
+    low = F.lower(t)
+    n = F.char_length(low)
+    return F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(low, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+
+
+def _prefixes(t: Column, least: float, counters: Column) -> Column:
     """struct<n (length), short, pairs>: some of the text's pairs of letters, of which two similar texts share one.
 
     One edit changes two pairs of letters at most. A text of n letters is at most (1 - least) / least * n edits away
-    from any text like it, so of twice as many pairs and one more, the first ones in an order that is the same for all
-    texts (by hash), there is one that no edit changed. Texts that have not so many pairs are `short`.
+    from any text like it, so of twice as many pairs and one more, the rarest ones (in an order that is the same for all
+    texts), there is one that no edit changed. Texts that have not so many pairs are `short`.
     """
-    low = F.lower(t)
-    n = F.char_length(low)
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(low, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    n = F.char_length(F.lower(t))
     need = (2 * F.floor(n * (1 - least) / least + 1e-9) + 1).cast("int")
-    numbered = lambda p: F.transform(p, lambda g, i: F.xxhash64(g, F.size(F.filter(F.slice(p, 1, i + 1), lambda x: x == g))))
-    first = F.get(F.transform(F.array(pairs), lambda p: F.slice(F.array_sort(numbered(p)), F.lit(1), need)), F.lit(0))
+    numbered = lambda p: F.transform(p, lambda g, i: F.struct(estimate(counters, g).alias("n"), F.xxhash64(g, F.size(F.filter(F.slice(p, 1, i + 1), lambda x: x == g))).alias("g")))
+    first = F.get(F.transform(F.array(_pairs(t)), lambda p: F.transform(F.slice(F.array_sort(numbered(p)), F.lit(1), need), lambda x: x["g"])), F.lit(0))
     return F.struct(n.alias("n"), (n - 1 < need).alias("short"), first.alias("pairs"))
 
 
@@ -68,14 +74,16 @@ def fuzzy_matches(names: DataFrame, name: str, candidates: DataFrame, key: str,
     """(name, key, label, score, rank): the k candidates most like each distinct name, ties to the smaller key.
 
     Equal names and equal labels are compared once; a label that several candidates share stands for the smallest
-    key. Names and labels meet where they share one of their first pairs of letters (see _prefixes: no match is lost);
-    texts too short for that meet all texts whose length is within the cutoff's reach.
+    key. Names and labels meet where they share one of their rarest pairs of letters (see _prefixes: no match is lost;
+    a count-min sketch of the labels says what is rare); texts too short for that meet all texts whose length is within the cutoff's reach.
     """
     if cutoff <= 0:
         raise ValueError("the cutoff must be above 0")
     least = cutoff / 100
-    one = names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct().withColumn("_a", _prefixes(F.col("name"), least))
-    other = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(key).alias("key")).withColumn("_b", _prefixes(F.col("label"), least))
+    one = names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
+    other = candidates.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(key).alias("key"))
+    counters = sketch(other.select(F.explode(_pairs(F.col("label"))).alias("g")), "g")
+    one, other = one.withColumn("_a", _prefixes(F.col("name"), least, counters)), other.withColumn("_b", _prefixes(F.col("label"), least, counters))
     near = (F.col("_b.n") >= F.col("_a.n") * least - 1e-9) & (F.col("_a.n") >= F.col("_b.n") * least - 1e-9)
     met = one.withColumn("_x", F.explode("_a.pairs")).join(other.withColumn("_x", F.explode("_b.pairs")), "_x").where(near)
     reach = one.withColumn("_n", F.explode(F.sequence(F.ceil(F.col("_a.n") * least - 1e-9).cast("int"), F.floor(F.col("_a.n") / least + 1e-9).cast("int"))))
