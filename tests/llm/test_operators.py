@@ -282,7 +282,7 @@ def test_against_sql(spark, name, folder):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     got, want = queries.QUERIES[name](spark, folder), con.sql(queries.ORACLES[name])
     names = sorted(got.columns)
