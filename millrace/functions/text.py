@@ -248,8 +248,8 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """The vector at length 1; a zero vector stays."""
-    return F.transform(a, lambda x: x.cast("double") / F.when(norm(a) == 0, F.lit(1.0)).otherwise(norm(a)))
+    """The vector at length 1; a zero vector stays. The length is computed once, not for each component."""
+    return F.get(F.transform(F.array(norm(a)), lambda n: F.transform(a, lambda x: x.cast("double") / F.when(n == 0, F.lit(1.0)).otherwise(n))), F.lit(0))
 
 
 def prefixed(tags: Column, prefix: str = "tag::") -> Column:
