@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import alignment
-from millrace.operators import matching, search
+from millrace.operators import labels, matching, search
 
 
 def common(a, b):
@@ -166,3 +166,19 @@ def test_vector_grid_of_many_queries(spark):
     ask = df.where("id in (5, 77777, 99999)").orderBy("id").collect()
     mine = {(r["query_id"], r["vec_id"], round(r["score"], 6), r["rank"]) for r in got.where("query_id in (5, 77777, 99999)").collect()}
     assert mine == brute(np.array([r["id"] for r in ask]), np.array([r["v"] for r in ask]), np.arange(3000), x, 2)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_triplets_take_texts_before_they_meet(spark, monkeypatch, parts):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "a", "b", None]), i, rng.choice([1, 1, 0, None])) for i in range(90)]
+    held = spark.createDataFrame(rows, "anchor string, id long, label int")
+    told = {i: f"text {i % 40}" if i % 7 else None for i in range(80)}
+    texts = spark.createDataFrame(list(told.items()), "key long, text string")
+    monkeypatch.setattr(labels, "BLOCK", 5, raising=False)
+    for own, of in ((texts, told), (None, {i: i for _, i, _ in rows})):
+        got = labels.triplets(held, "anchor", "id", "label", texts=own, key="key", parts=parts)
+        want = [(a, of[i], of[j]) for a, i, x in rows for b, j, y in rows if a and a == b and (x, y) == (1, 0) and i in of and j in of]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+        last = next(line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line)
+        assert "anchor#" in last  # the product comes last: no pair is shuffled
