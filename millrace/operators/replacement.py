@@ -2,13 +2,15 @@
 
 The result is that of putting " (name)" behind every occurrence of each entry's code in turn, over all entries in
 order, also where an inserted name holds a later entry's code. An Aho-Corasick automaton finds all codes of a text in
-one pass; the first of them in order is put in, and the text it changed is passed again for later ones. A text's cost is
-one pass for each entry that fires, whatever the number of entries.
+one pass; their entries are put in by order, and after each only the places around its insertions are passed again for
+later ones. A text's cost is one pass, and for each entry that fires a plain search and its insertions, whatever the
+number of entries. A worker remembers short results, so copies of a text are worked out once there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import heapq
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -18,30 +20,72 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 
-#: More entries than this aren't taken (they go to every task).
-MOST_ENTRIES = 1_000_000
-
+#: More entries than this aren't taken (they go to every task); results that a worker remembers, and their length at most.
+MOST_ENTRIES, REMEMBERED, SHORT = 1_000_000, 10_000, 2_000
+
+
+class Entries:
+    """Codes and names in order, ready to be put into texts."""
+
+    def __init__(self, codes: tuple[str, ...], names: tuple[str, ...]) -> None:
+        self.codes, self.names = codes, names
+        places: dict[str, list[int]] = {}
+        for i, code in enumerate(codes):
+            places.setdefault(code, []).append(i)
+        self.found = ahocorasick.Automaton()
+        for code, own in places.items():
+            self.found.add_word(code, own)
+        self.found.make_automaton()
+        self.reach = max(map(len, codes)) - 1
+        self.known: dict[str, str] = {}
+
+    def folded(self, text: str) -> str:
+        """fold(), from memory where it can be."""
+        out = self.known.get(text)
+        if out is None:
+            out = self.fold(text)
+            if len(out) <= SHORT:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[text] = out
+        return out
+
+    def fold(self, text: str) -> str:
+        agenda = sorted({i for _, own in self.found.iter(text) for i in own})
+        known = set(agenda)
+        while agenda:
+            at = heapq.heappop(agenda)
+            code, added = self.codes[at], f" ({self.names[at]})"
+            parts = text.split(code)
+            if len(parts) == 1:  # an insertion has parted it
+                continue
+            text = (code + added).join(parts)
+            # a code that is new in the text touches an insertion
+            begin, last, step = 0, -1, len(code) + len(added)
+            for part in parts[:-1]:
+                begin += len(part) + step
+                first, end = max(begin - len(added) - self.reach, 0), begin + self.reach
+                if first <= last:
+                    last = max(last, end)
+                    continue
+                if last >= 0:
+                    self._later(text[start:last], at, known, agenda)
+                start, last = first, end
+            self._later(text[start:last], at, known, agenda)
+        return text
 
-@lru_cache(maxsize=4)
-def automaton(codes: tuple[str, ...]) -> ahocorasick.Automaton:
-    """Code -> numbers of its entries."""
-    places: dict[str, list[int]] = {}
-    for i, code in enumerate(codes):
-        places.setdefault(code, []).append(i)
-    out = ahocorasick.Automaton()
-    for code, own in places.items():
-        out.add_word(code, own)
-    out.make_automaton()
-    return out
+    def _later(self, text: str, at: int, known: set[int], agenda: list[int]) -> None:
+        """Puts the entries behind `at` whose codes the text holds on the agenda."""
+        for _, own in self.found.iter(text):
+            for i in own:
+                if i > at and i not in known:
+                    known.add(i)
+                    heapq.heappush(agenda, i)
 
 
-def fold(text: str, codes: tuple[str, ...], names: tuple[str, ...]) -> str:
-    found, last = automaton(codes), -1
-    while True:
-        after = min((i for _, own in found.iter(text) for i in own if i > last), default=None)
-        if after is None:
-            return text
-        text, last = text.replace(codes[after], f"{codes[after]} ({names[after]})"), after
+@lru_cache(maxsize=2)
+def ready(codes: tuple[str, ...], names: tuple[str, ...]) -> Entries:
+    return Entries(codes, names)
 
 
 def replace_all(text: Column, entries: Iterable[tuple[str | None, str | None]]) -> Column:
@@ -54,8 +98,10 @@ def replace_all(text: Column, entries: Iterable[tuple[str | None, str | None]])
     codes, names = (tuple(x) for x in zip(*kept, strict=True))
 
     @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else fold(t, codes, names))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        folded = ready(codes, names).folded
+        for texts in batches:
+            yield texts.map(lambda t: t if t is None else folded(t))
 
     return run(text)
 

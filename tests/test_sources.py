@@ -239,3 +239,43 @@ def test_answers_are_asked_once(spark, tmp_path):
     assert len(asked) == len(set(asked)) == 40
     more = store.answered(rows.withColumn("r", F.concat("r", F.lit("+"))).limit(3).union(rows), F.col("r"), client, batch=5)
     assert more.count() == 93 and len((tmp_path / "asked").read_text().split()) == 43
+
+
+def test_replacement_passes_only_insertions():
+    rng = random.Random(4)
+    for signs in ("ab", "ab (", "abc()") * 400:  # codes that meet insertions at either end, or are parted by them
+        word = lambda n: "".join(rng.choice(signs) for _ in range(rng.randrange(1, n)))  # noqa: B023, E731
+        entries, text = [(word(7), word(5)) for _ in range(rng.randrange(1, 7))], word(30)
+        want = text
+        for code, name in entries:
+            want = want.replace(code, f"{code} ({name})")
+        own = replacement.Entries(*zip(*entries, strict=True))
+        assert own.fold(text) == own.folded(text) == own.folded(text) == want
+
+
+def test_chained_replacement_works_copies_out_once(monkeypatch):
+    seen, names = [], [f"name {i:02}" for i in range(64)]
+    own = replacement.Entries(tuple(names[:-1]), tuple(names[1:]))
+    found = own.found
+
+    class Counted:
+        def iter(self, text):
+            seen.append(len(text))
+            return found.iter(text)
+
+    own.found = Counted()
+    texts = [f"Brand: {n}" for n in names] * 50
+    out = [own.folded(t) for t in texts]
+    assert out[:64] == out[64:128] and out[0].count("name") == 64
+    assert sum(seen) < 100 * 64 * 64  # passes over whole texts, each time: over 20 million
+
+
+def test_too_many_names_are_an_error(spark, monkeypatch, tmp_path):
+    rows = [(i, f"name {i}" if i else None, "Brand#1", "LARGE", 1) for i in range(9)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    from millrace.plans import catalogue
+
+    assert catalogue.QUERIES["chained_replace"](spark, str(tmp_path)).where("name LIKE '%: name 7 (name 8)'").count() == 1
+    monkeypatch.setattr(replacement, "MOST_ENTRIES", 6)
+    with pytest.raises(ValueError):
+        catalogue.QUERIES["chained_replace"](spark, str(tmp_path))
