@@ -116,6 +116,7 @@ def entry_list(entries: DataFrame, order: str, code: str = "code", name: str = "
 
 def serialized_measure(columns: list[str], entries: Iterable[tuple[str, str]], text: str, source: str, pattern: str) -> Column:
     """A row's serialised text, with the entries put into `text` first where `source` holds the pattern from its start."""
-    named = F.when(F.col(f"`{source}`").rlike(f"^(?:{pattern})"), replace_all(F.col(f"`{text}`"), entries)).otherwise(F.col(f"`{text}`"))
+    held = F.col(f"`{source}`").rlike(f"^(?:{pattern})")
+    named = F.when(held, replace_all(F.when(held, F.col(f"`{text}`")), entries)).otherwise(F.col(f"`{text}`"))
     shown = [c for c in columns if not any(w in c.lower() for w in T.UNSERIALISED)]
     return T.serialize({c: named if c == text else F.col(f"`{c}`") for c in shown}, "query: ")

@@ -279,3 +279,12 @@ def test_too_many_names_are_an_error(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(replacement, "MOST_ENTRIES", 6)
     with pytest.raises(ValueError):
         catalogue.QUERIES["chained_replace"](spark, str(tmp_path))
+
+
+def test_serialized_measure_folds_only_its_rows(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(replacement, "replace_all", lambda text, entries: asked.append(text) or text)
+    rows = spark.createDataFrame([("a", "DE"), ("b", "x"), ("c", None)], "name string, source string")
+    text = replacement.serialized_measure(["name"], [("a", "b")], "name", "source", "D")
+    assert [r[0] for r in rows.select(text).collect()] == ["query: name: a", "query: name: b", "query: name: c"]
+    assert [r[0] for r in rows.select(*asked).collect()] == ["a", None, None]
