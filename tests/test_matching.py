@@ -1,6 +1,7 @@
 """Weighted similarity and its join, and the vector grid, against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -182,3 +183,18 @@ def test_triplets_take_texts_before_they_meet(spark, monkeypatch, parts):
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
         last = next(line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line)
         assert "anchor#" in last  # the product comes last: no pair is shuffled
+
+
+def test_triplets_join_arrays_instead_of_pairs(spark, monkeypatch):
+    """100 accepted and 300 rejected ones, of which some repeat and some texts are null: 30,000 rows of which the join makes at most 4,000."""
+    monkeypatch.setattr(labels, "BLOCK", 128)
+    monkeypatch.setattr(labels, "MET", 32, raising=False)
+    held = spark.range(400).selectExpr("'a' AS anchor", "id", "if(id < 100, 1, 0) AS label")
+    texts = spark.range(400).selectExpr("id AS key", "if(id % 7 = 0, null, concat('text ', id % 50)) AS text")
+    got = labels.triplets(held, "anchor", "id", "label", texts=texts, key="key", parts=2)
+    told = [None if i % 7 == 0 else f"text {i % 50}" for i in range(400)]
+    want = Counter(("a", p, n) for p in told[:100] for n in told[100:])
+    assert Counter(map(tuple, got.collect())) == want
+    plan = [line for line in got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()]
+    top = [next(k for k, line in enumerate(plan) if word in line) for word in ("Generate explode(_negatives", "Join")]
+    assert top[0] < top[1]
